@@ -1,0 +1,319 @@
+"""The registered queries in plain SQL, written with whole-table windows and joins."""
+
+from __future__ import annotations
+
+import re
+
+from checks.derived import GIVEN, PATHS, SNAPSHOTS, duck_millis, legacy_tables, snapshot_tables
+
+TIMED = ("message", "call_log", "message_add_on")
+MESSAGE_KEY = ("chat_row_id", "from_me", "key_id", "sender_jid_row_id")
+KEYS = {
+    "jid": ("raw_string",),
+    "chat": ("jid_row_id",),
+    "message": MESSAGE_KEY,
+    "message_add_on": MESSAGE_KEY,
+    "call_log": ("call_id", "from_me", "jid_row_id", "transaction_id"),
+    "quick_replies": ("title",),
+    "message_vcard": ("message_row_id", "vcard"),
+    "group_participant_user": ("group_jid_row_id", "user_jid_row_id"),
+    "labels": ("label_name",),
+    "reporting_info": ("reporting_tag", "stanza_id"),
+}
+MAP_KEYS = {
+    **KEYS,
+    "message": ("key_id", "from_me"),
+    "message_add_on": ("key_id", "from_me"),
+    "call_log": ("call_id",),
+    "message_vcard": ("message_row_id",),
+    "reporting_info": ("message_row_id",),
+}
+# Column: (target, whether an unknown reference is 0).
+REFERENCES = {
+    "chat": {"jid_row_id": ("jid", False)},
+    "message": {"chat_row_id": ("chat", False), "sender_jid_row_id": ("jid", True)},
+    "message_add_on": {
+        "chat_row_id": ("chat", False),
+        "sender_jid_row_id": ("jid", False),
+        "parent_message_row_id": ("message", False),
+    },
+    "call_log": {"jid_row_id": ("jid", True)},
+    "message_vcard": {"message_row_id": ("message", False)},
+    "group_participant_user": {"group_jid_row_id": ("jid", False), "user_jid_row_id": ("jid", False)},
+    "reporting_info": {"message_row_id": ("message", False)},
+    "message_link": {"message_row_id": ("message", False)},
+    "frequent": {"jid_row_id": ("jid", False)},
+    "missed_call_logs": {"jid_row_id": ("jid", True)},
+    "references_of_events": {
+        "vcard_jid_row_id": ("jid", False),
+        "seller_jid": ("jid", False),
+        "participant_lid_row_id": ("jid", False),
+        "parent_message_chat_row_id": ("chat", False),
+        "message_row_id": ("message", False),
+        "message_table_id": ("message", False),
+        "call_log_row_id": ("call_log", False),
+        "message_add_on_row_id": ("message_add_on", False),
+        "message_vcard_row_id": ("message_vcard", False),
+        "quick_reply_id": ("quick_replies", False),
+        "reporting_info_row_id": ("reporting_info", False),
+        "label_id": ("labels", False),
+        "group_participant_user_row_id": ("group_participant_user", False),
+    },
+}
+COLUMNS = {
+    "jid": ("raw_string", "seen_in"),
+    "chat": (
+        "jid_row_id", "hidden", "sort_timestamp", "display_message_row_id", "last_read_message_sort_id",
+        "ephemeral_message_row_id", "last_message_reaction_row_id", "last_seen_message_reaction_row_id", "subject",
+    ),
+    "message": (
+        "chat_row_id", "from_me", "key_id", "sender_jid_row_id", "timestamp", "message_type", "text_data", "sort_id",
+        "status",
+    ),
+    "message_add_on": ("chat_row_id", "from_me", "key_id", "sender_jid_row_id", "timestamp", "parent_message_row_id"),
+    "call_log": ("call_id", "from_me", "jid_row_id", "transaction_id", "timestamp"),
+    "quick_replies": ("title",),
+    "message_vcard": ("message_row_id", "vcard"),
+    "group_participant_user": ("group_jid_row_id", "user_jid_row_id"),
+    "labels": ("label_name",),
+    "reporting_info": ("message_row_id", "reporting_tag", "stanza_id"),
+    "message_link": ("message_row_id", "link_index"),
+    "frequent": ("jid_row_id", "type", "message_count"),
+    "frequents": ("jid", "type", "message_count"),
+    "missed_call_logs": ("jid_row_id",),
+    "references_of_events": (*REFERENCES["references_of_events"], "call_link_row_id"),
+}
+FREQUENT = {"frequent": "jid_row_id", "frequents": "jid"}
+MAIN = tuple(KEYS)
+MINOR = tuple(t for t in COLUMNS if t not in KEYS)
+
+
+def all_of(template: str, names, joiner: str = " and ") -> str:
+    return joiner.join(template.format(n) for n in names)
+
+
+def building_blocks() -> dict[str, str]:
+    """Common table expressions by name; `statement` picks those a query needs."""
+    given = {t: t for t in GIVEN}
+    texts = {s: snapshot_tables(s, *rest, duck_millis) for s, *rest in SNAPSHOTS}
+    blocks = {
+        "ranks": "select snapshot_id, row_number() over (order by max(timestamp) desc, snapshot_id) as merge_rank"
+        " from d_message group by snapshot_id"
+    }
+    for t in (*COLUMNS, "props"):
+        parts = (f"select {s} as snapshot_id, q.* from ({texts[s][t].format(**given)}) as q" for s, *_ in SNAPSHOTS)
+        blocks[f"d_{t}"] = " union all ".join(parts)
+    for t in COLUMNS:
+        references = REFERENCES.get(t, {})
+        picked, joins = [], []
+        for n, c in enumerate(COLUMNS[t]):
+            if c in references:
+                target, zero = references[c]
+                picked.append(f"coalesce(a{n}.new_id, 0) as {c}" if zero else f"a{n}.new_id as {c}")
+                joins.append(f"left join m_{target} a{n} on a{n}.snapshot_id = d.snapshot_id and a{n}.old_id = d.{c}")
+            else:
+                picked.append(f"d.{c}")
+        # r_: references rewritten.
+        blocks[f"r_{t}"] = (
+            f"select d.snapshot_id, k.merge_rank, d._id, {', '.join(picked)} from d_{t} d"
+            f" join ranks k on k.snapshot_id = d.snapshot_id {' '.join(joins)}"
+        )
+    for t in MAIN:
+        key, timed = KEYS[t], t in TIMED
+        within = "merge_rank, timestamp, _id" if timed else "merge_rank, _id"
+        order = "timestamp, merge_rank, _id" if timed else "merge_rank, _id"
+        # s_: survivors with their new ids.
+        blocks[f"s_{t}"] = (
+            f"select * exclude (rn), row_number() over (order by {order}) as new_id from (select *, row_number() over"
+            f" (partition by {', '.join(key)} order by {within}) as rn from r_{t}"
+            f"{' where timestamp is not null' if timed else ''}) as q where rn = 1 or {all_of('{} is null', key, ' or ')}"
+        )
+        referable = all_of("{} is not null", MAP_KEYS[t])
+        # m_: old id to new id.
+        blocks[f"m_{t}"] = (
+            f"select r.snapshot_id, r._id as old_id, s.new_id from r_{t} r join s_{t} s on {all_of('r.{0} = s.{0}', key)}"
+            f" where {all_of('r.{} is not null', MAP_KEYS[t])} union all select snapshot_id, _id, new_id from s_{t}"
+            f" where ({all_of('{} is null', key, ' or ')}) and {referable}"
+        )
+        blocks[f"t_{t}"] = f"select new_id as _id, {', '.join(COLUMNS[t])} from s_{t}"
+    blocks["t_message"] = "select new_id as _id, * exclude (new_id, _id, sort_id, merge_rank, snapshot_id), new_id as sort_id from s_message"
+    for t in MINOR:
+        source = f"r_{t}"
+        if t in FREQUENT:
+            source = (
+                f"(select * from (select *, row_number() over (partition by {FREQUENT[t]} order by message_count desc"
+                f" nulls last, merge_rank, _id) as top from r_{t}) as q where top = 1)"
+            )
+        blocks[f"t_{t}"] = (
+            f"select row_number() over (order by merge_rank, _id) as _id, {', '.join(COLUMNS[t])} from {source} as q"
+        )
+    blocks["activity"] = (
+        "select chat_row_id, max(case when message_type not in (0, 7) or (message_type = 0 and text_data is not null)"
+        " then _id end) as last_id, max(case when message_type <> 7 then timestamp end) as latest,"
+        " count(case when message_type <> 7 then 1 end) as n from t_message group by chat_row_id"
+    )
+    for name, stale in (("kept", "c.{0}"), ("cleared", "null")):
+        pointers = ", ".join(
+            f"cast(coalesce(a.last_id, {stale.format(p)}) as bigint) as {p}"
+            for p in ("display_message_row_id", "last_read_message_sort_id")
+        )
+        blocks[f"chat_{name}"] = (
+            "select c._id, c.jid_row_id, cast(case when a.n > 0 then 0 else 1 end as int) as hidden,"
+            f" case when a.n > 0 then a.latest else c.sort_timestamp end as sort_timestamp, {pointers},"
+            " c.ephemeral_message_row_id, cast(null as bigint) as last_message_reaction_row_id,"
+            " cast(null as bigint) as last_seen_message_reaction_row_id, c.subject"
+            " from t_chat c left join activity a on a.chat_row_id = c._id"
+        )
+    # z_: one-to-one maps on (key_id, from_me); ranks within a key, on both sides.
+    blocks["z_rows"] = (
+        "select snapshot_id, merge_rank, _id, key_id, from_me, row_number() over (partition by snapshot_id, key_id,"
+        " from_me order by _id) as rn from r_message where key_id is not null and from_me is not null"
+    )
+    blocks["z_targets"] = (
+        "select merge_rank, new_id, key_id, from_me, row_number() over (partition by key_id, from_me"
+        " order by merge_rank, timestamp, _id) as rn from s_message where key_id is not null and from_me is not null"
+    )
+    for t, text in legacy_tables(duck_millis).items():
+        blocks[f"l_{t}"] = text.format(**given)
+    blocks["l_contact"] = (
+        "select j.raw_string, c._id as chat_id from l_jid j join l_chat c on c.jid_row_id = j._id"
+    )
+    blocks["c_quotes"] = (
+        "select m._id as message_row_id, c.chat_id as chat_row_id, c.chat_id as parent_message_chat_row_id,"
+        " q.key_from_me as from_me, coalesce(j._id, 0) as sender_jid_row_id, q.key_id, q.timestamp,"
+        " q.media_wa_type as message_type, q.origin, q.data as text_data, q.payment_transaction_id,"
+        " cast(0 as int) as lookup_tables from l_messages m join l_messages_quotes q on q._id = m.quoted_row_id"
+        " join l_contact c on c.raw_string = q.key_remote_jid left join l_jid j on j.raw_string = q.remote_resource"
+        " where m.quoted_row_id is not null and m.quoted_row_id <> 0"
+    )
+    blocks["c_messages"] = (
+        "select m._id, c.chat_id as chat_row_id, coalesce(j._id, 0) as sender_jid_row_id, m.key_from_me as from_me,"
+        " m.data as text_data, m.key_id, m.status, m.recipient_count, m.participant_hash, m.origin, m.timestamp,"
+        " m.received_timestamp, m.media_wa_type as message_type, cast(0 as int) as broadcast,"
+        " m.receipt_server_timestamp, m.starred, m._id as sort_id from l_messages m"
+        " join l_contact c on c.raw_string = m.key_remote_jid left join l_jid j on j.raw_string = m.remote_resource"
+    )
+    return blocks
+
+
+BLOCKS = building_blocks()
+_NAME = re.compile(r"\b[a-z]{1,8}_?[a-z_]*\b")
+
+
+def statement(final: str) -> str:
+    """`final` with the common table expressions it needs, in order."""
+    needed: dict[str, str] = {}
+
+    def visit(text: str) -> None:
+        for name in _NAME.findall(text):
+            if name in BLOCKS and name not in needed:
+                visit(BLOCKS[name])
+                needed[name] = BLOCKS[name]
+
+    visit(final)
+    parts = [f"{name} as materialized ({body})" for name, body in needed.items()]
+    return f"with {', '.join(parts)} {final}" if parts else final
+
+
+def row_text(table: str, source: str, columns) -> str:
+    joined = " || '|' || ".join(f"coalesce(cast({c} as varchar), '~')" for c in columns)
+    return f"select '{table}' as table_name, {joined} as row_text from {source}"
+
+
+def whole_archive(tables) -> str:
+    parts = []
+    for t in tables:
+        source = "chat_cleared" if t == "chat" else f"t_{t}"
+        parts.append(row_text(t, source, ("_id", *COLUMNS[t])))
+    return " union all ".join(parts)
+
+
+def oracle_sql() -> dict[str, str]:
+    path = "'snapshot_' || cast({} as varchar)".format
+    max_times = "select snapshot_id, max(timestamp) as max_ts from d_message group by snapshot_id"
+    by_fifth = (
+        "select cast(f.snapshot_id as int) as snapshot_id, 'archive_' || cast(f.snapshot_id as varchar) as path,"
+        " max(case f.snapshot_id when 3 then null when 4 then -1 else epoch_ms(o.o_orderdate) end) as max_ts"
+        " from (select distinct o_orderkey % 5 as snapshot_id from orders) f join orders o on o.o_orderkey % 5 ="
+        " f.snapshot_id group by f.snapshot_id"
+    )
+    aligned = (
+        "select cast(0 as int) as snapshot_id, cast(c_custkey as bigint) as old_id, c_name as raw_string,"
+        " cast(null as int) as nation, 'none' as segment from customer where c_custkey % 6 <> 0 union all"
+        " select 1, c_custkey, c_name, c_nationkey, 'none' from customer where c_custkey % 6 <> 1 union all"
+        " select 2, c_custkey, c_name, case when c_custkey % 4 = 0 then null else c_nationkey end, c_mktsegment"
+        " from customer where c_custkey % 6 <> 2"
+    )
+    given = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+    listing = " union all ".join(
+        f"select '{t}' as table_name, (select string_agg(column_name, ',') from (describe {t})) as columns,"
+        f" (select count(*) from {t}) as n_rows"
+        for t in given
+    )
+    kept_rows = {t: ", ".join(["new_id as _id", "snapshot_id", "_id as old_id", *KEYS[t]]) for t in MAIN}
+    sql = {
+        "merge_messages_latest": "select c._id as chat_id, j.raw_string, a.last_id, a.latest, a.n as n_messages"
+        " from t_chat c join activity a on a.chat_row_id = c._id join t_jid j on j._id = c.jid_row_id",
+        "scan_snapshots_union": "select d.snapshot_id, k.merge_rank, d._id as old_id, d.key_id, d.timestamp, d.status"
+        " from d_message d join ranks k on k.snapshot_id = d.snapshot_id",
+        "align_common_columns": aligned,
+        "source_validation": f"select *, case when max_ts >= 0 then 1 else 0 end as is_valid from ({by_fifth}) as q",
+        "rank_snapshots": f"select cast(snapshot_id as int) as snapshot_id, {path('snapshot_id')} as path, max_ts,"
+        f" cast(row_number() over (order by max_ts desc, snapshot_id) as int) as merge_rank,"
+        f" cast(case when row_number() over (order by max_ts desc, snapshot_id) = 1 and max_ts > 0 then 1 else 0 end"
+        f" as int) as is_base from ({max_times}) as q",
+        "reid_messages": "select _id, sort_id, timestamp, key_id, from_me, status from t_message",
+        "map_rank_zip": "select r.snapshot_id, r._id as old_id, t.new_id from z_rows r join z_targets t on"
+        " r.key_id = t.key_id and r.from_me = t.from_me and r.rn = t.rn and t.merge_rank <= r.merge_rank",
+        "remap_message_children": "select * from t_message_link",
+        "remap_every_rule": "select * from t_references_of_events",
+        "remap_sentinel": row_text("call_log", "t_call_log", ("_id", *COLUMNS["call_log"]))
+        + " union all "
+        + row_text("missed_call_logs", "t_missed_call_logs", ("_id", *COLUMNS["missed_call_logs"]))
+        + " union all "
+        + row_text("message_add_on", "t_message_add_on", ("_id", *COLUMNS["message_add_on"])),
+        "remap_chat_exception": "select * from t_chat",
+        "minor_bag_union": "select * from t_missed_call_logs",
+        "reject_not_null": "select cast(snapshot_id as int) as snapshot_id, _id as old_id, message_row_id"
+        " from r_message_link where message_row_id is null",
+        "chat_pointers": "select _id, display_message_row_id, last_read_message_sort_id, ephemeral_message_row_id"
+        " from chat_kept",
+        "chat_pointers_cleared": "select _id, display_message_row_id, last_read_message_sort_id,"
+        " ephemeral_message_row_id from chat_cleared",
+        "chat_hidden": "select _id, hidden from chat_kept",
+        "chat_reaction_reset": "select _id, last_message_reaction_row_id, last_seen_message_reaction_row_id from chat_kept",
+        "chat_sort_timestamp": "select _id, hidden, sort_timestamp from chat_kept",
+        "frequent_top1": "select * from t_frequent",
+        "frequents_top1": "select * from t_frequents",
+        "props_reset": "select key, case when key = 'fts_ready' then '0' else value end as value from d_props"
+        " where snapshot_id = 2 and (key is null or key <> 'fts_index_start')",
+        "convert_messages": "select * from c_messages",
+        "convert_links": "select l._id, c.chat_id as chat_row_id, l.message_row_id, l.link_index"
+        " from l_messages_links l join l_contact c on c.raw_string = l.key_remote_jid",
+        "convert_quotes": "select * from c_quotes",
+        "convert_vcards": "select _id, message_row_id, vcard from l_messages_vcards",
+        "convert_vcard_jids": "select v._id, j._id as vcard_jid_row_id, v.vcard_row_id, v.message_row_id"
+        " from l_messages_vcards_jids v join l_jid j on j.raw_string = v.vcard_jid",
+        "convert_frequents": "select f._id, j._id as jid_row_id, f.type, f.message_count from l_frequents f"
+        " join l_jid j on j.raw_string = f.jid",
+        "convert_thumbnails": "select m._id as message_row_id, t.thumbnail from l_message_thumbnails t"
+        " join l_messages m on m.key_id = t.key_id",
+        "convert_quote_flag": "select _id, cast(case when _id in (select message_row_id from c_quotes) then 2 end as int)"
+        " as lookup_tables from c_messages",
+        "convert_common_copy": "select name, _id, cast(null as varchar) as added from l_settings",
+        "schema_listing": listing,
+        "merge_archive_full": whole_archive((*MAIN, *MINOR)),
+    }
+    short = {
+        "message_add_on": "add_on",
+        "message_vcard": "vcard",
+        "group_participant_user": "group_participant",
+    }
+    for t in MAIN:
+        name = short.get(t, t)
+        sql[f"dedupe_{name}"] = f"select {kept_rows[t]} from s_{t}"
+        sql[f"map_{name}"] = f"select * from m_{t}"
+    return {name: statement(text) for name, text in sql.items()}
+
+
+__all__ = ["MAIN", "MINOR", "PATHS", "oracle_sql"]

@@ -1,0 +1,327 @@
+"""The registered queries: each runs library operators over the derived snapshots."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from functools import partial, reduce
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from checks.derived import PATHS, Given, legacy_frames, snapshot_frames
+from checks.oracle import COLUMNS, KEYS, MAIN, MINOR
+from sediment.functions.names import listing
+from sediment.operators import derive, legacy
+from sediment.operators.align import align
+from sediment.operators.checks import assert_unique
+from sediment.operators.dedupe import first_per_key
+from sediment.operators.legacy import Contacts
+from sediment.operators.rank import checked_times, newest_times, ranking, snapshot_list
+from sediment.plans.convert import copy_common
+from sediment.plans.merge import Merge
+from sediment.sources.archive import FrameArchive, read_union
+from sediment.specs import ID, NEW_ID, OLD_ID, RANK, SNAPSHOT, TIME, TableSpec, default_specs
+from sediment.staging import Staging
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+# Main tables whose maps a table needs.
+NEEDS = {
+    "jid": (),
+    "chat": ("jid",),
+    "message": ("jid", "chat"),
+    "message_add_on": ("jid", "chat", "message"),
+    "call_log": ("jid",),
+    "quick_replies": (),
+    "message_vcard": ("jid", "chat", "message"),
+    "group_participant_user": ("jid",),
+    "labels": (),
+    "reporting_info": ("jid", "chat", "message"),
+    "message_link": ("jid", "chat", "message"),
+    "missed_call_logs": ("jid",),
+    "frequent": ("jid",),
+    "frequents": (),
+    "references_of_events": MAIN,
+}
+
+
+def merge_of(
+    spark: SparkSession,
+    folder: str,
+    tables: tuple[str, ...],
+    build: tuple[str, ...],
+    specs: dict[str, TableSpec] | None = None,
+    **options,
+) -> Merge:
+    """A merge of the derived snapshots with the maps of `build` made."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    wanted = list(dict.fromkeys(["message", *build, *tables]))
+    frames = snapshot_frames(Given(spark, folder), wanted)
+    archives = [FrameArchive(path, of) for path, of in zip(PATHS, frames)]
+    merge = Merge(spark, archives, specs or default_specs(), Staging(spark), **options)
+    merge.main = [t for t in merge.main if t in build]
+    merge.build_keys()
+    return merge
+
+
+def for_table(spark: SparkSession, folder: str, table: str, **options) -> Merge:
+    return merge_of(spark, folder, (table,), (*NEEDS[table], *([table] if table in MAIN else [])), **options)
+
+
+def lazily(_: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def dedupe(table: str, spark: SparkSession, folder: str) -> DataFrame:
+    kept = for_table(spark, folder, table).survivors[table].rows
+    return kept.select(F.col(NEW_ID).alias(ID), SNAPSHOT, OLD_ID, *KEYS[table])
+
+
+def id_map(table: str, spark: SparkSession, folder: str) -> DataFrame:
+    return for_table(spark, folder, table).maps[table].df
+
+
+def main_rows(table: str, spark: SparkSession, folder: str) -> DataFrame:
+    return for_table(spark, folder, table).main_table(table)
+
+
+def minor_rows(table: str, spark: SparkSession, folder: str) -> DataFrame:
+    return for_table(spark, folder, table).minor_table(table)
+
+
+def merge_messages_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """Latest displayable message and newest time of every chat of the merged archive."""
+    merge = for_table(spark, folder, "message")
+    activity = derive.chat_activity(merge.main_table("message"))
+    chats = merge.survivors["chat"].rows.select(F.col(NEW_ID).alias("chat_id"), "jid_row_id")
+    jids = merge.survivors["jid"].rows.select(F.col(NEW_ID).alias("jid_row_id"), "raw_string")
+    named = chats.join(jids, "jid_row_id")
+    joined = named.join(activity, F.col("chat_id") == F.col("chat_row_id"))
+    return joined.select(
+        "chat_id",
+        "raw_string",
+        F.col("_last_id").alias("last_id"),
+        F.col("_latest").alias("latest"),
+        F.col("_n").alias("n_messages"),
+    )
+
+
+def scan_snapshots_union(spark: SparkSession, folder: str) -> DataFrame:
+    merge = merge_of(spark, folder, (), ())
+    return merge.union("message", ["key_id", TIME, "status"]).select(SNAPSHOT, RANK, OLD_ID, "key_id", TIME, "status")
+
+
+def align_common_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Snapshots of one table that differ in columns, types and column order, brought to a base's columns."""
+    customer = Given(spark, folder).tables["customer"]
+    base = T.StructType.fromDDL("_id bigint, raw_string string, nation int, segment string")
+    ident = F.col("c_custkey").alias(ID)
+    nation = F.col("c_nationkey").cast("string")
+    shaped = (
+        # Lacks two columns, has one of its own.
+        customer.select(ident, F.col("c_name").alias("raw_string"), F.col("c_acctbal").alias("balance")),
+        # Other column order, one column lacking.
+        customer.select(ident, F.col("c_nationkey").alias("nation"), F.col("c_name").alias("raw_string")),
+        # A text column where the base has a number, with values that are none.
+        customer.select(
+            ident,
+            F.col("c_name").alias("raw_string"),
+            F.when(F.col("c_custkey") % 4 == 0, F.lit("unknown")).otherwise(nation).alias("nation"),
+            F.col("c_mktsegment").alias("segment"),
+        ),
+    )
+    archives = [
+        (i, FrameArchive(f"archive_{i}", {"jid": df.where(F.col(ID) % 6 != i)})) for i, df in enumerate(shaped)
+    ]
+    shape = lambda df, keep: align(df, base, {"segment": "none"}, keep)
+    return read_union(spark, archives, "jid", base.names, shape)
+
+
+def source_validation(spark: SparkSession, folder: str) -> DataFrame:
+    orders = Given(spark, folder).tables["orders"]
+    snapshot = (F.col("o_orderkey") % 5).cast("int")
+    time = (
+        F.when(snapshot == 3, F.lit(None))
+        .when(snapshot == 4, F.lit(-1))
+        .otherwise(F.unix_millis(F.col("o_orderdate").cast("timestamp")))
+    )
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    messages = orders.select(snapshot.alias(SNAPSHOT), time.cast("long").alias(TIME))
+    return checked_times(snapshot_list(spark, [f"archive_{i}" for i in range(5)]), messages)
+
+
+def rank_query(spark: SparkSession, folder: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    frames = snapshot_frames(Given(spark, folder), ["message"])
+    parts = (of["message"].select(F.lit(i).alias(SNAPSHOT), TIME) for i, of in enumerate(frames))
+    times = newest_times(reduce(DataFrame.unionByName, parts))
+    return ranking(snapshot_list(spark, PATHS).join(times, SNAPSHOT))
+
+
+def reid_messages(spark: SparkSession, folder: str) -> DataFrame:
+    messages = derive.sort_by_id(main_rows("message", spark, folder))
+    return messages.select(ID, "sort_id", TIME, "key_id", "from_me", "status")
+
+
+def map_rank_zip(spark: SparkSession, folder: str) -> DataFrame:
+    """The one-to-one message map on the looser key, over strictly mapped chats and contacts."""
+    from sediment.operators.keymap import rank_zip_map
+
+    merge = for_table(spark, folder, "message")
+    rows = merge.union("message", ["key_id", "from_me"])
+    kept = merge.survivors["message"].rows
+    return rank_zip_map(rows, kept, ["key_id", "from_me"], merge.staging, "query", (RANK, TIME, OLD_ID))
+
+
+def row_texts(table: str, df: DataFrame) -> DataFrame:
+    columns = (F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in (ID, *COLUMNS[table]))
+    return df.select(F.lit(table).alias("table_name"), F.concat_ws("|", *columns).alias("row_text"))
+
+
+def remap_sentinel(spark: SparkSession, folder: str) -> DataFrame:
+    merge = merge_of(
+        spark, folder, ("missed_call_logs",), ("jid", "chat", "message", "message_add_on", "call_log")
+    )
+    parts = [row_texts(t, merge.main_table(t)) for t in ("call_log", "message_add_on")]
+    parts.append(row_texts("missed_call_logs", merge.minor_table("missed_call_logs")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def reject_not_null(spark: SparkSession, folder: str) -> DataFrame:
+    specs = {**default_specs(), "message_link": TableSpec("message_link", not_null=("message_row_id",))}
+    return merge_of(spark, folder, ("message_link",), NEEDS["message_link"], specs).rejected("message_link")
+
+
+def chats(columns: tuple[str, ...], stale: str, spark: SparkSession, folder: str) -> DataFrame:
+    merge = for_table(spark, folder, "message")
+    refreshed = derive.refresh_chats(merge.main_table("chat"), merge.main_table("message"), stale)
+    return refreshed.select(ID, *columns)
+
+
+def top1(table: str, spark: SparkSession, folder: str) -> DataFrame:
+    return minor_rows(table, spark, folder)
+
+
+def props_reset(spark: SparkSession, folder: str) -> DataFrame:
+    return merge_of(spark, folder, ("props",), ()).props()
+
+
+def legacy_query(make, spark: SparkSession, folder: str) -> DataFrame:
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    frames = legacy_frames(Given(spark, folder))
+    return make(frames, Contacts.of(frames["jid"], frames["chat"]))
+
+
+def convert_thumbnails(frames: dict[str, DataFrame], contacts: Contacts) -> DataFrame:
+    legacy.assert_one_thumbnail(frames["message_thumbnails"], frames["messages"])
+    return legacy.thumbnails(frames["message_thumbnails"], frames["messages"])
+
+
+def convert_quote_flag(frames: dict[str, DataFrame], contacts: Contacts) -> DataFrame:
+    quoted = legacy.quotes(frames["messages"], frames["messages_quotes"], contacts)
+    messages = legacy.messages(frames["messages"], contacts).select(ID, F.lit(None).cast("int").alias("lookup_tables"))
+    return derive.flag_quoting(messages, quoted)
+
+
+def convert_links(frames: dict[str, DataFrame], contacts: Contacts) -> DataFrame:
+    assert_unique(frames["messages_links"], [ID], "message_link")
+    return legacy.links(frames["messages_links"], contacts)
+
+
+def convert_common_copy(frames: dict[str, DataFrame], contacts: Contacts) -> DataFrame:
+    return copy_common(frames["settings"], T.StructType.fromDDL("name string, _id bigint, added string"))
+
+
+def schema_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """Column names of each given table in one string, with its number of rows."""
+    parts = []
+    for t in ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier"):
+        df = spark.read.parquet(f"{folder}/{t}.parquet")
+        parts.append(
+            df.agg(F.count(F.lit(1)).alias("n_rows")).select(
+                F.lit(t).alias("table_name"), F.lit(listing(df.columns)).alias("columns"), "n_rows"
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def merge_archive_full(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of every table of the merged archive."""
+    merge = merge_of(spark, folder, (*MAIN, *MINOR), MAIN)
+    tables = merge.tables(merge.staging.write)
+    return reduce(DataFrame.unionByName, (row_texts(t, tables[t]) for t in (*MAIN, *MINOR)))
+
+
+def incremental_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """The two older snapshots are merged, then the newest onto the result: natural keys and times of messages."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    names = ["jid", "chat", "message"]
+    frames = snapshot_frames(Given(spark, folder), names)
+
+    def merged(archives: list[FrameArchive], path: str) -> FrameArchive:
+        merge = Merge(spark, archives, default_specs(), Staging(spark))
+        merge.build_keys()
+        return FrameArchive(path, merge.tables(merge.staging.write))
+
+    older = merged([FrameArchive(p, of) for p, of in zip(PATHS[:2], frames[:2])], "older")
+    tables = merged([older, FrameArchive(PATHS[2], frames[2])], "all").frames
+    contact = tables["chat"].join(tables["jid"].withColumnRenamed(ID, "jid_row_id"), "jid_row_id")
+    contact = contact.select(F.col(ID).alias("chat_row_id"), F.col("raw_string").alias("chat_name"))
+    sender = tables["jid"].select(F.col(ID).alias("sender_jid_row_id"), F.col("raw_string").alias("sender_name"))
+    messages = tables["message"].where(F.col("chat_row_id").isNotNull())
+    named = messages.join(contact, "chat_row_id").join(sender, "sender_jid_row_id", "left")
+    return named.select("chat_name", "from_me", "key_id", "sender_name", TIME, "status", "text_data")
+
+
+def queries() -> dict[str, Query]:
+    found: dict[str, Query] = {
+        "merge_messages_latest": merge_messages_latest,
+        "scan_snapshots_union": scan_snapshots_union,
+        "align_common_columns": align_common_columns,
+        "source_validation": source_validation,
+        "rank_snapshots": rank_query,
+        "reid_messages": reid_messages,
+        "map_rank_zip": map_rank_zip,
+        "remap_message_children": partial(minor_rows, "message_link"),
+        "remap_every_rule": partial(minor_rows, "references_of_events"),
+        "remap_sentinel": remap_sentinel,
+        "remap_chat_exception": partial(main_rows, "chat"),
+        "minor_bag_union": partial(minor_rows, "missed_call_logs"),
+        "reject_not_null": reject_not_null,
+        "chat_pointers": partial(
+            chats, ("display_message_row_id", "last_read_message_sort_id", "ephemeral_message_row_id"), "keep"
+        ),
+        "chat_pointers_cleared": partial(
+            chats, ("display_message_row_id", "last_read_message_sort_id", "ephemeral_message_row_id"), "null"
+        ),
+        "chat_hidden": partial(chats, ("hidden",), "keep"),
+        "chat_reaction_reset": partial(
+            chats, ("last_message_reaction_row_id", "last_seen_message_reaction_row_id"), "keep"
+        ),
+        "chat_sort_timestamp": partial(chats, ("hidden", "sort_timestamp"), "keep"),
+        "frequent_top1": partial(top1, "frequent"),
+        "frequents_top1": partial(top1, "frequents"),
+        "props_reset": props_reset,
+        "convert_messages": partial(legacy_query, lambda f, c: legacy.messages(f["messages"], c)),
+        "convert_links": partial(legacy_query, convert_links),
+        "convert_quotes": partial(legacy_query, lambda f, c: legacy.quotes(f["messages"], f["messages_quotes"], c)),
+        "convert_vcards": partial(legacy_query, lambda f, c: legacy.vcards(f["messages_vcards"])),
+        "convert_vcard_jids": partial(legacy_query, lambda f, c: legacy.vcard_jids(f["messages_vcards_jids"], c)),
+        "convert_frequents": partial(legacy_query, lambda f, c: legacy.frequents(f["frequents"], c)),
+        "convert_thumbnails": partial(legacy_query, convert_thumbnails),
+        "convert_quote_flag": partial(legacy_query, convert_quote_flag),
+        "convert_common_copy": partial(legacy_query, convert_common_copy),
+        "schema_listing": schema_listing,
+        "incremental_merge": incremental_merge,
+        "merge_archive_full": merge_archive_full,
+    }
+    short = {
+        "message_add_on": "add_on",
+        "message_vcard": "vcard",
+        "group_participant_user": "group_participant",
+    }
+    for t in MAIN:
+        found[f"dedupe_{short.get(t, t)}"] = partial(dedupe, t)
+        found[f"map_{short.get(t, t)}"] = partial(id_map, t)
+    return found
