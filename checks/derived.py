@@ -25,7 +25,7 @@ def spark_millis(column: str) -> str:
 
 
 def duck_millis(column: str) -> str:
-    return f"epoch_ms({column})"
+    return f"(epoch_us({column}) // 1000)"
 
 
 def key_of(column: str, step: int) -> str:

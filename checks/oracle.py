@@ -233,7 +233,7 @@ def oracle_sql() -> dict[str, str]:
     max_times = "select snapshot_id, max(timestamp) as max_ts from d_message group by snapshot_id"
     by_fifth = (
         "select cast(f.snapshot_id as int) as snapshot_id, 'archive_' || cast(f.snapshot_id as varchar) as path,"
-        " max(case f.snapshot_id when 3 then null when 4 then -1 else epoch_ms(o.o_orderdate) end) as max_ts"
+        " max(case f.snapshot_id when 3 then null when 4 then -1 else epoch_us(o.o_orderdate) // 1000 end) as max_ts"
         " from (select distinct o_orderkey % 5 as snapshot_id from orders) f join orders o on o.o_orderkey % 5 ="
         " f.snapshot_id group by f.snapshot_id"
     )

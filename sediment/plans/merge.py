@@ -9,6 +9,7 @@ remaining foreign keys, rebuild derived columns.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,6 +42,7 @@ MAPS = "_maps"
 REJECTED = "_rejected"
 
 ROW = (SNAPSHOT, OLD_ID)
+TABLES_AT_ONCE = 6
 
 
 @dataclass
@@ -62,6 +64,12 @@ class Survivors:
     columns: list[str]
 
 
+def together(work: Callable[[str], None], tables: Sequence[str]) -> None:
+    """Runs `work` for tables that do not depend on each other, so a small one does not wait for a large one."""
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        list(pool.map(work, tables))
+
+
 class Merge:
     """One run over a fixed list of archives."""
 
@@ -170,12 +178,22 @@ class Merge:
     # -- phase 1: keys, ids, maps ------------------------------------------------------------
 
     def build_keys(self) -> None:
-        for table in self.main:
-            if self.sharing(table) and ID in self.base_schema(table).names:
-                self._build_key(table, self.spec(table))
+        """Main tables whose keys do not point at each other run at the same time."""
+        waiting = [t for t in self.main if self.sharing(t) and ID in self.base_schema(t).names]
+        while waiting:
+            ready = [t for t in waiting if not self._key_targets(t) & (set(waiting) - {t})] or waiting[:1]
+            together(self._build_key, ready)
+            waiting = [t for t in waiting if t not in ready]
+
+    def _key_targets(self, table: str) -> set[str]:
+        """Tables whose maps are needed before this table's key is known."""
+        spec = self.spec(table)
+        parts = [*spec.natural_key, *spec.map_key, *(w.column for w in spec.weak_key)]
+        fks = foreign_keys(table, self.base_schema(table).names)
+        return {fks[c].target for c in parts if c in fks}
 
-    def _build_key(self, table: str, spec: TableSpec) -> None:
-        names = self.base_schema(table).names
+    def _build_key(self, table: str) -> None:
+        spec, names = self.spec(table), self.base_schema(table).names
         present = set(names)
         # A key with a missing column identifies nothing.
         key = spec.natural_key if set(spec.natural_key) <= present else ()
@@ -293,20 +311,28 @@ class Merge:
 
     def tables(self, store: Callable[[str, DataFrame], DataFrame]) -> dict[str, DataFrame]:
         """Phase 2 of every table; `store` gets each as soon as it is defined and returns what to read."""
+        names = [*self.main, *self.minor, *([PROPS] if PROPS in self.base.tables() else [])]
         out: dict[str, DataFrame] = {}
-        # Messages before chats, whose state is read off the finished messages.
-        for table in sorted(self.main, key=lambda t: t != "message"):
-            df = self.main_table(table) if table in self.survivors else self.empty(table)
-            if table == "message" and "sort_id" in df.columns:
-                df = derive.sort_by_id(df)
-            if table == "chat" and "message" in out:
-                df = derive.refresh_chats(df, out["message"], self.stale)
-            out[table] = store(table, df)
-        for table in self.minor:
-            out[table] = store(table, self.empty(table) if table == EMPTIED else self.minor_table(table))
-        if PROPS in self.base.tables():
-            out[PROPS] = store(PROPS, self.props())
-        return out
+
+        def finish(table: str) -> None:
+            out[table] = store(table, self.finished(table, out))
+
+        together(finish, [t for t in names if t != "chat"])
+        # Chats last: their state is read off the finished messages.
+        together(finish, [t for t in names if t == "chat"])
+        return {t: out[t] for t in names}
+
+    def finished(self, table: str, done: Mapping[str, DataFrame]) -> DataFrame:
+        if table == PROPS:
+            return self.props()
+        if table == EMPTIED or (table in self.main and table not in self.survivors):
+            return self.empty(table)
+        if table not in self.main:
+            return self.minor_table(table)
+        df = self.main_table(table)
+        if table == "message" and "sort_id" in df.columns:
+            return derive.sort_by_id(df)
+        return derive.refresh_chats(df, done["message"], self.stale) if table == "chat" and "message" in done else df
 
     def quarantine(self) -> dict[str, DataFrame]:
         found = {t: self.rejected(t) for t in [*self.main, *self.minor]}
