@@ -302,6 +302,10 @@ def oracle_sql() -> dict[str, str]:
         " as lookup_tables from c_messages",
         "convert_common_copy": "select name, _id, cast(null as varchar) as added from l_settings",
         "schema_listing": listing,
+        # Merging in two steps keeps the same messages as merging at once.
+        "incremental_merge": "select j.raw_string as chat_name, m.from_me, m.key_id, s.raw_string as sender_name,"
+        " m.timestamp, m.status, m.text_data from t_message m join t_chat c on c._id = m.chat_row_id"
+        " join t_jid j on j._id = c.jid_row_id left join t_jid s on s._id = m.sender_jid_row_id",
         "merge_archive_full": whole_archive((*MAIN, *MINOR)),
     }
     short = {

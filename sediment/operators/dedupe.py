@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sediment.functions.expressions import any_null
+from sediment.operators.lookup import Sized, lookup
+from sediment.staging import Staging
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -43,3 +46,47 @@ def keyed_distinct(
         return first_per_key(tagged, [*names, *tags], order).drop(*names, *tags)
     unique = first_per_key(keyed.where(~loose), names, order).drop(*names)
     return unique.unionByName(df.where(loose))
+
+
+def distinct_on_all(
+    df: DataFrame,
+    keys: Sequence[Sequence[str]],
+    order: Sequence[str],
+    row_id: Sequence[str],
+    staging: Staging,
+    name: str,
+) -> DataFrame:
+    """The rows that stay when they are added one by one by `order` and a row repeating any of `keys` is left out.
+
+    Each round keeps the rows that come first in all their keys and drops those that share a key with
+    a kept row; the rest waits for the next round. `order` must tell all rows apart.
+    """
+    columns = list(dict.fromkeys([*row_id, *order, *(c for k in keys for c in k)]))
+    waiting = staging.write(f"{name}_round0", df.select(*columns))
+    kept: list[DataFrame] = []
+    left = waiting.count()
+    while left:
+        place = F.struct(*order)
+        tagged = waiting
+        for i, key in enumerate(keys):
+            firsts = waiting.dropna(subset=list(key)).groupBy(*key).agg(F.min(place).alias("_first"))
+            known = Sized.of(staging.write(f"{name}_round{len(kept)}_first{i}", firsts))
+            tagged = lookup(tagged, known, {c: c for c in key}, {"_first": f"_first{i}"}, spread=row_id)
+        leads = F.lit(True)
+        for i in range(len(keys)):
+            leads = leads & (F.col(f"_first{i}").isNull() | (F.col(f"_first{i}") == place))
+        tagged = staging.write(f"{name}_round{len(kept)}_tagged", tagged.withColumn("_leads", leads))
+        winners = tagged.where("_leads").select(*columns)
+        rest = tagged.where(~F.col("_leads")).select(*columns)
+        for i, key in enumerate(keys):
+            taken = winners.dropna(subset=list(key)).select(*key, F.lit(1).alias("_taken"))
+            known = Sized.of(staging.write(f"{name}_round{len(kept)}_taken{i}", taken))
+            rest = lookup(rest, known, {c: c for c in key}, {"_taken": "_taken"}, spread=row_id)
+            rest = rest.where(F.col("_taken").isNull()).drop("_taken")
+        kept.append(winners)
+        waiting = staging.write(f"{name}_round{len(kept)}", rest)
+        left = waiting.count()
+    if not kept:
+        return df
+    ids = reduce(DataFrame.unionByName, kept).select(*row_id)
+    return df.join(ids, list(row_id), "left_semi")

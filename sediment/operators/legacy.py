@@ -36,17 +36,33 @@ class Contacts:
         ).select("raw_string", "chat_id")
         return cls(jids, Sized.of(chats), limit)
 
-    def with_chat(self, df: DataFrame, text: str, spread: str) -> DataFrame:
+    def with_chat(
+        self, df: DataFrame, text: str, spread: str, keys_from: DataFrame | None = None
+    ) -> DataFrame:
         """Adds `_chat`; rows whose contact has no chat go."""
-        return lookup(df, self.chats, {text: "raw_string"}, {"chat_id": "_chat"}, "inner", (spread,), self.limit)
+        take = {"chat_id": "_chat"}
+        return lookup(df, self.chats, {text: "raw_string"}, take, "inner", (spread,), self.limit, keys_from)
 
-    def with_jid(self, df: DataFrame, text: str, spread: str, how: str = "left") -> DataFrame:
+    def with_jid(
+        self, df: DataFrame, text: str, spread: str, how: str = "left", keys_from: DataFrame | None = None
+    ) -> DataFrame:
         """Adds `_jid`."""
-        return lookup(df, self.jids, {text: "raw_string"}, {"jid_id": "_jid"}, how, (spread,), self.limit)
+        take = {"jid_id": "_jid"}
+        return lookup(df, self.jids, {text: "raw_string"}, take, how, (spread,), self.limit, keys_from)
+
+    def fit(self) -> bool:
+        return self.jids.fits(self.limit) and self.chats.fits(self.limit)
 
 
 def messages(legacy: DataFrame, contacts: Contacts) -> DataFrame:
-    df = contacts.with_jid(contacts.with_chat(legacy, "key_remote_jid", "_id"), "remote_resource", "_id")
+    texts = legacy.select("_id", "key_remote_jid", "remote_resource")
+    if contacts.fit():
+        texts = legacy
+    df = contacts.with_chat(texts, "key_remote_jid", "_id")
+    df = contacts.with_jid(df, "remote_resource", "_id", keys_from=texts)
+    if not contacts.fit():
+        # Shuffled lookups carry the contact texts alone; the other columns travel once.
+        df = legacy.join(df.select("_id", "_chat", "_jid"), "_id")
     return df.select(
         "_id",
         F.col("_chat").alias("chat_row_id"),
@@ -147,6 +163,7 @@ def thumbnails(legacy: DataFrame, legacy_messages: DataFrame, limit: int | None
 def assert_one_thumbnail(legacy: DataFrame, legacy_messages: DataFrame) -> None:
     """Stop if a message would get two thumbnails, before any pair is made."""
     repeated = duplicates(legacy, ["key_id"])
-    hit = repeated.join(legacy_messages.select("key_id"), "key_id", "left_semi").limit(5).collect()
+    used = legacy_messages.select("key_id").distinct()
+    hit = repeated.join(used, "key_id", "left_semi").limit(5).collect()
     if hit:
         raise DuplicateKey("message_thumbnail: repeated key: " + "; ".join(f"key_id={r['key_id']!r}" for r in hit))

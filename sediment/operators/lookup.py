@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 # A table of at most this many bytes may be sent to every executor.
 BROADCAST_BYTES = 32 << 20
 # A key with at least this share of the left rows is split; there can be at most 1 / HOT_SHARE such keys.
-HOT_SHARE = 0.001
+HOT_SHARE = 0.004
 # Number of tasks a hot key is split over.
 SALTS = 256
 
@@ -39,10 +39,11 @@ class Sized:
         """
         fixed = 8 * max(len(df.columns), 1)
         varying = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.StringType, T.BinaryType))]
-        if rows is None and not varying:
+        binary = any(isinstance(f.dataType, T.BinaryType) for f in df.schema.fields)
+        if rows is None and (binary or not varying):
             rows = df.count()
         if rows is not None and (not varying or rows * fixed > BROADCAST_BYTES):
-            return cls(df, rows, rows * fixed)
+            return cls(df, rows, rows * fixed if not varying else max(rows * fixed, BROADCAST_BYTES + 1))
         lengths = (F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in varying)
         total = reduce(lambda x, y: x + y, lengths)
         found = df.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(total), F.lit(0)).alias("b")).first()
@@ -60,11 +61,12 @@ def lookup(
     how: str = "left",
     spread: Sequence[str] = (),
     limit: int | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
     """`left` plus columns `take` (right name -> new name) of the right rows where `on` is equal.
 
     Null keys match nothing. `spread` names left columns that tell rows of one key apart; it decides
-    only which task joins a row.
+    only which task joins a row. `keys_from` is a cheaper table with the same left keys, to find hot ones in.
     """
     types = {f.name: f.dataType for f in left.schema.fields}
     keys = {f"_k{i}": (lk, rk) for i, (lk, rk) in enumerate(on.items())}
@@ -76,14 +78,24 @@ def lookup(
     if right.fits(limit):
         joined = left.join(F.broadcast(small), condition, how)
         return joined.drop(*keys)
-    return _salted(left, small, keys, how, tuple(spread) or tuple(left.columns))
+    hot = hot_keys(left if keys_from is None else keys_from, list(on))
+    return _salted(left, small, keys, hot, how, tuple(spread) or tuple(left.columns))
 
 
-def _salted(left: DataFrame, small: DataFrame, keys: dict, how: str, spread: tuple[str, ...]) -> DataFrame:
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hashes of the keys that hold a large share of the rows, and maybe some others: at most 1 / HOT_SHARE.
+
+    One pass that keeps 1 / HOT_SHARE counters per task and shuffles only those.
+    """
+    hashes = df.dropna(subset=list(keys)).select(F.xxhash64(*keys).alias("_h"))
+    return hashes.stat.freqItems(["_h"], HOT_SHARE).select(F.explode("_h_freqItems").alias("_hot"))
+
+
+def _salted(
+    left: DataFrame, small: DataFrame, keys: dict, hot: DataFrame, how: str, spread: tuple[str, ...]
+) -> DataFrame:
     left_keys = [lk for lk, _ in keys.values()]
     tagged = left.withColumn("_h", F.xxhash64(*left_keys))
-    known = tagged.dropna(subset=left_keys).select("_h")
-    hot = known.stat.freqItems(["_h"], HOT_SHARE).select(F.explode("_h_freqItems").alias("_hot"))
 
     no_key = F.lit(False)
     for key in left_keys:

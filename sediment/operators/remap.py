@@ -11,6 +11,8 @@ from sediment.functions.names import match_rule
 from sediment.operators.lookup import Sized, lookup
 from sediment.specs import FK_RULES, NEW_ID, OLD_ID, SNAPSHOT, FkRule
 
+ROW = (SNAPSHOT, OLD_ID)
+
 
 def foreign_keys(table: str, columns: Iterable[str], rules: Sequence[FkRule] = FK_RULES) -> dict[str, FkRule]:
     """The columns of `table` that are rewritten, each with its rule."""
@@ -29,27 +31,42 @@ def remap(
     columns: Iterable[str] | None = None,
     rules: Sequence[FkRule] = FK_RULES,
     limit: int | None = None,
+    row_ids: bool = False,
 ) -> DataFrame:
     """`df` with its foreign keys (or only those in `columns`) replaced by new ids.
 
     A reference without a new id becomes null, or 0 where its rule says so. A target table no
-    snapshot has resolves nothing.
+    snapshot has resolves nothing. `row_ids` says that (snapshot, old id) tells all rows apart.
     """
     order = df.columns
     wanted = foreign_keys(table, order if columns is None else columns, rules)
-    spread = [c for c in (SNAPSHOT, OLD_ID) if c in order]
+    df = df.withColumns({c: F.col(c).cast("long") for c in wanted})
+    large = [c for c, r in wanted.items() if r.target in maps and not maps[r.target].fits(limit)]
+    if row_ids and len(large) > 1 and set(order) - {*wanted, *ROW}:
+        # Several shuffled lookups: they carry the keys alone, and the other columns travel once.
+        keys = _resolve(df.select(*ROW, *wanted), table, maps, wanted, limit)
+        return df.drop(*wanted).join(keys, list(ROW)).select(*order)
+    return _resolve(df, table, maps, wanted, limit).select(*order)
+
+
+def _resolve(
+    df: DataFrame, table: str, maps: Mapping[str, Sized], wanted: Mapping[str, FkRule], limit: int | None
+) -> DataFrame:
+    source = df
+    spread = ROW if set(ROW) <= set(df.columns) else ()
     for column, rule in wanted.items():
         if rule.target in maps:
             df = lookup(
-                df.withColumn(column, F.col(column).cast("long")),
+                df,
                 maps[rule.target],
                 {SNAPSHOT: SNAPSHOT, column: OLD_ID},
                 {NEW_ID: "_new"},
-                spread=spread if len(spread) == 2 else (),
+                spread=spread,
                 limit=limit,
+                keys_from=source,
             )
         else:
             df = df.withColumn("_new", F.lit(None).cast("long"))
         value = F.coalesce("_new", F.lit(0)) if table in rule.zero_in else F.col("_new")
         df = df.withColumn(column, value.cast("long")).drop("_new")
-    return df.select(*order)
+    return df

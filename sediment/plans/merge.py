@@ -21,15 +21,15 @@ from sediment.functions.names import common, listing, mergeable, split_main_mino
 from sediment.operators import derive
 from sediment.operators.align import align, cast_losses, common_columns, has_surrogate
 from sediment.operators.checks import split_nulls
-from sediment.operators.dedupe import keyed_distinct
+from sediment.operators.dedupe import distinct_on_all, keyed_distinct
 from sediment.operators.ids import assign_ordered_ids
 from sediment.operators.keymap import rank_zip_map, strict_map
 from sediment.operators.lookup import BROADCAST_BYTES, Sized, lookup
 from sediment.operators.rank import RankedSnapshot, rank_column, rank_snapshots
-from sediment.operators.remap import foreign_keys, remap
+from sediment.operators.remap import ROW, foreign_keys, remap
 from sediment.sources.archive import Archive, open_archive, read_union
 from sediment.sources.sink import Publisher, check_output
-from sediment.specs import ID, NEW_ID, OLD_ID, RANK, SNAPSHOT, TIME, TableSpec, WeakKey, default_specs
+from sediment.specs import ID, NEW_ID, OLD_ID, RANK, SNAPSHOT, TIME, FkRule, TableSpec, WeakKey, default_specs
 from sediment.staging import Staging
 
 # Tables with a treatment of their own at the end of a merge.
@@ -41,7 +41,6 @@ FREQUENT = {"frequent": "jid_row_id", "frequents": "jid"}
 MAPS = "_maps"
 REJECTED = "_rejected"
 
-ROW = (SNAPSHOT, OLD_ID)
 TABLES_AT_ONCE = 6
 
 
@@ -54,6 +53,12 @@ class MergeResult:
     quarantine: dict[str, DataFrame]
     ranked: list[RankedSnapshot]
     notes: list[str] = field(default_factory=list)
+    staging: Staging | None = None
+
+    def discard(self) -> None:
+        """Deletes the intermediate tables that unwritten results still read from."""
+        if self.staging is not None:
+            self.staging.drop()
 
 
 @dataclass
@@ -120,7 +125,7 @@ class Merge:
     def spec(self, table: str) -> TableSpec:
         declared = self.base.constraints(table)
         known = self.specs.get(table, TableSpec(table))
-        return known.with_constraints(declared.not_null, declared.unique)
+        return known.with_declared(declared.not_null, declared.unique, declared.defaults)
 
     def base_schema(self, table: str) -> T.StructType:
         """The base's columns, with the surrogate and foreign keys as long."""
@@ -204,8 +209,9 @@ class Merge:
         weak = {f"_w{i}": w for i, w in enumerate(spec.weak_key if zipped else ())}
 
         fks = foreign_keys(table, names)
-        checked = [c for c in spec.not_null if c in present and (c not in fks or fks[c].target in self.maps)]
-        needed = dict.fromkeys([*key, *checked, *map_key, *(w.column for w in weak.values())])
+        checked = [c for c in spec.not_null if c in present and self._known([c], fks)]
+        further = [k for k in spec.unique if set(k) <= present and k != key and self._known(k, fks)]
+        needed = dict.fromkeys([*key, *(c for k in further for c in k), *checked, *map_key, *(w.column for w in weak.values())])
         if timed:
             needed[TIME] = None
         if not renumber:
@@ -223,9 +229,7 @@ class Merge:
         entering = narrow.where(F.col(TIME).isNotNull()) if timed else narrow
         entering, _ = split_nulls(entering, checked)
         first = [RANK, TIME, OLD_ID] if timed else [RANK, OLD_ID]
-        kept = entering
-        if key:
-            kept = keyed_distinct(entering, key, [F.col(c) for c in first], ROW, spec.key_casts)
+        kept = self._distinct(table, spec, entering, [k for k in (key, *further) if k], first, ROW)
         id_order = [TIME, RANK, OLD_ID] if timed else [RANK, OLD_ID]
         kept, n_kept = assign_ordered_ids(kept, id_order, self.staging, f"{table}_survivors", NEW_ID)
         if not renumber:
@@ -240,6 +244,26 @@ class Merge:
             mapped = strict_map(narrow, kept, n_kept, key, map_key, spec.key_casts, self.limit)
         self.maps[table] = Sized.of(self.staging.write(f"{table}_map", mapped))
 
+    def _known(self, columns: Sequence[str], fks: Mapping[str, FkRule]) -> bool:
+        """Whether the maps of all foreign keys among the columns are there."""
+        return all(c not in fks or fks[c].target in self.maps for c in columns)
+
+    def _distinct(
+        self,
+        table: str,
+        spec: TableSpec,
+        rows: DataFrame,
+        keys: Sequence[Sequence[str]],
+        order: Sequence[str],
+        row_id: Sequence[str] | None,
+    ) -> DataFrame:
+        """One row per key, for every key."""
+        if len(keys) > 1 and row_id:
+            return distinct_on_all(rows, keys, order, row_id, self.staging, f"{table}_keys")
+        if len(keys) > 1:
+            self.notes.append(f"{table}: no {ID}, only the key {listing(keys[0])} is kept unique")
+        return keyed_distinct(rows, keys[0], [F.col(c) for c in order], row_id, spec.key_casts) if keys else rows
+
     def _with_parent_part(self, rows: DataFrame, part: WeakKey, name: str) -> DataFrame:
         """Adds the parent's column inside the same snapshot, found by the old id."""
         parents = self.union(part.parent, [part.parent_column])
@@ -261,7 +285,8 @@ class Merge:
         rest = [c for c in names if c not in kept.columns and c != ID]
         own = kept.rows.select(*ROW, F.col(NEW_ID).alias(ID), *(c for c in kept.columns if c != ID))
         if rest:
-            rows = remap(self.union(table, rest).select(*ROW, *rest), table, self.maps, rest, limit=self.limit)
+            rows = self.union(table, rest).select(*ROW, *rest)
+            rows = remap(rows, table, self.maps, rest, limit=self.limit, row_ids=True)
             # (snapshot, old id) is unique on both sides, so no task gets more than its share.
             own = own.join(rows, list(ROW), "inner")
         good, _ = split_nulls(own.select(*names), self.spec(table).not_null)
@@ -273,16 +298,16 @@ class Merge:
         rows = self.union(table)
         if rows is None:
             return self.empty(table)
-        rows, _ = split_nulls(remap(rows, table, self.maps, limit=self.limit), spec.not_null)
         numbered = OLD_ID in rows.columns and all(ID in a.schema(table).names for _, a in self.sharing(table))
+        rows = remap(rows, table, self.maps, limit=self.limit, row_ids=numbered)
+        rows, _ = split_nulls(rows, spec.not_null)
         order = [RANK, OLD_ID] if numbered else [RANK, *sorted(names)]
-        if spec.natural_key:
-            by = [F.col(c) for c in order if c in rows.columns]
-            rows = keyed_distinct(rows, spec.natural_key, by, ROW if numbered else None, spec.key_casts)
+        by = [c for c in order if c in rows.columns]
+        keys = [k for k in spec.keys if set(k) <= set(rows.columns)]
+        rows = self._distinct(table, spec, rows, keys, by, ROW if numbered else None)
         if table in FREQUENT and FREQUENT[table] in names:
-            rows = derive.most_frequent(rows, FREQUENT[table], [c for c in order if c in rows.columns])
+            rows = derive.most_frequent(rows, FREQUENT[table], by)
         if has_surrogate(names):
-            by = [c for c in order if c in rows.columns]
             rows, _ = assign_ordered_ids(rows, by, self.staging, f"{table}_minor", ID)
         return rows.select(*names)
 
@@ -373,7 +398,7 @@ def merge_archives(
     if out is None:
         tables = merge.tables(lambda _, df: df)
         maps = {t: m.df for t, m in merge.maps.items()}
-        return MergeResult(tables, maps, merge.quarantine(), merge.ranked, merge.notes)
+        return MergeResult(tables, maps, merge.quarantine(), merge.ranked, merge.notes, staging)
 
     publisher = Publisher(spark, out)
     stored = merge.tables(publisher.write)

@@ -22,10 +22,11 @@ from sediment.staging import filesystem
 
 @dataclass(frozen=True)
 class Constraints:
-    """What a store declares about a table: NOT NULL columns and the columns of its one unique key."""
+    """What a store declares about a table: NOT NULL columns, unique keys, column defaults."""
 
     not_null: tuple[str, ...] = ()
-    unique: tuple[str, ...] = ()
+    unique: tuple[tuple[str, ...], ...] = ()
+    defaults: dict[str, object] = field(default_factory=dict)
 
 
 class Archive(Protocol):
@@ -119,7 +120,7 @@ class SqliteArchive:
 
     def constraints(self, table: str) -> Constraints:
         info = self._catalog[table]
-        return Constraints(info.not_null, info.unique)
+        return Constraints(info.not_null, info.unique, info.defaults)
 
 
 def open_archive(spark: SparkSession, source: "str | Archive") -> Archive:

@@ -30,7 +30,8 @@ class TableInfo:
     name: str
     schema: T.StructType
     not_null: tuple[str, ...]
-    unique: tuple[str, ...]
+    unique: tuple[tuple[str, ...], ...]
+    defaults: dict[str, object]
     has_rowid: bool
 
 
@@ -71,25 +72,35 @@ def catalog(path: str) -> dict[str, TableInfo]:
 
 def _table_info(c: sqlite3.Connection, table: str) -> TableInfo:
     columns = c.execute(f"pragma table_info({quoted(table)})").fetchall()
-    fields = [T.StructField(name, spark_type(kind)) for _, name, kind, _, _, _ in columns]
-    key = tuple(name for _, name, _, _, _, pk in sorted(columns, key=lambda r: r[5]) if pk)
-    surrogate = bool(columns) and columns[0][1] == "_id"
-    not_null = {name for _, name, _, required, _, _ in columns if required} | set(key)
-    unique = []
-    for index in c.execute(f"pragma index_list({quoted(table)})").fetchall():
-        members = [r[2] for r in c.execute(f"pragma index_info({quoted(index[1])})")]
-        if index[2] and not index[4] and None not in members:
-            unique.append(tuple(members))
-    if key and key != ("_id",) and key not in unique:
-        unique.insert(0, key)
+    fields = [T.StructField(name, spark_type(kind)) for _, name, kind, *_ in columns]
+    primary = tuple(name for _, name, *_, place in sorted(columns, key=lambda r: r[5]) if place)
+    unique = [primary] if primary else []
+    for _, index, is_unique, _, partial in c.execute(f"pragma index_list({quoted(table)})").fetchall():
+        members = tuple(r[2] for r in c.execute(f"pragma index_info({quoted(index)})"))
+        if is_unique and not partial and None not in members:
+            unique.append(members)
+    # A leading `_id` is renumbered, so nothing it declares can be broken.
+    renumbered = bool(columns) and columns[0][1] == "_id"
+    not_null = [name for _, name, _, required, _, place in columns if required or place]
+    defaults = {
+        name: c.execute(f"select {text}").fetchone()[0] for _, name, _, _, text, _ in columns if text is not None
+    }
+    return TableInfo(
+        table,
+        T.StructType(fields),
+        tuple(n for n in not_null if not (renumbered and n == "_id")),
+        tuple(k for k in dict.fromkeys(unique) if not (renumbered and k == ("_id",))),
+        defaults,
+        _has_rowid(c, table),
+    )
+
+
+def _has_rowid(c: sqlite3.Connection, table: str) -> bool:
     try:
         c.execute(f"select rowid from {quoted(table)} limit 0")
-        has_rowid = True
     except sqlite3.OperationalError:
-        has_rowid = False
-    required = tuple(name for _, name, *_ in columns if name in not_null and not (surrogate and name == "_id"))
-    stated = [u for u in unique if u != ("_id",)]
-    return TableInfo(table, T.StructType(fields), required, stated[0] if stated else (), has_rowid)
+        return False
+    return True
 
 
 @dataclass

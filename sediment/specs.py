@@ -49,6 +49,7 @@ class TableSpec:
     weak_key     looser key for `rank_zip` maps
     time_ordered rows without a time are dropped and new ids follow the time
     not_null     columns whose null sends a row to quarantine
+    unique       further keys the store declares; a row that repeats one of a kept row is dropped
     defaults     values for columns a snapshot lacks
     """
 
@@ -60,16 +61,28 @@ class TableSpec:
     weak_key: tuple[WeakKey, ...] = ()
     time_ordered: bool = False
     not_null: tuple[str, ...] = ()
+    unique: tuple[tuple[str, ...], ...] = ()
     defaults: dict[str, object] = field(default_factory=dict)
 
     @property
     def is_main(self) -> bool:
         return self.kind == "main"
 
-    def with_constraints(self, not_null: tuple[str, ...], unique: tuple[str, ...]) -> "TableSpec":
-        """Add what the base snapshot itself declares; a stated natural key is kept."""
-        merged = tuple(dict.fromkeys((*self.not_null, *not_null)))
-        return replace(self, not_null=merged, natural_key=self.natural_key or unique)
+    @property
+    def keys(self) -> tuple[tuple[str, ...], ...]:
+        """All keys of which kept rows must not share one, the natural key first."""
+        return tuple(dict.fromkeys(k for k in (self.natural_key, *self.unique) if k))
+
+    def with_declared(
+        self, not_null: tuple[str, ...], unique: tuple[tuple[str, ...], ...], defaults: dict[str, object]
+    ) -> "TableSpec":
+        """Adds what the base snapshot itself declares."""
+        return replace(
+            self,
+            not_null=tuple(dict.fromkeys((*self.not_null, *not_null))),
+            unique=tuple(dict.fromkeys((*self.unique, *unique))),
+            defaults={**defaults, **self.defaults},
+        )
 
 
 # Tables other tables point at, in the order their keys depend on each other.
