@@ -99,12 +99,25 @@ def convert_archive(
     A repeated key in a table stops the job before anything is published.
     """
     archive = open_archive(spark, source)
-    notes: list[str] = []
-    if out is not None and isinstance(source, str):
+    if out is None:
+        return _converted(spark, archive, Staging(spark).write, target, broadcast_bytes)
+    if isinstance(source, str):
         check_output(spark, out, [source])
-    publisher = Publisher(spark, out) if out is not None else None
-    store = publisher.write if publisher else Staging(spark).write
+    with Publisher(spark, out) as publisher:
+        result = _converted(spark, archive, publisher.write, target, broadcast_bytes)
+        publisher.publish()
+    tables = {t: spark.read.schema(df.schema).parquet(f"{publisher.out}/{t}") for t, df in result.tables.items()}
+    return ConvertResult(tables, result.notes)
 
+
+def _converted(
+    spark: SparkSession,
+    archive: Archive,
+    store: Callable[[str, DataFrame], DataFrame],
+    target: Mapping[str, T.StructType] | None,
+    broadcast_bytes: int | None,
+) -> ConvertResult:
+    notes: list[str] = []
     tables: dict[str, DataFrame] = {}
     goal = dict(target) if target is not None else {t: archive.schema(t) for t in archive.tables()}
     for table in plain_copies(archive.tables(), goal):
@@ -134,7 +147,4 @@ def convert_archive(
             assert_unique(tables[table], [APPEND_KEYS[table]], table)
     if EMPTIED in goal:
         tables[EMPTIED] = store(EMPTIED, spark.createDataFrame([], goal[EMPTIED]))
-    if publisher:
-        publisher.publish()
-        tables = {t: spark.read.schema(df.schema).parquet(f"{publisher.out}/{t}") for t, df in tables.items()}
     return ConvertResult(tables, notes)

@@ -69,7 +69,7 @@ class Survivors:
     columns: list[str]
 
 
-def together(work: Callable[[str], None], tables: Sequence[str]) -> None:
+def together(work: Callable[[str], object], tables: Sequence[str]) -> None:
     """Runs `work` for tables that do not depend on each other, so a small one does not wait for a large one."""
     with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
         list(pool.map(work, tables))
@@ -400,14 +400,13 @@ def merge_archives(
         maps = {t: m.df for t, m in merge.maps.items()}
         return MergeResult(tables, maps, merge.quarantine(), merge.ranked, merge.notes, staging)
 
-    publisher = Publisher(spark, out)
-    stored = merge.tables(publisher.write)
-    rejected = merge.quarantine()
-    for name, df in rejected.items():
-        publisher.write(f"{REJECTED}/{name}", df)
-    for name, m in merge.maps.items():
-        publisher.write(f"{MAPS}/{name}", m.df)
-    publisher.publish()
+    with Publisher(spark, out) as publisher:
+        stored = merge.tables(publisher.write)
+        rejected = merge.quarantine()
+        side = {f"{REJECTED}/{t}": df for t, df in rejected.items()}
+        side.update({f"{MAPS}/{t}": m.df for t, m in merge.maps.items()})
+        together(lambda name: publisher.write(name, side[name]), list(side))
+        publisher.publish()
     staging.drop()
 
     def published(name: str, like: DataFrame) -> DataFrame:

@@ -39,6 +39,15 @@ class Publisher:
         df.write.mode("error").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def __enter__(self) -> "Publisher":
+        return self
+
+    def __exit__(self, error, *_) -> None:
+        """A run that fails leaves nothing behind."""
+        if error is not None:
+            fs, pending = filesystem(self.spark, self.pending)
+            fs.delete(pending, True)
+
     def publish(self) -> None:
         fs, target = filesystem(self.spark, self.out)
         _, pending = filesystem(self.spark, self.pending)

@@ -12,6 +12,7 @@ from urllib.parse import quote
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -126,10 +127,16 @@ def fitted(value, kind: T.DataType):
         return None
 
 
+# Columns of the count of values that do not fit their column's type.
+MISFITS = T.StructType([T.StructField("column", T.StringType()), T.StructField("n", T.LongType())])
+
+
 class SqliteReader(DataSourceReader):
-    def __init__(self, path: str, table: str, schema: T.StructType, has_rowid: bool, rows_per_task: int):
+    def __init__(
+        self, path: str, table: str, schema: T.StructType, has_rowid: bool, rows_per_task: int, count_misfits: bool
+    ):
         self.path, self.table, self.schema = path, table, schema
-        self.has_rowid, self.rows_per_task = has_rowid, rows_per_task
+        self.has_rowid, self.rows_per_task, self.count_misfits = has_rowid, rows_per_task, count_misfits
 
     def partitions(self) -> Sequence[InputPartition]:
         if not self.has_rowid:
@@ -142,8 +149,6 @@ class SqliteReader(DataSourceReader):
         return [RowRange(a, min(a + step, high + 1)) for a in range(low, high + 1, step)]
 
     def read(self, partition: RowRange) -> Iterator[pa.RecordBatch]:
-        kinds = [f.dataType for f in self.schema.fields]
-        arrow = to_arrow_schema(self.schema)
         columns = ", ".join(quoted(f.name) for f in self.schema.fields)
         query, bounds = f"select {columns} from {quoted(self.table)}", ()
         if partition.low is not None:
@@ -152,14 +157,27 @@ class SqliteReader(DataSourceReader):
         try:
             cursor = connection.execute(query, bounds)
             while rows := cursor.fetchmany(BATCH_ROWS):
-                values = [
-                    pa.array([fitted(v, kind) for v in column], field.type)
-                    for column, kind, field in zip(zip(*rows), kinds, arrow)
-                ]
-                yield pa.RecordBatch.from_arrays(values, schema=arrow)
+                yield self.misfit_batch(rows) if self.count_misfits else self.batch(rows)
         finally:
             connection.close()
 
+    def batch(self, rows: list[tuple]) -> pa.RecordBatch:
+        arrow = to_arrow_schema(self.schema)
+        values = [
+            pa.array([fitted(v, f.dataType) for v in column], arrow_field.type)
+            for column, f, arrow_field in zip(zip(*rows), self.schema.fields, arrow)
+        ]
+        return pa.RecordBatch.from_arrays(values, schema=arrow)
+
+    def misfit_batch(self, rows: list[tuple]) -> pa.RecordBatch:
+        lost = [
+            sum(v is not None and fitted(v, f.dataType) is None for v in column)
+            for column, f in zip(zip(*rows), self.schema.fields)
+        ]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.schema.names), pa.array(lost, pa.int64())], schema=to_arrow_schema(MISFITS)
+        )
+
 
 class SqliteSource(DataSource):
     @classmethod
@@ -167,15 +185,22 @@ class SqliteSource(DataSource):
         return FORMAT
 
     def schema(self) -> T.StructType:
+        return MISFITS if self.counts() else self.table_schema()
+
+    def counts(self) -> bool:
+        return self.options.get("misfits", "false") == "true"
+
+    def table_schema(self) -> T.StructType:
         return catalog(self.options["path"])[self.options["table"]].schema
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
         return SqliteReader(
             self.options["path"],
             self.options["table"],
-            schema,
+            self.table_schema() if self.counts() else schema,
             self.options.get("has_rowid", "true") == "true",
             int(self.options.get("rows_per_task", ROWS_PER_TASK)),
+            self.counts(),
         )
 
 
@@ -204,3 +229,18 @@ def read(
         .option("rows_per_task", rows_per_task)
         .load()
     )
+
+
+def misfits(spark: SparkSession, path: str, info: TableInfo) -> DataFrame:
+    """(column, n): how many values of each column become null because they are of another type."""
+    register(spark)
+    counted = (
+        spark.read.format(FORMAT)
+        .schema(MISFITS)
+        .option("path", str(Path(path).absolute()))
+        .option("table", info.name)
+        .option("has_rowid", "true" if info.has_rowid else "false")
+        .option("misfits", "true")
+        .load()
+    )
+    return counted.groupBy("column").agg(F.sum("n").alias("n")).where("n > 0")

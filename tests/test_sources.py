@@ -1,0 +1,175 @@
+import sqlite3
+
+import pytest
+from conftest import rows
+
+from sediment import merge_archives
+from sediment.__main__ import main
+from sediment.errors import InvalidSnapshot, UnsafeOutput
+from sediment.operators.align import align
+from sediment.sources import sqlite
+from sediment.sources.archive import ParquetArchive, SqliteArchive, open_archive, read_union
+from sediment.sources.sink import Publisher, check_output
+from sediment.staging import Staging, checkpoint_root
+
+SCRIPT = """
+create table jid (_id integer primary key, raw_string text not null);
+create table chat (_id integer primary key, jid_row_id integer, hidden integer);
+create table message (_id integer primary key, chat_row_id integer, from_me integer, key_id text,
+                      sender_jid_row_id integer, timestamp integer, message_type integer, text_data text,
+                      sort_id integer default 0);
+create table message_thumbnail (message_row_id integer primary key, thumbnail blob);
+create table message_extra (_id integer primary key, message_row_id integer, a text, b text, n integer default 7,
+                            unique (a), unique (b));
+create table "odd name" (k text, v real, primary key (k)) without rowid;
+create table message_fts (x text);
+create table props (_id integer primary key, key text, value text);
+create unique index partly on message (key_id) where from_me = 5;
+"""
+
+
+def make_file(path, shift, newest, extra=True):
+    with sqlite3.connect(path) as c:
+        c.executescript(SCRIPT if extra else SCRIPT.replace(", n integer default 7", ""))
+        c.executemany("insert into jid values (?, ?)", [(shift + 1, "alice"), (shift + 2, "bob")])
+        c.executemany("insert into chat values (?, ?, 0)", [(shift + 1, shift + 1), (shift + 2, shift + 2)])
+        c.executemany(
+            "insert into message values (?, ?, 0, ?, ?, ?, 0, ?, 0)",
+            [
+                (shift + i, shift + 1 + i % 2, f"k{i}", shift + 1, newest - 100 + i if i else newest, f"text {newest}")
+                for i in range(50)
+            ],
+        )
+        c.executemany("insert into message_thumbnail values (?, ?)", [(shift + 3, b"p\x00"), (shift + 999, b"q")])
+        columns = "_id, message_row_id, a, b"
+        c.executemany(
+            f"insert into message_extra ({columns}) values (?, ?, ?, ?)",
+            [(1, shift + 3, f"a{shift}", "b"), (2, shift + 4, "a", None), (3, shift + 5, None, f"b{shift}")],
+        )
+        c.execute("insert into \"odd name\" values ('x', 1.5)")
+        c.executemany("insert into props (key, value) values (?, ?)", [("fts_ready", "5"), ("fts_index_start", "1")])
+    return str(path)
+
+
+def test_catalog_of_a_file(tmp_path):
+    known = sqlite.catalog(make_file(tmp_path / "a.db", 0, 500))
+    assert list(known)[:4] == ["jid", "chat", "message", "message_thumbnail"]
+    assert known["message"].schema.simpleString().startswith("struct<_id:bigint,chat_row_id:bigint")
+    assert known["jid"].not_null == ("raw_string",) and known["jid"].unique == ()
+    assert known["message_thumbnail"].unique == (("message_row_id",),)
+    assert set(known["message_extra"].unique) == {("a",), ("b",)} and known["message_extra"].defaults == {"n": 7}
+    assert known["message"].unique == ()
+    assert not known["odd name"].has_rowid and known["odd name"].unique == (("k",),)
+
+
+def test_reading_in_ranges(spark, tmp_path):
+    path = make_file(tmp_path / "a b.db", 1000, 500)
+    info = sqlite.catalog(path)["message"]
+    df = sqlite.read(spark, path, info, ["_id", "key_id"], rows_per_task=8)
+    assert df.rdd.getNumPartitions() == 7
+    assert rows(df) == [(1000 + i, f"k{i}") for i in range(50)]
+    assert rows(sqlite.read(spark, path, sqlite.catalog(path)["odd name"])) == [("x", 1.5)]
+    assert sqlite.read(spark, path, sqlite.catalog(path)["message_fts"]).count() == 0
+
+
+def test_values_of_another_type_become_null(spark, tmp_path):
+    path = str(tmp_path / "a.db")
+    with sqlite3.connect(path) as c:
+        c.execute("create table t (n integer, s text, b blob)")
+        c.executemany("insert into t values (?, ?, ?)", [("12x", 5, "raw"), (2.0, b"\xff", None), (2.5, None, b"\x00")])
+    df = SqliteArchive(spark, path).read("t")
+    got = [(r.n, r.s, None if r.b is None else bytes(r.b)) for r in df.collect()]
+    assert sorted(got, key=str) == sorted([(None, "5", b"raw"), (2, "�", None), (None, None, b"\x00")], key=str)
+    assert rows(sqlite.misfits(spark, path, sqlite.catalog(path)["t"])) == [("n", 2)]
+
+
+def test_merge_of_files_and_of_the_result(spark, tmp_path):
+    new = make_file(tmp_path / "new.db", 100, 900)
+    old = make_file(tmp_path / "old.db", 0, 500, extra=False)
+    before = open(old, "rb").read()
+    out = str(tmp_path / "out")
+    result = merge_archives(spark, [old, new], out)
+    assert open(old, "rb").read() == before
+    assert result.ranked[0].path == new
+    t = result.tables
+    assert t["message"].count() == 50
+    assert {r[0] for r in rows(t["message"], "text_data")} == {"text 900"}
+    assert rows(t["message"], "_id", "sort_id")[:2] == [(1, 1), (2, 2)]
+    # The primary key keeps one thumbnail per message; the one without a message is set aside.
+    assert t["message_thumbnail"].count() == 1
+    assert rows(result.quarantine["message_thumbnail"], "snapshot_id") == [(0,), (1,)]
+    # Two unique columns: a row goes if it repeats either.
+    assert rows(t["message_extra"], "a", "b", "n") == [
+        (None, "b0", 7), (None, "b100", 7), ("a", None, 7), ("a100", "b", 7),
+    ]
+    assert rows(t["props"], "key", "value") == [("fts_ready", "0")]
+
+    newer = make_file(tmp_path / "newer.db", 300, 950)
+    again = merge_archives(spark, [out, newer], str(tmp_path / "out2"))
+    assert again.tables["message"].count() == 50
+    assert {r[0] for r in rows(again.tables["message"], "text_data")} == {"text 950"}
+    names = ParquetArchive(spark, out).tables()
+    assert "message" in names and not any(n.startswith("_") for n in names)
+
+
+def test_command_line(spark, tmp_path, capsys):
+    files = [make_file(tmp_path / f"{n}.db", n, 500 + n) for n in (1, 2)]
+    main(["merge", str(tmp_path / "out"), *files])
+    said = capsys.readouterr().out
+    assert "2.db (base)" in said and "not merged: message_fts" in said
+    assert spark.read.parquet(str(tmp_path / "out" / "jid")).count() == 2
+
+
+def test_unknown_sources(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("no database")
+    with pytest.raises(InvalidSnapshot):
+        open_archive(spark, str(tmp_path / "a.txt"))
+    with pytest.raises(InvalidSnapshot):
+        open_archive(spark, str(tmp_path / "absent")).tables()
+
+
+def test_many_snapshots_by_one_scan(spark, tmp_path, frame):
+    archives = []
+    for i in range(6):
+        path = str(tmp_path / f"snap shot {i}%")
+        if i % 2:
+            frame("_id long, raw_string string", (i, f"odd {i}")).write.parquet(f"{path}/jid")
+        else:
+            frame("raw_string string, _id int", (f"even {i}", i)).write.parquet(f"{path}/jid")
+        archives.append((i, ParquetArchive(spark, path)))
+    base = frame("_id long, raw_string string").schema
+    shape = lambda df, keep: align(df, base, None, keep)
+    apart = read_union(spark, archives, "jid", base.names, shape)
+    at_once = read_union(spark, archives, "jid", base.names, shape, separate_scans=1)
+    assert rows(apart) == rows(at_once) == [(i, i, f"{'odd' if i % 2 else 'even'} {i}") for i in range(6)]
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+    assert scans(apart) == 6 and scans(at_once) == 2
+
+
+def test_output_must_not_touch_inputs(spark, tmp_path):
+    check_output(spark, str(tmp_path / "out"), [str(tmp_path / "in")])
+    for out, source in (("a", "a"), ("a", "a/b"), ("a/b", "a")):
+        with pytest.raises(UnsafeOutput):
+            check_output(spark, str(tmp_path / out), [str(tmp_path / source)])
+
+
+def test_publishing_replaces_the_whole_folder(spark, tmp_path, frame):
+    out = str(tmp_path / "out")
+    for tables in (("a", "b"), ("b",)):
+        publisher = Publisher(spark, out)
+        for t in tables:
+            publisher.write(t, frame("x int", (len(tables),)))
+        publisher.publish()
+    assert ParquetArchive(spark, out).tables() == ["b"]
+    assert rows(spark.read.parquet(f"{out}/b")) == [(1,)]
+    assert [p.name for p in tmp_path.iterdir()] == ["out"]
+
+
+def test_staging_uses_the_named_folder(spark, tmp_path, frame):
+    root = checkpoint_root(spark)
+    assert root == checkpoint_root(spark)
+    staging = Staging(spark, str(tmp_path))
+    kept = staging.write("t", frame("x int", (1,)))
+    assert staging.root.startswith(str(tmp_path)) and rows(kept) == [(1,)]
+    staging.drop()
+    assert list(tmp_path.iterdir()) == []
