@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 
 # A table of at most this many bytes may be sent to every executor.
 BROADCAST_BYTES = 32 << 20
-# A key with at least this share of the left rows is split; there can be at most 1 / HOT_SHARE such keys.
-HOT_SHARE = 0.004
+# At most this many keys are split. With so many tracked, every key with 0.4 % of the rows is among them.
+HOT_KEYS = 250
+TRACKED_KEYS = 1024
 # Number of tasks a hot key is split over.
 SALTS = 256
 
@@ -83,12 +84,18 @@ def lookup(
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Hashes of the keys that hold a large share of the rows, and maybe some others: at most 1 / HOT_SHARE.
+    """Hashes (`_hot`) of the keys that hold a large share of the rows, at most HOT_KEYS of them.
 
-    One pass that keeps 1 / HOT_SHARE counters per task and shuffles only those.
+    One pass over the keys. Each task keeps a sketch of frequent items; sketches are merged in two steps,
+    so the number of tasks does not matter.
     """
     hashes = df.dropna(subset=list(keys)).select(F.xxhash64(*keys).alias("_h"))
-    return hashes.stat.freqItems(["_h"], HOT_SHARE).select(F.explode("_h_freqItems").alias("_hot"))
+    group = F.pmod(F.spark_partition_id(), F.lit(256)).alias("_g")
+    partial = hashes.groupBy(group).agg(F.expr(f"approx_top_k_accumulate(_h, {TRACKED_KEYS})").alias("_s"))
+    # Grouped by a constant: without rows there is no group, where a plain aggregate would have no sketch to read.
+    merged = partial.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(_s, {TRACKED_KEYS})").alias("_s"))
+    top = merged.select(F.inline(F.expr(f"approx_top_k_estimate(_s, {HOT_KEYS})")))
+    return top.select(F.col("item").alias("_hot"))
 
 
 def _salted(

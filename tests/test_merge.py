@@ -83,8 +83,7 @@ def random_tables(seed, newest):
     }
 
 
-@pytest.mark.parametrize("mode", ["strict", "rank_zip"])
-@pytest.mark.parametrize("seed, broadcast_bytes", [(1, 32 << 20), (2, 0)])
+@pytest.mark.parametrize("mode, seed, broadcast_bytes", [("strict", 1, 0), ("rank_zip", 2, 32 << 20)])
 def test_merge_equals_row_by_row_merge(spark, staging, mode, seed, broadcast_bytes):
     snapshots = [random_tables(seed * 10 + i, 100 - i) for i in range(3)]
     specs = {**default_specs(), "call_log": TableSpec(**{**default_specs()["call_log"].__dict__, "natural_key": brute.KEYS["call_log"]})}
