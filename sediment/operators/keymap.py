@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,12 +22,13 @@ def strict_map(
     map_key: Sequence[str],
     casts: dict[str, str] | None = None,
     limit: int | None = None,
+    stage: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(snapshot_id, old_id, new_id): every row goes to the survivor of its full natural key.
 
     `rows` are all rows of all snapshots with foreign keys already remapped. A row with a null in its
     natural key is its own survivor, and so is every row if there is no key. A null in `map_key` keeps a
-    row out of the map.
+    row out of the map. `stage` writes rows down that are read several times, which a shuffled join does.
     """
     if not key:
         return survivors.select(SNAPSHOT, OLD_ID, NEW_ID)
@@ -42,9 +43,12 @@ def strict_map(
     targets = survivors.where(~any_null(key)).select(
         *(p.alias(n) for p, n in zip(parts, names)), NEW_ID
     )
+    sized = Sized.of(targets, rows_kept)
+    if stage is not None and not sized.fits(limit):
+        keyed = stage(keyed)
     matched = lookup(
         keyed,
-        Sized.of(targets, rows_kept),
+        sized,
         {n: n for n in names},
         {NEW_ID: NEW_ID},
         "inner",

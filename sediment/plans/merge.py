@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -222,9 +223,10 @@ class Merge:
                 rows = self._with_parent_part(rows, part, name)
         narrow = remap(rows, table, self.maps, needed, limit=self.limit)
         narrow = narrow.withColumns({n: F.col(w.column) for n, w in weak.items() if not w.parent})
-        targets = {fks[c].target for c in needed if c in fks} & set(self.maps)
-        if not all(self.maps[t].fits(self.limit) for t in targets):
-            narrow = self.staging.write(f"{table}_rows", narrow)
+        if not all(self.maps[r.target].fits(self.limit) for r in self._targets(table, needed)):
+            narrow, stage = self.staging.write(f"{table}_rows", narrow), None
+        else:
+            stage = partial(self.staging.write, f"{table}_keyed")
 
         entering = narrow.where(F.col(TIME).isNotNull()) if timed else narrow
         entering, _ = split_nulls(entering, checked)
@@ -241,7 +243,7 @@ class Merge:
             seen = {n: F.when(F.col(w.column).isNotNull(), F.col(n)) for n, w in weak.items()}
             mapped = rank_zip_map(narrow, kept.withColumns(seen), list(weak), self.staging, table, first)
         else:
-            mapped = strict_map(narrow, kept, n_kept, key, map_key, spec.key_casts, self.limit)
+            mapped = strict_map(narrow, kept, n_kept, key, map_key, spec.key_casts, self.limit, stage)
         self.maps[table] = Sized.of(self.staging.write(f"{table}_map", mapped))
 
     def _known(self, columns: Sequence[str], fks: Mapping[str, FkRule]) -> bool:
@@ -299,18 +301,32 @@ class Merge:
         if rows is None:
             return self.empty(table)
         numbered = OLD_ID in rows.columns and all(ID in a.schema(table).names for _, a in self.sharing(table))
+        order = [c for c in ([RANK, OLD_ID] if numbered else [RANK, *sorted(names)]) if c in rows.columns]
+        keys = [k for k in spec.keys if set(k) <= set(rows.columns)]
+        top = FREQUENT.get(table) if FREQUENT.get(table) in names else None
+        renumber = has_surrogate(names)
+        whole = not (keys or top or set(spec.not_null) & set(names))
+
+        if renumber and whole:
+            # No row goes, so ids are given on the plain scan and the sort repeats no join.
+            rows, _ = assign_ordered_ids(rows, order, self.staging, f"{table}_minor", ID)
         rows = remap(rows, table, self.maps, limit=self.limit, row_ids=numbered)
+        if whole:
+            return rows.select(*names)
+        if not all(self.maps[r.target].fits(self.limit) for r in self._targets(table, names)):
+            rows = self.staging.write(f"{table}_remapped", rows)
         rows, _ = split_nulls(rows, spec.not_null)
-        order = [RANK, OLD_ID] if numbered else [RANK, *sorted(names)]
-        by = [c for c in order if c in rows.columns]
-        keys = [k for k in spec.keys if set(k) <= set(rows.columns)]
-        rows = self._distinct(table, spec, rows, keys, by, ROW if numbered else None)
-        if table in FREQUENT and FREQUENT[table] in names:
-            rows = derive.most_frequent(rows, FREQUENT[table], by)
-        if has_surrogate(names):
-            rows, _ = assign_ordered_ids(rows, by, self.staging, f"{table}_minor", ID)
+        rows = self._distinct(table, spec, rows, keys, order, ROW if numbered else None)
+        if top:
+            rows = derive.most_frequent(rows, top, order)
+        if renumber:
+            rows, _ = assign_ordered_ids(rows, order, self.staging, f"{table}_minor", ID)
         return rows.select(*names)
 
+    def _targets(self, table: str, columns: Sequence[str]) -> list[FkRule]:
+        """Rules of the foreign keys among the columns whose map is there."""
+        return [r for r in foreign_keys(table, columns).values() if r.target in self.maps]
+
     def rejected(self, table: str) -> DataFrame | None:
         """Rows a NOT NULL column kept out: their snapshot, old id and those columns, remapped."""
         spec = self.spec(table)
