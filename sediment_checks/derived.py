@@ -199,12 +199,16 @@ class Given:
     """The given tables of one folder, and frames derived from them."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark = spark
-        self.tables = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in GIVEN}
+        self.spark, self.folder = spark, folder
+        self.known: dict[str, DataFrame] = {}
+
+    def __getitem__(self, table: str) -> DataFrame:
+        if table not in self.known:
+            self.known[table] = self.spark.read.parquet(f"{self.folder}/{table}.parquet")
+        return self.known[table]
 
     def frame(self, text: str) -> DataFrame:
-        used = {t: df for t, df in self.tables.items() if f"{{{t}}}" in text}
-        return self.spark.sql(text, **used)
+        return self.spark.sql(text, **{t: self[t] for t in GIVEN if f"{{{t}}}" in text})
 
 
 def snapshot_frames(given: Given, tables: list[str]) -> list[dict[str, DataFrame]]:
@@ -213,5 +217,11 @@ def snapshot_frames(given: Given, tables: list[str]) -> list[dict[str, DataFrame
     return [{t: given.frame(text[t]) for t in tables} for text in texts]
 
 
-def legacy_frames(given: Given) -> dict[str, DataFrame]:
-    return {t: given.frame(text) for t, text in legacy_tables(spark_millis).items()}
+class LegacyFrames:
+    """The legacy archive's tables, made when they are asked for."""
+
+    def __init__(self, given: Given):
+        self.given, self.texts = given, legacy_tables(spark_millis)
+
+    def __getitem__(self, table: str) -> DataFrame:
+        return self.given.frame(self.texts[table])

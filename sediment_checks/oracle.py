@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from checks.derived import GIVEN, PATHS, SNAPSHOTS, duck_millis, legacy_tables, snapshot_tables
+from sediment_checks.derived import GIVEN, PATHS, SNAPSHOTS, duck_millis, legacy_tables, snapshot_tables
 
 TIMED = ("message", "call_log", "message_add_on")
 MESSAGE_KEY = ("chat_row_id", "from_me", "key_id", "sender_jid_row_id")

@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from checks.derived import PATHS, Given, legacy_frames, snapshot_frames
-from checks.oracle import COLUMNS, KEYS, MAIN, MINOR
+from sediment_checks.derived import PATHS, Given, LegacyFrames, snapshot_frames
+from sediment_checks.oracle import COLUMNS, KEYS, MAIN, MINOR
 from sediment.functions.names import listing
 from sediment.operators import derive, legacy
 from sediment.operators.align import align
 from sediment.operators.checks import assert_unique
 from sediment.operators.dedupe import first_per_key
+from sediment.operators.keymap import rank_zip_map
 from sediment.operators.legacy import Contacts
 from sediment.operators.rank import checked_times, newest_times, ranking, snapshot_list
 from sediment.plans.convert import copy_common
@@ -69,10 +70,6 @@ def for_table(spark: SparkSession, folder: str, table: str, **options) -> Merge:
     return merge_of(spark, folder, (table,), (*NEEDS[table], *([table] if table in MAIN else [])), **options)
 
 
-def lazily(_: str, df: DataFrame) -> DataFrame:
-    return df
-
-
 def dedupe(table: str, spark: SparkSession, folder: str) -> DataFrame:
     kept = for_table(spark, folder, table).survivors[table].rows
     return kept.select(F.col(NEW_ID).alias(ID), SNAPSHOT, OLD_ID, *KEYS[table])
@@ -114,7 +111,7 @@ def scan_snapshots_union(spark: SparkSession, folder: str) -> DataFrame:
 
 def align_common_columns(spark: SparkSession, folder: str) -> DataFrame:
     """Snapshots of one table that differ in columns, types and column order, brought to a base's columns."""
-    customer = Given(spark, folder).tables["customer"]
+    customer = Given(spark, folder)["customer"]
     base = T.StructType.fromDDL("_id bigint, raw_string string, nation int, segment string")
     ident = F.col("c_custkey").alias(ID)
     nation = F.col("c_nationkey").cast("string")
@@ -139,7 +136,7 @@ def align_common_columns(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def source_validation(spark: SparkSession, folder: str) -> DataFrame:
-    orders = Given(spark, folder).tables["orders"]
+    orders = Given(spark, folder)["orders"]
     snapshot = (F.col("o_orderkey") % 5).cast("int")
     time = (
         F.when(snapshot == 3, F.lit(None))
@@ -166,8 +163,6 @@ def reid_messages(spark: SparkSession, folder: str) -> DataFrame:
 
 def map_rank_zip(spark: SparkSession, folder: str) -> DataFrame:
     """The one-to-one message map on the looser key, over strictly mapped chats and contacts."""
-    from sediment.operators.keymap import rank_zip_map
-
     merge = for_table(spark, folder, "message")
     rows = merge.union("message", ["key_id", "from_me"])
     kept = merge.survivors["message"].rows
@@ -209,27 +204,27 @@ def props_reset(spark: SparkSession, folder: str) -> DataFrame:
 
 def legacy_query(make, spark: SparkSession, folder: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    frames = legacy_frames(Given(spark, folder))
+    frames = LegacyFrames(Given(spark, folder))
     return make(frames, Contacts.of(frames["jid"], frames["chat"]))
 
 
-def convert_thumbnails(frames: dict[str, DataFrame], contacts: Contacts) -> DataFrame:
+def convert_thumbnails(frames: LegacyFrames, contacts: Contacts) -> DataFrame:
     legacy.assert_one_thumbnail(frames["message_thumbnails"], frames["messages"])
     return legacy.thumbnails(frames["message_thumbnails"], frames["messages"])
 
 
-def convert_quote_flag(frames: dict[str, DataFrame], contacts: Contacts) -> DataFrame:
+def convert_quote_flag(frames: LegacyFrames, contacts: Contacts) -> DataFrame:
     quoted = legacy.quotes(frames["messages"], frames["messages_quotes"], contacts)
     messages = legacy.messages(frames["messages"], contacts).select(ID, F.lit(None).cast("int").alias("lookup_tables"))
     return derive.flag_quoting(messages, quoted)
 
 
-def convert_links(frames: dict[str, DataFrame], contacts: Contacts) -> DataFrame:
+def convert_links(frames: LegacyFrames, contacts: Contacts) -> DataFrame:
     assert_unique(frames["messages_links"], [ID], "message_link")
     return legacy.links(frames["messages_links"], contacts)
 
 
-def convert_common_copy(frames: dict[str, DataFrame], contacts: Contacts) -> DataFrame:
+def convert_common_copy(frames: LegacyFrames, contacts: Contacts) -> DataFrame:
     return copy_common(frames["settings"], T.StructType.fromDDL("name string, _id bigint, added string"))
 
 

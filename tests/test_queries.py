@@ -6,10 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from check import normalized
+from compare import normalized
 
 FOLDER = "/root/testdata/sf0.001"
-# The rest of the registered queries is compared by check.py; these cover all operators between them.
+# The rest of the registered queries is compared by compare.py; these cover all operators between them.
 CHECKED = (
     "merge_messages_latest", "align_common_columns", "source_validation", "rank_snapshots", "map_rank_zip",
     "remap_chat_exception", "reject_not_null", "props_reset", "convert_messages", "convert_quotes", "convert_links",
