@@ -62,11 +62,15 @@ def lossy(have: T.DataType, want: T.DataType) -> bool:
     return not (have == want or widening or isinstance(want, T.StringType))
 
 
-def cast_losses(df: DataFrame, base: T.StructType) -> DataFrame | None:
-    """One row with, for each column whose type differs, how many values the conversion turns to null."""
+def cast_losses(df: DataFrame, base: T.StructType) -> DataFrame:
+    """(column, n) for each column that may lose values in the conversion: how many become null."""
     wanted = {f.name: f.dataType for f in base.fields}
-    differing = [f.name for f in df.schema.fields if f.name in wanted and lossy(f.dataType, wanted[f.name])]
-    if not differing:
-        return None
-    lost = (F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(wanted[c]).isNull()).alias(c) for c in differing)
-    return df.agg(*lost)
+    lost = (F.col(c).isNotNull() & F.col(c).try_cast(wanted[c]).isNull() for c in lossy_columns(df.schema, base))
+    counted = df.agg(*(F.count_if(x).alias(c) for x, c in zip(lost, lossy_columns(df.schema, base))))
+    pairs = (F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in counted.columns)
+    return counted.select(F.inline(F.array(*pairs)))
+
+
+def lossy_columns(have: T.StructType, base: T.StructType) -> list[str]:
+    wanted = {f.name: f.dataType for f in base.fields}
+    return [f.name for f in have.fields if f.name in wanted and lossy(f.dataType, wanted[f.name])]

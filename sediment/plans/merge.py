@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from sediment.errors import InvalidSnapshot
 from sediment.functions.names import common, listing, mergeable, split_main_minor
 from sediment.operators import derive
-from sediment.operators.align import align, cast_losses, common_columns, has_surrogate
+from sediment.operators.align import align, cast_losses, common_columns, has_surrogate, lossy_columns
 from sediment.operators.checks import split_nulls
 from sediment.operators.dedupe import distinct_on_all, keyed_distinct
 from sediment.operators.ids import assign_ordered_ids
@@ -42,7 +42,7 @@ FREQUENT = {"frequent": "jid_row_id", "frequents": "jid"}
 MAPS = "_maps"
 REJECTED = "_rejected"
 
-TABLES_AT_ONCE = 6
+AT_ONCE = 6
 
 
 @dataclass
@@ -70,10 +70,10 @@ class Survivors:
     columns: list[str]
 
 
-def together(work: Callable[[str], object], tables: Sequence[str]) -> None:
-    """Runs `work` for tables that do not depend on each other, so a small one does not wait for a large one."""
-    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
-        list(pool.map(work, tables))
+def together(work: Callable, parts: Sequence) -> None:
+    """Runs `work` for parts that do not depend on each other, so a small one does not wait for a large one."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        list(pool.map(work, parts))
 
 
 class Merge:
@@ -99,6 +99,7 @@ class Merge:
         self.maps: dict[str, Sized] = {}
         self.survivors: dict[str, Survivors] = {}
 
+        together(lambda a: [a.schema(t) for t in mergeable(a.tables(), include_tables)], list(self.archives.values()))
         self.ranked = self._rank()
         self.base = self.archives[next(r.snapshot_id for r in self.ranked if r.is_base)]
         names = mergeable(self.base.tables(), include_tables)
@@ -163,6 +164,7 @@ class Merge:
     def _report(self, names: Sequence[str]) -> None:
         """Notes on what the base's catalog leaves out, from the catalogs; values are counted only
         where a column changes its type."""
+        losses: list[DataFrame] = []
         for archive in self.archives.values():
             extra_tables = [t for t in mergeable(archive.tables()) if t not in names]
             if extra_tables:
@@ -176,10 +178,13 @@ class Merge:
                     self.notes.append(f"{archive.path}: {table} columns the base lacks: {listing(extra)}")
                 if table in self.main and ID in base.names and ID not in have.names:
                     raise InvalidSnapshot(f"{archive.path}: {table} has no {ID}")
-                losses = cast_losses(archive.read(table), base)
-                for column, n in (losses.first().asDict() if losses is not None else {}).items():
-                    if n:
-                        self.notes.append(f"{archive.path}: {table}.{column}: {n} values did not fit")
+                if lossy_columns(have, base):
+                    counted = cast_losses(archive.read(table), base)
+                    losses.append(counted.select(F.lit(archive.path).alias("path"), F.lit(table).alias("name"), "*"))
+        if losses:
+            # One row per snapshot, table and column.
+            for r in reduce(DataFrame.unionByName, losses).where("n > 0").collect():
+                self.notes.append(f"{r['path']}: {r['name']}.{r['column']}: {r['n']} values did not fit")
 
     # -- phase 1: keys, ids, maps ------------------------------------------------------------
 

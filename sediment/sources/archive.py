@@ -40,6 +40,9 @@ class Archive(Protocol):
 
     def constraints(self, table: str) -> Constraints: ...
 
+    def scan_group(self, table: str) -> tuple | None:
+        """Equal for archives whose table one scan can read; None if there is no such scan."""
+
 
 @dataclass
 class FrameArchive:
@@ -62,6 +65,9 @@ class FrameArchive:
     def constraints(self, table: str) -> Constraints:
         return self.declared.get(table, Constraints())
 
+    def scan_group(self, table: str) -> None:
+        return None
+
 
 @dataclass
 class ParquetArchive:
@@ -97,6 +103,9 @@ class ParquetArchive:
     def constraints(self, table: str) -> Constraints:
         return Constraints()
 
+    def scan_group(self, table: str) -> tuple:
+        return "parquet", self.schema(table).json()
+
 
 @dataclass
 class SqliteArchive:
@@ -122,6 +131,12 @@ class SqliteArchive:
         info = self._catalog[table]
         return Constraints(info.not_null, info.unique, info.defaults)
 
+    def info(self, table: str) -> sqlite.TableInfo:
+        return self._catalog[table]
+
+    def scan_group(self, table: str) -> tuple:
+        return "sqlite", self.schema(table).json(), self._catalog[table].has_rowid
+
 
 def open_archive(spark: SparkSession, source: "str | Archive") -> Archive:
     """An archive from a path: a SQLite file, or a folder of Parquet tables."""
@@ -134,7 +149,7 @@ def open_archive(spark: SparkSession, source: "str | Archive") -> Archive:
     return ParquetArchive(spark, source.rstrip("/"))
 
 
-# Above this many Parquet snapshots of one schema, they are read by one scan instead of one each.
+# Above this many stored snapshots, those of one schema are read by one scan instead of one each.
 SEPARATE_SCANS = 32
 _SCHEME = "^([a-z0-9]+):/+"
 
@@ -152,18 +167,22 @@ def read_union(
     Only `columns` are read, as far as a snapshot has them. `shape(df, keep)` brings one snapshot's
     frame to the common columns; columns in `keep` stay.
     """
-    having = list(archives)
-    grouped: dict[str, list[tuple[int, ParquetArchive]]] = {}
-    parts: list[DataFrame] = []
-    stored = [(i, a) for i, a in having if isinstance(a, ParquetArchive)]
-    if len(stored) > separate_scans:
-        for i, a in stored:
-            grouped.setdefault(a.schema(table).json(), []).append((i, a))
-        parts.extend(_one_scan(spark, members, table, columns, shape) for members in grouped.values())
-        having = [(i, a) for i, a in having if not isinstance(a, ParquetArchive)]
-    for i, a in having:
-        shaped = shape(a.read(table, common(a.schema(table).names, columns)), ())
-        parts.append(shaped.select(F.lit(i).cast("int").alias(SNAPSHOT), "*"))
+    grouped: dict[tuple, list[tuple[int, Archive]]] = {}
+    for i, a in archives:
+        kind = a.scan_group(table) if len(archives) > separate_scans else None
+        grouped.setdefault((i,) if kind is None else kind, []).append((i, a))
+    parts = []
+    for members in grouped.values():
+        i, first = members[0]
+        wanted = common(first.schema(table).names, columns)
+        if len(members) == 1:
+            shaped = shape(first.read(table, wanted), ())
+            parts.append(shaped.select(F.lit(i).cast("int").alias(SNAPSHOT), "*"))
+        elif isinstance(first, SqliteArchive):
+            files = [(i, a.path) for i, a in members]
+            parts.append(shape(sqlite.read_many(spark, files, first.info(table), wanted), (SNAPSHOT,)))
+        else:
+            parts.append(_one_scan(spark, members, table, wanted, shape))
     return reduce(lambda x, y: x.unionByName(y), parts) if parts else None
 
 
@@ -183,7 +202,7 @@ def _one_scan(
     schema = members[0][1].schema(table)
     df = spark.read.schema(schema).parquet(*(f"{a.path}/{table}" for _, a in members))
     folder = F.regexp_replace(F.regexp_replace("_metadata.file_path", "/[^/]*$", ""), _SCHEME, "$1:/")
-    shaped = shape(df.select(*common(schema.names, columns), folder.alias("_folder")), ("_folder",))
+    shaped = shape(df.select(*columns, folder.alias("_folder")), ("_folder",))
     names = spark.createDataFrame(folders, f"{SNAPSHOT} int, _name string")
     # One row per snapshot the caller listed.
     joined = shaped.join(F.broadcast(names), F.col("_folder") == F.col("_name"))

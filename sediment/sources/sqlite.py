@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import sqlite3
 import sys
 from collections.abc import Iterator, Sequence
@@ -17,6 +18,8 @@ from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from sediment.specs import SNAPSHOT
+
 # Fixed value: the first bytes of a SQLite file.
 MAGIC = b"SQLite format 3\x00"
 FORMAT = "sediment_sqlite"
@@ -106,8 +109,12 @@ def _has_rowid(c: sqlite3.Connection, table: str) -> bool:
 
 @dataclass
 class RowRange(InputPartition):
-    low: int | None
-    high: int | None
+    """Rows of one file with row ids from `low` to `high`; all rows if there is no row id."""
+
+    snapshot: int
+    path: str
+    low: int | None = None
+    high: int | None = None
 
 
 def fitted(value, kind: T.DataType):
@@ -132,50 +139,64 @@ MISFITS = T.StructType([T.StructField("column", T.StringType()), T.StructField("
 
 
 class SqliteReader(DataSourceReader):
-    def __init__(
-        self, path: str, table: str, schema: T.StructType, has_rowid: bool, rows_per_task: int, count_misfits: bool
-    ):
-        self.path, self.table, self.schema = path, table, schema
-        self.has_rowid, self.rows_per_task, self.count_misfits = has_rowid, rows_per_task, count_misfits
+    """Reads one table of one or more files; a column SNAPSHOT tells the files apart."""
+
+    def __init__(self, options: dict, schema: T.StructType):
+        self.files = json.loads(options["files"])
+        self.table = options["table"]
+        self.has_rowid = options.get("has_rowid", "true") == "true"
+        self.rows_per_task = int(options.get("rows_per_task", ROWS_PER_TASK))
+        self.count_misfits = options.get("misfits", "false") == "true"
+        self.tagged = SNAPSHOT in schema.names
+        self.output = schema
+        self.columns = T.StructType([f for f in schema.fields if f.name != SNAPSHOT])
+        if self.count_misfits:
+            self.columns = catalog(self.files[0][1])[self.table].schema
 
     def partitions(self) -> Sequence[InputPartition]:
         if not self.has_rowid:
-            return [RowRange(None, None)]
-        with connect(self.path) as c:
+            return [RowRange(i, path) for i, path in self.files]
+        return [part for i, path in self.files for part in self._ranges(i, path)]
+
+    def _ranges(self, snapshot: int, path: str) -> list[RowRange]:
+        with connect(path) as c:
             low, high = c.execute(f"select min(rowid), max(rowid) from {quoted(self.table)}").fetchone()
         if low is None:
-            return [RowRange(0, 0)]
+            return [RowRange(snapshot, path, 0, -1)]
         step = max(self.rows_per_task, (high - low) // MAX_TASKS + 1)
-        return [RowRange(a, min(a + step, high + 1)) for a in range(low, high + 1, step)]
+        return [RowRange(snapshot, path, a, min(a + step - 1, high)) for a in range(low, high + 1, step)]
 
     def read(self, partition: RowRange) -> Iterator[pa.RecordBatch]:
-        columns = ", ".join(quoted(f.name) for f in self.schema.fields)
+        columns = ", ".join(quoted(f.name) for f in self.columns.fields) or "null"
         query, bounds = f"select {columns} from {quoted(self.table)}", ()
         if partition.low is not None:
-            query, bounds = f"{query} where rowid between ? and ?", (partition.low, partition.high - 1)
-        connection = connect(self.path)
+            query, bounds = f"{query} where rowid between ? and ?", (partition.low, partition.high)
+        connection = connect(partition.path)
         try:
             cursor = connection.execute(query, bounds)
             while rows := cursor.fetchmany(BATCH_ROWS):
-                yield self.misfit_batch(rows) if self.count_misfits else self.batch(rows)
+                yield self.misfit_batch(rows) if self.count_misfits else self.batch(rows, partition.snapshot)
         finally:
             connection.close()
 
-    def batch(self, rows: list[tuple]) -> pa.RecordBatch:
-        arrow = to_arrow_schema(self.schema)
+    def batch(self, rows: list[tuple], snapshot: int) -> pa.RecordBatch:
+        arrow = to_arrow_schema(self.output)
+        held = dict(zip(self.columns.names, zip(*rows)))
         values = [
-            pa.array([fitted(v, f.dataType) for v in column], arrow_field.type)
-            for column, f, arrow_field in zip(zip(*rows), self.schema.fields, arrow)
+            pa.array([snapshot] * len(rows), arrow.field(f.name).type)
+            if self.tagged and f.name == SNAPSHOT
+            else pa.array([fitted(v, f.dataType) for v in held[f.name]], arrow.field(f.name).type)
+            for f in self.output.fields
         ]
         return pa.RecordBatch.from_arrays(values, schema=arrow)
 
     def misfit_batch(self, rows: list[tuple]) -> pa.RecordBatch:
         lost = [
             sum(v is not None and fitted(v, f.dataType) is None for v in column)
-            for column, f in zip(zip(*rows), self.schema.fields)
+            for column, f in zip(zip(*rows), self.columns.fields)
         ]
         return pa.RecordBatch.from_arrays(
-            [pa.array(self.schema.names), pa.array(lost, pa.int64())], schema=to_arrow_schema(MISFITS)
+            [pa.array(self.columns.names), pa.array(lost, pa.int64())], schema=to_arrow_schema(MISFITS)
         )
 
 
@@ -185,23 +206,10 @@ class SqliteSource(DataSource):
         return FORMAT
 
     def schema(self) -> T.StructType:
-        return MISFITS if self.counts() else self.table_schema()
-
-    def counts(self) -> bool:
-        return self.options.get("misfits", "false") == "true"
-
-    def table_schema(self) -> T.StructType:
-        return catalog(self.options["path"])[self.options["table"]].schema
+        return catalog(json.loads(self.options["files"])[0][1])[self.options["table"]].schema
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        return SqliteReader(
-            self.options["path"],
-            self.options["table"],
-            self.table_schema() if self.counts() else schema,
-            self.options.get("has_rowid", "true") == "true",
-            int(self.options.get("rows_per_task", ROWS_PER_TASK)),
-            self.counts(),
-        )
+        return SqliteReader(dict(self.options), schema)
 
 
 def register(spark: SparkSession) -> None:
@@ -210,6 +218,13 @@ def register(spark: SparkSession) -> None:
     spark.dataSource.register(SqliteSource)
 
 
+def _scan(spark: SparkSession, files: Sequence[tuple[int, str]], info: TableInfo, schema: T.StructType, **options):
+    register(spark)
+    absolute = [[i, str(Path(path).absolute())] for i, path in files]
+    reader = spark.read.format(FORMAT).schema(schema).option("files", json.dumps(absolute)).option("table", info.name)
+    return reader.option("has_rowid", "true" if info.has_rowid else "false").options(**options).load()
+
+
 def read(
     spark: SparkSession,
     path: str,
@@ -217,30 +232,20 @@ def read(
     columns: Sequence[str] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """A table of the file; only `columns` leave it."""
-    register(spark)
+    """A table of one file; only `columns` leave it."""
     wanted = info.schema if columns is None else T.StructType([info.schema[c] for c in columns])
-    return (
-        spark.read.format(FORMAT)
-        .schema(wanted)
-        .option("path", str(Path(path).absolute()))
-        .option("table", info.name)
-        .option("has_rowid", "true" if info.has_rowid else "false")
-        .option("rows_per_task", rows_per_task)
-        .load()
-    )
+    return _scan(spark, [(0, path)], info, wanted, rows_per_task=rows_per_task)
+
+
+def read_many(
+    spark: SparkSession, files: Sequence[tuple[int, str]], info: TableInfo, columns: Sequence[str]
+) -> DataFrame:
+    """A table of several files of the same schema in one scan, with SNAPSHOT ahead of the columns."""
+    fields = [T.StructField(SNAPSHOT, T.IntegerType()), *(info.schema[c] for c in columns)]
+    return _scan(spark, files, info, T.StructType(fields))
 
 
 def misfits(spark: SparkSession, path: str, info: TableInfo) -> DataFrame:
     """(column, n): how many values of each column become null because they are of another type."""
-    register(spark)
-    counted = (
-        spark.read.format(FORMAT)
-        .schema(MISFITS)
-        .option("path", str(Path(path).absolute()))
-        .option("table", info.name)
-        .option("has_rowid", "true" if info.has_rowid else "false")
-        .option("misfits", "true")
-        .load()
-    )
+    counted = _scan(spark, [(0, path)], info, MISFITS, misfits="true")
     return counted.groupBy("column").agg(F.sum("n").alias("n")).where("n > 0")

@@ -254,7 +254,7 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "merge_messages_latest": "select c._id as chat_id, j.raw_string, a.last_id, a.latest, a.n as n_messages"
         " from t_chat c join activity a on a.chat_row_id = c._id join t_jid j on j._id = c.jid_row_id",
-        "scan_snapshots_union": "select d.snapshot_id, k.merge_rank, d._id as old_id, d.key_id, d.timestamp, d.status"
+        "scan_snapshots_union": "select d.snapshot_id, cast(k.merge_rank as int) as merge_rank, d._id as old_id, d.key_id, d.timestamp, d.status"
         " from d_message d join ranks k on k.snapshot_id = d.snapshot_id",
         "align_common_columns": aligned,
         "source_validation": f"select *, case when max_ts >= 0 then 1 else 0 end as is_valid from ({by_fifth}) as q",

@@ -3,7 +3,7 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from sediment.errors import DuplicateKey, InvalidSnapshot
-from sediment.operators.align import align, cast_losses, common_columns
+from sediment.operators.align import align, cast_losses, common_columns, lossy_columns
 from sediment.operators.checks import assert_unique, duplicates, split_nulls
 from sediment.operators.dedupe import distinct_on_all, first_per_key, keyed_distinct
 from sediment.operators.ids import assign_ordered_ids, number_within
@@ -176,7 +176,8 @@ def test_align_fills_drops_and_converts(frame):
     got = align(df, base, {"extra": "d"})
     assert got.columns == ["old_id", "name", "n", "extra"]
     assert rows(got) == [(1, "a", 5, "d"), (2, "b", None, "d")]
-    assert cast_losses(df, base).first().asDict() == {"n": 1}
+    assert rows(cast_losses(df, base)) == [("n", 1)]
+    assert lossy_columns(df.schema, base) == ["n"]
     assert common_columns(df.columns, base.names) == ["n", "name"]
 
 

@@ -146,6 +146,17 @@ def test_many_snapshots_by_one_scan(spark, tmp_path, frame):
     assert scans(apart) == 6 and scans(at_once) == 2
 
 
+def test_many_files_by_one_scan(spark, tmp_path, frame):
+    files = [(i, SqliteArchive(spark, make_file(tmp_path / f"{i}.db", i * 1000, 500))) for i in range(5)]
+    base = files[0][1].schema("message")
+    shape = lambda df, keep: align(df, base, None, keep)
+    for columns in (base.names, ["key_id"]):
+        apart = read_union(spark, files, "message", columns, shape)
+        at_once = read_union(spark, files, "message", columns, shape, separate_scans=1)
+        assert rows(apart) == rows(at_once, *apart.columns) and apart.count() == 250
+    assert at_once._jdf.queryExecution().optimizedPlan().toString().count("sediment_sqlite") == 1
+
+
 def test_output_must_not_touch_inputs(spark, tmp_path):
     check_output(spark, str(tmp_path / "out"), [str(tmp_path / "in")])
     for out, source in (("a", "a"), ("a", "a/b"), ("a/b", "a")):
