@@ -112,6 +112,10 @@ class Merge:
     # -- reading -----------------------------------------------------------------------------
 
     def _rank(self) -> list[RankedSnapshot]:
+        for a in self.archives.values():
+            if "message" in a.tables() and TIME in a.schema("message").names:
+                if isinstance(a.schema("message")[TIME].dataType, T.FractionalType):
+                    raise InvalidSnapshot(f"message times are not whole numbers in: {a.path}")
         times = read_union(
             self.spark,
             [(i, a) for i, a in self.archives.items() if "message" in a.tables()],

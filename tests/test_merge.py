@@ -215,6 +215,19 @@ def test_column_and_table_differences(spark, frame):
     assert "b: frequent skipped, no common columns" in notes
 
 
+def test_an_id_that_is_not_first_is_kept(spark, frame):
+    base, older = small(spark), small(spark, "b", 40)
+    for a, shift in ((base, 0), (older, 100)):
+        a.frames = {
+            **a.frames,
+            "labels": frame("label_name string, _id long", ("x", shift + 7), (f"y{shift}", shift + 9)),
+            "labeled": frame("label_id long, note string", (shift + 7, "a"), (shift + 9, "b")),
+        }
+    result = merge_archives(spark, [base, older])
+    assert rows(result.tables["labels"]) == [("x", 7), ("y0", 9), ("y100", 109)]
+    assert rows(result.tables["labeled"]) == [(7, "a"), (7, "a"), (9, "b"), (109, "b")]
+
+
 def test_a_missing_main_table_resolves_nothing(spark):
     base, older = small(spark), small(spark, "b", 40)
     older.frames = {k: v for k, v in older.frames.items() if k != "chat"}
@@ -240,5 +253,8 @@ def test_stops_on_bad_input(spark, frame):
         merge_archives(spark, [small(spark), small(spark, "empty", message=[])])
     with pytest.raises(ValueError):
         merge_archives(spark, [])
+    real = frame("_id long, timestamp double", (1, 5.0))
+    with pytest.raises(InvalidSnapshot, match="whole numbers in: real"):
+        merge_archives(spark, [FrameArchive("real", {"message": real})])
     with pytest.raises(ValueError, match="map_mode"):
         merge_archives(spark, [small(spark)], map_mode="other")
