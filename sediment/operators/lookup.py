@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sediment.functions.expressions import any_null
+
 # A table of at most this many bytes may be sent to every executor.
 BROADCAST_BYTES = 32 << 20
 # At most this many keys are split. With so many tracked, every key with 0.4 % of the rows is among them.
@@ -83,11 +85,12 @@ def lookup(
     return _salted(left, small, keys, hot, how, tuple(spread) or tuple(left.columns))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Hashes (`_hot`) of the keys that hold a large share of the rows, at most HOT_KEYS of them.
+def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
+    """Hashes of the keys that hold a large share of the rows, at most HOT_KEYS of them.
 
     One pass over the keys. Each task keeps a sketch of frequent items; sketches are merged in two steps,
-    so the number of tasks does not matter.
+    so the number of tasks does not matter. The hashes come to the driver because both sides of a join must
+    see the very same ones, and a second run of the sketches may differ at the margin.
     """
     hashes = df.dropna(subset=list(keys)).select(F.xxhash64(*keys).alias("_h"))
     group = F.pmod(F.spark_partition_id(), F.lit(256)).alias("_g")
@@ -95,31 +98,19 @@ def hot_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     # Grouped by a constant: without rows there is no group, where a plain aggregate would have no sketch to read.
     merged = partial.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(_s, {TRACKED_KEYS})").alias("_s"))
     top = merged.select(F.inline(F.expr(f"approx_top_k_estimate(_s, {HOT_KEYS})")))
-    return top.select(F.col("item").alias("_hot"))
+    return [r["item"] for r in top.select("item").collect()]
 
 
 def _salted(
-    left: DataFrame, small: DataFrame, keys: dict, hot: DataFrame, how: str, spread: tuple[str, ...]
+    left: DataFrame, small: DataFrame, keys: dict, hot: list[int], how: str, spread: tuple[str, ...]
 ) -> DataFrame:
     left_keys = [lk for lk, _ in keys.values()]
-    tagged = left.withColumn("_h", F.xxhash64(*left_keys))
-
-    no_key = F.lit(False)
-    for key in left_keys:
-        no_key = no_key | F.col(key).isNull()
+    no_key = any_null(left_keys)
     bucket = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    salted = (
-        tagged.join(F.broadcast(hot), F.col("_h") == F.col("_hot"), "left")
-        .withColumn("_salt", F.when(no_key | F.col("_hot").isNotNull(), bucket).otherwise(0))
-        .drop("_h", "_hot")
-    )
-    copies = F.when(F.col("_hot").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copied = (
-        small.withColumn("_h", F.xxhash64(*keys))
-        .join(F.broadcast(hot), F.col("_h") == F.col("_hot"), "left")
-        .withColumn("_rsalt", F.explode(copies))
-        .drop("_h", "_hot")
-    )
+    split = no_key | F.xxhash64(*left_keys).isin(hot)
+    salted = left.withColumn("_salt", F.when(split, bucket).otherwise(0))
+    copies = F.when(F.xxhash64(*keys).isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    copied = small.withColumn("_rsalt", F.explode(copies))
     condition = [salted[lk] == copied[k] for k, (lk, _) in keys.items()]
     joined = salted.join(copied, [*condition, salted["_salt"] == copied["_rsalt"]], how)
     return joined.drop("_salt", "_rsalt", *keys)
