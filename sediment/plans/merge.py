@@ -304,32 +304,45 @@ class Merge:
         return good
 
     def minor_table(self, table: str) -> DataFrame:
-        """All snapshots' rows of a minor table, remapped; one per key only where the store declares one."""
+        """All snapshots' rows of a minor table, remapped; one per key only where the store declares one.
+
+        If its rows have ids, the columns that decide anything go first and the others are joined to them.
+        """
         spec, names = self.spec(table), self.base_schema(table).names
-        rows = self.union(table)
-        if rows is None:
+        sharing = self.sharing(table)
+        if not sharing:
             return self.empty(table)
-        numbered = OLD_ID in rows.columns and all(ID in a.schema(table).names for _, a in self.sharing(table))
-        order = [c for c in ([RANK, OLD_ID] if numbered else [RANK, *sorted(names)]) if c in rows.columns]
-        keys = [k for k in spec.keys if set(k) <= set(rows.columns)]
-        top = FREQUENT.get(table) if FREQUENT.get(table) in names else None
         renumber = has_surrogate(names)
-        whole = not (keys or top or set(spec.not_null) & set(names))
+        numbered = ID in names and all(ID in a.schema(table).names for _, a in sharing)
+        columns = [c for c in names if not (renumber and c == ID)]
+        keys = [k for k in spec.keys if set(k) <= set(columns)]
+        checked = [c for c in spec.not_null if c in columns]
+        top = FREQUENT.get(table) if FREQUENT.get(table) in columns else None
+        whole = not (keys or checked or top)
+        needed = columns
+        if numbered and renumber:
+            deciding = {*foreign_keys(table, columns), *checked, *(c for k in keys for c in k)}
+            deciding |= {top, "message_count"} if top else set()
+            needed = [c for c in columns if c in deciding]
+        order = [RANK, OLD_ID] if numbered else [RANK, *sorted(needed)]
 
+        rows = self.union(table, needed)
         if renumber and whole:
             # No row goes, so ids are given on the plain scan and the sort repeats no join.
             rows, _ = assign_ordered_ids(rows, order, self.staging, f"{table}_minor", ID)
-        rows = remap(rows, table, self.maps, limit=self.limit, row_ids=numbered)
-        if whole:
-            return rows.select(*names)
-        if not all(self.maps[r.target].fits(self.limit) for r in self._targets(table, names)):
-            rows = self.staging.write(f"{table}_remapped", rows)
-        rows, _ = split_nulls(rows, spec.not_null)
-        rows = self._distinct(table, spec, rows, keys, order, ROW if numbered else None)
-        if top:
-            rows = derive.most_frequent(rows, top, order)
-        if renumber:
-            rows, _ = assign_ordered_ids(rows, order, self.staging, f"{table}_minor", ID)
+        rows = remap(rows, table, self.maps, needed, limit=self.limit, row_ids=numbered)
+        if not whole:
+            if not all(self.maps[r.target].fits(self.limit) for r in self._targets(table, needed)):
+                rows = self.staging.write(f"{table}_remapped", rows)
+            rows, _ = split_nulls(rows, checked)
+            rows = self._distinct(table, spec, rows, keys, order, ROW if numbered else None)
+            if top:
+                rows = derive.most_frequent(rows, top, order)
+            if renumber:
+                rows, _ = assign_ordered_ids(rows, order, self.staging, f"{table}_minor", ID)
+        rest = [c for c in columns if c not in needed]
+        if rest:
+            rows = rows.join(self.union(table, rest).select(*ROW, *rest), list(ROW), "inner")
         return rows.select(*names)
 
     def _targets(self, table: str, columns: Sequence[str]) -> list[FkRule]:
