@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import decontaminate, mixing, quality, simhash
+from sediment.llm import decontaminate, html_text, licenses, line_dedup, mixing, quality, secrets, simhash, token_counts, toxicity
+
+# Folder of public tokenizers' vocabulary files.
+TOKENIZERS = "/opt/tokenizers"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,19 +31,73 @@ def op1_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, folder, "documents"))
+
+
+def op3_html_extraction(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_text(table(spark, folder, "pages"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     return quality.judge(docs, drop_text=True).select("doc.doc_id", *quality.COUNTS, "base_failed", "kept")
 
 
+def op5_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op6_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scan_secrets(table(spark, folder, "documents"))
+    spans, kinds = F.col("spans"), F.array(*map(F.lit, secrets.KINDS))
+    base = F.filter(spans, lambda s: s.kind < len(secrets.BASE))
+
+    def joined(some: Column) -> Column:
+        return F.array_join(F.transform(some, lambda s: F.concat_ws(":", F.get(kinds, s.kind), s.start, s.end)), ",")
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter(spans, lambda s: s.kind == kind)).cast("long")
+
+    return found.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(
+        "doc_id",
+        *(number(i).alias(f"n_{kind}") for i, kind in enumerate(secrets.BASE)),
+        F.sha2(joined(base), 256).alias("base_sha256"),
+        joined(spans).alias("spans"),
+        F.size(F.filter(spans, lambda s: s.live)).cast("long").alias("n_live"),
+    )
+
+
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    found = line_dedup.dedup_lines(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select("row.doc_id", "n_lines", "n_removed", "text")
+
+
+def op9_token_counts(spark: SparkSession, folder: str, model: str | None = None) -> DataFrame:
+    vocabulary = token_counts.Vocabulary.from_sentencepiece(model or f"{TOKENIZERS}/piece_bpe_32k.model")
+    return token_counts.count_tokens(table(spark, folder, "documents"), vocabulary)
+
+
 def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_decontamination, op4_quality_rules, op6_simhash, op10_mixing)}
+    registered = (
+        op1_decontamination,
+        op2_license_scan,
+        op3_html_extraction,
+        op4_quality_rules,
+        op5_toxicity,
+        op6_simhash,
+        op7_secret_scan,
+        op8_line_dedup,
+        op9_token_counts,
+        op10_mixing,
+    )
+    return {f.__name__: f for f in registered}

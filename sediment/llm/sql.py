@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from sediment.llm.licenses import EQUIVALENT, KNOWN
+
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP1 = f"""
@@ -128,5 +130,73 @@ FROM placed LEFT JOIN cut USING (row_id)
 """
 
 
+
+def canonical_sql(column: str) -> str:
+    out = f"regexp_replace(lower({column}), '(^|\\n)[ \\t]*(copyright|\\(c\\)|©)[^\\n]*', ' ', 'g')"
+    for one, other in EQUIVALENT:
+        out = f"replace({out}, '{one}', '{other}')"
+    out = f"regexp_replace({out}, '\\b(version|ver|v)[. ]*([0-9])', '\\2', 'g')"
+    return f"trim(regexp_replace({out}, '[^a-z0-9\\x{{80}}-\\x{{10FFFF}}]+', ' ', 'g'), ' ')"
+
+
+def op2() -> str:
+    known = ", ".join(f"('{license}', '{text}')" for license, text in KNOWN)
+    return f"""
+WITH given AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS row_id FROM documents
+), known AS (
+  SELECT DISTINCT license, {canonical_sql("text")} AS form FROM (VALUES {known}) AS v(license, text)
+), units AS (
+  SELECT row_id, 0 AS no, text AS unit FROM given
+  UNION ALL
+  SELECT row_id, no, parts[no] FROM (
+    SELECT row_id, parts, unnest(range(1, len(parts) + 1)) AS no FROM (SELECT row_id, string_split(text, chr(10)) AS parts FROM given)
+  )
+), hits AS (SELECT DISTINCT row_id, no, license FROM units JOIN known ON {canonical_sql("unit")} = form AND form <> ''
+), summed AS (
+  SELECT row_id, string_agg(DISTINCT license, ',' ORDER BY license) FILTER (no = 0) AS w,
+         string_agg(DISTINCT license, ',' ORDER BY license) FILTER (no > 0) AS l,
+         count(DISTINCT no) FILTER (no > 0) AS n
+  FROM hits GROUP BY row_id
+)
+SELECT doc_id, coalesce(w, '') AS whole_licenses, coalesce(l, '') AS line_licenses, CAST(coalesce(n, 0) AS BIGINT) AS n_lines,
+       w IS NOT NULL OR l IS NOT NULL AS licensed
+FROM given LEFT JOIN summed USING (row_id)
+"""
+
+
+OP8 = f"""
+WITH given AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS parts, row_number() OVER (ORDER BY doc_id NULLS LAST) AS row_id
+  FROM documents
+), lines AS (
+  SELECT row_id, no, parts[no] AS line,
+         regexp_extract_all(translate(parts[no], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+  FROM (SELECT row_id, parts, unnest(range(1, len(parts) + 1)) AS no FROM given)
+), distinct_lines AS (
+  SELECT w, min((row_id, no)) AS at, row_number() OVER () AS line_id FROM lines WHERE len(w) > 0 GROUP BY w
+), tokens AS (
+  SELECT DISTINCT line_id, list_slice(w, p, p + 4) AS token
+  FROM (SELECT line_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM distinct_lines)
+), sizes AS (SELECT line_id, count(*) AS n FROM tokens GROUP BY line_id
+), common AS (
+  SELECT a.line_id AS a, b.line_id AS b, count(*) AS c FROM tokens AS a JOIN tokens AS b USING (token)
+  WHERE a.line_id <> b.line_id GROUP BY ALL
+), matched AS (
+  SELECT DISTINCT a FROM common JOIN sizes AS x ON x.line_id = a JOIN sizes AS y ON y.line_id = b
+  JOIN distinct_lines AS p ON p.line_id = a JOIN distinct_lines AS q ON q.line_id = b
+  WHERE 9 * c >= 4 * (x.n + y.n) AND q.at < p.at
+), gone AS (
+  SELECT row_id, no FROM lines JOIN distinct_lines AS d USING (w)
+  WHERE (row_id, no) <> d.at OR line_id IN (SELECT a FROM matched)
+), kept AS (
+  SELECT row_id, string_agg(line, chr(10) ORDER BY no) AS text, count(*) AS n
+  FROM lines LEFT JOIN gone USING (row_id, no) WHERE gone.no IS NULL GROUP BY row_id
+)
+SELECT doc_id, CAST(coalesce(len(parts), 0) AS BIGINT) AS n_lines, CAST(coalesce(len(parts), 0) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       CASE WHEN given.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text
+FROM given LEFT JOIN kept USING (row_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op4_quality_rules": OP4, "op10_mixing": OP10}
+    return {"op1_decontamination": OP1, "op2_license_scan": op2(), "op4_quality_rules": OP4, "op8_line_dedup": OP8, "op10_mixing": OP10}
