@@ -1,6 +1,6 @@
 """Line dedup: an exact set-similarity join of lines, after which later matches go.
 
-A line's tokens are its distinct five-word shingles (all its words if it has fewer). Tokens are ordered by rarity, lines
+Lines equal in their words are one line. A line's tokens are its distinct five-word shingles (all its words if it has fewer). Tokens are ordered by rarity, lines
 whose prefixes share a token and that pass the length and positional filters are candidates, and their Jaccard
 similarity is verified on their words. Rarity comes from a counting sketch of fixed size: the order of tokens
 decides how few candidates there are, never which matches are found.
@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -26,7 +26,7 @@ SIMILAR = (4, 5)
 # Counters of the rarity sketch, 8 bytes each on the driver and in every task.
 SKETCH_BITS = 18
 # Bytes of text hashed at a time, and line keys a task remembers to send a repeated line's tokens once.
-CHUNK = 1 << 20
+CHUNK = 1 << 17
 REMEMBERED = 1 << 20
 
 # Fixed odd multipliers of the word, shingle and line hashes.
@@ -131,6 +131,28 @@ def sketch(texts: DataFrame, shingle: int = SHINGLE, bits: int = SKETCH_BITS) ->
     return out
 
 
+def levels(counters: np.ndarray) -> np.ndarray:
+    """Rarity in 256 steps: eighths of powers of two."""
+    return np.minimum(8 * np.log2(counters + 1.0), 255).astype(np.uint64)
+
+
+def rarest_first(found: np.ndarray, where: np.ndarray, rarity: np.ndarray, bits: int) -> np.ndarray:
+    """The order of tokens by line, then rarity, then hash.
+
+    One sort of 20 bits of line, 8 of rarity and 36 of hash; where that leaves different tokens alike, or lines are
+    too many, a slower sort of all bits.
+    """
+    rare = rarity[(found >> np.uint64(64 - bits)).astype(np.int64)]
+    line = where.astype(np.uint64)
+    if len(line) and line[-1] < 1 << 20 and line.max() < 1 << 20:
+        key = (line << np.uint64(44)) | (rare << np.uint64(36)) | (found >> np.uint64(28))
+        order = np.argsort(key)
+        key, sorted_found = key[order], found[order]
+        if not ((key[1:] == key[:-1]) & (sorted_found[1:] != sorted_found[:-1])).any():
+            return order
+    return np.lexsort((found, rare, line))
+
+
 def prefix_length(n: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
     """Two sets this similar share one of so many first tokens of each."""
     num, den = similar
@@ -141,7 +163,7 @@ def line_rows(rows: DataFrame, counters: np.ndarray, shingle: int, similar: tupl
     """A row for each line with a word: `doc_id`, `text_key`, `no`, `k1`, `k2` (its words' hashes), `n` tokens, and
     `prefix`, the rarest tokens in order; empty if the same task has sent the line before."""
     bits = len(counters).bit_length() - 1
-    shared = rows.sparkSession.sparkContext.broadcast(np.minimum(counters, (1 << 32) - 1).astype(np.uint64))
+    shared = rows.sparkSession.sparkContext.broadcast(levels(counters))
     names = ["doc_id", "text_key", "no", "k1", "k2", "n", "prefix"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,8 +174,7 @@ def line_rows(rows: DataFrame, counters: np.ndarray, shingle: int, similar: tupl
                 if not len(words):
                     continue
                 found, where = hasher.tokens(words, lines)
-                rare = (where.astype(np.uint64) << np.uint64(32)) | rarity[(found >> np.uint64(64 - bits)).astype(np.int64)]
-                order = np.lexsort((found, rare))
+                order = rarest_first(found, where, rarity, bits)
                 found, where = found[order], where[order]
                 new = np.concatenate(([True], (found[1:] != found[:-1]) | (where[1:] != where[:-1])))
                 found, where = found[new], where[new]
@@ -192,31 +213,93 @@ def line_rows(rows: DataFrame, counters: np.ndarray, shingle: int, similar: tupl
     return rows.mapInArrow(run, schema)
 
 
-def candidates(lines: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """`a`, `b`: `k1` of lines that may be similar, each pair once.
+def shared_tokens(lines: DataFrame) -> DataFrame:
+    """`token`, `k1`, `n`, `i` (place in the prefix) of tokens in the prefixes of several lines, and `hub`, the earliest of those.
 
-    One shuffle by token serves both the removal of repeated rows and the self-join.
+    One shuffle by token; what one line alone has, most of it, ends here.
     """
+    tokens = lines.where(F.size("prefix") > 0).select("k1", "n", "doc_id", F.posexplode("prefix").alias("i", "token"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
+    tokens = tokens.select("token", "k1", "n", "i", place.alias("at")).repartition("token")
+    # Tasks that met the same line sent it once each.
+    tokens = tokens.groupBy("token", "k1").agg(F.min("n").alias("n"), F.min("i").alias("i"), F.min("at").alias("at"))
+    together = Window.partitionBy("token")
+    hub = F.min(F.struct("at", "k1", "n", "i")).over(together)
+    marked = tokens.withColumns({"lines": F.count(F.lit(1)).over(together), "hub": hub}).where("lines > 1")
+    return marked.select("token", "k1", "n", "i", F.col("hub.k1").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.i").alias("hub_i"))
+
+
+def may_match(n: Column, i: Column, m: Column, j: Column, similar: tuple[int, int]) -> Column:
+    """Length and positional filter of lines with `n` and `m` tokens whose first shared one is at `i` and `j`."""
     num, den = similar
-    tokens = lines.where(F.size("prefix") > 0).select("k1", "n", F.posexplode("prefix").alias("i", "token"))
-    tokens = tokens.select("token", "k1", "n", "i").repartition("token").distinct()
-    left = tokens.select("token", F.col("k1").alias("a"), F.col("n").alias("na"), F.col("i").alias("ia"))
-    right = tokens.select(F.col("token").alias("t"), F.col("k1").alias("b"), F.col("n").alias("nb"), F.col("i").alias("ib"))
-    rest = F.least(F.col("na") - F.col("ia"), F.col("nb") - F.col("ib"))
-    near = (
-        (F.col("a") < F.col("b"))
-        & (F.least("na", "nb") * den >= F.greatest("na", "nb") * num)
-        & (rest * (num + den) >= (F.col("na") + F.col("nb")) * num)
-    )
-    return left.join(right, (F.col("token") == F.col("t")) & near).select("a", "b").distinct()
+    enough = F.least(n - i, m - j) * (num + den) >= (n + m) * num
+    return (F.least(n, m) * den >= F.greatest(n, m) * num) & enough
+
+
+def _unordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
+    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
-def shingles(line: Column, shingle: int) -> Column:
-    words = split_words(lower_ascii(whole(line)), SPACES)
+def shingles(words: Column, shingle: int) -> Column:
+    """The distinct shingles of a column (no expression, which would be evaluated for each of them) of words."""
     last = F.greatest(F.size(words) - shingle + 1, F.lit(1))
     return F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(words, i, shingle), " ")))
 
 
+def _texts(rows: DataFrame, firsts: DataFrame, keys: DataFrame, staging: Staging) -> DataFrame:
+    """`k1`, `k2`, `at` (place) and `words` of the lines with `keys`, from the documents they are first in."""
+    wanted = firsts.join(keys, "k1", "left_semi").select("k1", "k2", "first", "first.doc_id", "first.text_key", "first.no")
+    listed = wanted.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k")).agg(
+        F.collect_list(F.struct("no", "k1", "k2", F.col("first").alias("at"))).alias("lines")
+    )
+    of_doc = staging.write("of_doc", listed)
+    sized = Sized.of(of_doc.select("d", "k", F.to_json("lines").alias("lines")))
+    other = F.broadcast(of_doc) if sized.fits() else of_doc
+    held = rows.join(other, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
+    held = held.select(F.split("text", "\n", -1).alias("all"), F.explode("lines").alias("l"))
+    held = held.select("l.k1", "l.k2", "l.at", split_words(lower_ascii(F.get("all", F.col("l.no"))), SPACES).alias("words"))
+    # Rows equal in id and text bring the same line more than once.
+    return staging.write("held", held.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.min("words").alias("words")))
+
+
+def _matched(pairs: DataFrame, held: DataFrame, shingle: int, similar: tuple[int, int]) -> DataFrame:
+    """`k1`, `k2` of the later line of each pair that is similar by its words."""
+    a, b = (held.select(*(F.col(c).alias(f"{c}_{x}") for c in held.columns)) for x in "ab")
+    both = pairs.join(a, F.col("a") == F.col("k1_a")).join(b, F.col("b") == F.col("k1_b"))
+    num, den = similar
+    sets = F.array(F.struct(shingles(F.col("words_a"), shingle).alias("x"), shingles(F.col("words_b"), shingle).alias("y")))
+    # Through an array, so that each set is made once.
+    enough = F.transform(
+        sets, lambda s: F.size(F.array_intersect(s.x, s.y)) * (num + den) >= (F.size(s.x) + F.size(s.y)) * num
+    )
+    later = F.when(F.col("at_a") > F.col("at_b"), F.struct(F.col("k1_a").alias("k1"), F.col("k2_a").alias("k2")))
+    later = later.otherwise(F.struct(F.col("k1_b").alias("k1"), F.col("k2_b").alias("k2")))
+    return both.where(F.get(enough, F.lit(0))).select(later.alias("l")).select("l.*").distinct()
+
+
+def matching_lines(
+    rows: DataFrame, lines: DataFrame, firsts: DataFrame, staging: Staging, shingle: int, similar: tuple[int, int]
+) -> DataFrame:
+    """`k1`, `k2` of the lines with a similar earlier one.
+
+    First each line meets the earliest line of each of its tokens, as many pairs as rows. That settles nearly all of a
+    group of near copies; only lines it leaves open are joined with all lines that share a token.
+    """
+    shared = staging.write("shared", shared_tokens(lines))
+    held = _texts(rows, firsts, shared.select("k1").distinct(), staging)
+    c = F.col
+    hubs = shared.where((c("k1") != c("hub")) & may_match(c("n"), c("i"), c("hub_n"), c("hub_i"), similar))
+    settled = staging.write("settled", _matched(_unordered(hubs, "k1", "hub"), held, shingle, similar))
+    flags = settled.select("k1").distinct().withColumn("done", F.lit(True))
+    flagged = staging.write("flagged", shared.select("token", "k1", "n", "i").join(flags, "k1", "left"))
+    other = flagged.select(c("token").alias("t"), c("k1").alias("b"), c("n").alias("m"), c("i").alias("j"), c("done").alias("b_done"))
+    # Of two open lines one order is enough.
+    apart = c("b_done").isNotNull() | (c("k1") < c("b"))
+    on = (c("token") == c("t")) & (c("k1") != c("b")) & apart & may_match(c("n"), c("i"), c("m"), c("j"), similar)
+    rest = _unordered(flagged.where("done is null").join(other, on), "k1", "b")
+    return settled.unionByName(staging.write("rest", _matched(rest, held, shingle, similar))).distinct()
+
+
 def removed_lines(
     docs: DataFrame,
     staging: Staging,
@@ -232,28 +315,10 @@ def removed_lines(
     lines = staging.write("lines", line_rows(rows, counters, shingle, similar))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "no")
     firsts = staging.write("firsts", lines.groupBy("k1", "k2").agg(F.min(place).alias("first")))
-    pairs = staging.write("pairs", candidates(lines, similar))
-
-    # The texts of candidate lines, from the documents they are first in.
-    wanted = firsts.join(pairs.select(F.explode(F.array("a", "b")).alias("k1")).distinct(), "k1", "left_semi")
-    wanted = wanted.select("k1", "k2", F.col("first.doc_id").alias("d"), F.col("first.text_key").alias("k"), F.col("first.no").alias("no"))
-    of_doc = staging.write("of_doc", wanted.groupBy("d", "k").agg(F.collect_list(F.struct("no", "k1", "k2")).alias("lines")))
-    small = F.broadcast(of_doc) if Sized.of(of_doc.withColumn("lines", F.to_json("lines"))).fits() else of_doc
-    held = rows.join(small, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
-    held = held.select("d", "k", F.split(F.col("text"), "\n", -1).alias("all"), F.explode("lines").alias("l"))
-    held = held.select("l.k1", "l.k2", F.struct(F.col("d").isNull().alias("none"), F.col("d").alias("doc_id"), F.col("k").alias("text_key"), F.col("l.no").alias("no")).alias("at"), F.col("all")[F.col("l.no")].alias("line"))
-    # Rows equal in id and text bring the same line more than once.
-    held = staging.write("held", held.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.min("line").alias("line")))
-    a = held.select(F.col("k1").alias("a"), F.col("at").alias("at_a"), F.col("line").alias("line_a"), F.col("k2").alias("a2"))
-    b = held.select(F.col("k1").alias("b"), F.col("at").alias("at_b"), F.col("line").alias("line_b"), F.col("k2").alias("b2"))
-    both = pairs.join(a, "a").join(b, "b")
-    sets = both.select("a", "a2", "b", "b2", "at_a", "at_b", shingles(F.col("line_a"), shingle).alias("x"), shingles(F.col("line_b"), shingle).alias("y"))
-    num, den = similar
-    same = F.size(F.array_intersect("x", "y")) * (num + den) >= (F.size("x") + F.size("y")) * num
-    later = F.col("at_a") > F.col("at_b")
-    bad = sets.where(same).select(F.when(later, F.col("a")).otherwise(F.col("b")).alias("k1"), F.when(later, F.col("a2")).otherwise(F.col("b2")).alias("k2"))
-    verdicts = firsts.join(staging.write("bad", bad.distinct()).withColumn("bad", F.lit(True)), ["k1", "k2"], "left")
-    gone = lines.drop("prefix", "n").join(verdicts, ["k1", "k2"]).where(F.col("bad").isNotNull() | (place != F.col("first")) | ~place.eqNullSafe(F.col("first")))
+    bad = matching_lines(rows, lines, firsts, staging, shingle, similar)
+    verdicts = firsts.join(bad.withColumn("bad", F.lit(True)), ["k1", "k2"], "left")
+    copies = lines.drop("prefix", "n").join(verdicts, ["k1", "k2"])
+    gone = copies.where(F.col("bad").isNotNull() | ~place.eqNullSafe(F.col("first")))
     return staging.write("gone", gone.groupBy("doc_id", "text_key").agg(F.collect_set("no").alias("gone")))
 
 
@@ -269,11 +334,11 @@ def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", **opti
     staging = Staging(docs.sparkSession)
     gone = removed_lines(docs, staging, doc, text, **options).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), "gone")
     sized = Sized.of(gone.select("_d", "_k", F.to_json("gone").alias("g")))
-    given = docs.select(F.struct("*").alias("row"), F.col(doc).alias("_id"), F.col(text).cast("string").alias("text"))
-    on = F.col("_id").eqNullSafe(F.col("_d")) & (text_key(F.col("text")) == F.col("_k"))
+    given = docs.select(F.struct("*").alias("row"))
+    t = F.col(f"row.`{text}`").cast("string")
+    on = F.col(f"row.`{doc}`").eqNullSafe(F.col("_d")) & (text_key(t) == F.col("_k"))
     joined = given.join(F.broadcast(gone) if sized.fits() else gone, on, "left")
-    lines = F.split("text", "\n", -1)
-    split = joined.select("row", "text", lines.alias("all"), "gone")
+    split = joined.select("row", t.alias("text"), F.split(t, "\n", -1).alias("all"), "gone")
     stays = F.array_except(F.sequence(F.lit(0), F.size("all") - 1), F.col("gone"))
     kept = F.array_join(F.transform(stays, lambda i: F.get(F.col("all"), i)), "\n")
     return split.select(

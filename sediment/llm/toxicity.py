@@ -8,6 +8,7 @@ of each toxic one that scores highest, against windows of clean ones.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -38,37 +39,31 @@ class ToxicityParams:
     seed: int = 42
 
 
-@dataclass
-class Bags:
-    """N-gram buckets of the words of many texts: `grams` with the `word` of each, and the `text` of each word."""
+WORD = re.compile("[a-z0-9\x80-\U0010ffff]+")
 
-    grams: np.ndarray
-    word: np.ndarray
-    text: np.ndarray
-    # N-grams of each word.
-    sizes: np.ndarray
 
+def word_grams(texts: list[str], params: ToxicityParams) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """N-gram buckets of the words of texts, the word of each n-gram, and the text of each word, both ascending.
 
-def bags(texts: list[str], params: ToxicityParams) -> Bags:
-    """Words are runs of characters above the ASCII punctuation, in lower case, marked at both ends."""
+    Words are those of WORD in the text's lower case, with a mark at both ends.
+    """
     points = np.frombuffer("\x00".join([*(t.lower() for t in texts), ""]).encode("utf-32-le", "surrogatepass"), np.uint32)
     end = points == 0
     # A text with NULs of its own would look like several.
     if end.sum() != len(texts):
-        return bags([t.replace("\x00", " ") for t in texts], params)
+        return word_grams([t.replace("\x00", " ") for t in texts], params)
     letter = ((points >= 97) & (points <= 122)) | ((points >= 48) & (points <= 57)) | (points > 127)
     before = np.concatenate(([False], letter[:-1]))
     starts = np.flatnonzero(letter & ~before)
-    ends = np.flatnonzero(~letter & before)
-    lengths = ends - starts
+    lengths = np.flatnonzero(~letter & before) - starts
     of_text = (np.cumsum(end) - end)[starts]
     # Every word with one mark on each side, side by side.
     wide = lengths + 2
     first = np.concatenate(([0], np.cumsum(wide)))
-    word = np.repeat(np.arange(len(starts)), wide)
+    word = np.repeat(np.arange(len(starts), dtype=np.int32), wide)
     place = np.arange(first[-1]) - first[word]
     inside = (place > 0) & (place <= lengths[word])
-    marked = np.where(inside, points[np.clip(starts[word] + place - 1, 0, len(points) - 1)], 1).astype(np.uint64)
+    marked = np.where(inside, points[np.clip(starts[word] + place - 1, 0, max(len(points) - 1, 0))], 1).astype(np.uint64)
     found, owner = [], []
     for n in params.ngrams:
         if len(marked) < n:
@@ -78,11 +73,39 @@ def bags(texts: list[str], params: ToxicityParams) -> Bags:
             h = (h ^ marked[i : len(marked) - n + 1 + i]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
         whole = word[: len(h)] == word[n - 1 :]
-        found.append((h[whole] >> np.uint64(64 - params.buckets_log2)).astype(np.int64))
+        found.append((h[whole] >> np.uint64(64 - params.buckets_log2)).astype(np.int32))
         owner.append(word[: len(h)][whole])
-    grams = np.concatenate(found) if found else np.zeros(0, np.int64)
-    words = np.concatenate(owner) if owner else np.zeros(0, np.int64)
-    return Bags(grams, words, of_text, np.bincount(words, minlength=len(starts)))
+    if not found:
+        return np.zeros(0, np.int32), np.zeros(0, np.int32), of_text
+    grams, words = np.concatenate(found), np.concatenate(owner)
+    order = np.argsort(words, kind="stable")
+    return grams[order], words[order], of_text
+
+
+class Corpus:
+    """Training texts: each distinct word's n-grams once, and the words of each text as their numbers."""
+
+    def __init__(self, texts: list[str], params: ToxicityParams):
+        known: dict[str, int] = {}
+        numbers = [np.array([known.setdefault(w, len(known)) for w in WORD.findall(t.lower())], np.int32) for t in texts]
+        self.counts = np.array([len(x) for x in numbers], np.int64)
+        self.first = np.concatenate(([0], np.cumsum(self.counts)))
+        self.words = np.concatenate([*numbers, np.zeros(0, np.int32)])
+        self.text = np.repeat(np.arange(len(texts), dtype=np.int32), self.counts)
+        distinct, grams, sizes = list(known), [], []
+        for at in range(0, len(distinct), 1 << 15):
+            some = distinct[at : at + (1 << 15)]
+            found, owner, _ = word_grams([" ".join(some)], params)
+            grams.append(found)
+            sizes.append(np.bincount(owner, minlength=len(some)))
+        self.grams = np.concatenate([*grams, np.zeros(0, np.int32)])
+        self.sizes = np.concatenate([*sizes, np.zeros(0, np.int64)])
+        self.begin = np.concatenate(([0], np.cumsum(self.sizes)))
+
+    def worst(self, model: "Model") -> tuple[np.ndarray, np.ndarray]:
+        sums = np.add.reduceat(np.append(model.margin[self.grams], 0.0), self.begin[:-1]) if len(self.grams) else np.zeros(0)
+        each = np.where(self.sizes > 0, sums / np.maximum(self.sizes, 1), 0.0)
+        return model.worst(each[self.words], self.text, len(self.counts))
 
 
 @dataclass
@@ -96,30 +119,31 @@ class Model:
     shift: float = 0.0
     constant: float | None = None
 
-    def word_margins(self, b: Bags) -> np.ndarray:
-        sums = np.bincount(b.word, weights=self.margin[b.grams], minlength=len(b.sizes))
-        return sums / np.maximum(b.sizes, 1)
+    def worst(self, each: np.ndarray, text: np.ndarray, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
+        """The margin of the worst window of each text, and the word it ends with (-1: no words), from the margins of all words.
 
-    def windows(self, b: Bags, n_texts: int) -> tuple[np.ndarray, np.ndarray]:
-        """The margin of the worst window of each text, and the word it ends with (-1: no words)."""
-        w, each = self.params.window, self.word_margins(b)
+        A text shorter than a window is filled up with empty words, so it is no worse than nothing at all.
+        """
+        w = self.params.window
         sums = np.concatenate(([0.0], np.cumsum(each)))
-        first = np.searchsorted(b.text, np.arange(n_texts))
-        after = np.searchsorted(b.text, np.arange(n_texts), side="right")
+        first = np.searchsorted(text, np.arange(n_texts + 1))
         at = np.arange(len(each))
-        begin = np.maximum(at + 1 - w, first[b.text] if len(each) else 0)
+        begin = np.maximum(at + 1 - w, first[text] if len(each) else 0)
         margins = (sums[at + 1] - sums[begin]) / w
         best, where = np.zeros(n_texts), np.full(n_texts, -1)
         for i in range(n_texts):
-            if after[i] > first[i]:
-                where[i] = first[i] + int(np.argmax(margins[first[i] : after[i]]))
-                best[i] = max(margins[where[i]], 0.0) if after[i] - first[i] < w else margins[where[i]]
+            if first[i + 1] > first[i]:
+                where[i] = first[i] + int(np.argmax(margins[first[i] : first[i + 1]]))
+                best[i] = margins[where[i]] if first[i + 1] - first[i] >= w else max(margins[where[i]], 0.0)
         return best + self.bias, where
 
     def score(self, texts: list[str]) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(texts), self.constant)
-        best, _ = self.windows(bags(texts, self.params), len(texts))
+        grams, word, text = word_grams(texts, self.params)
+        sums = np.bincount(word, weights=self.margin[grams], minlength=len(text))
+        each = sums / np.maximum(np.bincount(word, minlength=len(text)), 1)
+        best, _ = self.worst(each, text, len(texts))
         return 1 / (1 + np.exp(-np.clip(self.scale * best + self.shift, -500, 500)))
 
 
@@ -135,26 +159,20 @@ class _Trainer:
         self.bias = np.zeros(2)
         self.seen = [np.full((n, 1), params.damping), np.full((d, 2), 1.0), np.full(2, 1.0)]
 
-    def fit(self, b: Bags, example: np.ndarray, weight: np.ndarray, labels: np.ndarray) -> None:
-        """`example` and `weight` of each word (example -1: in none); `labels` of the examples. Both classes count alike."""
+    def fit(self, corpus: Corpus, spans: np.ndarray, divisors: np.ndarray, labels: np.ndarray) -> None:
+        """Examples are `spans` (first and end word) of the corpus, each the mean over `divisors` words. Both classes count alike."""
         each = len(labels) / 2 / np.maximum(np.bincount(labels, minlength=2), 1)[labels]
-        used = example[b.word] >= 0
-        of, grams = example[b.word][used], b.grams[used]
-        share = (weight / np.maximum(b.sizes, 1))[b.word][used]
-        order = np.argsort(of, kind="stable")
-        of, grams, share = of[order], grams[order], share[order]
-        begin = np.searchsorted(of, np.arange(len(labels) + 1))
         for _ in range(self.params.passes):
             mixed = self.rng.permutation(len(labels))
             for at in range(0, len(mixed), self.params.batch):
                 chosen = mixed[at : at + self.params.batch]
-                counts = begin[chosen + 1] - begin[chosen]
-                rows = np.repeat(np.arange(len(chosen)), counts)
-                offsets = np.concatenate(([0], np.cumsum(counts)[:-1]))
-                pick = np.repeat(begin[chosen] - offsets, counts) + np.arange(counts.sum())
+                places, rows = _ranges(spans[chosen, 0], spans[chosen, 1])
+                words = corpus.words[places]
+                pick, of_word = _ranges(corpus.begin[words], corpus.begin[words + 1])
                 stay = self.rng.random(len(pick)) >= self.params.dropout
-                pick, rows = pick[stay], rows[stay]
-                self._step(rows, grams[pick], share[pick], labels[chosen], each[chosen])
+                pick, of_word = pick[stay], of_word[stay]
+                share = 1 / np.maximum(corpus.sizes[words], 1)[of_word] / divisors[chosen][rows[of_word]]
+                self._step(rows[of_word], corpus.grams[pick], share, labels[chosen], each[chosen])
 
     def _step(self, rows: np.ndarray, grams: np.ndarray, share: np.ndarray, labels: np.ndarray, each: np.ndarray) -> None:
         p = self.params
@@ -183,33 +201,36 @@ class _Trainer:
         return Model(self.params, margin, float(self.bias[1] - self.bias[0]))
 
 
+def _ranges(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges one after another, and the range of each."""
+    counts = end - begin
+    of = np.repeat(np.arange(len(begin)), counts)
+    return np.arange(len(of)) + np.repeat(begin - (np.cumsum(counts) - counts), counts), of
+
+
 def train(texts: list[str], labels: list[int], params: ToxicityParams = ToxicityParams()) -> Model:
     """A model; with one class or none it scores everything as that share of a few rows says, (toxic + 1) / (all + 2)."""
     y = np.array(labels, np.int64)
     if len(set(labels)) < 2:
         return Model(params, np.zeros(1 << params.buckets_log2), constant=float((y.sum() + 1) / (len(y) + 2)))
-    b, n = bags(texts, params), len(texts)
+    corpus, n, w = Corpus(texts, params), len(texts), params.window
     trainer = _Trainer(params)
-    words = np.bincount(b.text, minlength=n)
-    trainer.fit(b, b.text, 1 / np.maximum(words, 1)[b.text], y)
-    first = np.searchsorted(b.text, np.arange(n))
+    whole = np.stack([corpus.first[:-1], corpus.first[1:]], axis=1)
+    trainer.fit(corpus, whole, np.maximum(corpus.counts, 1), y)
     # The worst window of each document so far; for clean ones those of all rounds, so none comes back.
     clean: dict[tuple[int, int], None] = {}
     for _ in range(params.rounds):
-        _, where = trainer.model().windows(b, n)
-        example, extra = np.full(len(b.text), -1), []
-        spans = [(max(first[i], where[i] + 1 - params.window), where[i] + 1) for i in range(n) if where[i] >= 0 and y[i]]
-        clean |= {(max(first[i], where[i] + 1 - params.window), where[i] + 1): None for i in range(n) if where[i] >= 0 and not y[i]}
-        for i in np.flatnonzero((y == 0) & (words > 3 * params.window)):
-            begin = first[i] + int(trainer.rng.integers(0, words[i] - params.window))
-            clean[(begin, begin + params.window)] = None
-        for begin, end in [*spans, *clean]:
-            if (example[begin:end] < 0).all():
-                example[begin:end] = len(extra)
-                extra.append(y[b.text[begin]])
-        trainer.fit(b, example, np.full(len(b.text), 1 / params.window), np.array(extra, np.int64))
+        _, where = corpus.worst(trainer.model())
+        spans = [(max(int(corpus.first[i]), int(where[i]) + 1 - w), int(where[i]) + 1) if where[i] >= 0 else None for i in range(n)]
+        clean |= {spans[i]: None for i in np.flatnonzero(y == 0) if spans[i]}
+        for i in np.flatnonzero((y == 0) & (corpus.counts > 3 * w)):
+            begin = int(corpus.first[i]) + int(trainer.rng.integers(0, corpus.counts[i] - w))
+            clean[begin, begin + w] = None
+        toxic = [spans[i] for i in np.flatnonzero(y == 1) if spans[i]]
+        labels = np.array([1] * len(toxic) + [0] * len(clean), np.int64)
+        trainer.fit(corpus, np.array([*toxic, *clean], np.int64).reshape(-1, 2), np.full(len(labels), w), labels)
     model = trainer.model()
-    best, _ = model.windows(b, n)
+    best, _ = corpus.worst(model)
     model.scale, model.shift = _calibrate(best, y)
     # As if both classes were as frequent.
     model.shift -= float(np.log(y.mean() / (1 - y.mean())))
