@@ -24,11 +24,15 @@ SHINGLE = 5
 # Jaccard threshold as a fraction.
 SIMILAR = (4, 5)
 # Counters of the rarity sketch, 8 bytes each on the driver and in every task.
-SKETCH_BITS = 18
+SKETCH_BITS = 17
 # Bytes of text hashed at a time, and line keys a task remembers to send a repeated line's tokens once.
 CHUNK = 1 << 17
 REMEMBERED = 1 << 20
 
+# 64-bit words of a line's parity bitmap.
+BITMAP = 4
+BITS = tuple(f"p{i}" for i in range(BITMAP))
+
 # Fixed odd multipliers of the word, shingle and line hashes.
 _P, _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
 _SPACE = np.zeros(256, bool)
@@ -88,6 +92,14 @@ class Hasher:
             where.append(lines[at])
         return np.concatenate(found), np.concatenate(where)
 
+    def bitmap(self, tokens: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+        """For runs of tokens from `begin`: for each bit whether an odd number of them fall on it.
+
+        What two runs share cancels out, so their bitmaps differ in no more bits than the runs in tokens.
+        """
+        slot, bit = tokens & np.uint64(BITMAP - 1), np.uint64(1) << ((tokens >> np.uint64(2)) & np.uint64(63))
+        return [np.bitwise_xor.reduceat(np.where(slot == i, bit, np.uint64(0)), begin) for i in range(BITMAP)]
+
     def keys(self, words: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Lines with a word, and two hashes of each one's words in order."""
         firsts = np.flatnonzero(np.concatenate(([True], lines[1:] != lines[:-1])))
@@ -161,10 +173,10 @@ def prefix_length(n: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
 
 def line_rows(rows: DataFrame, counters: np.ndarray, shingle: int, similar: tuple[int, int]) -> DataFrame:
     """A row for each line with a word: `doc_id`, `text_key`, `no`, `k1`, `k2` (its words' hashes), `n` tokens, and
-    `prefix`, the rarest tokens in order; empty if the same task has sent the line before."""
+    `prefix`, the rarest tokens in order, empty if the same task has sent the line before, and BITS, a parity bitmap of all tokens."""
     bits = len(counters).bit_length() - 1
     shared = rows.sparkSession.sparkContext.broadcast(levels(counters))
-    names = ["doc_id", "text_key", "no", "k1", "k2", "n", "prefix"]
+    names = ["doc_id", "text_key", "no", "k1", "k2", "n", "prefix", *BITS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher, seen, rarity = Hasher(shingle), set(), shared.value
@@ -180,6 +192,7 @@ def line_rows(rows: DataFrame, counters: np.ndarray, shingle: int, similar: tupl
                 found, where = found[new], where[new]
                 ids, k1, k2 = hasher.keys(words, lines)
                 begin = np.searchsorted(where, ids)
+                bitmap = hasher.bitmap(found, begin)
                 n = np.diff(np.append(begin, len(where)))
                 keep = prefix_length(n, similar)
                 if len(seen) > REMEMBERED:
@@ -203,41 +216,61 @@ def line_rows(rows: DataFrame, counters: np.ndarray, shingle: int, similar: tupl
                         pa.array(k2.view(np.int64)),
                         pa.array(n, pa.int32()),
                         prefix,
+                        *(pa.array(x.view(np.int64)) for x in bitmap),
                     ],
                     names=names,
                 )
 
     schema = rows.select("doc_id", "text_key").schema
-    for name, kind in zip(names[2:], ("int", "long", "long", "int", "array<bigint>")):
+    for name, kind in zip(names[2:], ("int", "long", "long", "int", "array<bigint>", *["long"] * BITMAP)):
         schema = schema.add(name, DataType.fromDDL(kind))
     return rows.mapInArrow(run, schema)
 
 
-def shared_tokens(lines: DataFrame) -> DataFrame:
-    """`token`, `k1`, `n`, `i` (place in the prefix) of tokens in the prefixes of several lines, and `hub`, the earliest of those.
+def fitting(df: DataFrame) -> DataFrame:
+    """A written table of fixed-width columns, broadcast if its counted rows allow."""
+    return F.broadcast(df) if Sized.of(df).fits() else df
 
-    One shuffle by token; what one line alone has, most of it, ends here.
+
+def shared_tokens(lines: DataFrame, staging: Staging) -> DataFrame:
+    """`token`, `k1`, `i` (place in the prefix) of tokens in the prefixes of several lines, and `hub`, `hub_i`: the earliest of those.
+
+    Most tokens are of one line alone. Tokens and lines travel by themselves first, to find the others; only rows of those
+    are dealt by token with all they need.
     """
-    tokens = lines.where(F.size("prefix") > 0).select("k1", "n", "doc_id", F.posexplode("prefix").alias("i", "token"))
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id")
-    tokens = tokens.select("token", "k1", "n", "i", place.alias("at")).repartition("token")
+    tokens = lines.where(F.size("prefix") > 0).select("k1", "doc_id", F.posexplode("prefix").alias("i", "token"))
+    ends = tokens.select("token", "k1").repartition("token").groupBy("token").agg(F.min("k1").alias("low"), F.max("k1").alias("high"))
+    common = staging.write("common", ends.where("low <> high").select("token"))
+    same = Window.partitionBy("token")
+    hub = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "i")).over(same)
+    marked = tokens.join(fitting(common), "token", "left_semi").withColumn("hub", hub)
+    marked = marked.select("token", "k1", "i", F.col("hub.k1").alias("hub"), F.col("hub.i").alias("hub_i"))
     # Tasks that met the same line sent it once each.
-    tokens = tokens.groupBy("token", "k1").agg(F.min("n").alias("n"), F.min("i").alias("i"), F.min("at").alias("at"))
-    together = Window.partitionBy("token")
-    hub = F.min(F.struct("at", "k1", "n", "i")).over(together)
-    marked = tokens.withColumns({"lines": F.count(F.lit(1)).over(together), "hub": hub}).where("lines > 1")
-    return marked.select("token", "k1", "n", "i", F.col("hub.k1").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.i").alias("hub_i"))
+    once = marked.groupBy("token", "k1").agg(*(F.min(x).alias(x) for x in ("i", "hub", "hub_i")))
+    return staging.write("shared", once)
 
 
-def may_match(n: Column, i: Column, m: Column, j: Column, similar: tuple[int, int]) -> Column:
-    """Length and positional filter of lines with `n` and `m` tokens whose first shared one is at `i` and `j`."""
+def may_match(a: str, b: str, similar: tuple[int, int]) -> Column:
+    """Length, positional and bitmap filter of lines whose columns end in `a` and `b` and whose first shared token is at their `i`."""
     num, den = similar
-    enough = F.least(n - i, m - j) * (num + den) >= (n + m) * num
-    return (F.least(n, m) * den >= F.greatest(n, m) * num) & enough
+    c = F.col
+    n, m = c(f"n{a}"), c(f"n{b}")
+    enough = F.least(n - c(f"i{a}"), m - c(f"i{b}")) * (num + den) >= (n + m) * num
+    # Of both lines' tokens, so many are in one of them only.
+    apart = sum(F.bit_count(c(f"{p}{a}").bitwiseXOR(c(f"{p}{b}"))) for p in BITS)
+    return (F.least(n, m) * den >= F.greatest(n, m) * num) & enough & (apart * (num + den) <= (n + m) * (den - num))
+
+
+def _ended(df: DataFrame, end: str) -> DataFrame:
+    return df.select(*(F.col(c).alias(f"{c}{end}") for c in df.columns))
 
 
 def _unordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    return pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
+    """Each pair of lines, (k1, k2) of both, once."""
+    x, y = (F.struct(F.col(f"k1{e}").alias("k1"), F.col(f"k2{e}").alias("k2")) for e in (a, b))
+    return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).select(
+        F.col("a.k1").alias("k1_a"), F.col("a.k2").alias("k2_a"), F.col("b.k1").alias("k1_b"), F.col("b.k2").alias("k2_b")
+    ).distinct()
 
 
 def shingles(words: Column, shingle: int) -> Column:
@@ -247,8 +280,8 @@ def shingles(words: Column, shingle: int) -> Column:
 
 
 def _texts(rows: DataFrame, firsts: DataFrame, keys: DataFrame, staging: Staging) -> DataFrame:
-    """`k1`, `k2`, `at` (place) and `words` of the lines with `keys`, from the documents they are first in."""
-    wanted = firsts.join(keys, "k1", "left_semi").select("k1", "k2", "first", "first.doc_id", "first.text_key", "first.no")
+    """`k1`, `k2`, `at` (place) and `line` of the lines with `keys`, from the documents they are first in."""
+    wanted = firsts.join(fitting(keys), ["k1", "k2"], "left_semi").select("k1", "k2", "first", "first.doc_id", "first.text_key", "first.no")
     listed = wanted.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k")).agg(
         F.collect_list(F.struct("no", "k1", "k2", F.col("first").alias("at"))).alias("lines")
     )
@@ -257,24 +290,27 @@ def _texts(rows: DataFrame, firsts: DataFrame, keys: DataFrame, staging: Staging
     other = F.broadcast(of_doc) if sized.fits() else of_doc
     held = rows.join(other, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
     held = held.select(F.split("text", "\n", -1).alias("all"), F.explode("lines").alias("l"))
-    held = held.select("l.k1", "l.k2", "l.at", split_words(lower_ascii(F.get("all", F.col("l.no"))), SPACES).alias("words"))
+    held = held.select("l.k1", "l.k2", "l.at", F.get("all", F.col("l.no")).alias("line"))
     # Rows equal in id and text bring the same line more than once.
-    return staging.write("held", held.groupBy("k1", "k2").agg(F.min("at").alias("at"), F.min("words").alias("words")))
+    return staging.write("held", held.dropDuplicates(["k1", "k2"]))
 
 
 def _matched(pairs: DataFrame, held: DataFrame, shingle: int, similar: tuple[int, int]) -> DataFrame:
     """`k1`, `k2` of the later line of each pair that is similar by its words."""
-    a, b = (held.select(*(F.col(c).alias(f"{c}_{x}") for c in held.columns)) for x in "ab")
-    both = pairs.join(a, F.col("a") == F.col("k1_a")).join(b, F.col("b") == F.col("k1_b"))
     num, den = similar
-    sets = F.array(F.struct(shingles(F.col("words_a"), shingle).alias("x"), shingles(F.col("words_b"), shingle).alias("y")))
-    # Through an array, so that each set is made once.
-    enough = F.transform(
-        sets, lambda s: F.size(F.array_intersect(s.x, s.y)) * (num + den) >= (F.size(s.x) + F.size(s.y)) * num
-    )
-    later = F.when(F.col("at_a") > F.col("at_b"), F.struct(F.col("k1_a").alias("k1"), F.col("k2_a").alias("k2")))
-    later = later.otherwise(F.struct(F.col("k1_b").alias("k1"), F.col("k2_b").alias("k2")))
-    return both.where(F.get(enough, F.lit(0))).select(later.alias("l")).select("l.*").distinct()
+    both = pairs.join(_ended(held, "_a"), ["k1_a", "k2_a"]).join(_ended(held, "_b"), ["k1_b", "k2_b"])
+    late = F.when(F.col("at_a") > F.col("at_b"), "_a").otherwise("_b")
+    later = [F.when(late == "_a", F.col(f"{k}_a")).otherwise(F.col(f"{k}_b")).alias(k) for k in ("k1", "k2")]
+    # Through arrays, so that each text is split and each set made once.
+    lines = F.array(*(split_words(lower_ascii(F.col(f"line{e}")), SPACES) for e in ("_a", "_b")))
+    sets = both.select(*later, F.transform(lines, lambda w: shingles(w, shingle)).alias("sets"))
+
+    def same(s: Column) -> Column:
+        x, y = F.get(s, F.lit(0)), F.get(s, F.lit(1))
+        return F.size(F.array_intersect(x, y)) * (num + den) >= (F.size(x) + F.size(y)) * num
+
+    verdict = F.get(F.transform(F.array("sets"), same), F.lit(0))
+    return sets.where(verdict).select("k1", "k2").distinct()
 
 
 def matching_lines(
@@ -285,19 +321,35 @@ def matching_lines(
     First each line meets the earliest line of each of its tokens, as many pairs as rows. That settles nearly all of a
     group of near copies; only lines it leaves open are joined with all lines that share a token.
     """
-    shared = staging.write("shared", shared_tokens(lines))
-    held = _texts(rows, firsts, shared.select("k1").distinct(), staging)
     c = F.col
-    hubs = shared.where((c("k1") != c("hub")) & may_match(c("n"), c("i"), c("hub_n"), c("hub_i"), similar))
-    settled = staging.write("settled", _matched(_unordered(hubs, "k1", "hub"), held, shingle, similar))
-    flags = settled.select("k1").distinct().withColumn("done", F.lit(True))
-    flagged = staging.write("flagged", shared.select("token", "k1", "n", "i").join(flags, "k1", "left"))
-    other = flagged.select(c("token").alias("t"), c("k1").alias("b"), c("n").alias("m"), c("i").alias("j"), c("done").alias("b_done"))
+    shared = shared_tokens(lines, staging)
+    keys = staging.write("keys", shared.select("k1").distinct())
+    several = lines.select("k1", "k2", "n", *BITS).join(fitting(keys), "k1", "left_semi").groupBy("k1", "k2")
+    marks = staging.write("marks", several.agg(F.min("n").alias("n"), *(F.min(p).alias(p) for p in BITS)))
+    small = fitting(marks)
+    whole = shared.join(small, "k1")
+    hubs = whole.withColumnRenamed("hub_i", "i_h").join(_ended(small, "_h"), c("hub") == c("k1_h"))
+    hubs = hubs.where((c("k1") != c("k1_h")) & may_match("", "_h", similar))
+    hubs = staging.write("hubs", _unordered(hubs, "", "_h"))
+    settled = _matched(hubs, _texts(rows, firsts, _ends(hubs, staging, "hub_ends"), staging), shingle, similar)
+    settled = staging.write("settled", settled)
+
+    done = fitting(settled).withColumn("done", F.lit(True))
+    flagged = whole.select("token", "k1", "k2", "n", "i", *BITS).join(done, ["k1", "k2"], "left")
+    flagged = staging.write("flagged", flagged)
     # Of two open lines one order is enough.
-    apart = c("b_done").isNotNull() | (c("k1") < c("b"))
-    on = (c("token") == c("t")) & (c("k1") != c("b")) & apart & may_match(c("n"), c("i"), c("m"), c("j"), similar)
-    rest = _unordered(flagged.where("done is null").join(other, on), "k1", "b")
-    return settled.unionByName(staging.write("rest", _matched(rest, held, shingle, similar))).distinct()
+    apart = c("done_o").isNotNull() | (c("k1") < c("k1_o"))
+    on = (c("token") == c("token_o")) & (c("k1") != c("k1_o")) & apart & may_match("", "_o", similar)
+    rest = _unordered(flagged.where("done is null").join(_ended(flagged, "_o"), on), "", "_o")
+    rest = staging.write("rest", rest.join(fitting(hubs), rest.columns, "left_anti"))
+    more = _matched(rest, _texts(rows, firsts, _ends(rest, staging, "rest_ends"), Staging(staging.spark)), shingle, similar)
+    return staging.write("matching", settled.unionByName(more).distinct())
+
+
+def _ends(pairs: DataFrame, staging: Staging, name: str) -> DataFrame:
+    """`k1`, `k2` of the lines in pairs."""
+    both = F.array(*(F.struct(F.col(f"k1{e}").alias("k1"), F.col(f"k2{e}").alias("k2")) for e in ("_a", "_b")))
+    return staging.write(name, pairs.select(F.explode(both).alias("k")).select("k.*").distinct())
 
 
 def removed_lines(
