@@ -125,11 +125,13 @@ class Model:
         A text shorter than a window is filled up with empty words, so it is no worse than nothing at all.
         """
         w = self.params.window
-        sums = np.concatenate(([0.0], np.cumsum(each)))
         first = np.searchsorted(text, np.arange(n_texts + 1))
-        at = np.arange(len(each))
-        begin = np.maximum(at + 1 - w, first[text] if len(each) else 0)
-        margins = (sums[at + 1] - sums[begin]) / w
+        place = np.arange(len(each)) - (first[text] if len(each) else 0)
+        # Added up word by word, so a text's score does not hang on the texts next to it.
+        margins = np.zeros(len(each))
+        for back in range(min(w, len(each))):
+            margins[back:] += np.where(place[back:] >= back, each[: len(each) - back], 0.0)
+        margins /= w
         best, where = np.zeros(n_texts), np.full(n_texts, -1)
         for i in range(n_texts):
             if first[i + 1] > first[i]:
