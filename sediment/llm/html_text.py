@@ -202,7 +202,11 @@ def site_templates(pages: DataFrame, params: TemplateParams) -> DataFrame:
     # Page by page, so a host with a third of all pages is spread over all tasks.
     distinct = Staging(pages.sparkSession).write("subtrees", hashed.groupBy("host", "page").agg(F.first("outside").alias("outside"), F.first("inside").alias("inside")))
     hosts = distinct.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    each = distinct.select("host", F.explode(F.concat(*(F.transform(c, lambda h, own=i: F.struct(h.alias("h"), F.lit(own).alias("own"))) for i, c in enumerate(("outside", "inside"))))).alias("s"))
+
+    def marked(column: str, own: int) -> Column:
+        return F.transform(column, lambda h: F.struct(h.alias("h"), F.lit(own).alias("own")))
+
+    each = distinct.select("host", F.explode(F.concat(marked("outside", 0), marked("inside", 1))).alias("s"))
     counts = each.groupBy("host", "s.h", "s.own").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= params.min_pages)
     share = F.when(F.col("own") == 1, params.article_percent).otherwise(params.min_percent)
     many = counts.join(hosts, "host").where(F.col("n") * 100 >= F.col("pages") * share)
