@@ -21,7 +21,7 @@ def main(argv: list[str] | None = None) -> None:
     convert = jobs.add_parser("convert", help="migrate a legacy archive")
     convert.add_argument("out")
     convert.add_argument("legacy")
-    convert.add_argument("--target", help="an archive with the tables and columns of the new schema")
+    convert.add_argument("--target", help="an archive with the tables, columns and constraints of the new schema")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("sediment").getOrCreate()
@@ -37,13 +37,7 @@ def main(argv: list[str] | None = None) -> None:
         for r in result.ranked:
             print(f"{r.merge_rank}. {r.path}{' (base)' if r.is_base else ''}")
     else:
-        target = None
-        if args.target:
-            from sediment.sources.archive import open_archive
-
-            known = open_archive(spark, args.target)
-            target = {t: known.schema(t) for t in known.tables()}
-        result = convert_archive(spark, args.legacy, args.out, target)
+        result = convert_archive(spark, args.legacy, args.out, args.target)
     for note in result.notes:
         print(note)
     print(f"written: {args.out}")

@@ -2,7 +2,7 @@
 
 
 class InvalidSnapshot(ValueError):
-    """A snapshot is missing, or its newest message has no usable time."""
+    """A snapshot is missing or cannot be read as one: no usable time, ids that repeat, keys in a circle."""
 
 
 class DuplicateKey(ValueError):
@@ -11,3 +11,7 @@ class DuplicateKey(ValueError):
 
 class UnsafeOutput(ValueError):
     """The output folder would overwrite an input."""
+
+
+class NullValue(ValueError):
+    """An append would put a null where the table allows none."""

@@ -62,13 +62,14 @@ def lossy(have: T.DataType, want: T.DataType) -> bool:
     return not (have == want or widening or isinstance(want, T.StringType))
 
 
-def cast_losses(df: DataFrame, base: T.StructType) -> DataFrame:
-    """(column, n) for each column that may lose values in the conversion: how many become null."""
+def cast_losses(df: DataFrame, base: T.StructType, *by: str) -> DataFrame:
+    """(by, column, n) for each column that may lose values in the conversion: how many become null."""
     wanted = {f.name: f.dataType for f in base.fields}
-    lost = (F.col(c).isNotNull() & F.col(c).try_cast(wanted[c]).isNull() for c in lossy_columns(df.schema, base))
-    counted = df.agg(*(F.count_if(x).alias(c) for x, c in zip(lost, lossy_columns(df.schema, base))))
-    pairs = (F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in counted.columns)
-    return counted.select(F.inline(F.array(*pairs)))
+    columns = [c for c in lossy_columns(df.schema, base) if c not in by]
+    lost = (F.col(c).isNotNull() & F.col(c).try_cast(wanted[c]).isNull() for c in columns)
+    counted = df.groupBy(*by).agg(*(F.count_if(x).alias(c) for x, c in zip(lost, columns)))
+    pairs = (F.struct(F.lit(c).alias("column"), F.col(c).alias("n")) for c in columns)
+    return counted.select(*by, F.inline(F.array(*pairs)))
 
 
 def lossy_columns(have: T.StructType, base: T.StructType) -> list[str]:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sediment.errors import DuplicateKey
+from sediment.errors import DuplicateKey, NullValue
 from sediment.functions.expressions import any_null
 
 
@@ -30,3 +30,14 @@ def assert_unique(df: DataFrame, key: Sequence[str], table: str) -> None:
     if found:
         shown = "; ".join(", ".join(f"{k}={row[k]!r}" for k in key) for row in found)
         raise DuplicateKey(f"{table}: repeated key: {shown}")
+
+
+def assert_not_null(df: DataFrame, columns: Sequence[str], table: str) -> None:
+    """Stop if a column that may hold no null does."""
+    present = [c for c in columns if c in df.columns]
+    if not present:
+        return
+    found = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in present)).first()
+    if any(found):
+        shown = ", ".join(f"{c} in {found[c]} rows" for c in present if found[c])
+        raise NullValue(f"{table}: null where none may be: {shown}")

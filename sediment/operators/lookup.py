@@ -1,7 +1,7 @@
 """Joins that fetch columns of one matching row from another table.
 
-A table proven small is broadcast. Any other is joined by shuffle, and the keys that hold a large
-share of the left rows are spread over many tasks first.
+A table proven small is broadcast. Any other is joined by shuffle, and keys with more left rows than one
+task should have are spread over as many tasks as their rows need.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,11 +18,13 @@ from sediment.functions.expressions import any_null
 
 # A table of at most this many bytes may be sent to every executor.
 BROADCAST_BYTES = 32 << 20
-# At most this many keys are split. With so many tracked, every key with 0.4 % of the rows is among them.
-HOT_KEYS = 250
-TRACKED_KEYS = 1024
-# Number of tasks a hot key is split over.
-SALTS = 256
+# Left rows of one key that one task may join; a key with more is split.
+TASK_ROWS = 1_000_000
+# Keys the frequency sketch tracks. It misses no key with more than about one in TRACKED_KEYS of all rows, so one
+# task gets at most TASK_ROWS rows of a key or that share, whichever is more. 16 bytes each on the driver.
+TRACKED_KEYS = 1 << 16
+# Left rows without a key match nothing; they are spread over so many tasks.
+NULL_SPREAD = 1024
 
 
 @dataclass(frozen=True)
@@ -85,32 +87,49 @@ def lookup(
     return _salted(left, small, keys, hot, how, tuple(spread) or tuple(left.columns))
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> list[int]:
-    """Hashes of the keys that hold a large share of the rows, at most HOT_KEYS of them.
+def hot_keys(df: DataFrame, keys: Sequence[str], task_rows: int | None = None) -> dict[int, int]:
+    """Hash of every key with more than `task_rows` rows, and the number of tasks its rows need.
 
     One pass over the keys. Each task keeps a sketch of frequent items; sketches are merged in two steps,
-    so the number of tasks does not matter. The hashes come to the driver because both sides of a join must
-    see the very same ones, and a second run of the sketches may differ at the margin.
+    so the number of tasks does not matter. Hashes and counts come to the driver, at most TRACKED_KEYS of them: both
+    sides of a join must see the very same ones, and a second run of the sketches may differ at the margin.
     """
+    task_rows = TASK_ROWS if task_rows is None else task_rows
     hashes = df.dropna(subset=list(keys)).select(F.xxhash64(*keys).alias("_h"))
     group = F.pmod(F.spark_partition_id(), F.lit(256)).alias("_g")
     partial = hashes.groupBy(group).agg(F.expr(f"approx_top_k_accumulate(_h, {TRACKED_KEYS})").alias("_s"))
     # Grouped by a constant: without rows there is no group, where a plain aggregate would have no sketch to read.
     merged = partial.groupBy(F.lit("all")).agg(F.expr(f"approx_top_k_combine(_s, {TRACKED_KEYS})").alias("_s"))
-    top = merged.select(F.inline(F.expr(f"approx_top_k_estimate(_s, {HOT_KEYS})")))
-    return [r["item"] for r in top.select("item").collect()]
+    top = merged.select(F.inline(F.expr(f"approx_top_k_estimate(_s, {TRACKED_KEYS})")))
+    found = top.where(F.col("count") > task_rows).select("item", "count").collect()
+    return {r["item"]: -(-r["count"] // task_rows) for r in found}
 
 
 def _salted(
-    left: DataFrame, small: DataFrame, keys: dict, hot: list[int], how: str, spread: tuple[str, ...]
+    left: DataFrame, small: DataFrame, keys: dict, hot: dict[int, int], how: str, spread: tuple[str, ...]
 ) -> DataFrame:
     left_keys = [lk for lk, _ in keys.values()]
     no_key = any_null(left_keys)
-    bucket = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")
-    split = no_key | F.xxhash64(*left_keys).isin(hot)
-    salted = left.withColumn("_salt", F.when(split, bucket).otherwise(0))
-    copies = F.when(F.xxhash64(*keys).isin(hot), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    copied = small.withColumn("_rsalt", F.explode(copies))
+    # Without hot keys nothing is copied. Otherwise the list of them is at most TRACKED_KEYS rows of two numbers.
+    parts = _parts(left.sparkSession, hot) if hot else None
+    place = F.xxhash64(*spread)
+    left_hash, right_hash = F.when(~no_key, F.xxhash64(*left_keys)), F.xxhash64(*keys)
+    salt = F.when(no_key, F.pmod(place, F.lit(NULL_SPREAD)))
+    if parts is None:
+        salted = left.withColumn("_salt", F.coalesce(salt, F.lit(0)).cast("int"))
+        copied = small.withColumn("_rsalt", F.lit(0))
+    else:
+        tagged = left.withColumn("_hash", left_hash).join(F.broadcast(parts), "_hash", "left")
+        salt = F.coalesce(salt, F.pmod(place, F.col("_parts")), F.lit(0)).cast("int")
+        salted = tagged.withColumn("_salt", salt).drop("_hash", "_parts")
+        copies = F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1)
+        copied = small.withColumn("_hash", right_hash).join(F.broadcast(parts), "_hash", "left")
+        copied = copied.withColumn("_rsalt", F.explode(copies)).drop("_hash", "_parts")
     condition = [salted[lk] == copied[k] for k, (lk, _) in keys.items()]
     joined = salted.join(copied, [*condition, salted["_salt"] == copied["_rsalt"]], how)
     return joined.drop("_salt", "_rsalt", *keys)
+
+
+def _parts(spark: SparkSession, hot: dict[int, int]) -> DataFrame:
+    """`_hash`, `_parts` of the hot keys."""
+    return spark.createDataFrame(list(hot.items()), "_hash long, _parts int")

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sediment.functions.names import match_rule
@@ -41,14 +42,44 @@ def remap(
     order = df.columns
     wanted = foreign_keys(table, order if columns is None else columns, rules)
     df = df.withColumns({c: F.col(c).cast("long") for c in wanted})
-    large = [c for c, r in wanted.items() if r.target in maps and not maps[r.target].fits(limit)]
-    if row_ids and len(large) > 1 and set(order) - {*wanted, *ROW}:
-        # Several shuffled lookups: they carry the keys alone, and the other columns travel once.
-        keys = _resolve(df.select(*ROW, *wanted), table, maps, wanted, limit)
-        return df.drop(*wanted).join(keys, list(ROW)).select(*order)
+    large = {c: r for c, r in wanted.items() if r.target in maps and not maps[r.target].fits(limit)}
+    if row_ids and len(large) > 1:
+        # One shuffled lookup for all of them: the references travel alone, the other columns once.
+        small = {c: r for c, r in wanted.items() if c not in large}
+        rest = _resolve(df.drop(*large), table, maps, small, limit)
+        found = _at_once(df.select(*ROW, *large), maps, large)
+        joined = rest.join(found, list(ROW), "left")
+        return joined.withColumns({c: _sentinel(F.col(c), table, r) for c, r in large.items()}).select(*order)
     return _resolve(df, table, maps, wanted, limit).select(*order)
 
 
+def _sentinel(new: Column, table: str, rule: FkRule) -> Column:
+    return (F.coalesce(new, F.lit(0)) if table in rule.zero_in else new).cast("long")
+
+
+def _at_once(df: DataFrame, maps: Mapping[str, Sized], wanted: Mapping[str, FkRule]) -> DataFrame:
+    """ROW and the new ids of `wanted`, for rows with a reference: a row per reference, one join with all maps, a row per row again."""
+    targets = list(dict.fromkeys(r.target for r in wanted.values()))
+    columns = list(wanted)
+    references = [
+        F.struct(F.lit(i).alias("at"), F.lit(targets.index(wanted[c].target)).alias("target"), F.col(c).alias("old"))
+        for i, c in enumerate(columns)
+    ]
+    long = df.select(*ROW, F.explode(F.array(*references)).alias("r")).select(*ROW, "r.*").where(F.col("old").isNotNull())
+    every = reduce(
+        DataFrame.unionByName,
+        (
+            maps[t].df.select(F.lit(i).alias("target"), F.col(SNAPSHOT), F.col(OLD_ID).alias("old"), NEW_ID)
+            for i, t in enumerate(targets)
+        ),
+    )
+    sized = Sized(every, sum(maps[t].rows for t in targets), sum(maps[t].bytes for t in targets))
+    on = {SNAPSHOT: SNAPSHOT, "target": "target", "old": "old"}
+    # Some of the maps does not fit, so neither do all of them.
+    found = lookup(long, sized, on, {NEW_ID: "_new"}, "inner", (*ROW, "at"), limit=0)
+    return found.groupBy(*ROW).agg(*(F.max(F.when(F.col("at") == i, F.col("_new"))).alias(c) for i, c in enumerate(columns)))
+
+
 def _resolve(
     df: DataFrame, table: str, maps: Mapping[str, Sized], wanted: Mapping[str, FkRule], limit: int | None
 ) -> DataFrame:
@@ -67,6 +98,5 @@ def _resolve(
             )
         else:
             df = df.withColumn("_new", F.lit(None).cast("long"))
-        value = F.coalesce("_new", F.lit(0)) if table in rule.zero_in else F.col("_new")
-        df = df.withColumn(column, value.cast("long")).drop("_new")
+        df = df.withColumn(column, _sentinel(F.col("_new"), table, rule)).drop("_new")
     return df

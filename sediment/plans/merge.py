@@ -28,7 +28,8 @@ from sediment.operators.keymap import rank_zip_map, strict_map
 from sediment.operators.lookup import BROADCAST_BYTES, Sized, lookup
 from sediment.operators.rank import RankedSnapshot, rank_column, rank_snapshots
 from sediment.operators.remap import ROW, foreign_keys, remap
-from sediment.sources.archive import Archive, open_archive, read_union
+from sediment.sources import sqlite
+from sediment.sources.archive import Archive, Constraints, SqliteArchive, open_archive, read_union
 from sediment.sources.sink import Publisher, check_output
 from sediment.specs import ID, NEW_ID, OLD_ID, RANK, SNAPSHOT, TIME, FkRule, TableSpec, WeakKey, default_specs
 from sediment.staging import Staging
@@ -89,6 +90,7 @@ class Merge:
         stale: str = "null",
         include_tables: Sequence[str] = (),
         broadcast_bytes: int = BROADCAST_BYTES,
+        main_tables: Sequence[str] | None = None,
     ):
         if map_mode not in ("strict", "rank_zip"):
             raise ValueError(f"map_mode must be 'strict' or 'rank_zip', not {map_mode!r}")
@@ -98,12 +100,15 @@ class Merge:
         self.notes: list[str] = []
         self.maps: dict[str, Sized] = {}
         self.survivors: dict[str, Survivors] = {}
+        self.refused: dict[str, DataFrame] = {}
 
         together(lambda a: [a.schema(t) for t in mergeable(a.tables(), include_tables)], list(self.archives.values()))
         self.ranked = self._rank()
         self.base = self.archives[next(r.snapshot_id for r in self.ranked if r.is_base)]
         names = mergeable(self.base.tables(), include_tables)
         self.main, self.minor = split_main_minor(names)
+        if main_tables is not None:
+            self.main = [t for t in self.main if t in main_tables]
         left_out = [t for t in self.base.tables() if t not in names and t != PROPS]
         if left_out:
             self.notes.append(f"not merged: {listing(left_out)}")
@@ -165,11 +170,27 @@ class Merge:
         )
         return None if df is None else df.withColumn(RANK, rank_column(self.ranked))
 
+    def _check_ids(self, table: str) -> None:
+        """Stops if a snapshot's ids repeat or are missing: (snapshot, old id) tells all rows apart from here on.
+
+        Archives whose store sees to that are not read for it.
+        """
+        doubtful = [(i, a) for i, a in self.sharing(table) if not a.constraints(table).sure_ids]
+        ids = T.StructType([T.StructField(ID, T.LongType())])
+        rows = read_union(self.spark, doubtful, table, [ID], lambda df, keep: align(df, ids, keep=keep))
+        if rows is None:
+            return
+        counted = rows.groupBy(SNAPSHOT, OLD_ID).agg(F.count(F.lit(1)).alias("n"))
+        bad = counted.where(F.col(OLD_ID).isNull() | (F.col("n") > 1)).limit(5).collect()
+        if bad:
+            shown = "; ".join(f"{self.archives[r[SNAPSHOT]].path}: {r[OLD_ID]} in {r['n']} rows" for r in bad)
+            raise InvalidSnapshot(f"{table}: {ID} missing or repeated: {shown}")
+
     def _report(self, names: Sequence[str]) -> None:
         """Notes on what the base's catalog leaves out, from the catalogs; values are counted only
         where a column changes its type."""
-        losses: list[DataFrame] = []
-        for archive in self.archives.values():
+        losses: dict[tuple, list[tuple[int, Archive]]] = {}
+        for i, archive in self.archives.items():
             extra_tables = [t for t in mergeable(archive.tables()) if t not in names]
             if extra_tables:
                 self.notes.append(f"{archive.path}: tables the base lacks: {listing(extra_tables)}")
@@ -183,28 +204,59 @@ class Merge:
                 if table in self.main and ID in base.names and ID not in have.names:
                     raise InvalidSnapshot(f"{archive.path}: {table} has no {ID}")
                 if lossy_columns(have, base):
-                    counted = cast_losses(archive.read(table), base)
-                    losses.append(counted.select(F.lit(archive.path).alias("path"), F.lit(table).alias("name"), "*"))
-        if losses:
-            # One row per snapshot, table and column.
-            for r in reduce(DataFrame.unionByName, losses).where("n > 0").collect():
-                self.notes.append(f"{r['path']}: {r['name']}.{r['column']}: {r['n']} values did not fit")
+                    losses.setdefault((table, have.json()), []).append((i, archive))
+        parts = [self._losses(table, members) for (table, _), members in losses.items()]
+        parts += [self._misfits(table) for table in names]
+        # One row per snapshot, table and column.
+        for part in parts:
+            for r in part.where("n > 0").collect() if part is not None else ():
+                path = self.archives[r[SNAPSHOT]].path
+                self.notes.append(f"{path}: {r['name']}.{r['column']}: {r['n']} values did not fit")
+
+    def _losses(self, table: str, members: list[tuple[int, Archive]]) -> DataFrame:
+        """Values that do not fit the base's types: one scan for all snapshots whose table is alike."""
+        base, have = self.base_schema(table), members[0][1].schema(table)
+        columns = lossy_columns(have, base)
+        rows = read_union(self.spark, members, table, columns, lambda df, keep: df.select(*keep, *columns))
+        return cast_losses(rows, base, SNAPSHOT).withColumn("name", F.lit(table))
+
+    def _misfits(self, table: str) -> DataFrame | None:
+        """Values a store holds that are not of their column's type."""
+        kept: dict[tuple, list[tuple[int, SqliteArchive]]] = {}
+        for i, a in self.sharing(table):
+            if isinstance(a, SqliteArchive):
+                kept.setdefault(a.scan_group(table), []).append((i, a))
+        if not kept:
+            return None
+        counted = (
+            sqlite.misfits(self.spark, [(i, a.path) for i, a in members], members[0][1].info(table))
+            for members in kept.values()
+        )
+        wanted = F.col("column").isin(self.base_schema(table).names)
+        return reduce(DataFrame.unionByName, counted).where(wanted).withColumn("name", F.lit(table))
 
     # -- phase 1: keys, ids, maps ------------------------------------------------------------
 
     def build_keys(self) -> None:
-        """Main tables whose keys do not point at each other run at the same time."""
+        """Main tables whose keys do not point at each other run at the same time.
+
+        Whether a row enters is settled by its keys, unique keys and NOT NULL columns, so the maps they need come first. No
+        order serves tables that need each other's, or a table its own.
+        """
         waiting = [t for t in self.main if self.sharing(t) and ID in self.base_schema(t).names]
         while waiting:
-            ready = [t for t in waiting if not self._key_targets(t) & (set(waiting) - {t})] or waiting[:1]
+            ready = [t for t in waiting if not self._key_targets(t) & set(waiting)]
+            if not ready:
+                raise InvalidSnapshot(f"keys or NOT NULL columns that point at each other: {listing(waiting)}")
             together(self._build_key, ready)
             waiting = [t for t in waiting if t not in ready]
 
     def _key_targets(self, table: str) -> set[str]:
         """Tables whose maps are needed before this table's key is known."""
-        spec = self.spec(table)
-        parts = [*spec.natural_key, *spec.map_key, *(w.column for w in spec.weak_key)]
-        fks = foreign_keys(table, self.base_schema(table).names)
+        spec, names = self.spec(table), self.base_schema(table).names
+        further = [c for k in spec.unique if set(k) <= set(names) for c in k]
+        parts = [*spec.natural_key, *spec.map_key, *(w.column for w in spec.weak_key), *spec.not_null, *further]
+        fks = foreign_keys(table, names)
         return {fks[c].target for c in parts if c in fks}
 
     def _build_key(self, table: str) -> None:
@@ -218,27 +270,29 @@ class Merge:
         zipped = self.map_mode == "rank_zip" and {w.column for w in spec.weak_key} <= present
         weak = {f"_w{i}": w for i, w in enumerate(spec.weak_key if zipped else ())}
 
-        fks = foreign_keys(table, names)
-        checked = [c for c in spec.not_null if c in present and self._known([c], fks)]
-        further = [k for k in spec.unique if set(k) <= present and k != key and self._known(k, fks)]
+        checked = [c for c in spec.not_null if c in present]
+        further = [k for k in spec.unique if set(k) <= present and k != key]
         needed = dict.fromkeys([*key, *(c for k in further for c in k), *checked, *map_key, *(w.column for w in weak.values())])
         if timed:
             needed[TIME] = None
         if not renumber:
             needed[ID] = None
+        self._check_ids(table)
         rows = self.union(table, needed)
         for name, part in weak.items():
             if part.parent:
                 rows = self._with_parent_part(rows, part, name)
         narrow = remap(rows, table, self.maps, needed, limit=self.limit)
         narrow = narrow.withColumns({n: F.col(w.column) for n, w in weak.items() if not w.parent})
-        if not all(self.maps[r.target].fits(self.limit) for r in self._targets(table, needed)):
+        # Rows that are refused are a second output of the same written rows.
+        if checked or not all(self.maps[r.target].fits(self.limit) for r in self._targets(table, needed)):
             narrow, stage = self.staging.write(f"{table}_rows", narrow), None
         else:
             stage = partial(self.staging.write, f"{table}_keyed")
 
         entering = narrow.where(F.col(TIME).isNotNull()) if timed else narrow
-        entering, _ = split_nulls(entering, checked)
+        entering, refused = split_nulls(entering, checked)
+        self._refuse(table, refused, checked)
         first = [RANK, TIME, OLD_ID] if timed else [RANK, OLD_ID]
         kept = self._distinct(table, spec, entering, [k for k in (key, *further) if k], first, ROW)
         id_order = [TIME, RANK, OLD_ID] if timed else [RANK, OLD_ID]
@@ -255,10 +309,6 @@ class Merge:
             mapped = strict_map(narrow, kept, n_kept, key, map_key, spec.key_casts, self.limit, stage)
         self.maps[table] = Sized.of(self.staging.write(f"{table}_map", mapped))
 
-    def _known(self, columns: Sequence[str], fks: Mapping[str, FkRule]) -> bool:
-        """Whether the maps of all foreign keys among the columns are there."""
-        return all(c not in fks or fks[c].target in self.maps for c in columns)
-
     def _distinct(
         self,
         table: str,
@@ -298,10 +348,9 @@ class Merge:
         if rest:
             rows = self.union(table, rest).select(*ROW, *rest)
             rows = remap(rows, table, self.maps, rest, limit=self.limit, row_ids=True)
-            # (snapshot, old id) is unique on both sides, so no task gets more than its share.
+            # (snapshot, old id) is unique on both sides (_check_ids), so no task gets more than its share.
             own = own.join(rows, list(ROW), "inner")
-        good, _ = split_nulls(own.select(*names), self.spec(table).not_null)
-        return good
+        return own.select(*names)
 
     def minor_table(self, table: str) -> DataFrame:
         """All snapshots' rows of a minor table, remapped; one per key only where the store declares one.
@@ -326,15 +375,18 @@ class Merge:
             needed = [c for c in columns if c in deciding]
         order = [RANK, OLD_ID] if numbered else [RANK, *sorted(needed)]
 
+        if numbered and renumber:
+            self._check_ids(table)
         rows = self.union(table, needed)
         if renumber and whole:
             # No row goes, so ids are given on the plain scan and the sort repeats no join.
             rows, _ = assign_ordered_ids(rows, order, self.staging, f"{table}_minor", ID)
         rows = remap(rows, table, self.maps, needed, limit=self.limit, row_ids=numbered)
         if not whole:
-            if not all(self.maps[r.target].fits(self.limit) for r in self._targets(table, needed)):
+            if checked or not all(self.maps[r.target].fits(self.limit) for r in self._targets(table, needed)):
                 rows = self.staging.write(f"{table}_remapped", rows)
-            rows, _ = split_nulls(rows, checked)
+            rows, refused = split_nulls(rows, checked)
+            self._refuse(table, refused, checked)
             rows = self._distinct(table, spec, rows, keys, order, ROW if numbered else None)
             if top:
                 rows = derive.most_frequent(rows, top, order)
@@ -349,20 +401,25 @@ class Merge:
         """Rules of the foreign keys among the columns whose map is there."""
         return [r for r in foreign_keys(table, columns).values() if r.target in self.maps]
 
+    def _refuse(self, table: str, rows: DataFrame, checked: Sequence[str]) -> None:
+        if checked:
+            self.refused[table] = rows.select(SNAPSHOT, *(c for c in (OLD_ID,) if c in rows.columns), *checked)
+
     def rejected(self, table: str) -> DataFrame | None:
-        """Rows a NOT NULL column kept out: their snapshot, old id and those columns, remapped."""
+        """Rows a NOT NULL column kept out: their snapshot, old id and those columns, remapped.
+
+        Known once the table's rows are settled: by `build_keys` for main tables, by `minor_table` for others.
+        """
+        return self.refused.get(table)
+
+    def declared(self, table: str) -> Constraints:
+        """What the merged table keeps to: the base's own constraints and those of its spec. Ids given here are sure."""
+        if table == PROPS:
+            return self.base.constraints(table)
         spec = self.spec(table)
-        columns = [c for c in spec.not_null if c in self.base_schema(table).names]
-        if not columns:
-            return None
-        timed = spec.time_ordered and TIME in self.base_schema(table).names
-        rows = self.union(table, [*columns, TIME] if timed else columns)
-        if rows is None:
-            return None
-        if timed:
-            rows = rows.where(F.col(TIME).isNotNull())
-        _, bad = split_nulls(remap(rows, table, self.maps, columns, limit=self.limit), columns)
-        return bad.select(SNAPSHOT, *(c for c in (OLD_ID,) if c in bad.columns), *columns)
+        given = has_surrogate(self.base_schema(table).names)
+        sure = given or self.base.constraints(table).sure_ids
+        return Constraints(spec.not_null, spec.unique, spec.defaults, sure)
 
     def empty(self, table: str) -> DataFrame:
         return self.spark.createDataFrame([], self.base_schema(table))
@@ -429,9 +486,19 @@ def merge_archives(
     if out is not None:
         check_output(spark, out, [s for s in snapshots if isinstance(s, str)])
     staging = Staging(spark)
-    merge = Merge(
-        spark, archives, specs or default_specs(), staging, map_mode, stale, include_tables, broadcast_bytes
-    )
+    try:
+        return _merged(
+            spark, archives, out, staging, specs or default_specs(), map_mode, stale, include_tables, broadcast_bytes
+        )
+    except BaseException:
+        staging.drop()
+        raise
+
+
+def _merged(
+    spark: SparkSession, archives: Sequence[Archive], out: str | None, staging: Staging, specs: Mapping, *options
+) -> MergeResult:
+    merge = Merge(spark, archives, specs, staging, *options)
     merge.build_keys()
     if out is None:
         tables = merge.tables(lambda _, df: df)
@@ -444,6 +511,7 @@ def merge_archives(
         side = {f"{REJECTED}/{t}": df for t, df in rejected.items()}
         side.update({f"{MAPS}/{t}": m.df for t, m in merge.maps.items()})
         together(lambda name: publisher.write(name, side[name]), list(side))
+        publisher.declare({t: merge.declared(t) for t in stored})
         publisher.publish()
     staging.drop()
 

@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import cached_property, reduce
 from pathlib import Path
 from typing import Protocol
+from urllib.parse import quote, unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sediment.errors import InvalidSnapshot
 from sediment.functions.names import common
+from sediment.operators.lookup import BROADCAST_BYTES
 from sediment.sources import sqlite
 from sediment.specs import SNAPSHOT
 from sediment.staging import filesystem
@@ -27,6 +30,23 @@ class Constraints:
     not_null: tuple[str, ...] = ()
     unique: tuple[tuple[str, ...], ...] = ()
     defaults: dict[str, object] = field(default_factory=dict)
+    # Whether the store itself keeps `_id` present and unique.
+    sure_ids: bool = False
+
+    def to_json(self) -> str:
+        defaults = {k: {"bytes": v.hex()} if isinstance(v, bytes) else {"value": v} for k, v in self.defaults.items()}
+        return json.dumps([self.not_null, self.unique, defaults, self.sure_ids])
+
+    @classmethod
+    def from_json(cls, text: str) -> "Constraints":
+        not_null, unique, defaults, sure_ids = json.loads(text)
+        values = {k: bytes.fromhex(v["bytes"]) if "bytes" in v else v["value"] for k, v in defaults.items()}
+        return cls(tuple(not_null), tuple(map(tuple, unique)), values, sure_ids)
+
+
+# Folder next to the tables of a written archive, and its columns.
+CONSTRAINTS = "_constraints"
+CONSTRAINT_ROWS = "table_name string, declared string"
 
 
 class Archive(Protocol):
@@ -100,11 +120,31 @@ class ParquetArchive:
         df = self.spark.read.schema(self.schema(table)).parquet(f"{self.path}/{table}")
         return df if columns is None else df.select(*columns)
 
+    @cached_property
+    def _declared(self) -> dict[str, Constraints]:
+        """What a merge or conversion wrote next to its tables; a folder from elsewhere declares nothing."""
+        fs, path = filesystem(self.spark, f"{self.path}/{CONSTRAINTS}")
+        if not fs.exists(path):
+            return {}
+        # One row per table.
+        found = self.spark.read.schema(CONSTRAINT_ROWS).parquet(f"{self.path}/{CONSTRAINTS}").collect()
+        return {r["table_name"]: Constraints.from_json(r["declared"]) for r in found}
+
     def constraints(self, table: str) -> Constraints:
-        return Constraints()
+        return self._declared.get(table, Constraints())
+
+    def folder_columns(self, table: str) -> tuple[str, ...]:
+        """Columns whose values are folder names, from the first folder on each level."""
+        found, (fs, path) = [], filesystem(self.spark, f"{self.path}/{table}")
+        while True:
+            folders = [s.getPath() for s in fs.listStatus(path) if s.isDirectory() and "=" in s.getPath().getName()]
+            if not folders:
+                return tuple(found)
+            path = folders[0]
+            found.append(unquote(path.getName().split("=", 1)[0]))
 
     def scan_group(self, table: str) -> tuple:
-        return "parquet", self.schema(table).json()
+        return "parquet", self.schema(table).json(), self.folder_columns(table)
 
 
 @dataclass
@@ -129,7 +169,7 @@ class SqliteArchive:
 
     def constraints(self, table: str) -> Constraints:
         info = self._catalog[table]
-        return Constraints(info.not_null, info.unique, info.defaults)
+        return Constraints(info.not_null, info.unique, info.defaults, info.sure_ids)
 
     def info(self, table: str) -> sqlite.TableInfo:
         return self._catalog[table]
@@ -149,40 +189,35 @@ def open_archive(spark: SparkSession, source: "str | Archive") -> Archive:
     return ParquetArchive(spark, source.rstrip("/"))
 
 
-# Above this many stored snapshots, those of one schema are read by one scan instead of one each.
-SEPARATE_SCANS = 32
 _SCHEME = "^([a-z0-9]+):/+"
+# What Hive-style folders say for a null.
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 
 
 def read_union(
-    spark: SparkSession,
-    archives: Sequence[tuple[int, Archive]],
-    table: str,
-    columns: Sequence[str],
-    shape,
-    separate_scans: int = SEPARATE_SCANS,
+    spark: SparkSession, archives: Sequence[tuple[int, Archive]], table: str, columns: Sequence[str], shape
 ) -> DataFrame | None:
     """One DataFrame over `table` of all `archives`, each row with its snapshot_id.
 
-    Only `columns` are read, as far as a snapshot has them. `shape(df, keep)` brings one snapshot's
-    frame to the common columns; columns in `keep` stay.
+    Stored snapshots of one schema are read by one scan, however many there are. Only `columns` are read, as far as
+    a snapshot has them. `shape(df, keep)` brings one snapshot's frame to the common columns; columns in `keep` stay.
     """
     grouped: dict[tuple, list[tuple[int, Archive]]] = {}
     for i, a in archives:
-        kind = a.scan_group(table) if len(archives) > separate_scans else None
+        kind = a.scan_group(table)
         grouped.setdefault((i,) if kind is None else kind, []).append((i, a))
     parts = []
     for members in grouped.values():
         i, first = members[0]
         wanted = common(first.schema(table).names, columns)
-        if len(members) == 1:
-            shaped = shape(first.read(table, wanted), ())
-            parts.append(shaped.select(F.lit(i).cast("int").alias(SNAPSHOT), "*"))
-        elif isinstance(first, SqliteArchive):
+        if isinstance(first, SqliteArchive):
             files = [(i, a.path) for i, a in members]
             parts.append(shape(sqlite.read_many(spark, files, first.info(table), wanted), (SNAPSHOT,)))
-        else:
+        elif isinstance(first, ParquetArchive):
             parts.append(_one_scan(spark, members, table, wanted, shape))
+        else:
+            shaped = shape(first.read(table, wanted), ())
+            parts.append(shaped.select(F.lit(i).cast("int").alias(SNAPSHOT), "*"))
     return reduce(lambda x, y: x.unionByName(y), parts) if parts else None
 
 
@@ -193,17 +228,39 @@ def _one_scan(
     columns: Sequence[str],
     shape,
 ) -> DataFrame:
-    """One multi-path scan; the folder of the file a row comes from tells its snapshot."""
+    """One multi-path scan; the folder of the file a row comes from tells its snapshot.
+
+    Columns held by folder names are taken from the path, as folders of several tables cannot be inferred at
+    once. A file in none of the listed folders stops the job.
+    """
     folders = []
     for i, a in members:
         fs, path = filesystem(spark, f"{a.path}/{table}")
         uri = fs.makeQualified(path).toUri().toString().rstrip("/")
         folders.append((i, re.sub(_SCHEME, r"\1:/", uri)))
-    schema = members[0][1].schema(table)
-    df = spark.read.schema(schema).parquet(*(f"{a.path}/{table}" for _, a in members))
-    folder = F.regexp_replace(F.regexp_replace("_metadata.file_path", "/[^/]*$", ""), _SCHEME, "$1:/")
-    shaped = shape(df.select(*columns, folder.alias("_folder")), ("_folder",))
+    first = members[0][1]
+    schema, held = first.schema(table), first.folder_columns(table)
+    stored = T.StructType([f for f in schema.fields if f.name not in held])
+    reader = spark.read.schema(stored).option("recursiveFileLookup", "true")
+    df = reader.parquet(*(f"{a.path}/{table}" for _, a in members))
+    file = F.col("_metadata.file_path")
+    folder = F.regexp_replace(F.regexp_replace(file, "(/[^/=]+=[^/]*)*/[^/]*$", ""), _SCHEME, "$1:/")
+    values = [_folder_value(file, schema[c]) if c in held else F.col(c) for c in columns]
+    shaped = shape(df.select(*values, folder.alias("_folder")), ("_folder",))
     names = spark.createDataFrame(folders, f"{SNAPSHOT} int, _name string")
-    # One row per snapshot the caller listed.
-    joined = shaped.join(F.broadcast(names), F.col("_folder") == F.col("_name"))
-    return joined.select(SNAPSHOT, *(c for c in shaped.columns if c != "_folder"))
+    # A row per snapshot the caller listed; those are broadcast unless their names alone are too much.
+    small = sum(8 + len(name.encode()) for _, name in folders) <= BROADCAST_BYTES
+    joined = shaped.join(F.broadcast(names) if small else names, F.col("_folder") == F.col("_name"), "left")
+    unknown = F.raise_error(F.concat(F.lit("file of no listed snapshot: "), F.col("_folder"))).cast("int")
+    return joined.select(
+        F.coalesce(F.col(SNAPSHOT), unknown).alias(SNAPSHOT), *(c for c in shaped.columns if c != "_folder")
+    )
+
+
+def _folder_value(file: Column, field: T.StructField) -> Column:
+    """A column's value from the folder names of a file's path: escaped once as a name and once as a URI."""
+    pattern = f"/{re.escape(quote(quote(field.name, safe='')))}=([^/]*)/|/{re.escape(quote(field.name))}=([^/]*)/"
+    found = F.coalesce(*(F.nullif(F.regexp_extract(file, pattern, i), F.lit("")) for i in (1, 2)))
+    plus = F.regexp_replace(found, r"\+", "%2B")
+    text = F.try_url_decode(F.regexp_replace(F.try_url_decode(plus), r"\+", "%2B"))
+    return F.nullif(text, F.lit(_NULL_FOLDER)).cast(field.dataType).alias(field.name)

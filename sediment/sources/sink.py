@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 from sediment.errors import UnsafeOutput
+from sediment.sources.archive import CONSTRAINT_ROWS, CONSTRAINTS, Constraints
 from sediment.staging import filesystem
 
 
@@ -39,6 +40,11 @@ class Publisher:
         df.write.mode("error").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def declare(self, constraints: Mapping[str, Constraints]) -> None:
+        """Writes down what each table keeps to, so that the archive can be merged onto."""
+        rows = [(table, declared.to_json()) for table, declared in constraints.items()]
+        self.write(CONSTRAINTS, self.spark.createDataFrame(rows, CONSTRAINT_ROWS).coalesce(1))
+
     def __enter__(self) -> "Publisher":
         return self
 

@@ -25,7 +25,8 @@ MAGIC = b"SQLite format 3\x00"
 FORMAT = "sediment_sqlite"
 BATCH_ROWS = 20_000
 ROWS_PER_TASK = 500_000
-# Sparse row ids get wider ranges instead of more tasks than this.
+# Row ids may be sparse, up to 2^63. Then ranges get wider instead of more than this; a table of more rows than
+# MAX_TASKS * ROWS_PER_TASK (a file of some 100 GB) has larger tasks, which stream their rows in batches.
 MAX_TASKS = 5_000
 
 
@@ -37,6 +38,8 @@ class TableInfo:
     unique: tuple[tuple[str, ...], ...]
     defaults: dict[str, object]
     has_rowid: bool
+    # Whether `_id` is the row id, and so present and unique.
+    sure_ids: bool = False
 
 
 def is_sqlite(path: str) -> bool:
@@ -44,10 +47,39 @@ def is_sqlite(path: str) -> bool:
         return f.read(len(MAGIC)) == MAGIC
 
 
+class Text(bytes):
+    """A text as stored, to tell it from a blob."""
+
+    def decoded(self) -> str:
+        return decoded(self)
+
+
+# Fixed value: characters that stand for the bytes 0x80 to 0xFF of a text that is not UTF-8, of the private range.
+STRAY = 0x10FE00
+
+
+def decoded(raw: bytes) -> str:
+    """The text of some bytes. Bytes that are not UTF-8 become a private character each, so different ones stay so."""
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        escaped = raw.decode("utf-8", "surrogateescape")
+        return "".join(chr(STRAY + ord(c) - 0xDC00) if 0xDC80 <= ord(c) <= 0xDCFF else c for c in escaped)
+
+
+def broken(raw: bytes) -> bool:
+    """Whether some bytes are no UTF-8 text."""
+    try:
+        raw.decode()
+    except UnicodeDecodeError:
+        return True
+    return False
+
+
 def connect(path: str) -> sqlite3.Connection:
     """A connection that cannot write."""
     connection = sqlite3.connect(f"file:{quote(str(Path(path).absolute()))}?mode=ro", uri=True)
-    connection.text_factory = lambda raw: raw.decode("utf-8", "replace")
+    connection.text_factory = Text
     return connection
 
 
@@ -64,12 +96,14 @@ def spark_type(declared: str) -> T.DataType:
         return T.StringType()
     if any(part in upper for part in ("REAL", "FLOA", "DOUB")):
         return T.DoubleType()
-    return T.BinaryType() if "BLOB" in upper else T.StringType()
+    # Without a type a column holds whatever it is given, mostly blobs.
+    return T.BinaryType() if "BLOB" in upper or not upper.strip() else T.StringType()
 
 
 def catalog(path: str) -> dict[str, TableInfo]:
     """All tables of the file with their columns and declared constraints. Reads no rows."""
     with connect(path) as c:
+        c.text_factory = str
         names = [r[0] for r in c.execute("select name from sqlite_master where type = 'table'")]
         return {n: _table_info(c, n) for n in names}
 
@@ -86,6 +120,7 @@ def _table_info(c: sqlite3.Connection, table: str) -> TableInfo:
     # A leading `_id` is renumbered, so nothing it declares can be broken.
     renumbered = bool(columns) and columns[0][1] == "_id"
     not_null = [name for _, name, _, required, _, place in columns if required or place]
+    id_type = {name: (kind or "").strip().upper() for _, name, kind, *_ in columns}.get("_id")
     defaults = {
         name: c.execute(f"select {text}").fetchone()[0] for _, name, _, _, text, _ in columns if text is not None
     }
@@ -96,6 +131,7 @@ def _table_info(c: sqlite3.Connection, table: str) -> TableInfo:
         tuple(k for k in dict.fromkeys(unique) if not (renumbered and k == ("_id",))),
         defaults,
         _has_rowid(c, table),
+        primary == ("_id",) and (id_type == "INTEGER" or "_id" in (n for _, n, _, required, *_ in columns if required)),
     )
 
 
@@ -128,14 +164,23 @@ def fitted(value, kind: T.DataType):
         if isinstance(kind, T.DoubleType):
             return float(value)
         if isinstance(kind, T.BinaryType):
-            return value if isinstance(value, bytes) else str(value).encode()
-        return value.decode("utf-8", "replace") if isinstance(value, bytes) else str(value)
+            return bytes(value) if isinstance(value, bytes) else str(value).encode()
+        return decoded(value) if isinstance(value, bytes) else str(value)
     except ValueError:
         return None
 
 
+def keeps(value, kind: T.DataType) -> bool:
+    """Whether a value is read as what it is: it has the type, and a text is UTF-8."""
+    return fitted(value, kind) is not None and not (
+        isinstance(kind, T.StringType) and isinstance(value, bytes) and broken(value)
+    )
+
+
 # Columns of the count of values that do not fit their column's type.
-MISFITS = T.StructType([T.StructField("column", T.StringType()), T.StructField("n", T.LongType())])
+MISFITS = T.StructType(
+    [T.StructField(SNAPSHOT, T.IntegerType()), T.StructField("column", T.StringType()), T.StructField("n", T.LongType())]
+)
 
 
 class SqliteReader(DataSourceReader):
@@ -175,7 +220,7 @@ class SqliteReader(DataSourceReader):
         try:
             cursor = connection.execute(query, bounds)
             while rows := cursor.fetchmany(BATCH_ROWS):
-                yield self.misfit_batch(rows) if self.count_misfits else self.batch(rows, partition.snapshot)
+                yield self.misfit_batch(rows, partition.snapshot) if self.count_misfits else self.batch(rows, partition.snapshot)
         finally:
             connection.close()
 
@@ -190,13 +235,14 @@ class SqliteReader(DataSourceReader):
         ]
         return pa.RecordBatch.from_arrays(values, schema=arrow)
 
-    def misfit_batch(self, rows: list[tuple]) -> pa.RecordBatch:
+    def misfit_batch(self, rows: list[tuple], snapshot: int) -> pa.RecordBatch:
         lost = [
-            sum(v is not None and fitted(v, f.dataType) is None for v in column)
+            sum(v is not None and not keeps(v, f.dataType) for v in column)
             for column, f in zip(zip(*rows), self.columns.fields)
         ]
         return pa.RecordBatch.from_arrays(
-            [pa.array(self.columns.names), pa.array(lost, pa.int64())], schema=to_arrow_schema(MISFITS)
+            [pa.array([snapshot] * len(lost), pa.int32()), pa.array(self.columns.names), pa.array(lost, pa.int64())],
+            schema=to_arrow_schema(MISFITS),
         )
 
 
@@ -245,7 +291,10 @@ def read_many(
     return _scan(spark, files, info, T.StructType(fields))
 
 
-def misfits(spark: SparkSession, path: str, info: TableInfo) -> DataFrame:
-    """(column, n): how many values of each column become null because they are of another type."""
-    counted = _scan(spark, [(0, path)], info, MISFITS, misfits="true")
-    return counted.groupBy("column").agg(F.sum("n").alias("n")).where("n > 0")
+def misfits(spark: SparkSession, files: Sequence[tuple[int, str]], info: TableInfo) -> DataFrame:
+    """(SNAPSHOT, column, n): how many values of each file's columns are not read as they are.
+
+    They become null if they are of another type; bytes that are not UTF-8 become private characters.
+    """
+    counted = _scan(spark, files, info, MISFITS, misfits="true")
+    return counted.groupBy(SNAPSHOT, "column").agg(F.sum("n").alias("n")).where("n > 0")

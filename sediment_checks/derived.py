@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Snapshot number, end of its orders, end of its events, last digit of the keys it lacks.
+# Snapshot number, end of its orders, end of its events, last digit of the keys it lacks; the last one lacks
+# only such keys as the one before it may have, so every given row is in some snapshot.
 SNAPSHOTS = (
     (0, "1998-07-01", "2024-01-11", 0),
     (1, "2000-07-01", "2024-01-21", 4),
@@ -38,8 +39,11 @@ def own(column: str, s: int) -> str:
 
 
 def snapshot_tables(s: int, order_cut: str, event_cut: str, hole: int, millis: Callable[[str], str]) -> dict[str, str]:
-    orders_kept = f"o_orderdate < timestamp '{order_cut} 00:00:00' and o_orderkey % 10 <> {hole}"
-    events_kept = f"ts < timestamp '{event_cut} 00:00:00' and event_id % 10 <> {hole}"
+    _, orders_before, events_before, _ = SNAPSHOTS[max(s - 1, 0)]
+    own_orders = f" or o_orderdate >= timestamp '{orders_before} 00:00:00'" if s == SNAPSHOTS[-1][0] else ""
+    own_events = f" or ts >= timestamp '{events_before} 00:00:00'" if s == SNAPSHOTS[-1][0] else ""
+    orders_kept = f"o_orderdate < timestamp '{order_cut} 00:00:00' and (o_orderkey % 10 <> {hole}{own_orders})"
+    events_kept = f"ts < timestamp '{event_cut} 00:00:00' and (event_id % 10 <> {hole}{own_events})"
     lines = f"""
         select l_orderkey, l_linenumber, row_number() over (partition by l_orderkey order by l_linenumber, l_partkey,
                l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_shipdate) as n
@@ -84,7 +88,7 @@ def snapshot_tables(s: int, order_cut: str, event_cut: str, hole: int, millis: C
                    cast(event_id % 2 as int) as from_me, {own('user_id', s)} as jid_row_id,
                    case when event_id % 5 = 0 then null else cast(-1 as bigint) end as transaction_id,
                    case when event_id % 97 = 0 then null else {millis('ts')} end as timestamp
-            from {{events}} where {events_kept} and event_type in ('click', 'signup')""",
+            from {{events}} where {events_kept} and event_type not in ('view', 'error')""",
         "quick_replies": f"""
             select {own('p_partkey', s)} as _id, p_name as title from {{part}} where p_partkey % 6 <> {s}""",
         "message_vcard": f"""
@@ -103,9 +107,9 @@ def snapshot_tables(s: int, order_cut: str, event_cut: str, hole: int, millis: C
                    o_orderpriority as reporting_tag, 'S' || {key_of('o_orderkey', 3)} as stanza_id
             from {{orders}} where {orders_kept} and o_orderkey % 5 = 0""",
         "message_link": f"""
-            select {own('l_orderkey', s)} * 10 as _id, {own('l_orderkey', s)} as message_row_id,
-                   cast(max(l_linenumber) as int) as link_index
-            from {{lineitem}} where l_orderkey % 10 <> {hole} and l_linenumber = 1 group by l_orderkey""",
+            select cast((l_orderkey * 10000 + n) * 3 + {s} + 1 as bigint) as _id,
+                   {own('l_orderkey', s)} as message_row_id, cast(l_linenumber as int) as link_index
+            from ({lines}) as lines""",
         "frequent": f"""
             select cast((user_id * 5 + {type_code}) * 3 + {s} + 1 as bigint) as _id, {own('user_id', s)} as jid_row_id,
                    cast({type_code} as int) as type, cast(n as bigint) as message_count
@@ -117,7 +121,7 @@ def snapshot_tables(s: int, order_cut: str, event_cut: str, hole: int, millis: C
             from ({counted}) as counted""",
         "missed_call_logs": f"""
             select {own('event_id', s)} as _id, {own('user_id', s)} as jid_row_id
-            from {{events}} where {events_kept} and event_type = 'error'""",
+            from {{events}} where {events_kept}""",
         "references_of_events": f"""
             select {own('event_id', s)} as _id, {own('user_id', s)} as vcard_jid_row_id,
                    {own('user_id', s)} as seller_jid, {own('user_id', s)} as participant_lid_row_id,

@@ -28,6 +28,19 @@ MAP_KEYS = {
     "message_vcard": ("message_row_id",),
     "reporting_info": ("message_row_id",),
 }
+# Parts of the looser keys: column, and the parent table and column it stands for, if any.
+WEAK_KEYS = {
+    "jid": (("raw_string", None, None),),
+    "chat": (("jid_row_id", "jid", "raw_string"),),
+    "message": (("key_id", None, None), ("from_me", None, None)),
+    "message_add_on": (("key_id", None, None), ("from_me", None, None)),
+    "call_log": (("call_id", None, None),),
+    "quick_replies": (("title", None, None),),
+    "message_vcard": (("message_row_id", "message", "key_id"),),
+    "group_participant_user": (("group_jid_row_id", "jid", "raw_string"), ("user_jid_row_id", "jid", "raw_string")),
+    "labels": (("label_name", None, None),),
+    "reporting_info": (("message_row_id", None, None),),
+}
 # Column: (target, whether an unknown reference is 0).
 REFERENCES = {
     "chat": {"jid_row_id": ("jid", False)},
@@ -164,6 +177,43 @@ def building_blocks() -> dict[str, str]:
             " cast(null as bigint) as last_seen_message_reaction_row_id, c.subject"
             " from t_chat c left join activity a on a.chat_row_id = c._id"
         )
+    # y: the same with one-to-one maps throughout.
+    for t in MAIN:
+        key, timed, references = KEYS[t], t in TIMED, REFERENCES.get(t, {})
+        within = "merge_rank, timestamp, _id" if timed else "merge_rank, _id"
+        picked, joins, value = [], [], {}
+        for n, c in enumerate(COLUMNS[t]):
+            value[c] = f"d.{c}"
+            if c in references:
+                target, zero = references[c]
+                value[c] = f"coalesce(a{n}.new_id, 0)" if zero else f"a{n}.new_id"
+                joins.append(f"left join ym_{target} a{n} on a{n}.snapshot_id = d.snapshot_id and a{n}.old_id = d.{c}")
+            picked.append(f"{value[c]} as {c}")
+        for n, (c, parent, parent_column) in enumerate(WEAK_KEYS[t]):
+            if parent:
+                joins.append(f"left join d_{parent} p{n} on p{n}.snapshot_id = d.snapshot_id and p{n}._id = d.{c}")
+                picked.append(f"p{n}.{parent_column} as w{n}, {value[c]} as v{n}")
+            else:
+                picked.append(f"{value[c]} as w{n}, {value[c]} as v{n}")
+        blocks[f"yr_{t}"] = (
+            f"select d.snapshot_id, k.merge_rank, d._id, {', '.join(picked)} from d_{t} d"
+            f" join ranks k on k.snapshot_id = d.snapshot_id {' '.join(joins)}"
+        )
+        order = "timestamp, merge_rank, _id" if timed else "merge_rank, _id"
+        blocks[f"ys_{t}"] = (
+            f"select * exclude (rn), row_number() over (order by {order}) as new_id from (select *, row_number() over"
+            f" (partition by {', '.join(key)} order by {within}) as rn from yr_{t}"
+            f"{' where timestamp is not null' if timed else ''}) as q where rn = 1 or {all_of('{} is null', key, ' or ')}"
+        )
+        weak = [f"w{n}" for n in range(len(WEAK_KEYS[t]))]
+        known = all_of("{} is not null", weak)
+        found = all_of("v{} is not null", range(len(weak)))
+        blocks[f"ym_{t}"] = (
+            f"select r.snapshot_id, r._id as old_id, s.new_id from (select *, row_number() over (partition by snapshot_id,"
+            f" {', '.join(weak)} order by _id) as rn from yr_{t} where {known}) r join (select *, row_number() over"
+            f" (partition by {', '.join(weak)} order by {within}) as rn from ys_{t} where {known} and {found}) s"
+            f" on {all_of('r.{0} = s.{0}', [*weak, 'rn'])} where s.merge_rank <= r.merge_rank"
+        )
     # z_: one-to-one maps on (key_id, from_me); ranks within a key, on both sides.
     blocks["z_rows"] = (
         "select snapshot_id, merge_rank, _id, key_id, from_me, row_number() over (partition by snapshot_id, key_id,"
@@ -193,6 +243,24 @@ def building_blocks() -> dict[str, str]:
         " m.receipt_server_timestamp, m.starred, m._id as sort_id from l_messages m"
         " join l_contact c on c.raw_string = m.key_remote_jid left join l_jid j on j.raw_string = m.remote_resource"
     )
+    blocks["c_flagged"] = (
+        "select *, cast(case when _id in (select message_row_id from c_quotes) then 2 end as int) as lookup_tables"
+        " from c_messages"
+    )
+    blocks["c_links"] = (
+        "select l._id, c.chat_id as chat_row_id, l.message_row_id, l.link_index"
+        " from l_messages_links l join l_contact c on c.raw_string = l.key_remote_jid"
+    )
+    blocks["c_vcard_jids"] = (
+        "select v._id, j._id as vcard_jid_row_id, v.vcard_row_id, v.message_row_id"
+        " from l_messages_vcards_jids v join l_jid j on j.raw_string = v.vcard_jid"
+    )
+    blocks["c_frequents"] = (
+        "select f._id, j._id as jid_row_id, f.type, f.message_count from l_frequents f join l_jid j on j.raw_string = f.jid"
+    )
+    blocks["c_thumbnails"] = (
+        "select m._id as message_row_id, t.thumbnail from l_message_thumbnails t join l_messages m on m.key_id = t.key_id"
+    )
     return blocks
 
 
@@ -228,7 +296,33 @@ def whole_archive(tables) -> str:
     return " union all ".join(parts)
 
 
+# Columns of the converted tables, in order.
+CONVERTED = {
+    "jid": ("l_jid", ("_id", "raw_string")),
+    "chat": ("l_chat", ("_id", "jid_row_id")),
+    "settings": ("l_settings", ("_id", "name", "old_only")),
+    "message_quoted": (
+        "c_quotes",
+        ("message_row_id", "chat_row_id", "from_me", "sender_jid_row_id", "key_id", "timestamp", "text_data"),
+    ),
+    "message": ("c_flagged", ("_id", "chat_row_id", "sender_jid_row_id", "from_me", "text_data", "key_id", "lookup_tables")),
+    "message_link": ("c_links", ("_id", "chat_row_id", "message_row_id", "link_index")),
+    "message_vcard": ("l_messages_vcards", ("_id", "message_row_id", "vcard")),
+    "message_vcard_jid": ("c_vcard_jids", ("_id", "vcard_jid_row_id", "vcard_row_id", "message_row_id")),
+    "frequent": ("c_frequents", ("_id", "jid_row_id", "type", "message_count")),
+    "message_thumbnail": ("c_thumbnails", ("message_row_id", "thumbnail")),
+}
+
+
+def converted_archive() -> str:
+    return " union all ".join(row_text(t, source, columns) for t, (source, columns) in CONVERTED.items())
+
+
 def oracle_sql() -> dict[str, str]:
+    props = (
+        "select 'props' as table_name, coalesce(key, '~') || '|' || coalesce(case when key = 'fts_ready' then '0' else value"
+        " end, '~') as row_text from d_props where snapshot_id = 2 and (key is null or key <> 'fts_index_start')"
+    )
     path = "'snapshot_' || cast({} as varchar)".format
     max_times = "select snapshot_id, max(timestamp) as max_ts from d_message group by snapshot_id"
     by_fifth = (
@@ -302,11 +396,20 @@ def oracle_sql() -> dict[str, str]:
         " as lookup_tables from c_messages",
         "convert_common_copy": "select name, _id, cast(null as varchar) as added from l_settings",
         "schema_listing": listing,
-        # Merging in two steps keeps the same messages as merging at once.
-        "incremental_merge": "select j.raw_string as chat_name, m.from_me, m.key_id, s.raw_string as sender_name,"
-        " m.timestamp, m.status, m.text_data from t_message m join t_chat c on c._id = m.chat_row_id"
-        " join t_jid j on j._id = c.jid_row_id left join t_jid s on s._id = m.sender_jid_row_id",
-        "merge_archive_full": whole_archive((*MAIN, *MINOR)),
+        # Merging in two steps gives the same archive as merging at once.
+        "incremental_merge": whole_archive((*MAIN, *MINOR)),
+        "merge_archive_full": f"{whole_archive((*MAIN, *MINOR))} union all {props}",
+        "merge_archives_published": whole_archive((*MAIN, *MINOR)),
+        "scan_many_snapshots": "select cast(o_orderkey % 40 as int) as snapshot_id, cast(o_orderkey as bigint) as old_id,"
+        " o_orderpriority as text_data, cast(case when o_orderkey % 40 < 20 then o_custkey % 3 end as int) as part"
+        " from orders",
+        "tables_emptied": "select 'backup_changes' as table_name, cast(0 as bigint) as n_rows union all"
+        " select 'labels', count(*) from t_labels",
+        "reject_not_null_main": "select row_number() over (order by timestamp, merge_rank, _id) as _id,"
+        f" {', '.join(COLUMNS['message_add_on'])} from (select *, row_number() over (partition by {', '.join(MESSAGE_KEY)}"
+        " order by merge_rank, timestamp, _id) as rn from r_message_add_on where timestamp is not null and"
+        f" parent_message_row_id is not null) as q where rn = 1 or {all_of('{} is null', MESSAGE_KEY, ' or ')}",
+        "convert_archive_full": converted_archive(),
     }
     short = {
         "message_add_on": "add_on",
@@ -317,6 +420,8 @@ def oracle_sql() -> dict[str, str]:
         name = short.get(t, t)
         sql[f"dedupe_{name}"] = f"select {kept_rows[t]} from s_{t}"
         sql[f"map_{name}"] = f"select * from m_{t}"
+    for t in ("call_log", "message_add_on", "message_vcard", "reporting_info"):
+        sql[f"map_rank_zip_{short.get(t, t)}"] = f"select * from ym_{t}"
     return {name: statement(text) for name, text in sql.items()}
 
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from dataclasses import replace
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sediment_checks.derived import PATHS, Given, LegacyFrames, snapshot_frames
-from sediment_checks.oracle import COLUMNS, KEYS, MAIN, MINOR
 from sediment.functions.names import listing
 from sediment.operators import derive, legacy
 from sediment.operators.align import align
@@ -19,14 +19,19 @@ from sediment.operators.dedupe import first_per_key
 from sediment.operators.keymap import rank_zip_map
 from sediment.operators.legacy import Contacts
 from sediment.operators.rank import checked_times, newest_times, ranking, snapshot_list
-from sediment.plans.convert import copy_common
-from sediment.plans.merge import Merge
-from sediment.sources.archive import FrameArchive, read_union
+from sediment.plans.convert import convert_archive, copy_common
+from sediment.plans.merge import Merge, merge_archives
+from sediment.sources.archive import FrameArchive, ParquetArchive, read_union
 from sediment.specs import ID, NEW_ID, OLD_ID, RANK, SNAPSHOT, TIME, TableSpec, default_specs
 from sediment.staging import Staging
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Main tables in key order with the key columns that are shown, and the other tables.
+KEYS = {name: spec.natural_key for name, spec in default_specs().items()}
+MAIN = tuple(KEYS)
+MINOR = ("message_link", "frequent", "frequents", "missed_call_logs", "references_of_events")
+
 # Main tables whose maps a table needs.
 NEEDS = {
     "jid": (),
@@ -51,7 +56,7 @@ def merge_of(
     spark: SparkSession,
     folder: str,
     tables: tuple[str, ...],
-    build: tuple[str, ...],
+    build: Iterable[str],
     specs: dict[str, TableSpec] | None = None,
     **options,
 ) -> Merge:
@@ -60,8 +65,7 @@ def merge_of(
     wanted = list(dict.fromkeys(["message", *build, *tables]))
     frames = snapshot_frames(Given(spark, folder), wanted)
     archives = [FrameArchive(path, of) for path, of in zip(PATHS, frames)]
-    merge = Merge(spark, archives, specs or default_specs(), Staging(spark), **options)
-    merge.main = [t for t in merge.main if t in build]
+    merge = Merge(spark, archives, specs or default_specs(), Staging(spark), main_tables=build, **options)
     merge.build_keys()
     return merge
 
@@ -169,8 +173,10 @@ def map_rank_zip(spark: SparkSession, folder: str) -> DataFrame:
     return rank_zip_map(rows, kept, ["key_id", "from_me"], merge.staging, "query", (RANK, TIME, OLD_ID))
 
 
-def row_texts(table: str, df: DataFrame) -> DataFrame:
-    columns = (F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in (ID, *COLUMNS[table]))
+def row_texts(table: str, df: DataFrame, names: tuple[str, ...] | None = None) -> DataFrame:
+    """Rows of any table as one text each, of the columns named or else the id and the table's columns in order."""
+    names = names or (ID, *(c for c in df.columns if c != ID))
+    columns = (F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in names)
     return df.select(F.lit(table).alias("table_name"), F.concat_ws("|", *columns).alias("row_text"))
 
 
@@ -185,7 +191,56 @@ def remap_sentinel(spark: SparkSession, folder: str) -> DataFrame:
 
 def reject_not_null(spark: SparkSession, folder: str) -> DataFrame:
     specs = {**default_specs(), "message_link": TableSpec("message_link", not_null=("message_row_id",))}
-    return merge_of(spark, folder, ("message_link",), NEEDS["message_link"], specs).rejected("message_link")
+    merge = merge_of(spark, folder, ("message_link",), NEEDS["message_link"], specs)
+    merge.minor_table("message_link")
+    return merge.rejected("message_link")
+
+
+def reject_not_null_main(spark: SparkSession, folder: str) -> DataFrame:
+    """Add-ons whose parent has no new id are refused before they take a key from an older copy."""
+    specs = default_specs()
+    specs["message_add_on"] = replace(specs["message_add_on"], not_null=("parent_message_row_id",))
+    build = (*NEEDS["message_add_on"], "message_add_on")
+    merge = merge_of(spark, folder, ("message_add_on",), build, specs)
+    return merge.main_table("message_add_on")
+
+
+def map_rank_zip_of(table: str, spark: SparkSession, folder: str) -> DataFrame:
+    """The one-to-one map of a table, with one-to-one maps of all tables it points at."""
+    build = dict.fromkeys(("jid", "chat", "message", *NEEDS[table], table))
+    return merge_of(spark, folder, (table,), build, map_mode="rank_zip").maps[table].df
+
+
+def tables_emptied(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of a table that a merge empties, and of one that it doesn't."""
+    merge = merge_of(spark, folder, ("backup_changes", "labels"), ("labels",))
+    done = merge.tables(merge.staging.write)
+    parts = (
+        done[t].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows")
+        for t in ("backup_changes", "labels")
+    )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def scan_many_snapshots(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as 40 stored snapshots, half of them in folders by value, read as one table."""
+    orders = Given(spark, folder)["orders"].select(
+        (F.col("o_orderkey") % 40).cast("int").alias("s"),
+        F.col("o_orderkey").cast("long").alias(ID),
+        F.col("o_orderpriority").alias("text_data"),
+        (F.col("o_custkey") % 3).cast("int").alias("part"),
+    )
+    staging = Staging(spark)
+    by_snapshot = staging.write("orders", orders.repartition("s"))
+    archives = []
+    for i in range(40):
+        own = by_snapshot.where(F.col("s") == i).drop("s").coalesce(1)
+        path = f"{staging.root}/snap {i}"
+        writer = own.write.partitionBy("part") if i < 20 else own.drop("part").write
+        writer.parquet(f"{path}/message")
+        archives.append((i, ParquetArchive(spark, path)))
+    base = T.StructType.fromDDL("_id bigint, text_data string, part int")
+    return read_union(spark, archives, "message", base.names, lambda df, keep: align(df, base, keep=keep))
 
 
 def chats(columns: tuple[str, ...], stale: str, spark: SparkSession, folder: str) -> DataFrame:
@@ -242,31 +297,68 @@ def schema_listing(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def merge_archive_full(spark: SparkSession, folder: str) -> DataFrame:
-    """Every row of every table of the merged archive."""
-    merge = merge_of(spark, folder, (*MAIN, *MINOR), MAIN)
+    """Every row of every table of the merged archive, that of an emptied one included."""
+    names = (*MAIN, *MINOR, "backup_changes")
+    merge = merge_of(spark, folder, (*names, "props"), MAIN)
     tables = merge.tables(merge.staging.write)
-    return reduce(DataFrame.unionByName, (row_texts(t, tables[t]) for t in (*MAIN, *MINOR)))
+    parts = [row_texts(t, tables[t]) for t in names]
+    parts.append(row_texts("props", tables["props"], ("key", "value")))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def incremental_merge(spark: SparkSession, folder: str) -> DataFrame:
-    """The two older snapshots are merged, then the newest onto the result: natural keys and times of messages."""
+def stored_snapshots(spark: SparkSession, folder: str, staging: Staging) -> list[str]:
+    """The derived snapshots, written as Parquet archives."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    names = ["jid", "chat", "message"]
-    frames = snapshot_frames(Given(spark, folder), names)
+    paths = []
+    for path, frames in zip(PATHS, snapshot_frames(Given(spark, folder), [*MAIN, *MINOR])):
+        paths.append(f"{staging.root}/{path}")
+        for table, df in frames.items():
+            staging.write(f"{path}/{table}", df)
+    return paths
+
+
+def merge_archives_published(spark: SparkSession, folder: str) -> DataFrame:
+    """Stored snapshots merged into a stored archive, which is read back."""
+    staging = Staging(spark)
+    merge_archives(spark, stored_snapshots(spark, folder, staging), f"{staging.root}/out")
+    written = ParquetArchive(spark, f"{staging.root}/out")
+    return reduce(DataFrame.unionByName, (row_texts(t, written.read(t)) for t in (*MAIN, *MINOR)))
 
-    def merged(archives: list[FrameArchive], path: str) -> FrameArchive:
-        merge = Merge(spark, archives, default_specs(), Staging(spark))
-        merge.build_keys()
-        return FrameArchive(path, merge.tables(merge.staging.write))
 
-    older = merged([FrameArchive(p, of) for p, of in zip(PATHS[:2], frames[:2])], "older")
-    tables = merged([older, FrameArchive(PATHS[2], frames[2])], "all").frames
-    contact = tables["chat"].join(tables["jid"].withColumnRenamed(ID, "jid_row_id"), "jid_row_id")
-    contact = contact.select(F.col(ID).alias("chat_row_id"), F.col("raw_string").alias("chat_name"))
-    sender = tables["jid"].select(F.col(ID).alias("sender_jid_row_id"), F.col("raw_string").alias("sender_name"))
-    messages = tables["message"].where(F.col("chat_row_id").isNotNull())
-    named = messages.join(contact, "chat_row_id").join(sender, "sender_jid_row_id", "left")
-    return named.select("chat_name", "from_me", "key_id", "sender_name", TIME, "status", "text_data")
+def incremental_merge(spark: SparkSession, folder: str) -> DataFrame:
+    """The two newer snapshots are merged, then the oldest onto the stored result, which is the base."""
+    staging = Staging(spark)
+    oldest, *newer = stored_snapshots(spark, folder, staging)
+    merge_archives(spark, newer, f"{staging.root}/newer")
+    result = merge_archives(spark, [f"{staging.root}/newer", oldest], f"{staging.root}/all")
+    return reduce(DataFrame.unionByName, (row_texts(t, result.tables[t]) for t in (*MAIN, *MINOR)))
+
+
+def convert_archive_full(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row of every table of the converted archive."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    given, names = LegacyFrames(Given(spark, folder)), LEGACY
+    result = convert_archive(spark, FrameArchive("legacy", {t: given[t] for t in names}))
+    return reduce(DataFrame.unionByName, (row_texts(t, result.tables[t], shown) for t, shown in CONVERTED.items()))
+
+
+# Tables of the legacy archive, and what is shown of the converted ones.
+LEGACY = (
+    "jid", "chat", "messages", "messages_quotes", "messages_links", "messages_vcards", "messages_vcards_jids",
+    "frequents", "message_thumbnails", "settings",
+)
+CONVERTED = {
+    "jid": (ID, "raw_string"),
+    "chat": (ID, "jid_row_id"),
+    "settings": (ID, "name", "old_only"),
+    "message_quoted": ("message_row_id", "chat_row_id", "from_me", "sender_jid_row_id", "key_id", TIME, "text_data"),
+    "message": (ID, "chat_row_id", "sender_jid_row_id", "from_me", "text_data", "key_id", "lookup_tables"),
+    "message_link": (ID, "chat_row_id", "message_row_id", "link_index"),
+    "message_vcard": (ID, "message_row_id", "vcard"),
+    "message_vcard_jid": (ID, "vcard_jid_row_id", "vcard_row_id", "message_row_id"),
+    "frequent": (ID, "jid_row_id", "type", "message_count"),
+    "message_thumbnail": ("message_row_id", "thumbnail"),
+}
 
 
 def queries() -> dict[str, Query]:
@@ -310,6 +402,11 @@ def queries() -> dict[str, Query]:
         "schema_listing": schema_listing,
         "incremental_merge": incremental_merge,
         "merge_archive_full": merge_archive_full,
+        "merge_archives_published": merge_archives_published,
+        "scan_many_snapshots": scan_many_snapshots,
+        "tables_emptied": tables_emptied,
+        "reject_not_null_main": reject_not_null_main,
+        "convert_archive_full": convert_archive_full,
     }
     short = {
         "message_add_on": "add_on",
@@ -319,4 +416,6 @@ def queries() -> dict[str, Query]:
     for t in MAIN:
         found[f"dedupe_{short.get(t, t)}"] = partial(dedupe, t)
         found[f"map_{short.get(t, t)}"] = partial(id_map, t)
+    for t in ("call_log", "message_add_on", "message_vcard", "reporting_info"):
+        found[f"map_rank_zip_{short.get(t, t)}"] = partial(map_rank_zip_of, t)
     return found

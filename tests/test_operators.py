@@ -7,7 +7,7 @@ from sediment.operators.align import align, cast_losses, common_columns, lossy_c
 from sediment.operators.checks import assert_unique, duplicates, split_nulls
 from sediment.operators.dedupe import distinct_on_all, first_per_key, keyed_distinct
 from sediment.operators.ids import assign_ordered_ids, number_within
-from sediment.operators.lookup import BROADCAST_BYTES, HOT_KEYS, SALTS, Sized, hot_keys, lookup
+from sediment.operators.lookup import BROADCAST_BYTES, Sized, hot_keys, lookup
 from sediment.operators.rank import rank_snapshots
 from sediment.operators.remap import remap
 
@@ -48,15 +48,30 @@ def test_lookup_keeps_several_matches(spark, frame):
         assert full == [*want, (3, None, None), (4, "c", None)]
 
 
-def test_hot_keys_hold_the_large_ones_and_are_few(spark):
+def test_hot_keys_are_those_with_more_rows_than_a_task_should_have(spark):
     left = skewed(spark)
-    hot = hot_keys(left, ["fk"])
+    n = left.where("fk = 7").count()
     seven = left.where("fk = 7").select(F.xxhash64("fk")).first()[0]
-    assert seven in hot and len(hot) <= HOT_KEYS
-    assert hot_keys(left.where("fk is null"), ["fk"]) == []
+    assert hot_keys(left, ["fk"], n // 10)[seven] in (10, 11)
+    assert hot_keys(left, ["fk"], n * 2) == {}
+    assert hot_keys(left.where("fk is null"), ["fk"], 1) == {}
 
 
-def test_hot_key_is_spread_over_many_tasks(spark):
+def test_any_number_of_equally_hot_keys_is_split(spark):
+    left = spark.range(0, 30_000).select("id", (F.col("id") % 300).alias("fk"))
+    assert sorted(hot_keys(left, ["fk"], 25).values()) == [4] * 300
+
+
+def test_without_hot_keys_nothing_is_copied(spark):
+    left = spark.range(0, 3_000).select("id", (F.col("id") % 300).alias("fk"))
+    right = Sized.of(spark.range(0, 300).select(F.col("id").alias("old_id"), F.col("id").alias("new_id")))
+    joined = lookup(left, right, {"fk": "old_id"}, {"new_id": "new"}, "left", ("id",), limit=0)
+    assert joined.where("fk = new").count() == 3_000
+    assert "Generate" not in joined._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_key_is_spread_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr("sediment.operators.lookup.TASK_ROWS", 100)
     left = skewed(spark)
     right = Sized.of(spark.range(0, 400).select(F.col("id").alias("old_id"), F.col("id").alias("new_id")))
     joined = lookup(left, right, {"fk": "old_id"}, {"new_id": "new"}, "left", ("id",), limit=0)
@@ -70,7 +85,6 @@ def test_hot_key_is_spread_over_many_tasks(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
     assert max(r["count"] for r in sizes) < 20_000 / 10
-    assert SALTS >= 100
 
 
 def test_size_counts_texts_and_doubts_large_tables(spark, frame):

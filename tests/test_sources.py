@@ -79,8 +79,8 @@ def test_values_of_another_type_become_null(spark, tmp_path):
         c.executemany("insert into t values (?, ?, ?)", [("12x", 5, "raw"), (2.0, b"\xff", None), (2.5, None, b"\x00")])
     df = SqliteArchive(spark, path).read("t")
     got = [(r.n, r.s, None if r.b is None else bytes(r.b)) for r in df.collect()]
-    assert sorted(got, key=str) == sorted([(None, "5", b"raw"), (2, "�", None), (None, None, b"\x00")], key=str)
-    assert rows(sqlite.misfits(spark, path, sqlite.catalog(path)["t"])) == [("n", 2)]
+    assert sorted(got, key=str) == sorted([(None, "5", b"raw"), (2, chr(0x10FEFF), None), (None, None, b"\x00")], key=str)
+    assert rows(sqlite.misfits(spark, [(4, path)], sqlite.catalog(path)["t"])) == [(4, "n", 2), (4, "s", 1)]
 
 
 def test_merge_of_files_and_of_the_result(spark, tmp_path):
@@ -130,20 +130,32 @@ def test_unknown_sources(spark, tmp_path):
 
 def test_many_snapshots_by_one_scan(spark, tmp_path, frame):
     archives = []
-    for i in range(6):
+    for i in range(40):
         path = str(tmp_path / f"snap shot {i}%")
-        if i % 2:
+        if i % 4 == 1:
             frame("_id long, raw_string string", (i, f"odd {i}")).write.parquet(f"{path}/jid")
+        elif i % 4 == 3:
+            held = frame("_id long, raw_string string, p string", (i, f"odd {i}", "x y+z%/=ü"))
+            held.write.partitionBy("p").parquet(f"{path}/jid")
         else:
             frame("raw_string string, _id int", (f"even {i}", i)).write.parquet(f"{path}/jid")
         archives.append((i, ParquetArchive(spark, path)))
-    base = frame("_id long, raw_string string").schema
+    base = frame("_id long, raw_string string, p string").schema
     shape = lambda df, keep: align(df, base, None, keep)
-    apart = read_union(spark, archives, "jid", base.names, shape)
-    at_once = read_union(spark, archives, "jid", base.names, shape, separate_scans=1)
-    assert rows(apart) == rows(at_once) == [(i, i, f"{'odd' if i % 2 else 'even'} {i}") for i in range(6)]
-    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("parquet")
-    assert scans(apart) == 6 and scans(at_once) == 2
+    found = read_union(spark, archives, "jid", base.names, shape)
+    want = [(i, i, f"{'odd' if i % 2 else 'even'} {i}", "x y+z%/=ü" if i % 4 == 3 else None) for i in range(40)]
+    assert rows(found, "snapshot_id", "old_id", "raw_string", "p") == want
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("parquet") == 3
+
+
+def test_folder_values_of_every_kind(spark, tmp_path, frame):
+    df = frame("x int, n int, s string", (1, 5, "a"), (2, None, "b c"), (3, 6, None))
+    df.write.partitionBy("n", "s").parquet(f"{tmp_path}/a/t")
+    df.write.partitionBy("n", "s").parquet(f"{tmp_path}/b/t")
+    archives = [(i, ParquetArchive(spark, f"{tmp_path}/{n}")) for i, n in enumerate("ab")]
+    found = read_union(spark, archives, "t", ["x", "n", "s"], lambda df, keep: df.select(*keep, "x", "n", "s"))
+    want = [(1, 5, "a"), (2, None, "b c"), (3, 6, None)]
+    assert rows(found) == [(i, *w) for i in range(2) for w in want]
 
 
 def test_many_files_by_one_scan(spark, tmp_path, frame):
@@ -151,9 +163,9 @@ def test_many_files_by_one_scan(spark, tmp_path, frame):
     base = files[0][1].schema("message")
     shape = lambda df, keep: align(df, base, None, keep)
     for columns in (base.names, ["key_id"]):
-        apart = read_union(spark, files, "message", columns, shape)
-        at_once = read_union(spark, files, "message", columns, shape, separate_scans=1)
-        assert rows(apart) == rows(at_once, *apart.columns) and apart.count() == 250
+        apart = [row for f in files for row in rows(read_union(spark, [f], "message", columns, shape))]
+        at_once = read_union(spark, files, "message", columns, shape)
+        assert sorted(apart, key=str) == sorted(rows(at_once), key=str) and len(apart) == 250
     assert at_once._jdf.queryExecution().optimizedPlan().toString().count("sediment_sqlite") == 1
 
 
