@@ -84,7 +84,18 @@ def random_tables(seed, newest):
 
 
 @pytest.mark.parametrize("mode, seed, broadcast_bytes", [("strict", 1, 0), ("rank_zip", 2, 32 << 20)])
-def test_merge_equals_row_by_row_merge(spark, staging, mode, seed, broadcast_bytes):
+def test_merge_equals_row_by_row_merge(spark, staging, mode, seed, broadcast_bytes, monkeypatch):
+    if not broadcast_bytes:
+        # Spark itself must not broadcast either, and hot keys are split.
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        monkeypatch.setattr("sediment.operators.lookup.TASK_ROWS", 3)
+    try:
+        check_merge(spark, staging, mode, seed, broadcast_bytes)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def check_merge(spark, staging, mode, seed, broadcast_bytes):
     snapshots = [random_tables(seed * 10 + i, 100 - i) for i in range(3)]
     specs = {**default_specs(), "call_log": TableSpec(**{**default_specs()["call_log"].__dict__, "natural_key": brute.KEYS["call_log"]})}
     archives = [archive(spark, f"s{i}", **t) for i, t in enumerate(snapshots)]

@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -28,7 +30,8 @@ def skewed(spark, n=20_000):
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
-def test_lookup_by_shuffle_equals_lookup_by_broadcast(spark, how):
+def test_lookup_by_shuffle_equals_lookup_by_broadcast(spark, how, monkeypatch):
+    monkeypatch.setattr("sediment.operators.lookup.TASK_ROWS", 100)
     left = skewed(spark)
     right = Sized.of(spark.range(0, 400).select(F.col("id").alias("old_id"), (F.col("id") * 10).alias("new_id")))
     small = lookup(left, right, {"fk": "old_id"}, {"new_id": "new"}, how, ("id",))
@@ -259,3 +262,21 @@ def test_repeated_key_is_named(frame):
     with pytest.raises(DuplicateKey, match="t: repeated key: k='a'"):
         assert_unique(df, ["k"], "t")
     assert_unique(df, ["k", "v"], "t")
+
+
+@pytest.mark.parametrize("table", ["missed_call_logs", "anything"])
+def test_many_references_by_one_join_equal_one_join_each(spark, table, monkeypatch):
+    monkeypatch.setattr("sediment.operators.lookup.TASK_ROWS", 50)
+    r = random.Random(3)
+    ids = lambda: r.choice([None, *range(1, 12)])
+    columns = ("snapshot_id int, old_id long, a_jid_row_id long, b_jid_row_id long, x_chat_row_id long, y_message_row_id int, v string")
+    df = spark.createDataFrame([(r.randrange(2), i, 1 if r.random() < 0.5 else ids(), ids(), ids(), ids(), f"v{i}") for i in range(300)], columns)
+    mapped = lambda n: spark.createDataFrame([(s, i, i * n + s) for s in range(2) for i in range(1, 9)], "snapshot_id int, old_id long, new_id long")
+    maps = {t: Sized.of(mapped(n)) for t, n in (("jid", 10), ("chat", 100), ("message", 1000))}
+    small = remap(df, table, maps, row_ids=True)
+    large = remap(df, table, maps, row_ids=True, limit=0)
+    assert large.columns == small.columns and rows(large) == rows(small)
+    # Only the chats are broadcast.
+    limit = maps["chat"].bytes
+    big = {t: Sized(m.df, m.rows, m.bytes + (t != "chat")) for t, m in maps.items()}
+    assert rows(remap(df, table, big, row_ids=True, limit=limit)) == rows(small)
