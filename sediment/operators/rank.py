@@ -58,19 +58,14 @@ def snapshot_list(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 def rank_snapshots(spark: SparkSession, paths: Sequence[str], messages: DataFrame) -> list[RankedSnapshot]:
     """Validated snapshots in merge order. Stops on a snapshot without a usable newest time."""
-    rows = checked_times(snapshot_list(spark, paths), messages).collect()
+    rows = ranking(checked_times(snapshot_list(spark, paths), messages)).collect()
     bad = sorted(r["path"] for r in rows if not r["is_valid"])
     if bad:
         raise InvalidSnapshot(f"no usable message time in: {', '.join(bad)}")
-    newest = max((r["max_ts"] for r in rows), default=0)
-    if newest == 0:
+    if not any(r["is_base"] for r in rows):
         raise InvalidSnapshot("no snapshot has a message time above 0")
-    base = min(r[SNAPSHOT] for r in rows if r["max_ts"] == newest)
-    ordered = sorted(rows, key=lambda r: (-r["max_ts"], r["path"]))
-    return [
-        RankedSnapshot(r[SNAPSHOT], r["path"], r["max_ts"], rank, r[SNAPSHOT] == base)
-        for rank, r in enumerate(ordered, 1)
-    ]
+    ordered = sorted(rows, key=lambda r: r[RANK])
+    return [RankedSnapshot(r[SNAPSHOT], r["path"], r["max_ts"], r[RANK], bool(r["is_base"])) for r in ordered]
 
 
 def rank_column(ranked: Sequence[RankedSnapshot]) -> Column:

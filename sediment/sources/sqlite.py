@@ -170,6 +170,17 @@ def fitted(value, kind: T.DataType):
         return None
 
 
+def column_array(values: tuple, kind: T.DataType, arrow: pa.DataType) -> pa.Array:
+    """A column at once; value by value only if one of them is of another type."""
+    try:
+        if isinstance(kind, T.StringType):
+            # The cast checks that it is UTF-8.
+            return pa.array(values, pa.binary()).cast(arrow)
+        return pa.array(values, arrow)
+    except (pa.ArrowInvalid, pa.ArrowTypeError, pa.ArrowNotImplementedError, OverflowError, TypeError):
+        return pa.array([fitted(v, kind) for v in values], arrow)
+
+
 def keeps(value, kind: T.DataType) -> bool:
     """Whether a value is read as what it is: it has the type, and a text is UTF-8."""
     return fitted(value, kind) is not None and not (
@@ -230,7 +241,7 @@ class SqliteReader(DataSourceReader):
         values = [
             pa.array([snapshot] * len(rows), arrow.field(f.name).type)
             if self.tagged and f.name == SNAPSHOT
-            else pa.array([fitted(v, f.dataType) for v in held[f.name]], arrow.field(f.name).type)
+            else column_array(held[f.name], f.dataType, arrow.field(f.name).type)
             for f in self.output.fields
         ]
         return pa.RecordBatch.from_arrays(values, schema=arrow)

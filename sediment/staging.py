@@ -5,6 +5,8 @@ from __future__ import annotations
 import atexit
 import shutil
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,12 +41,31 @@ def filesystem(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
+# Lists of the folders that open `discarding` blocks gather.
+_OPEN: list[list["Staging"]] = []
+
+
+@contextmanager
+def discarding() -> Iterator[None]:
+    """Drops at its end the folders made within, so what is read afterwards has to be written elsewhere by then."""
+    made: list[Staging] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.pop()
+        for staging in made:
+            staging.drop()
+
+
 class Staging:
     """One run's folder. Each table is written once and read back as a plain scan."""
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = f"{root or checkpoint_root(spark)}/sediment-{uuid4().hex}"
+        if _OPEN:
+            _OPEN[-1].append(self)
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"

@@ -285,14 +285,15 @@ def convert_common_copy(frames: LegacyFrames, contacts: Contacts) -> DataFrame:
 
 def schema_listing(spark: SparkSession, folder: str) -> DataFrame:
     """Column names of each given table in one string, with its number of rows."""
-    parts = []
-    for t in ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier"):
-        df = spark.read.parquet(f"{folder}/{t}.parquet")
-        parts.append(
-            df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-                F.lit(t).alias("table_name"), F.lit(listing(df.columns)).alias("columns"), "n_rows"
-            )
-        )
+    names = ("customer", "events", "lineitem", "nation", "orders", "part", "region", "supplier")
+    given = Given(spark, folder)
+    archive = FrameArchive("given", {t: given[t] for t in names})
+    parts = (
+        archive.read(t)
+        .agg(F.count(F.lit(1)).alias("n_rows"))
+        .select(F.lit(t).alias("table_name"), F.lit(listing(archive.schema(t).names)).alias("columns"), "n_rows")
+        for t in archive.tables()
+    )
     return reduce(DataFrame.unionByName, parts)
 
 

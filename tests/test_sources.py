@@ -10,7 +10,7 @@ from sediment.operators.align import align
 from sediment.sources import sqlite
 from sediment.sources.archive import ParquetArchive, SqliteArchive, open_archive, read_union
 from sediment.sources.sink import Publisher, check_output
-from sediment.staging import Staging, checkpoint_root
+from sediment.staging import Staging, checkpoint_root, discarding
 
 SCRIPT = """
 create table jid (_id integer primary key, raw_string text not null);
@@ -188,6 +188,14 @@ def test_publishing_replaces_the_whole_folder(spark, tmp_path, frame):
     assert [p.name for p in tmp_path.iterdir()] == ["out"]
 
 
+def test_folders_made_in_a_block_are_dropped_after_it(spark, tmp_path, frame):
+    outer = Staging(spark, str(tmp_path))
+    with discarding():
+        inner = Staging(spark, str(tmp_path))
+        kept = outer.write("t", inner.write("t", frame("x int", (1,))))
+    assert rows(kept) == [(1,)] and [p.name for p in tmp_path.iterdir()] == [outer.root.rsplit("/", 1)[1]]
+
+
 def test_staging_uses_the_named_folder(spark, tmp_path, frame):
     root = checkpoint_root(spark)
     assert root == checkpoint_root(spark)
