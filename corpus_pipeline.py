@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.llm import decontaminate, line_dedup, mixing, quality, simhash
-from sediment.staging import Staging
+from sediment.staging import Staging, discarding
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -57,9 +57,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written and read again."""
+    """All stages over documents, each written and read again; what a stage wrote for itself is dropped after it."""
     staging = Staging(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = staging.write(name, stage(spark, docs, sf_dir))
+        with discarding():
+            docs = staging.write(name, stage(spark, docs, sf_dir))
     return docs
