@@ -16,7 +16,7 @@ from sediment.staging import Staging
 
 MAX_REPEATS = 3
 # Documents that one task of a window orders.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3)) -> DataFrame:

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sediment.llm.components import connected_components
@@ -95,17 +95,60 @@ def first_slot(x: Column, slot: Column, max_bits: int = MAX_BITS) -> Column:
 
 
 def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """`a` < `b` for all pairs of distinct `fp` at `max_bits` or fewer differing bits, each pair once.
+    """`a` < `b` for all pairs of distinct `fp` at `max_bits` or fewer differing bits, each pair once."""
+    return _links(variants(prints.select("fp"), max_bits), max_bits)
+
+
+def _links(index: DataFrame, max_bits: int) -> DataFrame:
+    """The links of an index; if it has a `root`, only those of different roots.
 
     Both sides of the join are one shuffle of the index. The distance and the first-meeting rule are part of the
     join's condition, so only links leave it, and nothing needs to be made distinct after it.
     """
-    index = variants(prints.select("fp"), max_bits)
-    other = index.select(F.col("fp").alias("fq"), F.col("slot").alias("slot_q"), F.col("rest").alias("rest_q"))
-    x = F.col("fp").bitwiseXOR(F.col("fq"))
-    near = (F.col("fp") < F.col("fq")) & (F.bit_count(x) <= max_bits) & first_slot(x, F.col("slot"), max_bits)
+    other = index.select(*(F.col(c).alias(f"{c}_q") for c in index.columns))
+    x = F.col("fp").bitwiseXOR(F.col("fp_q"))
+    near = (F.col("fp") < F.col("fp_q")) & (F.bit_count(x) <= max_bits) & first_slot(x, F.col("slot"), max_bits)
+    if "root" in index.columns:
+        near = near & (F.col("root") != F.col("root_q"))
     pairs = index.join(other, (F.col("slot") == F.col("slot_q")) & (F.col("rest") == F.col("rest_q")) & near)
-    return pairs.select(F.col("fp").alias("a"), F.col("fq").alias("b"))
+    return pairs.select(F.col("fp").alias("a"), F.col("fp_q").alias("b"))
+
+
+def between_roots(prints: DataFrame, staging: Staging, max_bits: int = MAX_BITS) -> DataFrame:
+    """`a` < `b`: all links of `fp` with different `root`. Index entries under which all have one root are left out first."""
+    same = Window.partitionBy("slot", "rest")
+    index = variants(prints.select("fp", "root"), max_bits)
+    mixed = index.withColumns({"low": F.min("root").over(same), "high": F.max("root").over(same)}).where("low <> high")
+    return _links(staging.write("mixed", mixed.drop("low", "high")), max_bits)
+
+
+def first_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """`a` < `b`: links of each `fp` to the smallest one it shares an index entry with, no more than index rows."""
+    same = Window.partitionBy("slot", "rest")
+    met = variants(prints.select("fp"), max_bits).withColumn("a", F.min("fp").over(same)).where("a <> fp")
+    near = F.bit_count(F.col("a").bitwiseXOR(F.col("fp"))) <= max_bits
+    return met.where(near).select("a", F.col("fp").alias("b")).distinct()
+
+
+def linked(prints: DataFrame, staging: Staging, max_bits: int = MAX_BITS) -> DataFrame:
+    """`fp`, `root` of distinct `fp`: the smallest print of the component of each.
+
+    A large group of near copies is one component by the links to the smallest prints alone, or nearly so. All links
+    are then looked for between components only, so its pairs are neither compared nor made links.
+    """
+
+    def rooted(nodes: DataFrame, edges: DataFrame, name: str) -> DataFrame:
+        roots = connected_components(staging.write(f"{name}_links", edges), staging, name).withColumnRenamed("root", "top")
+        found = nodes.join(roots, F.col("root") == F.col("node"), "left")
+        return staging.write(f"{name}_roots", found.select("fp", F.coalesce("top", "root").alias("root")))
+
+    own = prints.select("fp", F.col("fp").alias("root"))
+    near = rooted(own, first_links(prints, max_bits), "first")
+    rest = staging.write("rest_pairs", between_roots(near, staging, max_bits))
+    for end in ("a", "b"):
+        rest = rest.join(near.select(F.col("fp").alias(end), F.col("root").alias(f"root_{end}")), end)
+    between = rest.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))
+    return rooted(near, between, "rest")
 
 
 def labelled(
@@ -117,10 +160,10 @@ def labelled(
     rows = docs.select(F.col(doc).alias("doc_id"), text_key(t).alias("text_key"), t.alias("text"))
     rows = staging.write("prints", with_fingerprints(rows, shingle))
     prints = staging.write("distinct", rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
-    edges = staging.write("links", links(prints, max_bits))
-    roots = connected_components(edges, staging, "roots").withColumnRenamed("node", "fp")
-    of_print = prints.join(roots, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"), "low")
-    lowest = of_print.groupBy("root").agg(F.min("low").alias("component_id"))
+    of_print = prints.join(linked(prints, staging, max_bits), "fp")
+    # Written, so that the joins with it can split a large component.
+    of_print = staging.write("of_print", of_print)
+    lowest = staging.write("lowest", of_print.groupBy("root").agg(F.min("low").alias("component_id")))
     labels = staging.write("labels", of_print.join(lowest, "root").select("fp", "root", "component_id"))
     return rows.join(labels, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
 
@@ -145,7 +188,7 @@ def one_of_each(docs: DataFrame, doc: str = "doc_id", text: str = "text", **opti
     staging = Staging(docs.sparkSession)
     rows = staging.write("labelled", labelled(docs, doc, text, **options).select("doc_id", "text_key", "root"))
     order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
-    first = rows.groupBy("root").agg(F.min(order).alias("first"))
+    first = staging.write("first", rows.groupBy("root").agg(F.min(order).alias("first")))
     each = rows.groupBy("root", "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
     marks = each.join(first, "root").where(~order.eqNullSafe(F.col("first")) | (F.col("n") > 1))
     marks = marks.select(

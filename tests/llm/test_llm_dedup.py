@@ -159,7 +159,7 @@ def mixing_rows(seed, n):
     return rows + [(900, None, "empty"), (901, "", "empty"), rows[3], rows[3], rows[3]]
 
 
-@pytest.mark.parametrize("bucket", [20_000, 5])
+@pytest.mark.parametrize("bucket", [4_000, 5])
 def test_mixing_is_that_of_plain_python(spark, frame, monkeypatch, bucket):
     monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket)
     rows = mixing_rows(8, 300)
