@@ -12,6 +12,7 @@ from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import partial, reduce
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -101,6 +102,9 @@ class Merge:
         self.maps: dict[str, Sized] = {}
         self.survivors: dict[str, Survivors] = {}
         self.refused: dict[str, DataFrame] = {}
+        # Parents' columns for looser keys, written once for all tables that ask.
+        self.parents: dict[tuple[str, str], Sized] = {}
+        self._reading_parents = Lock()
 
         together(lambda a: [a.schema(t) for t in mergeable(a.tables(), include_tables)], list(self.archives.values()))
         self.ranked = self._rank()
@@ -327,10 +331,14 @@ class Merge:
 
     def _with_parent_part(self, rows: DataFrame, part: WeakKey, name: str) -> DataFrame:
         """Adds the parent's column inside the same snapshot, found by the old id."""
-        parents = self.union(part.parent, [part.parent_column])
+        with self._reading_parents:
+            if (part.parent, part.parent_column) not in self.parents:
+                read = self.union(part.parent, [part.parent_column])
+                written = self.staging.write(f"{part.parent}_{part.parent_column}_parents", read)
+                self.parents[part.parent, part.parent_column] = Sized.of(written)
         return lookup(
             rows,
-            Sized.of(parents),
+            self.parents[part.parent, part.parent_column],
             {SNAPSHOT: SNAPSHOT, part.column: OLD_ID},
             {part.parent_column: name},
             spread=ROW,
