@@ -1,7 +1,7 @@
 """Main text of HTML pages, with site templates removed.
 
-Every element's markup is hashed; hashes are counted per host over distinct pages, and subtrees that recur on many pages
-of a host are its template. What is left of the article is the text.
+Every container's markup is hashed; hashes are counted per host over distinct pages, and containers that recur on most
+pages of a host are its template. What is left of the article is the text.
 """
 
 from __future__ import annotations
@@ -42,7 +42,7 @@ FRAME = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 # Elements that end an open paragraph, and ones that end an open one of their own kind.
 ENDS_P = BLOCK - frozenset("caption body html tbody td tfoot th thead tr dd dt li summary figcaption".split())
 SELF_ENDING = {"li": "li", "dt": "dt dd", "dd": "dt dd", "option": "option", "tr": "tr td th", "td": "td th", "th": "td th"}
-# What may recur inside an article without being its text.
+# What may recur on pages without being their text: containers, never inline elements, headings or paragraphs.
 WIDGETS = frozenset("div section ul ol table figure aside".split())
 
 TOKEN = re.compile(
@@ -53,9 +53,9 @@ ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)
 
 @dataclass(frozen=True)
 class TemplateParams:
-    # A subtree is template from this many distinct pages of a host on, if that is also this share of them.
+    # A container is template from this many distinct pages of a host on, if that is also this share of them.
     min_pages: int = 5
-    min_percent: int = 5
+    min_percent: int = 50
     # Inside an article, the share has to be this.
     article_percent: int = 50
 
@@ -89,7 +89,7 @@ def subtree_hash(markup: str) -> int:
 def walk(page: str, template: frozenset[int] = frozenset(), widgets: frozenset[int] = frozenset()) -> tuple[list, list[tuple[int, bool]]]:
     """Text pieces (text or None for the end of a block, nesting of articles) and (hash, inside an article) of elements.
 
-    Pieces of elements whose hash is in `template` (in an article: `widgets`, for its widget-like elements) are left out.
+    Only WIDGETS have hashes; pieces of those whose hash is in `template` (in an article: `widgets`) are left out.
     """
     pieces: list[tuple[str | None, int]] = []
     hashes: list[tuple[int, bool]] = []
@@ -101,7 +101,7 @@ def walk(page: str, template: frozenset[int] = frozenset(), widgets: frozenset[i
             e = stack.pop()
             if e.dropped:
                 del pieces[e.first :]
-            elif e.tag not in ("html", "body", "article", "main") and (not e.article or e.tag in WIDGETS):
+            elif e.tag in WIDGETS:
                 h = subtree_hash(page[e.start : end])
                 hashes.append((h, e.article > 0))
                 if h in (widgets if e.article else template):

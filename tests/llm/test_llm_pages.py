@@ -60,6 +60,17 @@ def test_templates_of_a_site_go_and_articles_stay(spark, frame):
     assert html_text.extract_text(df.limit(0)).count() == 0
 
 
+def test_recurring_inline_elements_headings_and_paragraphs_stay(spark, frame):
+    rows = []
+    for i in range(40):
+        note = "<div><p>read on</p></div>" if i % 8 == 0 else ""
+        text = f'<h2>Ingredients</h2><p>He did <em>not</em> go to <a href="/x">Rome</a> {i}</p><p>Serve <code>hot</code>.</p>{note}'
+        rows.append((i, f"http://cook.example.com/{i}", page(f"<div>our site</div><div id=content>{text}</div>")))
+    got = {r.page_id: r.text for r in html_text.extract_text(frame("page_id long, url string, html string", *rows)).collect()}
+    # A container on a few pages stays too, one on all of them is the site's.
+    assert got == {i: f"Ingredients He did not go to Rome {i} Serve hot." + " read on" * (i % 8 == 0) for i in range(40)}
+
+
 def test_a_long_broken_page_takes_linear_time():
     assert html_text.main_text("<a href='" * 20_000 + "x") is not None
     deep = html_text.main_text("<div>" * 3000 + "deep" + "</div>" * 3000)
