@@ -10,6 +10,7 @@ import html as entities
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 import xxhash
@@ -26,17 +27,30 @@ BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
-# What is no main text, by element, role, and words of class or id.
+# What is no main text, by element, role, and tokens of class or id.
 DROPPED = frozenset(
     "head nav header footer aside form script style noscript template iframe textarea title select option button svg canvas "
     "object embed dialog menu audio video input label fieldset xmp noembed noframes math".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
-NAMES = frozenset(
+COMMENTS = frozenset("comment comments reply replies disqus".split())
+NAMES = COMMENTS | frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu "
     "breadcrumb breadcrumbs sidebar aside widget related footer header masthead cookie cookies consent notice gdpr popup modal "
-    "overlay newsletter subscribe signup login share sharing social comment comments reply replies discussion disqus toolbar pagination".split()
+    "overlay newsletter subscribe signup login share sharing social toolbar pagination".split()
 )
+# A token counts if it is one of NAMES, or made of those and of what only says where, how many or which.
+PLACES = frozenset(
+    "site main top bottom left right primary secondary global list item items bar box area block links buttons icons slot unit "
+    "media container wrapper wrap".split()
+)
+COMMENT_PLACES = PLACES | frozenset("section post user thread form body content text title author respond".split())
+# Of the names, those that are as well headings of an article's sections, so an id does not count.
+SECTIONS = frozenset("comment reply related notice consent promotion social sharing share menu sponsor".split())
+# Dropped elements that hold whole pages at times, and ones left open before a <main>, or an <article> too.
+FORMS = frozenset("form fieldset".split())
+ASIDES = frozenset("nav aside".split())
+HEADS = frozenset("header footer".split())
 # Elements whose class says nothing about what is in them.
 FRAME = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
 # Elements that end an open paragraph, and ones that end an open one of their own kind.
@@ -60,25 +74,41 @@ class TemplateParams:
     article_percent: int = 50
 
 
+# Whether an element's text goes: never; always; unless it holds a <main>; a <main> or the article; one of these or most of the text,
+# for an element by its name, and for a form.
+KEPT, GONE, HOLDS_MAIN, HOLDS_ARTICLE, NAMED, FORM = range(6)
+
+
 class Element:
-    __slots__ = ("tag", "start", "first", "article", "dropped")
+    __slots__ = ("tag", "start", "first", "article", "fate", "before")
+
+    def __init__(self, tag: str, start: int, first: int, article: int, fate: int, before: tuple[int, int, int]):
+        self.tag, self.start, self.first, self.article, self.fate, self.before = tag, start, first, article, fate, before
 
-    def __init__(self, tag: str, start: int, first: int, article: int, dropped: bool):
-        self.tag, self.start, self.first, self.article, self.dropped = tag, start, first, article, dropped
 
+def fate_of_name(token: str) -> int:
+    """That of a class or id made of names alone, or of them with places and numbers: `cookie-notice`, `sidebar-left`, `comment-12`."""
+    words = {w for w in re.split(r"[^a-z0-9]+", token) if not w.isdigit()} - {""}
+    if not COMMENTS.isdisjoint(words):
+        return HOLDS_MAIN if words <= NAMES | COMMENT_PLACES else KEPT
+    return NAMED if not NAMES.isdisjoint(words) and words <= NAMES | PLACES else KEPT
 
-def boilerplate(tag: str, attributes: str) -> bool:
+
+def fate_of(tag: str, attributes: str) -> int:
     if tag in DROPPED:
-        return True
+        return FORM if tag in FORMS else HOLDS_MAIN if tag in ASIDES else HOLDS_ARTICLE if tag in HEADS else GONE
     if tag in FRAME or not attributes:
-        return False
+        return KEPT
+    fate = KEPT
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or "").strip("\"'").lower()
-        if name == "role" and value in ROLES:
-            return True
-        if name in ("class", "id") and not NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value)):
-            return True
-    return False
+        found = [NAMED] if name == "role" and value in ROLES else []
+        if name == "class" or name == "id" and value not in SECTIONS:
+            found = [fate_of_name(token) for token in value.split()]
+        if HOLDS_MAIN in found:
+            return HOLDS_MAIN
+        fate = max(fate, *found, KEPT)
+    return fate
 
 
 def subtree_hash(markup: str) -> int:
@@ -94,24 +124,41 @@ def walk(page: str, template: frozenset[int] = frozenset(), widgets: frozenset[i
     pieces: list[tuple[str | None, int]] = []
     hashes: list[tuple[int, bool]] = []
     stack: list[Element] = []
+    # Elements whose fate hangs on the whole page: element, end of its pieces, characters outside of links, and in articles that it holds.
+    unsure: list[tuple[Element, int, int, int]] = []
+    # Characters outside of links, those in articles, and <main>s so far; open links.
+    plain = owned = mains = links = 0
     at, size = 0, len(page)
 
     def close(upto: int, end: int) -> None:
+        nonlocal plain, owned, mains, links
         while len(stack) > upto:
             e = stack.pop()
-            if e.dropped:
+            links -= e.tag == "a"
+            if e.fate == GONE or e.fate == HOLDS_MAIN and mains == e.before[2]:
                 del pieces[e.first :]
-            elif e.tag in WIDGETS:
-                h = subtree_hash(page[e.start : end])
-                hashes.append((h, e.article > 0))
-                if h in (widgets if e.article else template):
-                    del pieces[e.first :]
+                plain, owned, mains = e.before
+            else:
+                if e.fate > HOLDS_MAIN and mains == e.before[2]:
+                    unsure.append((e, len(pieces), plain - e.before[0], 0 if e.article else owned - e.before[1]))
+                if e.tag in WIDGETS:
+                    h = subtree_hash(page[e.start : end])
+                    hashes.append((h, e.article > 0))
+                    if h in (widgets if e.article else template):
+                        del pieces[e.first :]
+            while unsure and unsure[-1][1] > len(pieces):
+                unsure.pop()
             if e.tag in BLOCK:
                 pieces.append((None, e.article))
 
     def say(text: str) -> None:
+        nonlocal plain, owned
         if text:
-            pieces.append((text, stack[-1].article if stack else 0))
+            depth = stack[-1].article if stack else 0
+            pieces.append((text, depth))
+            n = len(text.strip())
+            plain += 0 if links else n
+            owned += n if depth else 0
 
     while at < size:
         m = TOKEN.search(page, at)
@@ -148,12 +195,35 @@ def walk(page: str, template: frozenset[int] = frozenset(), widgets: frozenset[i
         attributes = m[3] or m[6] or ""
         if tag in ("article", "main"):
             depth += 1
-        stack.append(Element(tag, m.start(), len(pieces), depth, boilerplate(tag, attributes)))
+        stack.append(Element(tag, m.start(), len(pieces), depth, fate_of(tag, attributes), (plain, owned, mains)))
+        mains += tag == "main"
+        links += tag == "a"
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])", re.I).search(page, at)
             at = end.start() if end else size
     close(0, size)
-    return pieces, hashes
+    return without(pieces, [(e.first, last) for e, last, *held in unsure if goes(e, *held, plain, owned)]), hashes
+
+
+def goes(e: Element, text: int, article: int, plain: int, owned: int) -> bool:
+    """Whether an element that holds `text` and `article` of the page's `plain` and `owned` characters is dropped.
+
+    It stays if it holds the article, by at least half of the articles' text, or most of the page's text: more than half, and
+    nine tenths inside an article, or of an element dropped by its name if there is an article elsewhere.
+    """
+    if article and 2 * article >= owned:
+        return False
+    percent = 90 if e.article or e.fate == NAMED and owned > article else 50
+    return e.fate == HOLDS_ARTICLE or 100 * text <= percent * plain
+
+
+def without(pieces: list, spans: list[tuple[int, int]]) -> list:
+    """The pieces that lie in none of the spans."""
+    change = [0] * (len(pieces) + 1)
+    for first, last in spans:
+        change[first] += 1
+        change[last] -= 1
+    return [piece for piece, inside in zip(pieces, accumulate(change)) if not inside]
 
 
 def main_text(page: str | None, template: frozenset[int] = frozenset(), widgets: frozenset[int] = frozenset()) -> str:

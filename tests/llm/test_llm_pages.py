@@ -37,6 +37,26 @@ def test_main_text(given, want):
     assert html_text.main_text(given) == want
 
 
+@pytest.mark.parametrize("wrapper", ["div class='container has-sidebar'", "div class=no-sidebar", "div class='layout-with-menu'", "body class=share-enabled", "div class=widget", "form method=post"])
+def test_what_holds_the_page_stays(wrapper):
+    tag = wrapper.split()[0]
+    rest = "<div class=sidebar>aside</div><nav>menu</nav><div id=comments>first! " + "blah " * 50 + "</div>"
+    for text in ("<article><p>the text</p></article>", "<main>the text</main>", "<p>the text</p>"):
+        assert html_text.main_text(f"<{wrapper}>{text}{rest}</{tag}><footer>f</footer>") == "the text"
+
+
+@pytest.mark.parametrize("section", ["section id=discussion", "section id='related-work'", "div class='page-header'", "section id=notice", "section id='has-menu'"])
+def test_sections_of_an_article_stay(section):
+    given = f"<article><p>one</p><{section}><p>two</p></{section.split()[0]}><p>three</p></article>"
+    assert html_text.main_text(given) == "one two three"
+
+
+@pytest.mark.parametrize("name", ["ad", "cookie-notice", "sidebar-left", "x comment-list", "comment-12", "site-footer", "share-buttons", "post_comments"])
+def test_names_of_other_parts_go(name):
+    assert html_text.main_text(f"<div class='{name}'>a <b>b</b></div><p>the whole text of this page</p>") == "the whole text of this page"
+    assert html_text.main_text(f"<article><p>the whole text</p><div class='{name}'>long " + "words " * 9 + "</div></article>") == "the whole text"
+
+
 def test_templates_of_a_site_go_and_articles_stay(spark, frame):
     rows = []
     for i in range(40):
