@@ -52,7 +52,7 @@ FORMS = frozenset("form fieldset".split())
 ASIDES = frozenset("nav aside".split())
 HEADS = frozenset("header footer".split())
 # Elements whose class says nothing about what is in them.
-FRAME = frozenset("html body article main h1 h2 h3 h4 h5 h6".split())
+FRAME = frozenset("html body main h1 h2 h3 h4 h5 h6".split())
 # Elements that end an open paragraph, and ones that end an open one of their own kind.
 ENDS_P = BLOCK - frozenset("caption body html tbody td tfoot th thead tr dd dt li summary figcaption".split())
 SELF_ENDING = {"li": "li", "dt": "dt dd", "dd": "dt dd", "option": "option", "tr": "tr td th", "td": "td th", "th": "td th"}
@@ -117,11 +117,12 @@ def subtree_hash(markup: str) -> int:
 
 
 def walk(page: str, template: frozenset[int] = frozenset(), widgets: frozenset[int] = frozenset()) -> tuple[list, list[tuple[int, bool]]]:
-    """Text pieces (text or None for the end of a block, nesting of articles) and (hash, inside an article) of elements.
+    """Text pieces (text or None for the end of a block, place, whether linked) and (hash, inside an article) of elements.
 
+    A place is 0 outside of articles, 1 in an article and 2 in a <main>.
     Only WIDGETS have hashes; pieces of those whose hash is in `template` (in an article: `widgets`) are left out.
     """
-    pieces: list[tuple[str | None, int]] = []
+    pieces: list[tuple[str | None, int, bool]] = []
     hashes: list[tuple[int, bool]] = []
     stack: list[Element] = []
     # Elements whose fate hangs on the whole page: element, end of its pieces, characters outside of links, and in articles that it holds.
@@ -149,13 +150,13 @@ def walk(page: str, template: frozenset[int] = frozenset(), widgets: frozenset[i
             while unsure and unsure[-1][1] > len(pieces):
                 unsure.pop()
             if e.tag in BLOCK:
-                pieces.append((None, e.article))
+                pieces.append((None, e.article, False))
 
     def say(text: str) -> None:
         nonlocal plain, owned
         if text:
             depth = stack[-1].article if stack else 0
-            pieces.append((text, depth))
+            pieces.append((text, depth, links > 0))
             n = len(text.strip())
             plain += 0 if links else n
             owned += n if depth else 0
@@ -189,12 +190,12 @@ def walk(page: str, template: frozenset[int] = frozenset(), widgets: frozenset[i
                     break
         depth = stack[-1].article if stack else 0
         if tag in BLOCK:
-            pieces.append((None, depth))
+            pieces.append((None, depth, False))
         if tag in VOID:
             continue
         attributes = m[3] or m[6] or ""
         if tag in ("article", "main"):
-            depth += 1
+            depth = max(depth, 1 + (tag == "main"))
         stack.append(Element(tag, m.start(), len(pieces), depth, fate_of(tag, attributes), (plain, owned, mains)))
         mains += tag == "main"
         links += tag == "a"
@@ -226,13 +227,28 @@ def without(pieces: list, spans: list[tuple[int, int]]) -> list:
     return [piece for piece, inside in zip(pieces, accumulate(change)) if not inside]
 
 
+def has_article(pieces: list) -> bool:
+    """Whether the text is what lies in a <main> or article: there is a <main> with text, or the articles hold at least half of
+    the words outside of links (of all, if all are links)."""
+    words = [[0, 0], [0, 0], [0, 0]]
+    for text, place, linked in pieces:
+        if text:
+            words[place][linked] += len(text.split())
+    if sum(words[2]):
+        return True
+    if not sum(words[1]):
+        return False
+    own, rest = (words[1][0], words[0][0]) if words[1][0] + words[0][0] else (words[1][1], words[0][1])
+    return own >= rest
+
+
 def main_text(page: str | None, template: frozenset[int] = frozenset(), widgets: frozenset[int] = frozenset()) -> str:
-    """The article's blocks in page order; of a page without one, all blocks."""
+    """The article's blocks in page order; all blocks of a page without one, or whose articles are the lesser part."""
     pieces, _ = walk(page or "", template, widgets)
-    inside = any(depth and text and text.strip() for text, depth in pieces)
+    inside = has_article(pieces)
     blocks, now = [], []
-    for text, depth in [*pieces, (None, 1)]:
-        if inside and not depth:
+    for text, place, _ in [*pieces, (None, 1, False)]:
+        if inside and not place:
             continue
         if text is not None:
             now.append(text)

@@ -57,6 +57,26 @@ def test_names_of_other_parts_go(name):
     assert html_text.main_text(f"<article><p>the whole text</p><div class='{name}'>long " + "words " * 9 + "</div></article>") == "the whole text"
 
 
+TEXT = "<p>" + "a long story " * 20 + "</p>"
+STORY = ("a long story " * 20).strip()
+
+
+@pytest.mark.parametrize(
+    "given, want",
+    [
+        (f"<div class=content>{TEXT}</div><article class=comment>nice</article><article id=comment-7 class='by-guest'>me too</article>", STORY),
+        (f"<div class=content>{TEXT}</div><article class=card><h3>Read also</h3></article>", STORY + " Read also"),
+        (f"<article>{TEXT}<article class='comment depth-1'>nice</article></article><p>after</p>", STORY),
+        (f"<article>{TEXT}</article><article class='comment'>{TEXT}{TEXT}</article>", STORY),
+        (f"<article class='post has-comments'>{TEXT}</article><div><a>{STORY} {STORY}</a></div>", STORY),
+        (f"<main><p>short</p></main><div>{TEXT}</div>", "short"),
+        (f"<div><p>before</p></div><article role=complementary>{TEXT[:30]}</article><article>{TEXT}</article>", STORY),
+    ],
+)
+def test_articles_that_are_comments_or_cards(given, want):
+    assert html_text.main_text(page(given)) == want
+
+
 def test_templates_of_a_site_go_and_articles_stay(spark, frame):
     rows = []
     for i in range(40):
