@@ -1,6 +1,7 @@
 """Decontamination, quality rules, licences, secrets, token counts."""
 
 import random
+import textwrap
 from collections import Counter
 from pathlib import Path
 
@@ -8,7 +9,7 @@ import plain
 import pytest
 from pyspark.sql import functions as F
 
-from sediment.llm import decontaminate, licenses, quality, secrets, token_counts
+from sediment.llm import decontaminate, license_blocks, licenses, quality, secrets, token_counts
 
 VOCABULARY = "alpha beta gamma delta ÉTÉ straße Omega x1 42 the of and in Über q".split()
 
@@ -91,6 +92,50 @@ def test_licences_by_canonical_digest(spark, frame):
     assert licenses.scan_licenses(df.limit(0)).count() == 0
 
 
+def test_licences_of_several_lines(spark, frame):
+    def wrapped(text, width, mark=""):
+        return "\n".join(mark + x for x in textwrap.wrap(text, width))
+
+    mit = license_blocks.MIT.format(next="")
+    bsd = license_blocks.BSD_2.format(one="* ", two="* ", whose="COPYRIGHT HOLDERS AND CONTRIBUTORS", who="COPYRIGHT OWNER OR CONTRIBUTORS")
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License");\n// you may not use this file except in compliance with the License.\n// You may'
+    third = "Neither the name of Some Company nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+    gpl = "This file is free software; you can redistribute it and/or modify it under the terms of the GNU General Public Licence as published by the Free Software Foundation; either version 2 of the Licence, or (at your option) any later version."
+    rows = [
+        *((w, "MIT License\n\nCopyright (c) 2020 Someone\n\n" + wrapped(mit, w)) for w in range(30, 90, 3)),
+        (100, "code\n" + wrapped(mit, 60, "# ") + "\nmore code"),
+        (101, wrapped(bsd, 75)),
+        (102, "/* by me */\n// " + apache),
+        (103, wrapped(third, 50, " * ")),
+        (104, "x\n" + wrapped(gpl, 40, "-- ")),
+        (105, wrapped(mit.replace("free of charge", "for a charge"), 70)),
+        (106, wrapped(mit[:-60], 70)),
+        (107, wrapped(mit, 70) + "\n\n" + wrapped(bsd, 70) + "\n\n" + wrapped(mit, 50)),
+    ]
+    got = {r.doc_id: tuple(r)[1:] for r in licenses.scan_licenses(frame("doc_id long, text string", *rows)).collect()}
+    assert {got[w] for w in range(30, 90, 3)} == {("MIT", "MIT", 0, True)}
+    assert got[100] == ("", "MIT", 0, True) and got[101] == ("BSD-2-Clause", "BSD-2-Clause", 0, True)
+    assert got[102] == ("", "Apache-2.0", 0, True) and got[103][1:] == ("BSD-3-Clause", 0, True) and got[104][1:] == ("GPL-2.0", 0, True)
+    # Other words, or a part, are not the text.
+    assert got[105] == got[106] == ("", "", 0, False)
+    assert got[107] == ("", "BSD-2-Clause,MIT", 0, True)
+
+
+SHARED = Path("/usr/share/common-licenses")
+
+
+@pytest.mark.skipif(not SHARED.exists(), reason="no licence texts")
+def test_full_licence_texts(spark, frame):
+    names = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "LGPL-3": "LGPL-3.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}
+    texts = {n: (SHARED / n).read_text() for n in names}
+    rows = [(n, t) for n, t in texts.items()] + [(f"{n} in one line", " ".join(t.split("\n"))) for n, t in texts.items() if n != "Apache-2.0"]
+    rows += [(f"{n} cut", t[: len(t) // 2]) for n, t in texts.items()]
+    got = {r.doc_id: r for r in licenses.scan_licenses(frame("doc_id string, text string", *rows)).collect()}
+    for n, license in names.items():
+        assert license in got[n].line_licenses.split(","), n
+        assert license not in got[f"{n} cut"].line_licenses.split(",")
+
+
 def test_secrets_and_their_owners(spark, frame):
     key, mine = "AKIA" + "Q7ABCDEFGH234567", "AKIA" + "ZZZZZZZZZZ234567"
     live = "Zx9" + "aB3dE5fG7hJ9kL1mN2pQ4rS6tU8v"
