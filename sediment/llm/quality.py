@@ -1,13 +1,15 @@
 """Quality rules: counts per document, and verdicts on whole hosts.
 
 A document fails by itself if it is short or repeats itself. Beyond that, failures of every rule are summed per
-host, each host's rate is shrunk towards the corpus by an empirical beta prior, and all documents of a host whose
-shrunk rate of any rule is above the limit go.
+host, and each host's rate is shrunk towards the corpus by an empirical beta prior. A document that fails a rule goes if its host
+is clearly above the corpus in that rule, and all documents of a host whose shrunk rate of any rule is above the limit go.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +33,9 @@ class QualityParams:
     word_length: tuple[int, int] = (2, 15)
     # A host goes if the shrunk rate of a rule is above this.
     host_rate: float = 0.9
+    # A host is clearly above the corpus if its shrunk rate, less so many standard deviations, has so many times the corpus's odds.
+    host_deviations: float = 3.0
+    host_odds: float = 2.0
 
 
 def repeated_words(words: Column) -> Column:
@@ -84,12 +89,13 @@ def failures(params: QualityParams) -> dict[str, Column]:
     }
 
 
-def host_rates(judged: DataFrame, rules: tuple[str, ...]) -> DataFrame:
-    """One row per host (not null): documents `n` and each rule's shrunk failure rate `rate_<rule>`.
+def host_rates(judged: DataFrame, rules: tuple[str, ...], params: QualityParams = QualityParams()) -> DataFrame:
+    """One row per host (not null): documents `n`, each rule's shrunk failure rate `rate_<rule>`, and `above_<rule>`, whether it is
+    clearly above the rate of all documents that have a host.
 
     The prior is a beta distribution fitted to all hosts' rates by moments: mean m of the rates, and strength
     m(1-m)/v - 1 from their variance v less the mean sampling variance. Hosts that differ no more than chance would make them
-    get a strength of 10^6, so nearly the common rate. Only the prior's two sums per rule come to the driver.
+    get a strength of 10^6, so nearly the common rate. Only the prior's sums and the documents' common rate per rule come to the driver.
     """
     hosts = judged.where(F.col("host").isNotNull()).groupBy("host").agg(
         F.count(F.lit(1)).alias("n"), *(F.sum(F.col(f"fails_{r}").cast("long")).alias(f"k_{r}") for r in rules)
@@ -98,14 +104,19 @@ def host_rates(judged: DataFrame, rules: tuple[str, ...]) -> DataFrame:
     for r in rules:
         p = F.col(f"k_{r}") / F.col("n")
         moments += [F.avg(p).alias(f"m_{r}"), F.var_pop(p).alias(f"v_{r}"), F.avg(p * (1 - p) / F.col("n")).alias(f"s_{r}")]
+        moments.append((F.sum(f"k_{r}") / F.sum("n")).alias(f"c_{r}"))
     found = hosts.agg(*moments).first()
     out = hosts
     for r in rules:
         m, v, s = (found[f"{x}_{r}"] or 0.0 for x in "mvs")
+        common = found[f"c_{r}"] or 0.0
         spread = max(v - s, 0.0)
         strength = min(max(m * (1 - m) / spread - 1, 1.0), 1e6) if spread > 0 else 1e6
-        out = out.withColumn(f"rate_{r}", (F.col(f"k_{r}") + F.lit(m * strength)) / (F.col("n") + F.lit(strength)))
-    return out.select("host", "n", *(f"rate_{r}" for r in rules))
+        size = F.col("n") + F.lit(strength)
+        rate = (F.col(f"k_{r}") + F.lit(m * strength)) / size
+        low = rate - params.host_deviations * F.sqrt(rate * (1 - rate) / (size + 1))
+        out = out.withColumns({f"rate_{r}": rate, f"above_{r}": low * (1 - common) > params.host_odds * common * (1 - low)})
+    return out.select("host", "n", *(f"rate_{r}" for r in rules), *(f"above_{r}" for r in rules))
 
 
 def judge(
@@ -115,7 +126,9 @@ def judge(
     params: QualityParams = QualityParams(),
     drop_text: bool = False,
 ) -> DataFrame:
-    """One row per document: `doc` (the whole given row, less the text if so asked), COUNTS, `base_failed`, `host_failed`, `kept`.
+    """One row per document: `doc` (the whole given row, less the text if so asked), COUNTS, `base_failed`, `host_failed`, `rule_failed`, `kept`.
+
+    `host_failed`: the whole host goes; `rule_failed`: the document fails a rule in which its host is clearly above the corpus.
 
     A null text counts as empty and fails as short; rows without a host get no host verdict; repeated rows are judged alike
     and all count for their host; an empty table gives none. Given columns lie inside `doc`, so no name clashes.
@@ -127,15 +140,18 @@ def judge(
     rules = failures(params)
     named = counted.select("doc", "host", *COUNTS, *(v.alias(f"fails_{r}") for r, v in rules.items()))
     written = Staging(docs.sparkSession).write("judged", named)
-    rates = host_rates(written, tuple(rules))
+    rates = host_rates(written, tuple(rules), params)
     failed = F.greatest(*(F.col(f"rate_{r}") for r in rules)) > params.host_rate
-    bad = rates.where(failed).select("host", F.lit(True).alias("bad"))
-    marked = lookup(written, Sized.of(bad), {"host": "host"}, {"bad": "host_failed"})
+    above = {f"above_{r}": f"fails_{r}" for r in rules}
+    bad = rates.select("host", F.when(failed, F.lit(True)).alias("bad"), *above).where(reduce(or_, map(F.col, above), F.col("bad").isNotNull()))
+    marked = lookup(written, Sized.of(bad), {"host": "host"}, {"bad": "host_failed", **{a: a for a in above}})
+    by_rule = F.coalesce(reduce(or_, (F.col(a) & F.col(f) for a, f in above.items())), F.lit(False))
     base = F.col("fails_short") | F.col("fails_repeats")
     return marked.select(
         "doc",
         *COUNTS,
         base.alias("base_failed"),
         F.coalesce("host_failed", F.lit(False)).alias("host_failed"),
-        (~base & F.col("host_failed").isNull()).alias("kept"),
+        by_rule.alias("rule_failed"),
+        (~base & F.col("host_failed").isNull() & ~by_rule).alias("kept"),
     )

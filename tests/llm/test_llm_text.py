@@ -74,6 +74,19 @@ def test_a_host_with_few_documents_is_pulled_to_the_rest(spark, frame):
     assert not any(r.host_failed for r in counted.collect())
 
 
+def test_junk_of_a_host_with_much_of_it_goes_and_its_clean_documents_stay(spark, frame):
+    clean = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, " ".join(f"w{j}$$$" for j in range(60)) if i % 100 < (40 if h == 9 else 3) else clean, f"h{h}") for h in range(10) for i in range(100 * h, 100 * h + 100)]
+    # One junk document says little of a host, and one without a host nothing.
+    rows += [(2000, rows[0][1], "new"), (2001, rows[0][1], None), (2002, clean, None)]
+    got = {r.doc.doc_id: r for r in quality.judge(frame("doc_id long, text string, source string", *rows)).collect()}
+    assert not any(r.base_failed or r.host_failed for r in got.values())
+    assert {i for i, r in got.items() if not r.kept} == {i for i, r in got.items() if r.rule_failed} == set(range(900, 940))
+    # Hosts that are alike lose nothing, however much of it they have.
+    alike = [(i, rows[0][1] if i % 5 < 2 else clean, f"h{i % 7}") for i in range(700)]
+    assert quality.judge(frame("doc_id long, text string, source string", *alike)).where("kept").count() == 700
+
+
 def test_licences_by_canonical_digest(spark, frame):
     rows = [
         (1, "licensed under the APACHE licence -- version 2.0"),
