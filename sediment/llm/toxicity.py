@@ -259,15 +259,16 @@ def held_out(doc):
 def training_sample(docs: DataFrame, labels: DataFrame, params: ToxicityParams, doc: str, text: str, label: str) -> list[tuple[str, int]]:
     """At most `sample_per_class` (text, label) of each class, none longer than `sample_max_chars`, on the driver.
 
-    Ids are chosen among all labelled ones before any text is read; an id with several labels counts as toxic if one
-    says so, one with several texts has the smallest.
+    Ids are chosen among labelled ones with a text of that length, before any text is sent; an id with several labels counts as
+    toxic if one says so, one with several texts has the smallest.
     """
     known = labels.where(F.col(doc).isNotNull() & F.col(label).isNotNull() & ~held_out(F.col(doc)))
     known = known.groupBy(F.col(doc).alias("id")).agg(F.max(F.col(label).cast("int")).alias("y"))
-    mixed = known.withColumn("r", F.md5(F.col("id").cast("string")))
+    rows = docs.select(F.col(doc).alias("d"), F.col(text).cast("string").alias("text")).where(F.char_length("text") <= params.sample_max_chars)
+    usable = rows.select("d")
+    mixed = known.join(usable, F.col("id") == F.col("d"), "left_semi").withColumn("r", F.md5(F.col("id").cast("string")))
     picked = [mixed.where(F.col("y") == y).orderBy("r", "id").limit(params.sample_per_class) for y in (0, 1)]
     ids = F.broadcast(picked[0].unionByName(picked[1]).select("id", "y", "r"))
-    rows = docs.select(F.col(doc).alias("d"), F.col(text).cast("string").alias("text")).where(F.char_length("text") <= params.sample_max_chars)
     found = rows.join(ids, F.col("d") == F.col("id")).groupBy("r", "id", "y").agg(F.min("text").alias("text"))
     table = found.select("r", "id", "text", "y").toArrow().sort_by([("r", "ascending"), ("id", "ascending")])
     return list(zip(table["text"].to_pylist(), table["y"].to_pylist()))

@@ -1,6 +1,7 @@
 """Main text of pages and toxicity scores."""
 
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -158,6 +159,18 @@ def test_toxicity_without_both_classes(spark, frame):
     assert toxicity.score_toxicity(df.limit(0), labels).count() == 0
 
 
+def test_the_sample_is_of_labels_with_a_usable_text(spark, frame):
+    params = toxicity.ToxicityParams(sample_per_class=20, sample_max_chars=100)
+    # Of 2,000 labels, 100 have a document, and half of those are too long.
+    df = frame("doc_id long, text string", *((i, "word " * (50 if i % 40 else 5)) for i in range(0, 2000, 20)))
+    labels = frame("doc_id long, toxic int", *((i, i // 40 % 2) for i in range(2000)))
+    found = toxicity.training_sample(df, labels, params, "doc_id", "text", "toxic")
+    assert all(len(t) <= 100 for t, _ in found)
+    usable = [i // 40 % 2 for i in range(0, 2000, 40) if zlib.crc32(str(i).encode()) % 5]
+    assert [sum(y == v for _, y in found) for v in (0, 1)] == [min(20, usable.count(v)) for v in (0, 1)]
+    assert min(usable.count(v) for v in (0, 1)) > 10
+
+
 def test_words_are_the_same_in_training_and_scoring():
     params = toxicity.ToxicityParams()
     found = ["Ab c-d éÜ\x00x 12", "", "...", "a" * 500]
