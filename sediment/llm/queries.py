@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sediment.llm import decontaminate, html_text, licenses, line_dedup, mixing, quality, secrets, simhash, token_counts, toxicity
+from sediment.llm import alignment, decontaminate, html_text, licenses, line_dedup, mixing, phrases, pieces, quality, secrets, simhash, token_counts, toxicity
 
 # Folder of public tokenizers' vocabulary files.
 TOKENIZERS = "/opt/tokenizers"
@@ -87,6 +87,29 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(table(spark, folder, "documents"))
 
 
+def op11_sentencepiece(spark: SparkSession, folder: str, model: str | None = None) -> DataFrame:
+    model_bytes = pieces.read_model(model or f"{TOKENIZERS}/piece_bpe_32k.model")
+    encoded = pieces.encode_texts(table(spark, folder, "documents").select("doc_id", "text"), model_bytes)
+    decoded = pieces.decode_ids(encoded.select(F.col("row.doc_id").alias("doc_id"), "ids"), model_bytes)
+    ids = F.col("row.ids")
+    return decoded.select(
+        "row.doc_id",
+        F.size(ids).cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("text", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents"))
+
+
+def op13_alignment(spark: SparkSession, folder: str, tokenizer: str | None = None, model: str | None = None) -> DataFrame:
+    tokenizer, model = tokenizer or f"{TOKENIZERS}/byte_bpe_50k.json", model or f"{TOKENIZERS}/piece_bpe_32k.model"
+    found = alignment.align_corpus(table(spark, folder, "documents"), tokenizer, model, ["doc_id"])
+    return found.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def queries() -> dict[str, Query]:
     registered = (
         op1_decontamination,
@@ -99,5 +122,8 @@ def queries() -> dict[str, Query]:
         op8_line_dedup,
         op9_token_counts,
         op10_mixing,
+        op11_sentencepiece,
+        op12_collocations,
+        op13_alignment,
     )
     return {f.__name__: f for f in registered}

@@ -198,5 +198,46 @@ FROM given LEFT JOIN kept USING (row_id)
 """
 
 
+# Phrases of up to three words, counted as texts.
+OP12 = f"""
+WITH pieces AS (
+  SELECT lang, doc, unnest(string_split_regex(t, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM (SELECT coalesce(lang, 'und') AS lang, row_number() OVER () AS doc, {LOWER} AS t FROM documents)
+), words AS (
+  SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), places AS (
+  SELECT lang, w, unnest(range(1, len(w) + 1)) AS p FROM words
+), grams AS (
+  SELECT lang, k, array_to_string(list_slice(w, p, p + k - 1), ' ') AS phrase
+  FROM places, (VALUES (1), (2), (3)) AS sizes(k) WHERE p + k - 1 <= len(w)
+), f AS (
+  SELECT lang, k, phrase, count(*) AS n FROM grams GROUP BY lang, k, phrase
+), totals AS (
+  SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), cuts AS (
+  SELECT lang, phrase, n AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS cut FROM f WHERE k > 1 AND n >= 10
+), scored AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, h.n AS l, t.n AS r,
+         CAST((CAST(c.a AS HUGEINT) * c.a * 1000000) // (CAST(h.n AS HUGEINT) * t.n) AS BIGINT) AS score
+  FROM cuts AS c
+  JOIN f AS h ON h.lang = c.lang AND h.phrase = array_to_string(list_slice(c.w, 1, c.cut), ' ')
+  JOIN f AS t ON t.lang = c.lang AND t.phrase = array_to_string(list_slice(c.w, c.cut + 1, len(c.w)), ' ')
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+), inside AS (
+  SELECT lang, inner_phrase, max(n) AS around FROM (
+    SELECT lang, n, array_to_string(list_slice(string_split(phrase, ' '), i, i + 1), ' ') AS inner_phrase
+    FROM f, (VALUES (1), (2)) AS starts(i) WHERE k = 3 AND n >= 10)
+  GROUP BY lang, inner_phrase
+), left_over AS (
+  SELECT x.* FROM lowest AS x LEFT JOIN inside AS y ON y.lang = x.lang AND y.inner_phrase = x.phrase
+  WHERE y.around IS NULL OR 100 * y.around < 50 * x.a
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM left_over
+) JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_decontamination": OP1, "op2_license_scan": op2(), "op4_quality_rules": OP4, "op8_line_dedup": OP8, "op10_mixing": OP10}
+    return {"op1_decontamination": OP1, "op2_license_scan": op2(), "op4_quality_rules": OP4, "op8_line_dedup": OP8, "op10_mixing": OP10, "op12_collocations": OP12}

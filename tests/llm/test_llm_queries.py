@@ -39,7 +39,7 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_every_query_is_registered():
     assert set(queries.queries()) | {"pipeline"} <= set(entry.queries())
-    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()] == list(range(1, 11))
+    assert [int(re.match(r"op(\d+)_", n)[1]) for n in queries.queries()] == list(range(1, 14))
 
 
 @given
