@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from itertools import chain, islice
 
 import numpy as np
@@ -24,8 +24,8 @@ from sediment.llm.arrays import groups, lists, offsets, ranges
 
 SPACE = "▁"
 # A task's table is begun anew beyond so many marked words, or characters in them.
-TABLE_WORDS = 1 << 20
-TABLE_CHARS = 1 << 25
+TABLE_WORDS = 1 << 18
+TABLE_CHARS = 1 << 23
 
 
 def read_model(path: str) -> bytes:
@@ -90,10 +90,10 @@ class Encoder:
             self.ids.extend(ids if word else self.mark)
             self.begin.append(len(self.ids))
         self.chars += sum(map(len, new))
-        begin = np.array(self.begin, np.int64)
+        begin = np.frombuffer(self.begin, np.int64)
         of_word = begin[number + 1] - begin[number]
         ends = offsets(of_word)[offsets(counts)]
-        return np.array(self.ids, np.int32)[ranges(begin[number], begin[number + 1])], np.diff(ends)
+        return np.frombuffer(self.ids, np.int32)[ranges(begin[number], begin[number + 1])], np.diff(ends)
 
 
 def piece_bytes(proto) -> list[bytes | None]:
@@ -151,13 +151,13 @@ class Decoder:
         return out
 
 
-def encode_texts(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
-    """One row per row: `row` (the whole given row as a struct) and `ids`, without begin and end ids.
+def encode_texts(docs: DataFrame, model: bytes, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
+    """One row per row: `row` (the given row as a struct, whole or its columns `keep`) and `ids`, without begin and end ids.
 
     A null text is an empty one and has no ids; equal texts have equal ids; bytes that are no UTF-8 count as U+FFFD; any other column
     may be null or have any name. A text of any length is segmented whole; no table grows with the corpus.
     """
-    rows = docs.select(F.struct("*").alias("row"), F.make_valid_utf8(F.col(text).cast("string")).alias("text"))
+    rows = docs.select(F.struct(*(["*"] if keep is None else keep)).alias("row"), F.make_valid_utf8(F.col(text).cast("string")).alias("text"))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

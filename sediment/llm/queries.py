@@ -89,7 +89,7 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op11_sentencepiece(spark: SparkSession, folder: str, model: str | None = None) -> DataFrame:
     model_bytes = pieces.read_model(model or f"{TOKENIZERS}/piece_bpe_32k.model")
-    encoded = pieces.encode_texts(table(spark, folder, "documents").select("doc_id", "text"), model_bytes)
+    encoded = pieces.encode_texts(table(spark, folder, "documents"), model_bytes, keep=["doc_id"])
     decoded = pieces.decode_ids(encoded.select(F.col("row.doc_id").alias("doc_id"), "ids"), model_bytes)
     ids = F.col("row.ids")
     return decoded.select(
