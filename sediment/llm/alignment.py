@@ -30,8 +30,8 @@ from sediment.staging import Staging
 PLAIN = "!-~À-ɏ"
 CUT = re.compile(f"(?<=[{PLAIN}])(?= [{PLAIN}])")
 # A task's table is begun anew beyond so many parts, or characters or links in them.
-TABLE_PARTS = 1 << 19
-TABLE_SIZE = 1 << 25
+TABLE_PARTS = 1 << 18
+TABLE_SIZE = 1 << 24
 # Groups with more links than this are linked by distinct ids and their numbers.
 WIDE = 1 << 12
 # Id pairs that are broadcast at most, the most frequent ones; 16 bytes each.
