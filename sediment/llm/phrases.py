@@ -92,6 +92,8 @@ class Block:
         self.data: list[bytes] = []
         self.words = self.pieces = 0
         self.code: dict[str, int] = {}
+        self.known: dict[bytes, int] = defaultdict()
+        self.known.default_factory = self.known.__len__
 
     def add(self, hasher: Prefixes, texts: list[bytes], languages: list[str], keep: bool) -> None:
         """Adds texts; their bytes are kept if phrases are to be cut out."""
@@ -101,24 +103,28 @@ class Block:
         before = np.concatenate(([False], inner[:-1]))
         starts, ends = np.flatnonzero(inner & ~before), np.flatnonzero(~inner & before)
         hashes = _mix(hasher.hashes(b.astype(np.uint64) + np.uint64(1), starts, ends) + (ends - starts).astype(np.uint64))
-        piece = np.cumsum(kind == 2, dtype=np.int64)[starts]
+        piece = np.cumsum(kind == 2, dtype=np.int32)[starts]
         text = np.searchsorted(offsets([len(t) + 1 for t in texts])[1:], starts, side="right")
         codes = np.array([self.code.setdefault(x, len(self.code)) for x in languages], np.int32)
-        self.parts.append((hashes, piece + self.pieces, codes[text], (ends - starts).astype(np.int32)))
+        numbers = np.zeros(0, np.int32)
         if keep:
-            self.data.append(np.where(inner, b, 32).astype(np.uint8)[ranges(starts, ends + 1)].tobytes())
+            spaced = np.where(inner, b, 32).astype(np.uint8)[ranges(starts, ends + 1)].tobytes()
+            self.data.append(spaced)
+            numbers = np.fromiter(map(self.known.__getitem__, spaced.split(b" ")[:-1]), np.int32, len(starts))
+        self.parts.append((hashes, piece + np.int32(self.pieces), codes[text], (ends - starts).astype(np.int32), numbers))
         self.words += len(starts)
         self.pieces += int((kind == 2).sum())
 
     def closed(self, hasher: Prefixes) -> "Block":
-        """Joins what was added."""
-        columns = list(zip(*self.parts)) or [()] * 4
-        kinds = (np.uint64, np.int64, np.int32, np.int32)
-        self.hashes, self.piece, self.codes, lengths = (np.concatenate([*c, np.zeros(0, k)]) for c, k in zip(columns, kinds))
-        self.parts, self.names, self.hasher = [], list(self.code), hasher
+        """Joins what was added. If bytes are kept, `numbers` are equal for equal words only: they go by bytes, not by hashes."""
+        columns = list(zip(*self.parts)) or [()] * 5
+        kinds = (np.uint64, np.int32, np.int32, np.int32, np.int32)
+        self.hashes, self.piece, self.codes, lengths, self.numbers = (np.concatenate([*c, np.zeros(0, k)]) for c, k in zip(columns, kinds))
+        self.names, self.hasher = list(self.code), hasher
         # A phrase of another language has another fingerprint. Languages that collide are told apart by their codes.
         self.salts = np.array([int.from_bytes(md5(x.encode()).digest()[:8], "little") for x in self.names], np.uint64)
         self.text, self.begin = b"".join(self.data), offsets(lengths.astype(np.int64) + 1)
+        self.parts, self.data, self.known = [], [], {}
         return self
 
     def fingerprints(self, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,12 +137,6 @@ class Block:
         data = self.text
         return [data[i : j - 1].decode() for i, j in zip(self.begin[at].tolist(), self.begin[at + n].tolist())]
 
-    def numbers(self) -> np.ndarray:
-        """A number of each word, equal for equal words only: by their bytes, not their hashes."""
-        known: dict[bytes, int] = defaultdict()
-        known.default_factory = known.__len__
-        return np.fromiter(map(known.__getitem__, self.text.split(b" ")[:-1]), np.int64, self.words)
-
 
 def segments(text: bytes) -> Iterator[bytes]:
     """A long text in parts of about CHUNK bytes that end where a piece does."""
@@ -206,17 +206,21 @@ def fingerprint_counts(rows: DataFrame, sizes: tuple[int, ...], bitmap: bytes |
     return rows.mapInArrow(run, "fp long, n long")
 
 
-def distinct_phrases(block: Block, numbers: np.ndarray, at: np.ndarray, found: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+def distinct_phrases(block: Block, at: np.ndarray, found: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """The place of the first occurrence of each phrase, and its number of occurrences.
 
-    Occurrences of a fingerprint are held against the first one, word by word; where two phrases share one, words decide alone.
+    Occurrences of a fingerprint are held against each other word by word; where two phrases share one, words decide alone.
     """
-    _, first, which, n = np.unique(found, return_index=True, return_inverse=True, return_counts=True)
-    told = [block.codes[at], *(numbers[at + k] for k in range(size))]
-    if all((x == x[first][which]).all() for x in told):
-        return at[first], n
-    _, first, n = np.unique(np.stack(told, axis=1), axis=0, return_index=True, return_counts=True)
-    return at[first], n
+    order = np.argsort(found, kind="stable")
+    at, found = at[order], found[order]
+    same = found[1:] == found[:-1]
+    told = [block.codes, *(block.numbers[k:] for k in range(size))]
+    for x in told:
+        if not (x[at][1:] == x[at][:-1])[same].all():
+            _, first, n = np.unique(np.stack([y[at] for y in told], axis=1), axis=0, return_index=True, return_counts=True)
+            return at[first], n
+    first = np.flatnonzero(np.concatenate((found[:1] == found[:1], ~same)))
+    return at[first], np.diff(np.append(first, len(found)))
 
 
 def phrase_counts(rows: DataFrame, longest: int, bitmap: bytes) -> DataFrame:
@@ -229,13 +233,13 @@ def phrase_counts(rows: DataFrame, longest: int, bitmap: bytes) -> DataFrame:
         hasher, known = Prefixes(_B), np.frombuffer(shared.value, np.uint8)
         for block in blocks(batches, hasher, True):
             total = np.bincount(block.codes, minlength=len(block.names))
-            columns = [pa.array(block.names, pa.string()), pa.array([0] * len(total), pa.int32()), pa.array([""] * len(total)), pa.array(total, pa.int64())]
+            columns = [pa.array(block.names, pa.string()), pa.array([0] * len(total), pa.int32()), pa.array([""] * len(total), pa.string()), pa.array(total, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=names)
-            numbers, languages = block.numbers(), np.array(block.names, object)
+            languages = np.array(block.names, object)
             for size in range(1, longest + 1):
                 at, found = block.fingerprints(size)
                 may = may_be_frequent(known, found)
-                first, n = distinct_phrases(block, numbers, at[may], found[may], size)
+                first, n = distinct_phrases(block, at[may], found[may], size)
                 for i in range(0, len(first), ROWS):
                     some = first[i : i + ROWS]
                     columns = [
@@ -275,7 +279,8 @@ def frequent_phrases(docs: DataFrame, staging: Staging, lang: str = "lang", text
     rows = docs.select(F.make_valid_utf8(language).alias("lang"), F.make_valid_utf8(whole).alias("text"))
 
     def frequent(sizes: tuple[int, ...], bitmap: bytes | None) -> bytes:
-        counted = fingerprint_counts(rows, sizes, bitmap).groupBy("fp").agg(F.sum("n").alias("n"))
+        # Blocks have summed up already, and a fingerprint has a row a block at most.
+        counted = fingerprint_counts(rows, sizes, bitmap).repartition("fp").groupBy("fp").agg(F.sum("n").alias("n"))
         name = "prints_" + "_".join(map(str, sizes))
         return bitmap_of(staging.write(name, counted.where(F.col("n") >= params.least).select("fp")), params.bitmap_log2)
 

@@ -274,7 +274,7 @@ def test_a_full_bitmap_and_collisions_change_no_count(spark):
     block.add(hasher, [b"x y, x y. z w", b"x y"], ["en", "de"], True)
     block.closed(hasher)
     at, found = block.fingerprints(2)
-    first, n = phrases.distinct_phrases(block, block.numbers(), at, np.zeros_like(found), 2)
+    first, n = phrases.distinct_phrases(block, at, np.zeros_like(found), 2)
     assert sorted(zip(block.cut(first, 2), n.tolist())) == [("x y", 1), ("x y", 2), ("z w", 1)]
 
 
