@@ -151,8 +151,9 @@ class Decoder:
         return out
 
 
-def encode_texts(docs: DataFrame, model: bytes, text: str = "text", keep: Sequence[str] | None = None) -> DataFrame:
-    """One row per row: `row` (the given row as a struct, whole or its columns `keep`) and `ids`, without begin and end ids.
+def encode_texts(docs: DataFrame, model: bytes, text: str = "text", keep: Sequence[str] | None = None, decode: bool = False) -> DataFrame:
+    """One row per row: `row` (the given row as a struct, whole or its columns `keep`) and `ids`, without begin and end ids; with
+    `decode` also `decoded`, the text that `decode_ids` gives for them, made by the same task.
 
     A null text is an empty one and has no ids; equal texts have equal ids; bytes that are no UTF-8 count as U+FFFD; any other column
     may be null or have any name. A text of any length is segmented whole; no table grows with the corpus.
@@ -161,13 +162,19 @@ def encode_texts(docs: DataFrame, model: bytes, text: str = "text", keep: Sequen
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(shared.value)
+        encoder, decoder = Encoder(shared.value), Decoder(shared.value) if decode else None
         for batch in batches:
             for some, texts in groups(batch):
                 ids, counts = encoder.encode(texts)
-                yield pa.RecordBatch.from_arrays([some.column("row"), lists(counts, ids, pa.int32())], names=["row", "ids"])
-
-    return rows.mapInArrow(run, rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType())))
+                columns = [some.column("row"), lists(counts, ids, pa.int32())]
+                if decoder:
+                    columns.append(pa.array(decoder.decode(ids, counts), pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    schema = rows.select("row").schema.add("ids", T.ArrayType(T.IntegerType()))
+    schema = schema.add("decoded", "string") if decode else schema
+    names = schema.names
+    return rows.mapInArrow(run, schema)
 
 
 def decode_ids(encoded: DataFrame, model: bytes, ids: str = "ids") -> DataFrame:

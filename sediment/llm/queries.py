@@ -89,14 +89,12 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 def op11_sentencepiece(spark: SparkSession, folder: str, model: str | None = None) -> DataFrame:
     model_bytes = pieces.read_model(model or f"{TOKENIZERS}/piece_bpe_32k.model")
-    encoded = pieces.encode_texts(table(spark, folder, "documents"), model_bytes, keep=["doc_id"])
-    decoded = pieces.decode_ids(encoded.select(F.col("row.doc_id").alias("doc_id"), "ids"), model_bytes)
-    ids = F.col("row.ids")
-    return decoded.select(
+    found = pieces.encode_texts(table(spark, folder, "documents"), model_bytes, keep=["doc_id"], decode=True)
+    return found.select(
         "row.doc_id",
-        F.size(ids).cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(ids.cast("array<string>"), ","), 256).alias("ids_sha256"),
-        F.sha2("text", 256).alias("decoded_sha256"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -68,6 +68,9 @@ def test_pieces_of_odd_texts(spark, library):
     encoded = pieces.encode_texts(df, model)
     got = Counter((r.row.ids, r.row.text, tuple(r.row.batch), tuple(r.ids)) for r in encoded.collect())
     assert got == Counter((i % 7 if i % 5 else None, t, (i,), tuple(library.encode(t or ""))) for i, t in enumerate(texts))
+    both = pieces.encode_texts(df, model, keep=["row", "ids"], decode=True)
+    assert {r.row.ids for r in both.collect()} == {*range(7), None} and both.columns == ["row", "ids", "decoded"]
+    assert all(r.decoded == library.decode(list(r.ids)) for r in both.collect())
     decoded = pieces.decode_ids(encoded.select("ids", F.col("row.text").alias("text")), model)
     assert all(r.text == library.decode(list(r.row.ids)) for r in decoded.collect())
     # What both directions keep, all but a mark in the text.
