@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sediment.llm import decontaminate, line_dedup, mixing, quality, simhash
@@ -22,11 +22,16 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without lines that match an earlier one; `n_chars` is that of the new text."""
-    found = line_dedup.dedup_lines(docs).select("row.*", F.col("text").alias("_text"), "n_removed")
-    text = F.when(F.col("n_removed") > 0, F.col("_text")).otherwise(F.col("text"))
-    chars = F.when(F.col("n_removed") > 0, F.char_length("_text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-    return found.withColumns({"text": text, "n_chars": chars}).select(docs.columns)
+    """All documents, without lines that match an earlier one; `n_chars`, if there, is that of the new text."""
+    found = line_dedup.dedup_lines(docs)
+    changed = F.col("n_removed") > 0
+    new = {"text": F.col("text"), "n_chars": F.char_length("text")}
+
+    def column(name: str) -> Column:
+        given = F.col(f"row.`{name}`")
+        return (F.when(changed, new[name].cast(docs.schema[name].dataType)).otherwise(given) if name in new else given).alias(name)
+
+    return found.select(*map(column, docs.columns))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

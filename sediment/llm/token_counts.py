@@ -41,6 +41,8 @@ class Vocabulary:
         if rules.precompiled_charsmap or rules.remove_extra_whitespaces or not rules.escape_whitespaces:
             raise ValueError("only models that keep the text as it is, spaces escaped, are read")
         kind = pb.ModelProto.SentencePiece.Type
+        if any(p.type == kind.USER_DEFINED for p in model.pieces):
+            raise ValueError("models with pieces that users defined, which win over any score, are not read")
         return cls(tuple((p.piece, p.score) for p in model.pieces if p.type == kind.NORMAL), rules.add_dummy_prefix)
 
 
@@ -109,12 +111,16 @@ class Counter:
 
 
 def count_tokens(docs: DataFrame, vocabulary: Vocabulary, doc: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: `doc_id`, `n_tokens`. A null or empty text has none; repeated rows give a row each."""
+    """One row per document: `doc_id`, `n_tokens`. A null or empty text has none; repeated rows give a row each.
+
+    A text of any length is counted whole, part by part; other columns are not read.
+    """
     rows = docs.select(F.col(doc).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
+    # Plain values only: a broadcast object would need this module on the tasks' path.
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.pieces, vocabulary.dummy_prefix))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(shared.value)
+        counter = Counter(Vocabulary(*shared.value))
         for batch in batches:
             counts = [counter.count(t.as_py() or "") for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["doc_id", "n_tokens"])

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass, fields
 
 import numpy as np
 import pyarrow as pa
@@ -280,23 +280,28 @@ def score_toxicity(
     """One row per document: `doc_id`, `held_out`, `score` (0 to 1), `predicted` (1 from 0.5 on).
 
     Whole texts are scored, a null one like an empty one; repeated rows give a row each; without labels of both classes all get
-    one score. Training is on a bounded sample, scoring reads every row once.
+    one score. Training is on a bounded sample, scoring reads every row once. Texts of any length are scored by all their windows; a
+    text above 2^20 characters is scored by itself, in arrays of some 100 bytes a character. Other columns are not read.
     """
     sample = training_sample(docs, labels, params, doc, text, label)
     model = train([t for t, _ in sample], [y for _, y in sample], params)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values only: tasks build the model, as a broadcast object would need this module on their path.
+    state = {f.name: getattr(model, f.name) for f in fields(model) if f.name != "params"}
+    shared = docs.sparkSession.sparkContext.broadcast((asdict(params), state))
     rows = docs.select(F.col(doc).alias("doc_id"), held_out(F.col(doc)).alias("held_out"), F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given, held = shared.value
+        model = Model(ToxicityParams(**given), **held)
         for batch in batches:
             scores, group, size = [], [], 0
             for x in batch.column("text"):
                 group.append(x.as_py() or "")
                 size += len(group[-1])
                 if size > 1 << 20:
-                    scores.append(shared.value.score(group))
+                    scores.append(model.score(group))
                     group, size = [], 0
-            scores.append(shared.value.score(group) if group else np.zeros(0))
+            scores.append(model.score(group) if group else np.zeros(0))
             found = np.concatenate(scores)
             columns = [batch.column("doc_id"), batch.column("held_out"), pa.array(found), pa.array((found >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "held_out", "score", "predicted"])

@@ -1,8 +1,11 @@
 """Registered queries against their SQL or plain Python, and the pipeline against its stages in plain Python."""
 
 import hashlib
+import os
 import random
 import re
+import subprocess
+import sys
 from collections import Counter
 from pathlib import Path
 
@@ -123,6 +126,44 @@ def test_pipeline_is_its_stages_in_plain_python(spark, tmp_path):
     assert [(g[0], g[1], g[2], round(g[3], 6), g[4]) for g in got] == [(w[0], w[1], w[2], round(w[3], 6), w[4]) for w in want]
 
 
+HELPERS = ["_row", "row", "doc", "_text", "text_key", "n_removed", "n_lines", "gone", "kept", "host", "n_words", "base_failed", "fp", "root", "_d", "_k", "_stays", "size", "target", "taken", "copies", "key"]
+
+
+def test_stages_take_columns_named_as_their_own(spark, tmp_path):
+    docs, items = corpus(5)
+    rows = [(d, t, "en", s, len(t or ""), *range(len(HELPERS))) for d, t, s in docs[:40]]
+    ddl = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"`{h}` int" for h in HELPERS)
+    df = spark.createDataFrame(rows, ddl)
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        after = stage(spark, df, str(tmp_path))
+        assert after.columns == df.columns
+        assert all(tuple(r)[5:] == tuple(range(len(HELPERS))) for r in after.collect())
+    assert corpus_pipeline.mixing_to_weights(spark, df, str(tmp_path)).count() == 40
+
+
+ELSEWHERE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import __spark_entry__ as entry
+from compare import spark_session
+spark = spark_session()
+for name, query in entry.queries().items():
+    if name == "pipeline" or name.startswith("op") and name[2].isdigit():
+        print(name, query(spark, sys.argv[2]).count() > 0)
+"""
+
+
+@given
+def test_workers_need_not_find_the_library(tmp_path):
+    root = str(Path(entry.__file__).resolve().parent)
+    bare = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"} | {"BENCH_CPUS": "4"}
+    done = subprocess.run([sys.executable, "-c", ELSEWHERE, root, FOLDER], cwd=tmp_path, env=bare, capture_output=True, text=True, timeout=900)
+    assert done.returncode == 0, done.stderr[-3000:]
+    found = dict(line.split() for line in done.stdout.splitlines() if line.endswith(("True", "False")))
+    assert set(found) == {*queries.queries(), "pipeline"} and set(found.values()) == {"True"}
+
+
 def test_stages_pass_documents_on(spark, tmp_path):
     docs, items = corpus(4)
     rows = [(d, t, "en", s, len(t or ""), 1) for d, t, s in docs]
