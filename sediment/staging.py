@@ -7,6 +7,7 @@ import shutil
 import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,19 +42,19 @@ def filesystem(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
 
 
-# Lists of the folders that open `discarding` blocks gather.
-_OPEN: list[list["Staging"]] = []
+# The folders that the innermost open `discarding` block of this thread gathers.
+_OPEN: ContextVar[list["Staging"] | None] = ContextVar("open", default=None)
 
 
 @contextmanager
 def discarding() -> Iterator[None]:
-    """Drops at its end the folders made within, so what is read afterwards has to be written elsewhere by then."""
+    """Drops at its end the folders this thread made within, so what is read afterwards has to be written elsewhere by then."""
     made: list[Staging] = []
-    _OPEN.append(made)
+    token = _OPEN.set(made)
     try:
         yield
     finally:
-        _OPEN.pop()
+        _OPEN.reset(token)
         for staging in made:
             staging.drop()
 
@@ -64,8 +65,8 @@ class Staging:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.root = f"{root or checkpoint_root(spark)}/sediment-{uuid4().hex}"
-        if _OPEN:
-            _OPEN[-1].append(self)
+        if (made := _OPEN.get()) is not None:
+            made.append(self)
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"

@@ -1,4 +1,5 @@
 import sqlite3
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -204,3 +205,26 @@ def test_staging_uses_the_named_folder(spark, tmp_path, frame):
     assert staging.root.startswith(str(tmp_path)) and rows(kept) == [(1,)]
     staging.drop()
     assert list(tmp_path.iterdir()) == []
+
+
+def test_blocks_open_in_two_threads_drop_their_own_folders(spark, tmp_path):
+    from threading import Barrier, Thread
+
+    from sediment.staging import Staging, discarding
+
+    barrier, seen = Barrier(2), {}
+
+    def work(name, last):
+        with discarding():
+            staging = Staging(spark, str(tmp_path))
+            df = staging.write("t", spark.range(3).toDF("id"))
+            barrier.wait()
+            if last:
+                other.join()
+            seen[name] = df.count()
+        seen[name, "left"] = Path(staging.root).exists()
+
+    other = Thread(target=work, args=("first", False))
+    other.start()
+    work("second", True)
+    assert seen == {"first": 3, "second": 3, ("first", "left"): False, ("second", "left"): False}
