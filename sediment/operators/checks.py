@@ -41,3 +41,18 @@ def assert_not_null(df: DataFrame, columns: Sequence[str], table: str) -> None:
     if any(found):
         shown = ", ".join(f"{c} in {found[c]} rows" for c in present if found[c])
         raise NullValue(f"{table}: null where none may be: {shown}")
+
+
+def repeated_ids(rows: DataFrame, by: str, id_column: str) -> DataFrame:
+    """(`by`, `id_column`, n): ids that are missing or repeat under one value of `by`.
+
+    64 neighbouring ids share a word of bits, and a word has as many bits as rows unless one repeats. So a task sends a row for
+    64 ids at most where ids are dense, and only rows of words that do not add up are counted by id.
+    """
+    word, bit = F.shiftright(id_column, 6).alias("_word"), F.expr(f"shiftleft(1L, cast(`{id_column}` & 63 as int))")
+    words = rows.groupBy(by, word).agg(F.count(F.lit(1)).alias("_n"), F.bit_or(bit).alias("_bits"))
+    doubtful = words.where(F.col("_word").isNull() | (F.bit_count("_bits") < F.col("_n"))).select(F.col(by).alias("_by"), "_word")
+    if doubtful.isEmpty():
+        return rows.select(by, id_column).limit(0).withColumn("n", F.lit(0).cast("long"))
+    counted = rows.groupBy(by, id_column).agg(F.count(F.lit(1)).alias("n"))
+    return counted.where(F.col(id_column).isNull() | (F.col("n") > 1))

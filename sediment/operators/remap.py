@@ -12,7 +12,15 @@ from sediment.functions.names import match_rule
 from sediment.operators.lookup import Sized, lookup
 from sediment.specs import FK_RULES, NEW_ID, OLD_ID, SNAPSHOT, FkRule
 
+# Tells rows apart where ids are present and unique.
 ROW = (SNAPSHOT, OLD_ID)
+# The place of a written row: what tells rows apart where their ids may repeat or be missing.
+PLACE = "_place"
+
+
+def placed(df: DataFrame) -> DataFrame:
+    """`df` with the place of each row. Places hold once the result is written, so it has to be before they are joined on."""
+    return df.withColumn(PLACE, F.monotonically_increasing_id())
 
 
 def foreign_keys(table: str, columns: Iterable[str], rules: Sequence[FkRule] = FK_RULES) -> dict[str, FkRule]:
@@ -32,23 +40,23 @@ def remap(
     columns: Iterable[str] | None = None,
     rules: Sequence[FkRule] = FK_RULES,
     limit: int | None = None,
-    row_ids: bool = False,
+    row: Sequence[str] = (),
 ) -> DataFrame:
     """`df` with its foreign keys (or only those in `columns`) replaced by new ids.
 
     A reference without a new id becomes null, or 0 where its rule says so. A target table no
-    snapshot has resolves nothing. `row_ids` says that (snapshot, old id) tells all rows apart.
+    snapshot has resolves nothing. `row` names columns that tell all rows apart: then several large maps are joined at once.
     """
     order = df.columns
     wanted = foreign_keys(table, order if columns is None else columns, rules)
     df = df.withColumns({c: F.col(c).cast("long") for c in wanted})
     large = {c: r for c, r in wanted.items() if r.target in maps and not maps[r.target].fits(limit)}
-    if row_ids and len(large) > 1:
+    if row and len(large) > 1:
         # One shuffled lookup for all of them: the references travel alone, the other columns once.
         small = {c: r for c, r in wanted.items() if c not in large}
         rest = _resolve(df.drop(*large), table, maps, small, limit)
-        found = _at_once(df.select(*ROW, *large), maps, large)
-        joined = rest.join(found, list(ROW), "left")
+        found = _at_once(df, maps, large, row)
+        joined = rest.join(found, list(row), "left")
         return joined.withColumns({c: _sentinel(F.col(c), table, r) for c, r in large.items()}).select(*order)
     return _resolve(df, table, maps, wanted, limit).select(*order)
 
@@ -57,15 +65,16 @@ def _sentinel(new: Column, table: str, rule: FkRule) -> Column:
     return (F.coalesce(new, F.lit(0)) if table in rule.zero_in else new).cast("long")
 
 
-def _at_once(df: DataFrame, maps: Mapping[str, Sized], wanted: Mapping[str, FkRule]) -> DataFrame:
-    """ROW and the new ids of `wanted`, for rows with a reference: a row per reference, one join with all maps, a row per row again."""
+def _at_once(df: DataFrame, maps: Mapping[str, Sized], wanted: Mapping[str, FkRule], row: Sequence[str]) -> DataFrame:
+    """`row` and the new ids of `wanted`, for rows with a reference: a row per reference, one join with all maps, a row per row again."""
     targets = list(dict.fromkeys(r.target for r in wanted.values()))
     columns = list(wanted)
     references = [
         F.struct(F.lit(i).alias("at"), F.lit(targets.index(wanted[c].target)).alias("target"), F.col(c).alias("old"))
         for i, c in enumerate(columns)
     ]
-    long = df.select(*ROW, F.explode(F.array(*references)).alias("r")).select(*ROW, "r.*").where(F.col("old").isNotNull())
+    kept = dict.fromkeys([SNAPSHOT, *row])
+    long = df.select(*kept, F.explode(F.array(*references)).alias("r")).select(*kept, "r.*").where(F.col("old").isNotNull())
     every = reduce(
         DataFrame.unionByName,
         (
@@ -76,8 +85,8 @@ def _at_once(df: DataFrame, maps: Mapping[str, Sized], wanted: Mapping[str, FkRu
     sized = Sized(every, sum(maps[t].rows for t in targets), sum(maps[t].bytes for t in targets))
     on = {SNAPSHOT: SNAPSHOT, "target": "target", "old": "old"}
     # Some of the maps does not fit, so neither do all of them.
-    found = lookup(long, sized, on, {NEW_ID: "_new"}, "inner", (*ROW, "at"), limit=0)
-    return found.groupBy(*ROW).agg(*(F.max(F.when(F.col("at") == i, F.col("_new"))).alias(c) for i, c in enumerate(columns)))
+    found = lookup(long, sized, on, {NEW_ID: "_new"}, "inner", (*row, "at"), limit=0)
+    return found.groupBy(*row).agg(*(F.max(F.when(F.col("at") == i, F.col("_new"))).alias(c) for i, c in enumerate(columns)))
 
 
 def _resolve(

@@ -22,13 +22,13 @@ from sediment.errors import InvalidSnapshot
 from sediment.functions.names import common, listing, mergeable, split_main_minor
 from sediment.operators import derive
 from sediment.operators.align import align, cast_losses, common_columns, has_surrogate, lossy_columns
-from sediment.operators.checks import split_nulls
+from sediment.operators.checks import repeated_ids, split_nulls
 from sediment.operators.dedupe import distinct_on_all, keyed_distinct
 from sediment.operators.ids import assign_ordered_ids
 from sediment.operators.keymap import rank_zip_map, strict_map
 from sediment.operators.lookup import BROADCAST_BYTES, Sized, lookup
 from sediment.operators.rank import RankedSnapshot, rank_column, rank_snapshots
-from sediment.operators.remap import ROW, foreign_keys, remap
+from sediment.operators.remap import PLACE, ROW, foreign_keys, placed, remap
 from sediment.sources import sqlite
 from sediment.sources.archive import Archive, Constraints, SqliteArchive, open_archive, read_union
 from sediment.sources.sink import Publisher, check_output
@@ -184,8 +184,7 @@ class Merge:
         rows = read_union(self.spark, doubtful, table, [ID], lambda df, keep: align(df, ids, keep=keep))
         if rows is None:
             return
-        counted = rows.groupBy(SNAPSHOT, OLD_ID).agg(F.count(F.lit(1)).alias("n"))
-        bad = counted.where(F.col(OLD_ID).isNull() | (F.col("n") > 1)).limit(5).collect()
+        bad = repeated_ids(rows, SNAPSHOT, OLD_ID).limit(5).collect()
         if bad:
             shown = "; ".join(f"{self.archives[r[SNAPSHOT]].path}: {r[OLD_ID]} in {r['n']} rows" for r in bad)
             raise InvalidSnapshot(f"{table}: {ID} missing or repeated: {shown}")
@@ -320,14 +319,12 @@ class Merge:
         rows: DataFrame,
         keys: Sequence[Sequence[str]],
         order: Sequence[str],
-        row_id: Sequence[str] | None,
+        row: Sequence[str],
     ) -> DataFrame:
-        """One row per key, for every key."""
-        if len(keys) > 1 and row_id:
-            return distinct_on_all(rows, keys, order, row_id, self.staging, f"{table}_keys")
+        """One row per key, for every key. `row` tells all rows apart, null parts of it too."""
         if len(keys) > 1:
-            self.notes.append(f"{table}: no {ID}, only the key {listing(keys[0])} is kept unique")
-        return keyed_distinct(rows, keys[0], [F.col(c) for c in order], row_id, spec.key_casts) if keys else rows
+            return distinct_on_all(rows, keys, order, row, self.staging, f"{table}_keys")
+        return keyed_distinct(rows, keys[0], [F.col(c) for c in order], row, spec.key_casts) if keys else rows
 
     def _with_parent_part(self, rows: DataFrame, part: WeakKey, name: str) -> DataFrame:
         """Adds the parent's column inside the same snapshot, found by the old id."""
@@ -355,7 +352,7 @@ class Merge:
         own = kept.rows.select(*ROW, F.col(NEW_ID).alias(ID), *(c for c in kept.columns if c != ID))
         if rest:
             rows = self.union(table, rest).select(*ROW, *rest)
-            rows = remap(rows, table, self.maps, rest, limit=self.limit, row_ids=True)
+            rows = remap(rows, table, self.maps, rest, limit=self.limit, row=ROW)
             # (snapshot, old id) is unique on both sides (_check_ids), so no task gets more than its share.
             own = own.join(rows, list(ROW), "inner")
         return own.select(*names)
@@ -363,39 +360,44 @@ class Merge:
     def minor_table(self, table: str) -> DataFrame:
         """All snapshots' rows of a minor table, remapped; one per key only where the store declares one.
 
-        If its rows have ids, the columns that decide anything go first and the others are joined to them.
+        If its rows have ids that are renumbered, the columns that decide anything go first and the others are joined to them by
+        (snapshot, old id). Any other table's ids are data, which may repeat or be missing: where rows have to be told apart,
+        they are written first and go by their places.
         """
         spec, names = self.spec(table), self.base_schema(table).names
         sharing = self.sharing(table)
         if not sharing:
             return self.empty(table)
         renumber = has_surrogate(names)
-        numbered = ID in names and all(ID in a.schema(table).names for _, a in sharing)
+        sure = renumber and all(ID in a.schema(table).names for _, a in sharing)
         columns = [c for c in names if not (renumber and c == ID)]
         keys = [k for k in spec.keys if set(k) <= set(columns)]
         checked = [c for c in spec.not_null if c in columns]
         top = FREQUENT.get(table) if FREQUENT.get(table) in columns else None
         whole = not (keys or checked or top)
         needed = columns
-        if numbered and renumber:
+        if sure:
             deciding = {*foreign_keys(table, columns), *checked, *(c for k in keys for c in k)}
             deciding |= {top, "message_count"} if top else set()
             needed = [c for c in columns if c in deciding]
-        order = [RANK, OLD_ID] if numbered else [RANK, *sorted(needed)]
-
-        if numbered and renumber:
             self._check_ids(table)
         rows = self.union(table, needed)
+        large = [r for r in self._targets(table, needed) if not self.maps[r.target].fits(self.limit)]
+        row: tuple[str, ...] = ROW if sure else ()
+        if not sure and (keys or len(large) > 1):
+            rows, row = self.staging.write(f"{table}_placed", placed(rows)), (PLACE,)
+        order = [RANK, OLD_ID] if sure else [RANK, *sorted(needed), *row]
+
         if renumber and whole:
             # No row goes, so ids are given on the plain scan and the sort repeats no join.
             rows, _ = assign_ordered_ids(rows, order, self.staging, f"{table}_minor", ID)
-        rows = remap(rows, table, self.maps, needed, limit=self.limit, row_ids=numbered)
+        rows = remap(rows, table, self.maps, needed, limit=self.limit, row=row)
         if not whole:
-            if checked or not all(self.maps[r.target].fits(self.limit) for r in self._targets(table, needed)):
+            if checked or large:
                 rows = self.staging.write(f"{table}_remapped", rows)
             rows, refused = split_nulls(rows, checked)
             self._refuse(table, refused, checked)
-            rows = self._distinct(table, spec, rows, keys, order, ROW if numbered else None)
+            rows = self._distinct(table, spec, rows, keys, order, row)
             if top:
                 rows = derive.most_frequent(rows, top, order)
             if renumber:

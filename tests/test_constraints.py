@@ -7,6 +7,7 @@ from conftest import rows
 from pyspark.sql import types as T
 
 from sediment import convert_archive, merge_archives
+from sediment.operators.checks import repeated_ids
 from sediment.errors import DuplicateKey, InvalidSnapshot, NullValue
 from sediment.sources.archive import Constraints, FrameArchive, ParquetArchive, SqliteArchive
 from sediment.specs import TableSpec, default_specs
@@ -178,3 +179,51 @@ def test_conversion_without_a_target_copies_no_table_it_makes(spark, frame):
     result = convert_archive(spark, legacy(frame))
     assert "message_vcard" in result.tables and "messages_vcards" not in result.tables
     result.discard()
+
+
+OWN_IDS = [
+    ("n1", 7, 2, 1), ("n2", 7, 2, 2), ("n3", None, 2, 1), ("n4", None, None, None), ("n5", 9, 2, 99), ("n5", 9, 2, 99),
+]
+
+
+@pytest.mark.parametrize("spark_broadcast", [True, False])
+def test_a_table_with_ids_of_its_own_goes_by_the_places_of_its_rows(spark, frame, spark_broadcast):
+    """Ids that are no surrogate repeat and are missing; broadcasting or not changes no row."""
+    extra = "note string, _id long, chat_row_id long, message_row_id long"
+
+    def archive(path, time, rows, schema=extra):
+        return FrameArchive(path, {
+            "jid": frame("_id long, raw_string string", (1, "a")), "chat": frame("_id long, jid_row_id long", (2, 1)),
+            "message": frame(MESSAGE, (1, 2, 0, f"x{time}", 1, time, 0, "t"), (2, 2, 0, "y", 1, time + 1, 0, "t")), "extra": frame(schema, *rows),
+        })
+
+    snapshots = [archive("new", 10, OWN_IDS), archive("old", 1, [(n, c, m) for n, _, c, m in OWN_IDS], "note string, chat_row_id long, message_row_id long")]
+    found = {}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m" if spark_broadcast else "-1")
+    try:
+        for limit in (32 << 20, 0):
+            result = merge_archives(spark, snapshots, broadcast_bytes=limit)
+            found[limit] = rows(result.tables["extra"])
+            ids = {r["key_id"]: r["_id"] for r in result.tables["message"].collect()}
+            chat = result.tables["chat"].first()["_id"]
+            keyed = {"extra": TableSpec("extra", unique=(("note", "message_row_id"), ("_id", "note")))}
+            kept = merge_archives(spark, snapshots, specs={**default_specs(), **keyed}, broadcast_bytes=limit)
+            found[limit, "keyed"] = rows(kept.tables["extra"])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    messages = {"new": {1: ids["x10"], 2: ids["y"]}, "old": {1: ids["x1"], 2: ids["y"]}}
+    want = [
+        (n, i if path == "new" else None, chat if c else None, messages[path].get(m)) for path in ("new", "old") for n, i, c, m in OWN_IDS
+    ]
+    known = lambda found: sorted(found, key=lambda r: tuple((v is not None, v) for v in r))
+    assert found[32 << 20] == found[0] == known(want)
+    # The repeated row of `n5` goes by its key; of `n2` the older copy does; rows with a null in both keys stay.
+    assert found[32 << 20, "keyed"] == found[0, "keyed"]
+    assert len(found[0, "keyed"]) == len(want) - 2
+
+
+def test_repeated_ids_without_counting_each(spark, frame):
+    ids = [(0, i) for i in range(-200, 200)] + [(1, i * 10**15) for i in range(50)] + [(2, 5), (2, 70), (2, 5), (3, None), (3, 1)]
+    df = frame("snapshot_id int, old_id long", *ids)
+    assert rows(repeated_ids(df, "snapshot_id", "old_id")) == [(2, 5, 2), (3, None, 1)]
+    assert rows(repeated_ids(df.where("snapshot_id < 2"), "snapshot_id", "old_id")) == []

@@ -11,7 +11,7 @@ from sediment.operators.dedupe import distinct_on_all, first_per_key, keyed_dist
 from sediment.operators.ids import assign_ordered_ids, number_within
 from sediment.operators.lookup import BROADCAST_BYTES, Sized, hot_keys, lookup
 from sediment.operators.rank import rank_snapshots
-from sediment.operators.remap import remap
+from sediment.operators.remap import ROW, remap
 
 UNION = "snapshot_id int, merge_rank int, old_id long"
 
@@ -241,7 +241,7 @@ def test_remap(frame, limit):
         (1, 2, 3, 9, None, "c", 1),
         (0, 1, 4, None, 5, "d", None),
     )
-    got = remap(df, "some_table", maps, limit=limit, row_ids=True)
+    got = remap(df, "some_table", maps, limit=limit, row=ROW)
     assert got.columns == df.columns
     want = [(1, 10, 50, "a", None), (2, 11, None, "b", None), (3, None, None, "c", None), (4, None, 50, "d", None)]
     assert rows(got, "old_id", "sender_jid_row_id", "message_row_id", "note", "label_id") == want
@@ -273,10 +273,10 @@ def test_many_references_by_one_join_equal_one_join_each(spark, table, monkeypat
     df = spark.createDataFrame([(r.randrange(2), i, 1 if r.random() < 0.5 else ids(), ids(), ids(), ids(), f"v{i}") for i in range(300)], columns)
     mapped = lambda n: spark.createDataFrame([(s, i, i * n + s) for s in range(2) for i in range(1, 9)], "snapshot_id int, old_id long, new_id long")
     maps = {t: Sized.of(mapped(n)) for t, n in (("jid", 10), ("chat", 100), ("message", 1000))}
-    small = remap(df, table, maps, row_ids=True)
-    large = remap(df, table, maps, row_ids=True, limit=0)
+    small = remap(df, table, maps, row=ROW)
+    large = remap(df, table, maps, row=ROW, limit=0)
     assert large.columns == small.columns and rows(large) == rows(small)
     # Only the chats are broadcast.
     limit = maps["chat"].bytes
     big = {t: Sized(m.df, m.rows, m.bytes + (t != "chat")) for t, m in maps.items()}
-    assert rows(remap(df, table, big, row_ids=True, limit=limit)) == rows(small)
+    assert rows(remap(df, table, big, row=ROW, limit=limit)) == rows(small)
