@@ -175,7 +175,7 @@ class SqliteArchive:
         return self._catalog[table]
 
     def scan_group(self, table: str) -> tuple:
-        return "sqlite", self.schema(table).json(), self._catalog[table].has_rowid
+        return "sqlite", self.schema(table).json(), self._catalog[table].has_rowid, self._catalog[table].untyped
 
 
 def open_archive(spark: SparkSession, source: "str | Archive") -> Archive:

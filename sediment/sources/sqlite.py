@@ -7,12 +7,13 @@ import sqlite3
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from heapq import heappop, heappush
 from pathlib import Path
 from urllib.parse import quote
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -25,9 +26,12 @@ MAGIC = b"SQLite format 3\x00"
 FORMAT = "sediment_sqlite"
 BATCH_ROWS = 20_000
 ROWS_PER_TASK = 500_000
-# Row ids may be sparse, up to 2^63. Then ranges get wider instead of more than this; a table of more rows than
-# MAX_TASKS * ROWS_PER_TASK (a file of some 100 GB) has larger tasks, which stream their rows in batches.
+# Ranges of one file at most; a table of more rows than MAX_TASKS * ROWS_PER_TASK (a file of some 100 GB) has larger tasks, which stream
+# their rows in batches.
 MAX_TASKS = 5_000
+# Bytes a row has at least, all told: a file's size bounds how many ranges sparse row ids are cut into. A small file gets up to MIN_SPARSE.
+LEAST_ROW_BYTES = 16
+MIN_SPARSE = 8
 
 
 @dataclass(frozen=True)
@@ -40,6 +44,8 @@ class TableInfo:
     has_rowid: bool
     # Whether `_id` is the row id, and so present and unique.
     sure_ids: bool = False
+    # Columns without a type.
+    untyped: tuple[str, ...] = ()
 
 
 def is_sqlite(path: str) -> bool:
@@ -54,17 +60,78 @@ class Text(bytes):
         return decoded(self)
 
 
-# Fixed value: characters that stand for the bytes 0x80 to 0xFF of a text that is not UTF-8, of the private range.
+# Fixed value: characters that stand for the bytes 0x80 to 0xFF of what is no text, of the private range.
 STRAY = 0x10FE00
+# Fixed value: how the UTF-8 form of one of them begins.
+STRAY_BYTES = (b"\xf4\x8f\xba", b"\xf4\x8f\xbb")
 
 
 def decoded(raw: bytes) -> str:
-    """The text of some bytes. Bytes that are not UTF-8 become a private character each, so different ones stay so."""
+    """The text of some bytes, different for different ones.
+
+    Bytes that are not UTF-8 become a private character each, and so do the bytes of such a character that was there before.
+    """
     try:
-        return raw.decode()
+        text = raw.decode()
+        if not any(s in raw for s in STRAY_BYTES):
+            return text
     except UnicodeDecodeError:
-        escaped = raw.decode("utf-8", "surrogateescape")
-        return "".join(chr(STRAY + ord(c) - 0xDC00) if 0xDC80 <= ord(c) <= 0xDCFF else c for c in escaped)
+        text = raw.decode("utf-8", "surrogateescape")
+    return "".join(_escaped(c) for c in text)
+
+
+def _escaped(c: str) -> str:
+    if 0xDC80 <= ord(c) <= 0xDCFF:
+        return chr(STRAY + ord(c) - 0xDC00)
+    if STRAY + 0x80 <= ord(c) <= STRAY + 0xFF:
+        return "".join(chr(STRAY + b) for b in c.encode())
+    return c
+
+
+def encoded(text: str) -> bytes:
+    """The bytes `decoded` made a text of."""
+    stray = {STRAY + b: 0xDC00 + b for b in range(0x80, 0x100)}
+    return text.translate(stray).encode("utf-8", "surrogateescape")
+
+
+# Fixed value: what a value begins with that is not held as its plain bytes, then a letter for its storage class.
+MARK = b"\x00sediment\x00"
+CLASSES = {"i": "integer", "r": "real", "t": "text", "b": "blob"}
+
+
+def tagged(value, untyped: bool = True) -> bytes:
+    """A value of a binary column as bytes.
+
+    In a column without a type, different ones for different values and storage classes: plain bytes are a text if they are UTF-8
+    and a blob if not, all else is marked. In a column of blobs a text is its plain bytes too, and numbers are marked.
+    """
+    if not isinstance(value, bytes):
+        return MARK + (b"r" if isinstance(value, float) else b"i") + repr(value).encode()
+    text = isinstance(value, Text)
+    plain = not value.startswith(MARK) and (not untyped or text != broken(value))
+    return bytes(value) if plain else MARK + (b"t" if text else b"b") + value
+
+
+def restored(value: bytes, untyped: bool = True):
+    """The value `tagged` made bytes of; a text comes as the bytes it was stored as."""
+    if not value.startswith(MARK):
+        return Text(value) if untyped and not broken(value) else value
+    letter, rest = value[len(MARK) : len(MARK) + 1], value[len(MARK) + 1 :]
+    return {b"t": Text, b"b": bytes, b"r": float, b"i": int}[letter](rest)
+
+
+def stored(column: Column) -> Column:
+    """What a column without a type held: `class` (integer, real, text or blob), `text` of what is no blob, `bytes` of what is."""
+    letter = F.substring(column, len(MARK) + 1, 1).cast("string")
+    marked = F.substring(column, 1, len(MARK)) == F.lit(MARK)
+    value = F.when(marked, F.substring(column, len(MARK) + 2, 2**31 - 1)).otherwise(column)
+    names = F.create_map(*(F.lit(x) for kv in CLASSES.items() for x in kv))
+    kind = F.when(marked, names[letter]).when(F.is_valid_utf8(column.cast("string")), "text").otherwise("blob")
+    return F.struct(
+        F.when(column.isNotNull(), kind).alias("class"),
+        F.when(kind != "blob", F.make_valid_utf8(value.cast("string"))).alias("text"),
+        F.when(kind == "blob", value).alias("bytes"),
+    )
 
 
 def broken(raw: bytes) -> bool:
@@ -132,6 +199,7 @@ def _table_info(c: sqlite3.Connection, table: str) -> TableInfo:
         defaults,
         _has_rowid(c, table),
         primary == ("_id",) and (id_type == "INTEGER" or "_id" in (n for _, n, _, required, *_ in columns if required)),
+        tuple(name for _, name, kind, *_ in columns if not (kind or "").strip()),
     )
 
 
@@ -153,39 +221,62 @@ class RowRange(InputPartition):
     high: int | None = None
 
 
-def fitted(value, kind: T.DataType):
-    """The value as `kind`, or None: a SQLite column may hold values of any type."""
+def fitted(value, kind: T.DataType, untyped: bool = False):
+    """The value as `kind`, or None: a SQLite column may hold values of any type.
+
+    A text in a column of numbers is none: one that looks like a number would have been stored as one.
+    """
     if value is None:
         return None
-    try:
-        if isinstance(kind, T.LongType):
-            number = int(value) if not isinstance(value, float) or value.is_integer() else None
-            return number if number is not None and -(2**63) <= number < 2**63 else None
-        if isinstance(kind, T.DoubleType):
-            return float(value)
-        if isinstance(kind, T.BinaryType):
-            return bytes(value) if isinstance(value, bytes) else str(value).encode()
-        return decoded(value) if isinstance(value, bytes) else str(value)
-    except ValueError:
-        return None
-
-
-def column_array(values: tuple, kind: T.DataType, arrow: pa.DataType) -> pa.Array:
-    """A column at once; value by value only if one of them is of another type."""
+    if isinstance(kind, T.LongType):
+        whole = isinstance(value, int) or (isinstance(value, float) and value.is_integer())
+        return int(value) if whole and -(2**63) <= value < 2**63 else None
+    if isinstance(kind, T.DoubleType):
+        return float(value) if isinstance(value, (int, float)) else None
+    if isinstance(kind, T.BinaryType):
+        return tagged(value, untyped)
+    return decoded(value) if isinstance(value, bytes) else str(value)
+
+
+def plain_array(values: tuple, kind: T.DataType, arrow: pa.DataType, untyped: bool = False) -> pa.Array | None:
+    """A column at once, if each of its values is of the type, and each text is UTF-8; else None."""
     try:
         if isinstance(kind, T.StringType):
+            if any(isinstance(v, bytes) and not isinstance(v, Text) for v in values):
+                return None
+            raw = pa.array(values, pa.binary())
+            data = raw.buffers()[2]
+            if data is not None and any(s in memoryview(data).tobytes() for s in STRAY_BYTES):
+                return None
             # The cast checks that it is UTF-8.
-            return pa.array(values, pa.binary()).cast(arrow)
+            return raw.cast(arrow)
+        if isinstance(kind, T.BinaryType):
+            if any(isinstance(v, Text) != untyped or v.startswith(MARK) for v in values if isinstance(v, bytes)):
+                return None
+            if untyped:
+                pa.array(values, pa.binary()).cast(pa.string())
+        # Arrow would cut off what follows a point.
+        elif any(isinstance(v, (Text, float) if isinstance(kind, T.LongType) else Text) for v in values):
+            return None
         return pa.array(values, arrow)
     except (pa.ArrowInvalid, pa.ArrowTypeError, pa.ArrowNotImplementedError, OverflowError, TypeError):
-        return pa.array([fitted(v, kind) for v in values], arrow)
+        return None
 
 
-def keeps(value, kind: T.DataType) -> bool:
-    """Whether a value is read as what it is: it has the type, and a text is UTF-8."""
-    return fitted(value, kind) is not None and not (
-        isinstance(kind, T.StringType) and isinstance(value, bytes) and broken(value)
-    )
+def column_array(values: tuple, kind: T.DataType, arrow: pa.DataType, untyped: bool = False) -> pa.Array:
+    """A column, value by value only if one of them is of another type."""
+    found = plain_array(values, kind, arrow, untyped)
+    return pa.array([fitted(v, kind, untyped) for v in values], arrow) if found is None else found
+
+
+def changed(value, kind: T.DataType) -> bool:
+    """Whether a value is not read as what it is: it has no place in the type, a text has bytes or characters that were escaped, or
+    a blob is among texts. Binary columns keep all bytes."""
+    if value is None or isinstance(kind, T.BinaryType):
+        return False
+    if isinstance(kind, T.StringType) and isinstance(value, bytes):
+        return not isinstance(value, Text) or decoded(value).encode() != value
+    return fitted(value, kind) is None
 
 
 # Columns of the count of values that do not fit their column's type.
@@ -203,6 +294,7 @@ class SqliteReader(DataSourceReader):
         self.has_rowid = options.get("has_rowid", "true") == "true"
         self.rows_per_task = int(options.get("rows_per_task", ROWS_PER_TASK))
         self.count_misfits = options.get("misfits", "false") == "true"
+        self.untyped = set(json.loads(options.get("untyped", "[]")))
         self.tagged = SNAPSHOT in schema.names
         self.output = schema
         self.columns = T.StructType([f for f in schema.fields if f.name != SNAPSHOT])
@@ -215,12 +307,26 @@ class SqliteReader(DataSourceReader):
         return [part for i, path in self.files for part in self._ranges(i, path)]
 
     def _ranges(self, snapshot: int, path: str) -> list[RowRange]:
+        """Ranges of row ids of about as many rows each, found by looking up ids, not by reading rows.
+
+        The widest range is halved at its middle, and both halves are drawn in to the ids they hold, until all are narrow or there are
+        as many as the file's size asks for. So ids far apart, or in a few clusters, give no empty tasks and no large ones.
+        """
+        table, per_task = quoted(self.table), self.rows_per_task
+        first, last = f"select min(rowid) from {table} where rowid >= ?", f"select max(rowid) from {table} where rowid <= ?"
         with connect(path) as c:
-            low, high = c.execute(f"select min(rowid), max(rowid) from {quoted(self.table)}").fetchone()
-        if low is None:
-            return [RowRange(snapshot, path, 0, -1)]
-        step = max(self.rows_per_task, (high - low) // MAX_TASKS + 1)
-        return [RowRange(snapshot, path, a, min(a + step - 1, high)) for a in range(low, high + 1, step)]
+            low, high = c.execute(f"select min(rowid), max(rowid) from {table}").fetchone()
+            if low is None:
+                return [RowRange(snapshot, path, 0, -1)]
+            most = min(max((high - low) // per_task + 1, 1), MAX_TASKS, max(Path(path).stat().st_size // (per_task * LEAST_ROW_BYTES) + 1, MIN_SPARSE))
+            widest = [(low - high, low, high)]
+            while len(widest) < most and -widest[0][0] >= per_task:
+                _, a, b = heappop(widest)
+                middle = a + (b - a) // 2
+                ends = ((a, c.execute(last, (middle,)).fetchone()[0]), (c.execute(first, (middle + 1,)).fetchone()[0], b))
+                for x, y in ends:
+                    heappush(widest, (x - y, x, y))
+        return [RowRange(snapshot, path, a, b) for a, b in sorted((a, b) for _, a, b in widest)]
 
     def read(self, partition: RowRange) -> Iterator[pa.RecordBatch]:
         columns = ", ".join(quoted(f.name) for f in self.columns.fields) or "null"
@@ -241,16 +347,20 @@ class SqliteReader(DataSourceReader):
         values = [
             pa.array([snapshot] * len(rows), arrow.field(f.name).type)
             if self.tagged and f.name == SNAPSHOT
-            else column_array(held[f.name], f.dataType, arrow.field(f.name).type)
+            else column_array(held[f.name], f.dataType, arrow.field(f.name).type, f.name in self.untyped)
             for f in self.output.fields
         ]
         return pa.RecordBatch.from_arrays(values, schema=arrow)
 
     def misfit_batch(self, rows: list[tuple], snapshot: int) -> pa.RecordBatch:
-        lost = [
-            sum(v is not None and not keeps(v, f.dataType) for v in column)
-            for column, f in zip(zip(*rows), self.columns.fields)
-        ]
+        """Values are only looked at where a column could not be read at once."""
+        held = dict(zip(self.columns.names, zip(*rows)))
+        arrow = to_arrow_schema(self.columns)
+        lost = []
+        for f in self.columns.fields:
+            values, untyped = held[f.name], f.name in self.untyped
+            read = plain_array(values, f.dataType, arrow.field(f.name).type, untyped)
+            lost.append(sum(changed(v, f.dataType) for v in values) if read is None else 0)
         return pa.RecordBatch.from_arrays(
             [pa.array([snapshot] * len(lost), pa.int32()), pa.array(self.columns.names), pa.array(lost, pa.int64())],
             schema=to_arrow_schema(MISFITS),
@@ -279,6 +389,7 @@ def _scan(spark: SparkSession, files: Sequence[tuple[int, str]], info: TableInfo
     register(spark)
     absolute = [[i, str(Path(path).absolute())] for i, path in files]
     reader = spark.read.format(FORMAT).schema(schema).option("files", json.dumps(absolute)).option("table", info.name)
+    reader = reader.option("untyped", json.dumps(info.untyped))
     return reader.option("has_rowid", "true" if info.has_rowid else "false").options(**options).load()
 
 
@@ -305,7 +416,8 @@ def read_many(
 def misfits(spark: SparkSession, files: Sequence[tuple[int, str]], info: TableInfo) -> DataFrame:
     """(SNAPSHOT, column, n): how many values of each file's columns are not read as they are.
 
-    They become null if they are of another type; bytes that are not UTF-8 become private characters.
+    They become null if they are of another type; bytes that are not UTF-8 become private characters, and a blob among texts a text.
+    Columns without a type lose nothing, and columns of blobs keep the bytes of a text.
     """
     counted = _scan(spark, files, info, MISFITS, misfits="true")
     return counted.groupBy(SNAPSHOT, "column").agg(F.sum("n").alias("n")).where("n > 0")

@@ -133,6 +133,12 @@ def snapshot_tables(s: int, order_cut: str, event_cut: str, hole: int, millis: C
                    {own('(event_id % 25)', s)} as label_id, {own('user_id', s)} as group_participant_user_row_id,
                    cast(event_id as bigint) as call_link_row_id
             from {{events}} where {events_kept}""",
+        # Its _id is no surrogate: it is not the first column, repeats and is missing.
+        "order_notes": f"""
+            select 'N' || {key_of('o_orderkey', 4)} as note,
+                   case when o_orderkey % 7 = 0 then null else cast(o_orderkey % 50 as bigint) end as _id,
+                   {chat_of_order} as chat_row_id, {own('o_orderkey', s)} as message_row_id
+            from {{orders}} where {orders_kept}""",
         "props": f"""
             select case when c_custkey = 1 then 'fts_index_start' when c_custkey % 50 = 2 then 'fts_ready'
                         when c_custkey % 50 = 3 then null else 'P' || cast(c_custkey as varchar(20)) end as key,

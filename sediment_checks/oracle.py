@@ -113,7 +113,7 @@ def building_blocks() -> dict[str, str]:
         "ranks": "select snapshot_id, row_number() over (order by max(timestamp) desc, snapshot_id) as merge_rank"
         " from d_message group by snapshot_id"
     }
-    for t in (*COLUMNS, "props"):
+    for t in (*COLUMNS, "props", "order_notes"):
         parts = (f"select {s} as snapshot_id, q.* from ({texts[s][t].format(**given)}) as q" for s, *_ in SNAPSHOTS)
         blocks[f"d_{t}"] = " union all ".join(parts)
     for t in COLUMNS:
@@ -318,6 +318,24 @@ def converted_archive() -> str:
     return " union all ".join(row_text(t, source, columns) for t, (source, columns) in CONVERTED.items())
 
 
+def with_child(parent: str, column: str, survivors: str) -> str:
+    """Rows of a main table of which only `survivors` stay, and the references to it of another table."""
+    key, referable = KEYS[parent], all_of("{} is not null", MAP_KEYS[parent])
+    own = all_of("{} is null", key, " or ")
+    mapped = (
+        f"select r.snapshot_id, r._id as old_id, s.new_id from r_{parent} r join ({survivors}) as s on"
+        f" {all_of('r.{0} = s.{0}', key)} where {all_of('r.{} is not null', MAP_KEYS[parent])} union all"
+        f" select snapshot_id, _id, new_id from ({survivors}) as s where ({own}) and {referable}"
+    )
+    child = (
+        f"(select row_number() over (order by k.merge_rank, d._id) as _id, a.new_id as {column} from d_references_of_events d"
+        f" join ranks k on k.snapshot_id = d.snapshot_id left join ({mapped}) as a"
+        f" on a.snapshot_id = d.snapshot_id and a.old_id = d.{column}) as c"
+    )
+    rows = row_text(parent, f"({survivors}) as s", ("new_id", *COLUMNS[parent]))
+    return f"{rows} union all {row_text('references_of_events', child, ('_id', column))}"
+
+
 def oracle_sql() -> dict[str, str]:
     props = (
         "select 'props' as table_name, coalesce(key, '~') || '|' || coalesce(case when key = 'fts_ready' then '0' else value"
@@ -410,6 +428,37 @@ def oracle_sql() -> dict[str, str]:
         " order by merge_rank, timestamp, _id) as rn from r_message_add_on where timestamp is not null and"
         f" parent_message_row_id is not null) as q where rn = 1 or {all_of('{} is null', MESSAGE_KEY, ' or ')}",
         "convert_archive_full": converted_archive(),
+        "minor_table_own_ids": "select d.note, d._id, c.new_id as chat_row_id, m.new_id as message_row_id, w.shuffled"
+        " from d_order_notes d left join m_chat c on c.snapshot_id = d.snapshot_id and c.old_id = d.chat_row_id"
+        " left join m_message m on m.snapshot_id = d.snapshot_id and m.old_id = d.message_row_id,"
+        " (select cast(0 as int) as shuffled union all select 1) w",
+        "minor_declared_key": "select row_number() over (order by merge_rank, _id) as _id, message_row_id, link_index from"
+        " (select *, row_number() over (partition by message_row_id, link_index order by merge_rank, _id) as rn"
+        " from r_message_link) as q where rn = 1 or message_row_id is null or link_index is null",
+        "unique_on_mapped_column": with_child(
+            "message_vcard", "message_vcard_row_id",
+            "select *, row_number() over (order by merge_rank, _id) as new_id from (select *, row_number() over"
+            " (partition by message_row_id order by merge_rank, _id) as rn from r_message_vcard) as q"
+            " where rn = 1 or message_row_id is null",
+        ),
+        "reject_not_null_children": with_child(
+            "message_add_on", "message_add_on_row_id",
+            "select *, row_number() over (order by timestamp, merge_rank, _id) as new_id from (select *, row_number() over"
+            f" (partition by {', '.join(MESSAGE_KEY)} order by merge_rank, timestamp, _id) as rn from r_message_add_on"
+            " where timestamp is not null and parent_message_row_id is not null) as q"
+            f" where rn = 1 or {all_of('{} is null', MESSAGE_KEY, ' or ')}",
+        ),
+        "excluded_tables": " union all ".join(
+            f"select '{name}' as table_name, count(*) as n_rows from {source}"
+            for name, source in (
+                ("jid", "t_jid"), ("chat", "t_chat"), ("message", "t_message"), ("jid_view", "d_jid"), ("named_jids", "d_jid"),
+            )
+        ),
+        "scan_sqlite_files": "select cast(o_orderkey % 8 as int) as snapshot_id, cast(o_orderkey as bigint) * 1000003 as _id,"
+        " case when o_orderkey % 11 <> 0 then 'K' || cast(o_orderkey as varchar) end as key_id,"
+        f" {duck_millis('o_orderdate')} as timestamp, cast(o_totalprice as double) as price, o_orderpriority as text_data,"
+        " case when o_orderkey % 5 <> 0 then hex(o_orderpriority) end as picture,"
+        " case when o_orderkey % 2 = 1 then 'integer' else 'text' end as kind_class, cast(o_custkey as varchar) as kind from orders",
     }
     short = {
         "message_add_on": "add_on",

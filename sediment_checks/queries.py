@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterable
 from dataclasses import replace
 from functools import partial, reduce
@@ -21,7 +22,9 @@ from sediment.operators.legacy import Contacts
 from sediment.operators.rank import checked_times, newest_times, ranking, snapshot_list
 from sediment.plans.convert import convert_archive, copy_common
 from sediment.plans.merge import Merge, merge_archives
-from sediment.sources.archive import FrameArchive, ParquetArchive, read_union
+from sediment.operators.lookup import BROADCAST_BYTES
+from sediment.sources import sqlite
+from sediment.sources.archive import FrameArchive, ParquetArchive, open_archive, read_union
 from sediment.specs import ID, NEW_ID, OLD_ID, RANK, SNAPSHOT, TIME, TableSpec, default_specs
 from sediment.staging import Staging
 
@@ -49,6 +52,7 @@ NEEDS = {
     "frequent": ("jid",),
     "frequents": (),
     "references_of_events": MAIN,
+    "order_notes": ("jid", "chat", "message"),
 }
 
 
@@ -205,6 +209,117 @@ def reject_not_null_main(spark: SparkSession, folder: str) -> DataFrame:
     return merge.main_table("message_add_on")
 
 
+def minor_table_own_ids(spark: SparkSession, folder: str) -> DataFrame:
+    """A table whose ids are data, with its references looked up by broadcasts and by one shuffle."""
+    parts = []
+    for shuffled, limit in ((0, BROADCAST_BYTES), (1, 0)):
+        merge = for_table(spark, folder, "order_notes", broadcast_bytes=limit)
+        parts.append(merge.minor_table("order_notes").select("*", F.lit(shuffled).cast("int").alias("shuffled")))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def minor_declared_key(spark: SparkSession, folder: str) -> DataFrame:
+    """A minor table whose store declares a key over a mapped column."""
+    specs = {**default_specs(), "message_link": TableSpec("message_link", unique=(("message_row_id", "link_index"),))}
+    return merge_of(spark, folder, ("message_link",), NEEDS["message_link"], specs).minor_table("message_link")
+
+
+def with_child(merge: Merge, parent: str, column: str) -> DataFrame:
+    """A main table, and the column that points at it of a table of all references."""
+    child = merge.minor_table("references_of_events")
+    return row_texts(parent, merge.main_table(parent)).unionByName(row_texts("references_of_events", child, (ID, column)))
+
+
+def unique_on_mapped_column(spark: SparkSession, folder: str) -> DataFrame:
+    """A second key over a mapped column: one card of a message stays, and references to the others are lost."""
+    specs = default_specs()
+    specs["message_vcard"] = replace(specs["message_vcard"], unique=(("message_row_id",),))
+    build = (*NEEDS["message_vcard"], "message_vcard")
+    merge = merge_of(spark, folder, ("message_vcard", "references_of_events"), build, specs)
+    return with_child(merge, "message_vcard", "message_vcard_row_id")
+
+
+def reject_not_null_children(spark: SparkSession, folder: str) -> DataFrame:
+    """Add-ons less those refused, and what points at them."""
+    specs = default_specs()
+    specs["message_add_on"] = replace(specs["message_add_on"], not_null=("parent_message_row_id",))
+    build = (*NEEDS["message_add_on"], "message_add_on")
+    merge = merge_of(spark, folder, ("message_add_on", "references_of_events"), build, specs)
+    return with_child(merge, "message_add_on", "message_add_on_row_id")
+
+
+def excluded_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Tables a merge leaves out by their names, and one that is merged all the same: the rows of what is merged."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    archives = []
+    for path, of in zip(PATHS, snapshot_frames(Given(spark, folder), ["message", "jid", "chat"])):
+        listed = of["jid"].select(ID, "raw_string")
+        further = {t: listed for t in ("jid_FTS_content", "chat_View", "sqlite_sequence", "props", "jid_view", "named_jids")}
+        archives.append(FrameArchive(path, {**of, **further}))
+    merge = Merge(spark, archives, default_specs(), Staging(spark), include_tables=("jid_view",))
+    merge.build_keys()
+    done = merge.tables(merge.staging.write)
+    parts = (df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows") for t, df in done.items() if t != "props")
+    return reduce(DataFrame.unionByName, parts)
+
+
+SQLITE_FILES = 8
+SQLITE_TABLE = "create table message (_id integer primary key, key_id text, timestamp integer, price real, text_data text, picture blob, kind)"
+
+
+def write_sqlite(folder: str):
+    """Writes the rows a task gets as SQLite files of its own, one for each `s`, and gives their numbers of rows."""
+
+    def run(batches):
+        import os
+        import sqlite3
+
+        import pyarrow as pa
+
+        open_files = {}
+        for batch in batches:
+            for s, *values in zip(*(c.to_pylist() for c in batch.columns)):
+                if s not in open_files:
+                    path = f"{folder}/{s}.{os.getpid()}.part"
+                    if os.path.exists(path):
+                        os.remove(path)
+                    open_files[s] = [path, sqlite3.connect(path), 0]
+                    open_files[s][1].execute(SQLITE_TABLE)
+                open_files[s][1].execute("insert into message values (?, ?, ?, ?, ?, ?, ?)", (*values[:-1], int(values[-1]) if s % 2 else values[-1]))
+                open_files[s][2] += 1
+        for s, (path, connection, n) in open_files.items():
+            connection.commit()
+            connection.close()
+            # A second run of a task puts the same file in place.
+            os.replace(path, f"{folder}/{s}.db")
+            yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32()), pa.array([n], pa.int64())], names=["s", "n"])
+
+    return run
+
+
+def scan_sqlite_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders as SQLite files written by tasks, read as snapshots of one archive: texts, numbers, blobs and a column of no type."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    orders = Given(spark, folder)["orders"].select(
+        (F.col("o_orderkey") % SQLITE_FILES).cast("int").alias("s"),
+        (F.col("o_orderkey").cast("long") * 1_000_003).alias(ID),
+        F.when(F.col("o_orderkey") % 11 != 0, F.concat(F.lit("K"), F.col("o_orderkey").cast("string"))).alias("key_id"),
+        F.unix_millis(F.col("o_orderdate").cast("timestamp")).alias(TIME),
+        F.col("o_totalprice").cast("double").alias("price"),
+        F.col("o_orderpriority").alias("text_data"),
+        F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority").cast("binary")).alias("picture"),
+        F.col("o_custkey").cast("string").alias("kind"),
+    )
+    root = Staging(spark).root.removeprefix("file://")
+    os.makedirs(root)
+    orders.repartition(SQLITE_FILES, "s").mapInArrow(write_sqlite(root), "s int, n long").collect()
+    archives = [(s, open_archive(spark, path)) for s in range(SQLITE_FILES) if os.path.exists(path := f"{root}/{s}.db")]
+    wanted = ["key_id", TIME, "price", "text_data", "picture", "kind"]
+    rows = read_union(spark, archives, "message", [ID, *wanted], lambda df, keep: df.select(*keep, ID, *wanted))
+    kind = sqlite.stored(F.col("kind"))
+    return rows.select(SNAPSHOT, ID, "key_id", TIME, "price", "text_data", F.hex("picture").alias("picture"), kind["class"].alias("kind_class"), kind["text"].alias("kind"))
+
+
 def map_rank_zip_of(table: str, spark: SparkSession, folder: str) -> DataFrame:
     """The one-to-one map of a table, with one-to-one maps of all tables it points at."""
     build = dict.fromkeys(("jid", "chat", "message", *NEEDS[table], table))
@@ -407,6 +522,12 @@ def queries() -> dict[str, Query]:
         "scan_many_snapshots": scan_many_snapshots,
         "tables_emptied": tables_emptied,
         "reject_not_null_main": reject_not_null_main,
+        "reject_not_null_children": reject_not_null_children,
+        "unique_on_mapped_column": unique_on_mapped_column,
+        "minor_table_own_ids": minor_table_own_ids,
+        "minor_declared_key": minor_declared_key,
+        "excluded_tables": excluded_tables,
+        "scan_sqlite_files": scan_sqlite_files,
         "convert_archive_full": convert_archive_full,
     }
     short = {

@@ -228,3 +228,49 @@ def test_blocks_open_in_two_threads_drop_their_own_folders(spark, tmp_path):
     other.start()
     work("second", True)
     assert seen == {"first": 3, "second": 3, ("first", "left"): False, ("second", "left"): False}
+
+
+def test_values_of_any_class_are_kept_apart(spark, tmp_path):
+    values = [5, "5", 5.0, b"5", "1_000", -7, 1e300, b"", "", None, sqlite.MARK + b"i5", sqlite.MARK.decode() + "x", "é", 2**62]
+    path = str(tmp_path / "any.db")
+    with sqlite3.connect(path) as c:
+        c.execute("create table t (_id integer primary key, v, n integer, s text, r real)")
+        c.executemany("insert into t (v) values (?)", [(v,) for v in values])
+        raws = [b"a\x80", "a\U0010fe80".encode(), b"a", b"\xf4\x8f\xba", "\U0010feff".encode(), "\U0010fe7f".encode()]
+        for i, raw in enumerate(raws):
+            c.execute(f"update t set s = cast(x'{raw.hex()}' as text) where _id = {i + 1}")
+        c.execute("update t set s = x'61' where _id = 7")
+        c.execute("update t set n = '1_000', r = '1_0.5' where _id = 1")
+        c.execute("update t set n = 3.0, r = 3 where _id = 2")
+    info = sqlite.catalog(path)["t"]
+    df = sqlite.read(spark, path, info)
+    got = {r._id: r for r in df.collect()}
+    back = [None if got[i + 1].v is None else sqlite.restored(bytes(got[i + 1].v)) for i in range(len(values))]
+    stored = [v.encode() if isinstance(v, str) else v for v in values]
+    assert back == stored
+    assert [type(b) in (sqlite.Text,) for b in back] == [isinstance(v, str) for v in values]
+    kept = [v for v in (got[i + 1].v for i in range(len(values))) if v is not None]
+    assert len({bytes(v) for v in kept}) == len(kept)
+    texts = [got[i + 1].s for i in range(len(raws))]
+    assert len(set(texts)) == len(texts) and [sqlite.encoded(t) for t in texts] == raws
+    assert (got[1].n, got[1].r, got[2].n, got[2].r) == (None, None, 3, 3.0)
+    shown = df.select("_id", sqlite.stored(df.v).alias("x")).orderBy("_id").select("x.*").collect()
+    assert [r["class"] for r in shown[:4]] == ["integer", "text", "real", "blob"] and shown[9]["class"] is None
+    assert [r["text"] for r in shown[:3]] == ["5", "5", "5.0"] and [bytes(r["bytes"]) for r in (shown[3], shown[10])] == [b"5", values[10]]
+    counted = {c: n for _, c, n in rows(sqlite.misfits(spark, [(0, path)], info))}
+    # Escaped texts and the blob among texts; the two texts among numbers.
+    assert counted == {"s": 5, "n": 1, "r": 1}
+
+
+def test_ranges_of_sparse_ids_have_like_sizes(tmp_path):
+    path, n = str(tmp_path / "sparse.db"), 4000
+    with sqlite3.connect(path) as c:
+        c.execute("create table t (_id integer primary key, s text)")
+        ids = [i * 10**12 for i in range(n // 2)] + [5 * 10**17 + i for i in range(n // 2)]
+        c.executemany("insert into t values (?, 'some text')", [(i,) for i in ids])
+    options = {"files": f'[[0, "{path}"]]', "table": "t", "rows_per_task": "500"}
+    reader = sqlite.SqliteReader(options, sqlite.catalog(path)["t"].schema)
+    parts = reader.partitions()
+    sizes = [sum(p.low <= i <= p.high for i in ids) for p in parts]
+    assert sum(sizes) == n and min(sizes) > 0 and len(parts) >= 8 and max(sizes) <= 1000
+    assert all(a.high < b.low for a, b in zip(parts, parts[1:]))
