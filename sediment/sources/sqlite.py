@@ -29,9 +29,10 @@ ROWS_PER_TASK = 500_000
 # Ranges of one file at most; a table of more rows than MAX_TASKS * ROWS_PER_TASK (a file of some 100 GB) has larger tasks, which stream
 # their rows in batches.
 MAX_TASKS = 5_000
-# Bytes a row has at least, all told: a file's size bounds how many ranges sparse row ids are cut into. A small file gets up to MIN_SPARSE.
+# Bytes a row has at least, all told: a file's size bounds how many ranges row ids are cut into.
 LEAST_ROW_BYTES = 16
-MIN_SPARSE = 8
+# Neighbouring ids looked at to guess a range's rows.
+PROBED = 8
 
 
 @dataclass(frozen=True)
@@ -307,26 +308,33 @@ class SqliteReader(DataSourceReader):
         return [part for i, path in self.files for part in self._ranges(i, path)]
 
     def _ranges(self, snapshot: int, path: str) -> list[RowRange]:
-        """Ranges of row ids of about as many rows each, found by looking up ids, not by reading rows.
+        """Ranges of row ids of about as many rows each, found by looking up some ids, not by reading rows.
 
-        The widest range is halved at its middle, and both halves are drawn in to the ids they hold, until all are narrow or there are
-        as many as the file's size asks for. So ids far apart, or in a few clusters, give no empty tasks and no large ones.
+        A range's rows are guessed from the smallest gap between neighbours at its ends and middle. The largest one is halved, and both
+        halves are drawn in to the ids they hold, until none is too large or there are as many as the file's size can ask for.
+        So ids far apart, or in a few clusters, give neither empty tasks nor large ones.
         """
         table, per_task = quoted(self.table), self.rows_per_task
-        first, last = f"select min(rowid) from {table} where rowid >= ?", f"select max(rowid) from {table} where rowid <= ?"
+        up, down = (f"select rowid from {table} where rowid {op} ? order by rowid {way} limit {PROBED}" for op, way in ((">=", "asc"), ("<=", "desc")))
         with connect(path) as c:
+
+            def range_of(low: int, high: int) -> tuple[int, int, int]:
+                probes = (c.execute(sql, (at,)).fetchall() for sql, at in ((up, low), (up, low + (high - low) // 2), (down, high)))
+                gaps = (max(abs(ids[-1][0] - ids[0][0]) // (len(ids) - 1), 1) for ids in probes if len(ids) > 1)
+                return -((high - low) // min(gaps, default=1) + 1), low, high
+
             low, high = c.execute(f"select min(rowid), max(rowid) from {table}").fetchone()
             if low is None:
                 return [RowRange(snapshot, path, 0, -1)]
-            most = min(max((high - low) // per_task + 1, 1), MAX_TASKS, max(Path(path).stat().st_size // (per_task * LEAST_ROW_BYTES) + 1, MIN_SPARSE))
-            widest = [(low - high, low, high)]
-            while len(widest) < most and -widest[0][0] >= per_task:
-                _, a, b = heappop(widest)
-                middle = a + (b - a) // 2
-                ends = ((a, c.execute(last, (middle,)).fetchone()[0]), (c.execute(first, (middle + 1,)).fetchone()[0], b))
-                for x, y in ends:
-                    heappush(widest, (x - y, x, y))
-        return [RowRange(snapshot, path, a, b) for a, b in sorted((a, b) for _, a, b in widest)]
+            ranges, most = [range_of(low, high)], min(MAX_TASKS, 2 * (Path(path).stat().st_size // (per_task * LEAST_ROW_BYTES)) + 2)
+            while len(ranges) < most and -ranges[0][0] > per_task:
+                rows, a, b = heappop(ranges)
+                # The left half holds whole tasks.
+                step = (b - a + 1) * per_task // -rows
+                middle = a + max(-(-(-rows) // per_task) // 2, 1) * step - 1
+                heappush(ranges, range_of(a, c.execute(down, (middle,)).fetchone()[0]))
+                heappush(ranges, range_of(c.execute(up, (middle + 1,)).fetchone()[0], b))
+        return [RowRange(snapshot, path, a, b) for a, b in sorted((a, b) for _, a, b in ranges)]
 
     def read(self, partition: RowRange) -> Iterator[pa.RecordBatch]:
         columns = ", ".join(quoted(f.name) for f in self.columns.fields) or "null"
