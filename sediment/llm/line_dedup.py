@@ -1,138 +1,86 @@
 """Line dedup: an exact set-similarity join of lines, after which later matches go.
 
-Lines equal in their words are one line. A line's tokens are its distinct five-word shingles (all its words if it has fewer). Tokens are ordered by rarity, lines
-whose prefixes share a token and that pass the length and positional filters are candidates, and their Jaccard
-similarity is verified on their words. Rarity comes from a counting sketch of fixed size: the order of tokens
-decides how few candidates there are, never which matches are found.
+Lines with the same words in the same order are one line, known by 128 bits of SHA-256 of them. A line's tokens are its distinct words, ordered by
+rarity. Lines whose prefixes share a token and that pass the length, positional and bitmap filters are candidates, and
+their Jaccard similarity is verified on their words. Rarity comes from a counting sketch of fixed size: the order of
+tokens decides how few candidates there are, never which matches are found.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import sha256
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import DataType
 
 from sediment.llm.words import SPACES, lower_ascii, split_words, text_key, whole
 from sediment.operators.lookup import Sized
 from sediment.staging import Staging
 
-SHINGLE = 5
 # Jaccard threshold as a fraction.
 SIMILAR = (4, 5)
 # Counters of the rarity sketch, 8 bytes each on the driver and in every task.
 SKETCH_BITS = 17
-# Bytes of text hashed at a time, and line keys a task remembers to send a repeated line's tokens once.
+# Bytes of text read at a time, and words or line keys a task remembers: the hash of each word, and which lines' tokens it has sent.
 CHUNK = 1 << 17
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
+
+# Seed of the words' XXH64, and bits of it that are kept. Words that share a token cost candidates, not matches.
+SEED = 0x5ED1
+TOKEN_BITS = 40
 
 # 64-bit words of a line's parity bitmap.
-BITMAP = 4
+BITMAP = 1
 BITS = tuple(f"p{i}" for i in range(BITMAP))
 
-# Fixed odd multipliers of the word, shingle and line hashes.
-_P, _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB))
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
-
-
-def _powers(base: np.uint64, n: int) -> np.ndarray:
-    out = np.full(max(n, 1), base, np.uint64)
-    out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
-
-
-def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-class Hasher:
-    """Hashes the words, shingles and lines of many texts at once."""
-
-    def __init__(self, shingle: int = SHINGLE):
-        self.shingle = shingle
-        self._inverse = np.uint64(pow(int(_P), -1, 1 << 64))
-        self._grow(1 << 16)
-
-    def _grow(self, n: int) -> None:
-        self.up, self.down, self.of_word = _powers(_P, n), _powers(self._inverse, n), _powers(_B, n)
-
-    def words(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """A hash of each word, and the number of the line it is in. `data` ends in a line end."""
-        b = np.frombuffer(data, np.uint8)
-        if len(b) + 1 > len(self.up):
-            self._grow(2 * len(b) + 1)
-        space = _SPACE[b]
-        before = np.concatenate(([True], space[:-1]))
-        starts, ends = np.flatnonzero(~space & before), np.flatnonzero(space & ~before)
-        sums = np.zeros(len(b) + 1, np.uint64)
-        np.cumsum((b.astype(np.uint64) + np.uint64(1)) * self.up[: len(b)], out=sums[1:])
-        lines = np.cumsum(b == 10, dtype=np.int64)[starts]
-        return _mix((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64)), lines
-
-    def tokens(self, words: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The shingles, repeats included, and the line of each."""
-        k = self.shingle
-        firsts = np.flatnonzero(np.concatenate(([True], lines[1:] != lines[:-1]))) if len(lines) else np.zeros(0, np.int64)
-        counts = np.diff(np.append(firsts, len(lines)))
-        found, where = [], []
-        for size in range(1, k + 1):
-            at = firsts[counts == size] if size < k else np.flatnonzero(lines[k - 1 :] == lines[: len(lines) - k + 1])
-            if size == k and len(lines) < k:
-                continue
-            t = np.full(len(at), size, np.uint64)
-            for i in range(size):
-                t = t * _A + words[at + i]
-            found.append(_mix(t))
-            where.append(lines[at])
-        return np.concatenate(found), np.concatenate(where)
-
-    def bitmap(self, tokens: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
-        """For runs of tokens from `begin`: for each bit whether an odd number of them fall on it.
-
-        What two runs share cancels out, so their bitmaps differ in no more bits than the runs in tokens.
-        """
-        slot, bit = tokens & np.uint64(BITMAP - 1), np.uint64(1) << ((tokens >> np.uint64(2)) & np.uint64(63))
-        return [np.bitwise_xor.reduceat(np.where(slot == i, bit, np.uint64(0)), begin) for i in range(BITMAP)]
-
-    def keys(self, words: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Lines with a word, and two hashes of each one's words in order."""
-        firsts = np.flatnonzero(np.concatenate(([True], lines[1:] != lines[:-1])))
-        counts = np.diff(np.append(firsts, len(lines)))
-        place = np.arange(len(lines)) - np.repeat(firsts, counts)
-        weight = self.of_word[place]
-        one = np.add.reduceat(words * weight, firsts) + counts.astype(np.uint64)
-        two = np.add.reduceat(_mix(words + _C) * weight, firsts) + counts.astype(np.uint64)
-        return lines[firsts], _mix(one), _mix(two)
-
-
-def _chunks(column: pa.Array) -> Iterator[tuple[int, int, bytes, np.ndarray]]:
-    """(first row, end row, the lower-case texts each with a line end, first line of each row)."""
-    texts, starts, size, first, line = [], [], 0, 0, 0
+
+class Hashes(dict):
+    """The hash of each word, made when it is first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[word] = xxhash.xxh64_intdigest(word, SEED)
+        return found
+
+
+def _chunks(column: pa.Array) -> Iterator[tuple[int, list[list[bytes]], np.ndarray]]:
+    """(first row, words of each line of some texts in lower case, first line of each text)."""
+    lines, starts, size, first = [], [], 0, 0
     for i in range(len(column)):
-        data = (column[i].as_py() or "").encode("utf-8", "surrogatepass").lower() + b"\n"
-        texts.append(data)
-        starts.append(line)
-        line += data.count(b"\n")
+        data = (column[i].as_py() or "").encode("utf-8", "surrogatepass").lower()
+        starts.append(len(lines))
+        # Without an argument, bytes are split at the six ASCII white spaces.
+        lines += [line.split() for line in data.split(b"\n")]
         size += len(data)
         if size >= CHUNK or i == len(column) - 1:
-            yield first, i + 1, b"".join(texts), np.array(starts, np.int64)
-            texts, starts, size, first, line = [], [], 0, i + 1, 0
+            yield first, lines, np.array(starts, np.int64)
+            lines, starts, size, first = [], [], 0, i + 1
+
 
+def _tokens(lines: list[list[bytes]], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all words, and the line of each."""
+    counts = np.fromiter(map(len, lines), np.int64, len(lines))
+    found = np.fromiter(map(hashes.__getitem__, chain.from_iterable(lines)), np.uint64, int(counts.sum()))
+    return found, np.repeat(np.arange(len(lines)), counts)
 
-def sketch(texts: DataFrame, shingle: int = SHINGLE, bits: int = SKETCH_BITS) -> np.ndarray:
-    """Counters of the shingles of all texts (one column), by the top bits of their hashes."""
+
+def sketch(texts: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
+    """Counters of the words of all texts (one column), by the top bits of their hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, counts = Hasher(shingle), np.zeros(1 << bits, np.int64)
+        hashes, counts = Hashes(), np.zeros(1 << bits, np.int64)
         for batch in batches:
-            for _, _, data, _ in _chunks(batch.column(0)):
-                found, _ = hasher.tokens(*hasher.words(data))
+            for _, lines, _ in _chunks(batch.column(0)):
+                found, _ = _tokens(lines, hashes)
                 counts += np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], names=["slot", "n"])
@@ -171,33 +119,42 @@ def prefix_length(n: np.ndarray, similar: tuple[int, int]) -> np.ndarray:
     return n - (n * num + den - 1) // den + 1
 
 
-def line_rows(rows: DataFrame, counters: np.ndarray, shingle: int, similar: tuple[int, int]) -> DataFrame:
-    """A row for each line with a word: `doc_id`, `text_key`, `no`, `k1`, `k2` (its words' hashes), `n` tokens, and
+def parity(tokens: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
+    """For runs of tokens from `begin`: for each bit whether an odd number of them fall on it.
+
+    What two runs share cancels out, so their bitmaps differ in no more bits than the runs in tokens.
+    """
+    slot, bit = (tokens >> np.uint64(6)) % np.uint64(BITMAP), np.uint64(1) << (tokens & np.uint64(63))
+    return [np.bitwise_xor.reduceat(np.where(slot == i, bit, np.uint64(0)), begin) for i in range(BITMAP)]
+
+
+def line_rows(rows: DataFrame, counters: np.ndarray, similar: tuple[int, int]) -> DataFrame:
+    """A row for each line with a word: `doc_id`, `text_key`, `no`, `k1`, `k2` (a digest of its words), `n` tokens, and
     `prefix`, the rarest tokens in order, empty if the same task has sent the line before, and BITS, a parity bitmap of all tokens."""
     bits = len(counters).bit_length() - 1
     shared = rows.sparkSession.sparkContext.broadcast(levels(counters))
     names = ["doc_id", "text_key", "no", "k1", "k2", "n", "prefix", *BITS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, seen, rarity = Hasher(shingle), set(), shared.value
+        hashes, seen, rarity = Hashes(), set(), shared.value
         for batch in batches:
-            for first, end, data, starts in _chunks(batch.column("text")):
-                words, lines = hasher.words(data)
-                if not len(words):
+            for first, lines, starts in _chunks(batch.column("text")):
+                found, where = _tokens(lines, hashes)
+                if not len(found):
                     continue
-                found, where = hasher.tokens(words, lines)
+                ids = np.flatnonzero(np.fromiter(map(bool, lines), bool, len(lines)))
+                digests = [sha256(b" ".join(lines[i])).digest()[:16] for i in ids.tolist()]
+                keys = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 order = rarest_first(found, where, rarity, bits)
                 found, where = found[order], where[order]
                 new = np.concatenate(([True], (found[1:] != found[:-1]) | (where[1:] != where[:-1])))
                 found, where = found[new], where[new]
-                ids, k1, k2 = hasher.keys(words, lines)
                 begin = np.searchsorted(where, ids)
-                bitmap = hasher.bitmap(found, begin)
                 n = np.diff(np.append(begin, len(where)))
                 keep = prefix_length(n, similar)
                 if len(seen) > REMEMBERED:
                     seen.clear()
-                for i, key in enumerate(zip(k1.tolist(), k2.tolist())):
+                for i, key in enumerate(digests):
                     if key in seen:
                         keep[i] = 0
                     else:
@@ -206,17 +163,17 @@ def line_rows(rows: DataFrame, counters: np.ndarray, shingle: int, similar: tupl
                 at = np.repeat(begin - offsets[:-1], keep) + np.arange(offsets[-1])
                 row = np.searchsorted(starts, ids, side="right") - 1
                 of_row = pa.array(row + first)
-                prefix = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(found[at].view(np.int64)))
+                tokens = (found[at] >> np.uint64(64 - TOKEN_BITS)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").take(of_row),
                         batch.column("text_key").take(of_row),
                         pa.array(ids - starts[row], pa.int32()),
-                        pa.array(k1.view(np.int64)),
-                        pa.array(k2.view(np.int64)),
+                        pa.array(keys[:, 0]),
+                        pa.array(keys[:, 1]),
                         pa.array(n, pa.int32()),
-                        prefix,
-                        *(pa.array(x.view(np.int64)) for x in bitmap),
+                        pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(tokens)),
+                        *(pa.array(x.view(np.int64)) for x in parity(found, begin)),
                     ],
                     names=names,
                 )
@@ -232,22 +189,17 @@ def fitting(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if Sized.of(df).fits() else df
 
 
-def shared_tokens(lines: DataFrame, staging: Staging) -> DataFrame:
-    """`token`, `k1`, `i` (place in the prefix) of tokens in the prefixes of several lines, and `hub`, `hub_i`: the earliest of those.
+def distinct_lines(lines: DataFrame, staging: Staging) -> DataFrame:
+    """Each line once: `k1`, `k2`, `first` (its first place), `id`, `ord`, `n`, BITS and `prefix`. A written table.
 
-    Most tokens are of one line alone. Tokens and lines travel by themselves first, to find the others; only rows of those
-    are dealt by token with all they need.
+    Earlier lines have no larger `ord`: the whole number that is their document's id, or else 0.
     """
-    tokens = lines.where(F.size("prefix") > 0).select("k1", "doc_id", F.posexplode("prefix").alias("i", "token"))
-    ends = tokens.select("token", "k1").repartition("token").groupBy("token").agg(F.min("k1").alias("low"), F.max("k1").alias("high"))
-    common = staging.write("common", ends.where("low <> high").select("token"))
-    same = Window.partitionBy("token")
-    hub = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "i")).over(same)
-    marked = tokens.join(fitting(common), "token", "left_semi").withColumn("hub", hub)
-    marked = marked.select("token", "k1", "i", F.col("hub.k1").alias("hub"), F.col("hub.i").alias("hub_i"))
-    # Tasks that met the same line sent it once each.
-    once = marked.groupBy("token", "k1").agg(*(F.min(x).alias(x) for x in ("i", "hub", "hub_i")))
-    return staging.write("shared", once)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "no")
+    summed = (F.max(c).alias(c) for c in ("n", *BITS, "prefix"))
+    once = lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), *summed)
+    number = isinstance(lines.schema["doc_id"].dataType, T.IntegralType)
+    order = F.coalesce(F.col("first.doc_id").cast("long"), F.lit(2**63 - 1)) if number else F.lit(0).cast("long")
+    return staging.write("distinct", once.withColumns({"ord": order, "id": F.monotonically_increasing_id()}))
 
 
 def may_match(a: str, b: str, similar: tuple[int, int]) -> Column:
@@ -266,110 +218,82 @@ def _ended(df: DataFrame, end: str) -> DataFrame:
 
 
 def _unordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
-    """Each pair of lines, (k1, k2) of both, once."""
-    x, y = (F.struct(F.col(f"k1{e}").alias("k1"), F.col(f"k2{e}").alias("k2")) for e in (a, b))
-    return pairs.select(F.least(x, y).alias("a"), F.greatest(x, y).alias("b")).select(
-        F.col("a.k1").alias("k1_a"), F.col("a.k2").alias("k2_a"), F.col("b.k1").alias("k1_b"), F.col("b.k2").alias("k2_b")
-    ).distinct()
+    """Each pair of lines once."""
+    return pairs.select(F.least(a, b).alias("id_a"), F.greatest(a, b).alias("id_b")).distinct()
 
 
-def shingles(words: Column, shingle: int) -> Column:
-    """The distinct shingles of a column (no expression, which would be evaluated for each of them) of words."""
-    last = F.greatest(F.size(words) - shingle + 1, F.lit(1))
-    return F.array_distinct(F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice(words, i, shingle), " ")))
-
-
-def _texts(rows: DataFrame, firsts: DataFrame, keys: DataFrame, staging: Staging) -> DataFrame:
-    """`k1`, `k2`, `at` (place) and `line` of the lines with `keys`, from the documents they are first in."""
-    wanted = firsts.join(fitting(keys), ["k1", "k2"], "left_semi").select("k1", "k2", "first", "first.doc_id", "first.text_key", "first.no")
+def _texts(rows: DataFrame, distinct: DataFrame, pairs: DataFrame, staging: Staging, name: str) -> DataFrame:
+    """`id`, `at` (place) and `line` of the lines in pairs, from the documents they are first in."""
+    ends = pairs.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
+    keys = staging.write(f"{name}_ends", ends)
+    wanted = distinct.join(fitting(keys), "id", "left_semi").select("id", "first", "first.doc_id", "first.text_key", "first.no")
     listed = wanted.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k")).agg(
-        F.collect_list(F.struct("no", "k1", "k2", F.col("first").alias("at"))).alias("lines")
+        F.collect_list(F.struct("no", "id", F.col("first").alias("at"))).alias("lines")
     )
-    of_doc = staging.write("of_doc", listed)
+    of_doc = staging.write(f"{name}_of_doc", listed)
     sized = Sized.of(of_doc.select("d", "k", F.to_json("lines").alias("lines")))
     other = F.broadcast(of_doc) if sized.fits() else of_doc
     held = rows.join(other, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
     held = held.select(F.split("text", "\n", -1).alias("all"), F.explode("lines").alias("l"))
-    held = held.select("l.k1", "l.k2", "l.at", F.get("all", F.col("l.no")).alias("line"))
+    held = held.select("l.id", "l.at", F.get("all", F.col("l.no")).alias("line"))
     # Rows equal in id and text bring the same line more than once.
-    return staging.write("held", held.dropDuplicates(["k1", "k2"]))
+    return staging.write(f"{name}_held", held.dropDuplicates(["id"]))
 
 
-def _matched(pairs: DataFrame, held: DataFrame, shingle: int, similar: tuple[int, int]) -> DataFrame:
-    """`k1`, `k2` of the later line of each pair that is similar by its words."""
+def _matched(pairs: DataFrame, held: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """`id` of the later line of each pair that is similar by its words."""
     num, den = similar
-    both = pairs.join(_ended(held, "_a"), ["k1_a", "k2_a"]).join(_ended(held, "_b"), ["k1_b", "k2_b"])
-    late = F.when(F.col("at_a") > F.col("at_b"), "_a").otherwise("_b")
-    later = [F.when(late == "_a", F.col(f"{k}_a")).otherwise(F.col(f"{k}_b")).alias(k) for k in ("k1", "k2")]
+    both = pairs.join(_ended(held, "_a"), "id_a").join(_ended(held, "_b"), "id_b")
+    later = F.when(F.col("at_a") > F.col("at_b"), F.col("id_a")).otherwise(F.col("id_b")).alias("id")
     # Through arrays, so that each text is split and each set made once.
     lines = F.array(*(split_words(lower_ascii(F.col(f"line{e}")), SPACES) for e in ("_a", "_b")))
-    sets = both.select(*later, F.transform(lines, lambda w: shingles(w, shingle)).alias("sets"))
+    sets = both.select(later, F.transform(lines, F.array_distinct).alias("sets"))
 
     def same(s: Column) -> Column:
         x, y = F.get(s, F.lit(0)), F.get(s, F.lit(1))
         return F.size(F.array_intersect(x, y)) * (num + den) >= (F.size(x) + F.size(y)) * num
 
     verdict = F.get(F.transform(F.array("sets"), same), F.lit(0))
-    return sets.where(verdict).select("k1", "k2").distinct()
+    return sets.where(verdict).select("id").distinct()
 
 
-def matching_lines(
-    rows: DataFrame, lines: DataFrame, firsts: DataFrame, staging: Staging, shingle: int, similar: tuple[int, int]
-) -> DataFrame:
-    """`k1`, `k2` of the lines with a similar earlier one.
+def matching_lines(rows: DataFrame, distinct: DataFrame, staging: Staging, similar: tuple[int, int]) -> DataFrame:
+    """`id` of the lines with a similar earlier one.
 
     First each line meets the earliest line of each of its tokens, as many pairs as rows. That settles nearly all of a
-    group of near copies; only lines it leaves open are joined with all lines that share a token.
+    group of near copies; only lines it leaves open are joined with the earlier lines that share a token.
     """
     c = F.col
-    shared = shared_tokens(lines, staging)
-    keys = staging.write("keys", shared.select("k1").distinct())
-    several = lines.select("k1", "k2", "n", *BITS).join(fitting(keys), "k1", "left_semi").groupBy("k1", "k2")
-    marks = staging.write("marks", several.agg(F.min("n").alias("n"), *(F.min(p).alias(p) for p in BITS)))
-    small = fitting(marks)
-    whole = shared.join(small, "k1")
-    hubs = whole.withColumnRenamed("hub_i", "i_h").join(_ended(small, "_h"), c("hub") == c("k1_h"))
-    hubs = hubs.where((c("k1") != c("k1_h")) & may_match("", "_h", similar))
-    hubs = staging.write("hubs", _unordered(hubs, "", "_h"))
-    settled = _matched(hubs, _texts(rows, firsts, _ends(hubs, staging, "hub_ends"), staging), shingle, similar)
-    settled = staging.write("settled", settled)
-
-    done = fitting(settled).withColumn("done", F.lit(True))
-    flagged = whole.select("token", "k1", "k2", "n", "i", *BITS).join(done, ["k1", "k2"], "left")
-    flagged = staging.write("flagged", flagged)
-    # Of two open lines one order is enough.
-    apart = c("done_o").isNotNull() | (c("k1") < c("k1_o"))
-    on = (c("token") == c("token_o")) & (c("k1") != c("k1_o")) & apart & may_match("", "_o", similar)
-    rest = _unordered(flagged.where("done is null").join(_ended(flagged, "_o"), on), "", "_o")
-    rest = staging.write("rest", rest.join(fitting(hubs), rest.columns, "left_anti"))
-    more = _matched(rest, _texts(rows, firsts, _ends(rest, staging, "rest_ends"), Staging(staging.spark)), shingle, similar)
+    tokens = distinct.select("id", "ord", "n", *BITS, F.posexplode("prefix").alias("i", "token"))
+    dealt = tokens.repartition("token")
+    earliest = F.min(F.struct("ord", "id", "n", "i", *BITS)).alias("h")
+    hub = dealt.groupBy(c("token").alias("token_h")).agg(earliest).select("token_h", "h.*")
+    hub = hub.select("token_h", *(c(x).alias(f"{x}_h") for x in ("id", "n", "i", *BITS)))
+    met = dealt.join(hub, (c("token") == c("token_h")) & (c("id") != c("id_h")) & may_match("", "_h", similar))
+    hubs = staging.write("hubs", _unordered(met, "id", "id_h"))
+    settled = staging.write("settled", _matched(hubs, _texts(rows, distinct, hubs, staging, "hub"), similar))
+
+    done = fitting(settled).select("id", F.lit(True).alias("done"))
+    flagged = tokens.join(done, "id", "left").repartition("token")
+    other = _ended(flagged.drop("done"), "_o")
+    on = (c("token") == c("token_o")) & (c("id") != c("id_o")) & (c("ord_o") <= c("ord")) & may_match("", "_o", similar)
+    rest = _unordered(flagged.where("done is null").join(other, on), "id", "id_o")
+    rest = staging.write("rest", rest.join(fitting(hubs), ["id_a", "id_b"], "left_anti"))
+    more = _matched(rest, _texts(rows, distinct, rest, staging, "rest"), similar)
     return staging.write("matching", settled.unionByName(more).distinct())
 
 
-def _ends(pairs: DataFrame, staging: Staging, name: str) -> DataFrame:
-    """`k1`, `k2` of the lines in pairs."""
-    both = F.array(*(F.struct(F.col(f"k1{e}").alias("k1"), F.col(f"k2{e}").alias("k2")) for e in ("_a", "_b")))
-    return staging.write(name, pairs.select(F.explode(both).alias("k")).select("k.*").distinct())
-
-
-def removed_lines(
-    docs: DataFrame,
-    staging: Staging,
-    doc: str = "doc_id",
-    text: str = "text",
-    shingle: int = SHINGLE,
-    similar: tuple[int, int] = SIMILAR,
-) -> DataFrame:
+def removed_lines(docs: DataFrame, staging: Staging, doc: str = "doc_id", text: str = "text", similar: tuple[int, int] = SIMILAR) -> DataFrame:
     """`doc_id`, `text_key`, `gone` (line numbers from 0): what `dedup_lines` takes out."""
     t = F.col(text).cast("string")
     rows = docs.select(F.col(doc).alias("doc_id"), text_key(t).alias("text_key"), t.alias("text"))
-    counters = sketch(rows.select("text"), shingle)
-    lines = staging.write("lines", line_rows(rows, counters, shingle, similar))
+    counters = sketch(rows.select("text"))
+    lines = staging.write("lines", line_rows(rows, counters, similar))
+    distinct = distinct_lines(lines, staging)
+    bad = matching_lines(rows, distinct, staging, similar)
+    verdicts = distinct.select("k1", "k2", "first", "id").join(fitting(bad).withColumn("bad", F.lit(True)), "id", "left")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "no")
-    firsts = staging.write("firsts", lines.groupBy("k1", "k2").agg(F.min(place).alias("first")))
-    bad = matching_lines(rows, lines, firsts, staging, shingle, similar)
-    verdicts = firsts.join(bad.withColumn("bad", F.lit(True)), ["k1", "k2"], "left")
-    copies = lines.drop("prefix", "n").join(verdicts, ["k1", "k2"])
+    copies = lines.select("doc_id", "text_key", "no", "k1", "k2").join(verdicts, ["k1", "k2"])
     gone = copies.where(F.col("bad").isNotNull() | ~place.eqNullSafe(F.col("first")))
     return staging.write("gone", gone.groupBy("doc_id", "text_key").agg(F.collect_set("no").alias("gone")))
 
@@ -378,10 +302,10 @@ def dedup_lines(docs: DataFrame, doc: str = "doc_id", text: str = "text", **opti
     """`row` (the whole given row), `text` without the lines that match an earlier one, `n_lines`, `n_removed`.
 
     Lines come in the order of (id, nulls last, key of the text, line number). A line is removed if an earlier line of
-    the corpus has a Jaccard similarity of at least 4/5, whether or not that one stays. Lines without words stay.
+    the corpus has a Jaccard similarity of at least 4/5 of their words, whether or not that one stays. Lines without words stay.
     A null text stays null and an empty one empty; a document may lose all its lines and stays, with an empty text; rows
     equal in id and text count as one document, so they lose the same lines. Case of A-Z and the width of
-    white space do not matter. Texts are shuffled only if the removals are too many to broadcast.
+    white space do not matter. A line of any length is one set of words; other columns may have any name. Texts are shuffled only if the removals are too many to broadcast.
     """
     staging = Staging(docs.sparkSession)
     gone = removed_lines(docs, staging, doc, text, **options).select(F.col("doc_id").alias("_d"), F.col("text_key").alias("_k"), "gone")

@@ -175,8 +175,7 @@ WITH given AS (
 ), distinct_lines AS (
   SELECT w, min((row_id, no)) AS at, row_number() OVER () AS line_id FROM lines WHERE len(w) > 0 GROUP BY w
 ), tokens AS (
-  SELECT DISTINCT line_id, list_slice(w, p, p + 4) AS token
-  FROM (SELECT line_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS p FROM distinct_lines)
+  SELECT DISTINCT line_id, token FROM (SELECT line_id, unnest(w) AS token FROM distinct_lines)
 ), sizes AS (SELECT line_id, count(*) AS n FROM tokens GROUP BY line_id
 ), common AS (
   SELECT a.line_id AS a, b.line_id AS b, count(*) AS c FROM tokens AS a JOIN tokens AS b USING (token)

@@ -108,9 +108,8 @@ def components(prints, bits=4):
     return root
 
 
-def line_shingles(line, k=5):
-    w = SPACED.findall(lower(line))
-    return frozenset(tuple(w[i : i + k]) for i in range(max(len(w) - k + 1, 1))) if w else None
+def line_words(line):
+    return set(SPACED.findall(lower(line))) or None
 
 
 def without_repeated_lines(docs):
@@ -119,7 +118,7 @@ def without_repeated_lines(docs):
     for _, text in docs:
         kept = []
         for line in (text or "").split("\n"):
-            s = line_shingles(line)
+            s = line_words(line)
             if s is None or not any(5 * len(s & e) >= 4 * len(s | e) for e in earlier):
                 kept.append(line)
             if s is not None:

@@ -128,6 +128,26 @@ def test_lines_like_earlier_ones_go(spark, frame, monkeypatch, limit):
     assert got.select("row.*").columns == df.columns
 
 
+def test_lines_are_compared_word_by_word(spark, frame):
+    """One of twenty words differs, two long words differ, and patterns that collide in polynomials of any base."""
+    base = [f"w{i}" for i in range(20)]
+    a, b = "a", "b"
+    for _ in range(10):
+        a, b = a + b, b + a
+    pattern, other = " ".join("x" if c == "a" else "y" for c in a * 4), " ".join("x" if c == "b" else "y" for c in a * 4)
+    docs = [(1, " ".join(base)), (2, " ".join(base[:9] + ["new"] + base[10:])), (3, a), (4, b), (5, pattern), (6, other), (7, "m n o p"), (8, "p o n m"), (9, "m n o")]
+    got = {r.row.doc_id: r.n_removed for r in line_dedup.dedup_lines(frame("doc_id long, text string", *docs)).collect()}
+    # The two patterns are different lines of the same two words.
+    assert got == {1: 0, 2: 1, 3: 0, 4: 0, 5: 0, 6: 1, 7: 0, 8: 1, 9: 0}
+
+
+def test_a_very_long_line_and_ids_of_any_type(spark, frame):
+    long = " ".join(f"v{i}" for i in range(30_000))
+    docs = [("b", long), ("a", long + " one more"), (None, "x" * 200_000 + "\n" + long)]
+    got = {r.row.doc_id: r.n_removed for r in line_dedup.dedup_lines(frame("doc_id string, text string", *docs)).collect()}
+    assert got == {"a": 0, "b": 1, None: 1}
+
+
 def test_rows_alike_lose_the_same_lines(spark, frame):
     text = "one two three four five six\nother words in here too yes\none two three four five six"
     df = frame("doc_id long, text string", (5, text), (5, text), (None, text), (None, "alone here"))
