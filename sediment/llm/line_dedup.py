@@ -10,13 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from hashlib import sha256
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.types import DataType
 
 from sediment.llm.words import SPACES, lower_ascii, split_words, text_key, whole
@@ -31,8 +29,8 @@ SKETCH_BITS = 17
 CHUNK = 1 << 17
 REMEMBERED = 1 << 19
 
-# Seed of the words' XXH64, and bits of it that are kept. Words that share a token cost candidates, not matches.
-SEED = 0x5ED1
+# Words this long are hashed by XXH64 with this seed, as sums of powers of longer ones can be made to collide. Of a hash so many bits are kept.
+LONG, SEED = 256, 0x5ED1
 TOKEN_BITS = 40
 
 # 64-bit words of a line's parity bitmap.
@@ -40,47 +38,87 @@ BITMAP = 1
 BITS = tuple(f"p{i}" for i in range(BITMAP))
 
 
-class Hashes(dict):
-    """The hash of each word, made when it is first asked for."""
+# Fixed odd base of the words' hashes; white space but line ends as spaces; bytes that are neither.
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_SPACES = bytes.maketrans(b"\t\x0b\x0c\r", b"    ")
+_LETTER = np.ones(256, bool)
+_LETTER[[10, 32]] = False
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
 
-        if len(self) >= REMEMBERED:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word, SEED)
-        return found
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(max(n, 1), base, np.uint64)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _mix(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
 
+class Lines:
+    """The words of many texts at once: where each begins and ends, its hash and its line."""
 
-def _chunks(column: pa.Array) -> Iterator[tuple[int, list[list[bytes]], np.ndarray]]:
-    """(first row, words of each line of some texts in lower case, first line of each text)."""
-    lines, starts, size, first = [], [], 0, 0
+    def __init__(self) -> None:
+        self._inverse = np.uint64(pow(int(_BASE), -1, 1 << 64))
+        self._grow(1 << 18)
+
+    def _grow(self, n: int) -> None:
+        self.up, self.down = _powers(_BASE, n), _powers(self._inverse, n)
+
+    def words(self, data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Beginnings, ends, hashes and line numbers of the words. `data` has no white space but spaces and line ends, and ends in a line end."""
+        import xxhash
+
+        b = np.frombuffer(data, np.uint8)
+        if len(b) + 1 > len(self.up):
+            self._grow(2 * len(b) + 1)
+        letter = _LETTER[b]
+        before = np.concatenate(([False], letter[:-1]))
+        starts, ends = np.flatnonzero(letter & ~before), np.flatnonzero(~letter & before)
+        sums = np.zeros(len(b) + 1, np.uint64)
+        np.cumsum((b.astype(np.uint64) + np.uint64(1)) * self.up[: len(b)], out=sums[1:])
+        hashes = _mix((sums[ends] - sums[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+        for i in np.flatnonzero(ends - starts >= LONG).tolist():
+            hashes[i] = xxhash.xxh64_intdigest(data[starts[i] : ends[i]], SEED)
+        return starts, ends, hashes, np.cumsum(b == 10, dtype=np.int64)[starts]
+
+
+def _chunks(column: pa.Array) -> Iterator[tuple[int, bytes, np.ndarray]]:
+    """(first row, some texts in lower case, each with a line end, with spaces for all other white space, first line of each)."""
+    texts, starts, size, line, first = [], [], 0, 0, 0
     for i in range(len(column)):
-        data = (column[i].as_py() or "").encode("utf-8", "surrogatepass").lower()
-        starts.append(len(lines))
-        # Without an argument, bytes are split at the six ASCII white spaces.
-        lines += [line.split() for line in data.split(b"\n")]
+        data = (column[i].as_py() or "").encode("utf-8", "surrogatepass").lower().translate(_SPACES) + b"\n"
+        texts.append(data)
+        starts.append(line)
+        line += data.count(b"\n")
         size += len(data)
         if size >= CHUNK or i == len(column) - 1:
-            yield first, lines, np.array(starts, np.int64)
-            lines, starts, size, first = [], [], 0, i + 1
+            yield first, b"".join(texts), np.array(starts, np.int64)
+            texts, starts, size, line, first = [], [], 0, 0, i + 1
 
 
-def _tokens(lines: list[list[bytes]], hashes: Hashes) -> tuple[np.ndarray, np.ndarray]:
-    """The hashes of all words, and the line of each."""
-    counts = np.fromiter(map(len, lines), np.int64, len(lines))
-    found = np.fromiter(map(hashes.__getitem__, chain.from_iterable(lines)), np.uint64, int(counts.sum()))
-    return found, np.repeat(np.arange(len(lines)), counts)
+def _digests(data: bytes, starts: np.ndarray, ends: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """The lines with a word, and 128 bits of SHA-256 of the words of each with a space in between."""
+    first = np.flatnonzero(np.concatenate((lines[:1] == lines[:1], lines[1:] != lines[:-1])))
+    last = np.append(first[1:], len(lines)) - 1
+    letters = np.add.reduceat(ends - starts, first) + last - first
+    out = []
+    for a, b, n in zip(starts[first].tolist(), ends[last].tolist(), letters.tolist()):
+        line = data[a:b] if b - a == n else b" ".join(data[a:b].split())
+        out.append(sha256(line).digest()[:16])
+    return lines[first], out
 
 
 def sketch(texts: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
     """Counters of the words of all texts (one column), by the top bits of their hashes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, counts = Hashes(), np.zeros(1 << bits, np.int64)
+        reader, counts = Lines(), np.zeros(1 << bits, np.int64)
         for batch in batches:
-            for _, lines, _ in _chunks(batch.column(0)):
-                found, _ = _tokens(lines, hashes)
+            for _, data, _ in _chunks(batch.column(0)):
+                _, _, found, _ = reader.words(data)
                 counts += np.bincount((found >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used], pa.int64())], names=["slot", "n"])
@@ -136,14 +174,13 @@ def line_rows(rows: DataFrame, counters: np.ndarray, similar: tuple[int, int]) -
     names = ["doc_id", "text_key", "no", "k1", "k2", "n", "prefix", *BITS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen, rarity = Hashes(), set(), shared.value
+        reader, seen, rarity = Lines(), set(), shared.value
         for batch in batches:
-            for first, lines, starts in _chunks(batch.column("text")):
-                found, where = _tokens(lines, hashes)
+            for first, data, starts in _chunks(batch.column("text")):
+                begins, ends, found, where = reader.words(data)
                 if not len(found):
                     continue
-                ids = np.flatnonzero(np.fromiter(map(bool, lines), bool, len(lines)))
-                digests = [sha256(b" ".join(lines[i])).digest()[:16] for i in ids.tolist()]
+                ids, digests = _digests(data, begins, ends, where)
                 keys = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
                 order = rarest_first(found, where, rarity, bits)
                 found, where = found[order], where[order]
@@ -189,24 +226,12 @@ def fitting(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if Sized.of(df).fits() else df
 
 
-def distinct_lines(lines: DataFrame, staging: Staging) -> DataFrame:
-    """Each line once: `k1`, `k2`, `first` (its first place), `id`, `ord`, `n`, BITS and `prefix`. A written table.
-
-    Earlier lines have no larger `ord`: the whole number that is their document's id, or else 0.
-    """
-    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "no")
-    summed = (F.max(c).alias(c) for c in ("n", *BITS, "prefix"))
-    once = lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), *summed)
-    number = isinstance(lines.schema["doc_id"].dataType, T.IntegralType)
-    order = F.coalesce(F.col("first.doc_id").cast("long"), F.lit(2**63 - 1)) if number else F.lit(0).cast("long")
-    return staging.write("distinct", once.withColumns({"ord": order, "id": F.monotonically_increasing_id()}))
-
-
 def may_match(a: str, b: str, similar: tuple[int, int]) -> Column:
     """Length, positional and bitmap filter of lines whose columns end in `a` and `b` and whose first shared token is at their `i`."""
     num, den = similar
     c = F.col
-    n, m = c(f"n{a}"), c(f"n{b}")
+    # Settled lines have their numbers below 0.
+    n, m = F.abs(c(f"n{a}")), F.abs(c(f"n{b}"))
     enough = F.least(n - c(f"i{a}"), m - c(f"i{b}")) * (num + den) >= (n + m) * num
     # Of both lines' tokens, so many are in one of them only.
     apart = sum(F.bit_count(c(f"{p}{a}").bitwiseXOR(c(f"{p}{b}"))) for p in BITS)
@@ -219,67 +244,72 @@ def _ended(df: DataFrame, end: str) -> DataFrame:
 
 def _unordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
     """Each pair of lines once."""
-    return pairs.select(F.least(a, b).alias("id_a"), F.greatest(a, b).alias("id_b")).distinct()
+    return pairs.select(F.least(a, b).alias("k1_a"), F.greatest(a, b).alias("k1_b")).distinct()
 
 
-def _texts(rows: DataFrame, distinct: DataFrame, pairs: DataFrame, staging: Staging, name: str) -> DataFrame:
-    """`id`, `at` (place) and `line` of the lines in pairs, from the documents they are first in."""
-    ends = pairs.select(F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
+def _texts(rows: DataFrame, firsts: DataFrame, pairs: DataFrame, staging: Staging, name: str) -> DataFrame:
+    """`k1`, `k2`, `at` (place) and `line` of the lines in pairs, from the documents they are first in."""
+    ends = pairs.select(F.explode(F.array("k1_a", "k1_b")).alias("k1")).distinct()
     keys = staging.write(f"{name}_ends", ends)
-    wanted = distinct.join(fitting(keys), "id", "left_semi").select("id", "first", "first.doc_id", "first.text_key", "first.no")
+    wanted = firsts.join(fitting(keys), "k1", "left_semi").select("k1", "k2", "first", "first.doc_id", "first.text_key", "first.no")
     listed = wanted.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k")).agg(
-        F.collect_list(F.struct("no", "id", F.col("first").alias("at"))).alias("lines")
+        F.collect_list(F.struct("no", "k1", "k2", F.col("first").alias("at"))).alias("lines")
     )
     of_doc = staging.write(f"{name}_of_doc", listed)
     sized = Sized.of(of_doc.select("d", "k", F.to_json("lines").alias("lines")))
     other = F.broadcast(of_doc) if sized.fits() else of_doc
     held = rows.join(other, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")))
     held = held.select(F.split("text", "\n", -1).alias("all"), F.explode("lines").alias("l"))
-    held = held.select("l.id", "l.at", F.get("all", F.col("l.no")).alias("line"))
+    held = held.select("l.k1", "l.k2", "l.at", F.get("all", F.col("l.no")).alias("line"))
     # Rows equal in id and text bring the same line more than once.
-    return staging.write(f"{name}_held", held.dropDuplicates(["id"]))
+    return staging.write(f"{name}_held", held.dropDuplicates(["k1", "k2"]))
 
 
 def _matched(pairs: DataFrame, held: DataFrame, similar: tuple[int, int]) -> DataFrame:
-    """`id` of the later line of each pair that is similar by its words."""
+    """`k1`, `k2` of the later line of each pair that is similar by its words."""
     num, den = similar
-    both = pairs.join(_ended(held, "_a"), "id_a").join(_ended(held, "_b"), "id_b")
-    later = F.when(F.col("at_a") > F.col("at_b"), F.col("id_a")).otherwise(F.col("id_b")).alias("id")
+    both = pairs.join(_ended(held, "_a"), "k1_a").join(_ended(held, "_b"), "k1_b")
+    late = F.col("at_a") > F.col("at_b")
+    later = [F.when(late, F.col(f"{k}_a")).otherwise(F.col(f"{k}_b")).alias(k) for k in ("k1", "k2")]
     # Through arrays, so that each text is split and each set made once.
     lines = F.array(*(split_words(lower_ascii(F.col(f"line{e}")), SPACES) for e in ("_a", "_b")))
-    sets = both.select(later, F.transform(lines, F.array_distinct).alias("sets"))
+    sets = both.select(*later, F.transform(lines, F.array_distinct).alias("sets"))
 
     def same(s: Column) -> Column:
         x, y = F.get(s, F.lit(0)), F.get(s, F.lit(1))
         return F.size(F.array_intersect(x, y)) * (num + den) >= (F.size(x) + F.size(y)) * num
 
     verdict = F.get(F.transform(F.array("sets"), same), F.lit(0))
-    return sets.where(verdict).select("id").distinct()
+    return sets.where(verdict).select("k1", "k2").distinct()
 
 
-def matching_lines(rows: DataFrame, distinct: DataFrame, staging: Staging, similar: tuple[int, int]) -> DataFrame:
-    """`id` of the lines with a similar earlier one.
+def matching_lines(rows: DataFrame, lines: DataFrame, firsts: DataFrame, staging: Staging, similar: tuple[int, int]) -> DataFrame:
+    """`k1`, `k2` of the lines with a similar earlier one.
 
-    First each line meets the earliest line of each of its tokens, as many pairs as rows. That settles nearly all of a
-    group of near copies; only lines it leaves open are joined with the earlier lines that share a token.
+    First each line meets one line of each of its tokens, the same for all, as many pairs as rows. That settles nearly all of a
+    group of near copies; only lines it leaves open are joined with all that share a token. Candidates go by `k1`; where
+    two lines share one, both are looked at. Each pass deals the tokens once: both sides of its join read the same exchange.
     """
     c = F.col
-    tokens = distinct.select("id", "ord", "n", *BITS, F.posexplode("prefix").alias("i", "token"))
+    tokens = lines.where(F.size("prefix") > 0).select("k1", "n", *BITS, F.posexplode("prefix").alias("i", "token"))
     dealt = tokens.repartition("token")
-    earliest = F.min(F.struct("ord", "id", "n", "i", *BITS)).alias("h")
-    hub = dealt.groupBy(c("token").alias("token_h")).agg(earliest).select("token_h", "h.*")
-    hub = hub.select("token_h", *(c(x).alias(f"{x}_h") for x in ("id", "n", "i", *BITS)))
-    met = dealt.join(hub, (c("token") == c("token_h")) & (c("id") != c("id_h")) & may_match("", "_h", similar))
-    hubs = staging.write("hubs", _unordered(met, "id", "id_h"))
-    settled = staging.write("settled", _matched(hubs, _texts(rows, distinct, hubs, staging, "hub"), similar))
-
-    done = fitting(settled).select("id", F.lit(True).alias("done"))
-    flagged = tokens.join(done, "id", "left").repartition("token")
-    other = _ended(flagged.drop("done"), "_o")
-    on = (c("token") == c("token_o")) & (c("id") != c("id_o")) & (c("ord_o") <= c("ord")) & may_match("", "_o", similar)
-    rest = _unordered(flagged.where("done is null").join(other, on), "id", "id_o")
-    rest = staging.write("rest", rest.join(fitting(hubs), ["id_a", "id_b"], "left_anti"))
-    more = _matched(rest, _texts(rows, distinct, rest, staging, "rest"), similar)
+    hub = dealt.groupBy(c("token").alias("token_h")).agg(F.min(F.struct("k1", "n", "i", *BITS)).alias("h"))
+    hub = hub.select("token_h", *(c(f"h.{x}").alias(f"{x}_h") for x in ("k1", "n", "i", *BITS)))
+    met = dealt.join(hub, (c("token") == c("token_h")) & (c("k1") != c("k1_h")) & may_match("", "_h", similar))
+    hubs = staging.write("hubs", _unordered(met, "k1", "k1_h"))
+    settled = staging.write("settled", _matched(hubs, _texts(rows, firsts, hubs, staging, "hub"), similar))
+
+    shared = firsts.groupBy("k1").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("k1")
+    done = staging.write("done", settled.select("k1").distinct().join(shared, "k1", "left_anti"))
+    flagged = tokens.join(fitting(done).withColumn("done", F.lit(True)), "k1", "left")
+    flagged = flagged.select("token", "k1", F.when(c("done"), -c("n")).otherwise(c("n")).alias("n"), "i", *BITS).repartition("token")
+    # A filter that hangs on a random number is not moved ahead of the exchange, so that the two sides stay one.
+    open_lines = flagged.where(F.when(F.rand(1) >= 0, c("n") > 0))
+    # Of two open lines one order is enough.
+    on = (c("token") == c("token_o")) & (c("k1") != c("k1_o")) & ((c("n_o") < 0) | (c("k1") < c("k1_o"))) & may_match("", "_o", similar)
+    rest = _unordered(open_lines.join(_ended(flagged, "_o"), on), "k1", "k1_o")
+    rest = staging.write("rest", rest.join(fitting(hubs), ["k1_a", "k1_b"], "left_anti"))
+    more = _matched(rest, _texts(rows, firsts, rest, staging, "rest"), similar)
     return staging.write("matching", settled.unionByName(more).distinct())
 
 
@@ -289,10 +319,10 @@ def removed_lines(docs: DataFrame, staging: Staging, doc: str = "doc_id", text:
     rows = docs.select(F.col(doc).alias("doc_id"), text_key(t).alias("text_key"), t.alias("text"))
     counters = sketch(rows.select("text"))
     lines = staging.write("lines", line_rows(rows, counters, similar))
-    distinct = distinct_lines(lines, staging)
-    bad = matching_lines(rows, distinct, staging, similar)
-    verdicts = distinct.select("k1", "k2", "first", "id").join(fitting(bad).withColumn("bad", F.lit(True)), "id", "left")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "no")
+    firsts = staging.write("firsts", lines.groupBy("k1", "k2").agg(F.min(place).alias("first")))
+    bad = matching_lines(rows, lines, firsts, staging, similar)
+    verdicts = firsts.join(fitting(bad).withColumn("bad", F.lit(True)), ["k1", "k2"], "left")
     copies = lines.select("doc_id", "text_key", "no", "k1", "k2").join(verdicts, ["k1", "k2"])
     gone = copies.where(F.col("bad").isNotNull() | ~place.eqNullSafe(F.col("first")))
     return staging.write("gone", gone.groupBy("doc_id", "text_key").agg(F.collect_set("no").alias("gone")))
