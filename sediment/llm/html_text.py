@@ -30,7 +30,7 @@ BLOCK = frozenset(
 # What is no main text, by element, role, and tokens of class or id.
 DROPPED = frozenset(
     "head nav header footer aside form script style noscript template iframe textarea title select option button svg canvas "
-    "object embed dialog menu audio video input label fieldset xmp noembed noframes math".split()
+    "object embed dialog menu audio video input fieldset xmp noembed noframes".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split())
 COMMENTS = frozenset("comment comments reply replies disqus".split())
@@ -56,11 +56,15 @@ FRAME = frozenset("html body main h1 h2 h3 h4 h5 h6".split())
 # Elements that end an open paragraph, and ones that end an open one of their own kind.
 ENDS_P = BLOCK - frozenset("caption body html tbody td tfoot th thead tr dd dt li summary figcaption".split())
 SELF_ENDING = {"li": "li", "dt": "dt dd", "dd": "dt dd", "option": "option", "tr": "tr td th", "td": "td th", "th": "td th"}
+# What a head holds, whose end tag may be left out; elements in which, and in whose like, `/>` ends an element.
+HEAD = frozenset("base basefont bgsound link meta title style script template noscript noframes".split())
+FOREIGN = frozenset("svg math".split())
+ENDED = re.compile(r"(?:^|[\s\"'])/\s*$")
 # What may recur on pages without being their text: containers, never inline elements, headings or paragraphs.
 WIDGETS = frozenset("div section ul ol table figure aside".split())
 
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>", re.S
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([A-Za-z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>|<(/?)([A-Za-z][^\s/>]*+)([^>]*+)>", re.S
 )
 ATTRIBUTE = re.compile(r"([^\s=\"'/>]+)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 
@@ -155,6 +159,8 @@ def walk(page: str, template: frozenset[int] = frozenset(), widgets: frozenset[i
     def say(text: str) -> None:
         nonlocal plain, owned
         if text:
+            if stack and stack[-1].tag == "head" and not text.isspace():
+                close(len(stack) - 1, at)
             depth = stack[-1].article if stack else 0
             pieces.append((text, depth, links > 0))
             n = len(text.strip())
@@ -177,6 +183,8 @@ def walk(page: str, template: frozenset[int] = frozenset(), widgets: frozenset[i
                     close(i, at)
                     break
             continue
+        if stack and stack[-1].tag == "head" and tag not in HEAD:
+            close(len(stack) - 1, m.start())
         if tag == "br":
             say(" ")
             continue
@@ -194,6 +202,8 @@ def walk(page: str, template: frozenset[int] = frozenset(), widgets: frozenset[i
         if tag in VOID:
             continue
         attributes = m[3] or m[6] or ""
+        if attributes.endswith("/") and ENDED.search(attributes) and (tag in FOREIGN or any(e.tag in FOREIGN for e in stack)):
+            continue
         if tag in ("article", "main"):
             depth = max(depth, 1 + (tag == "main"))
         stack.append(Element(tag, m.start(), len(pieces), depth, fate_of(tag, attributes), (plain, owned, mains)))
@@ -306,7 +316,8 @@ def extract_text(pages: DataFrame, page: str = "page_id", url: str = "url", html
     """One row per page: `page_id`, `url`, `text`, `n_chars`.
 
     A null or empty page gives an empty text; broken markup is read as far as it goes; a null url has no host and so no
-    template; repeated rows give a row each and count once for templates; an empty table gives no rows.
+    template; repeated rows give a row each and count once for templates; an empty table gives no rows. Pages of any length are read
+    whole, in one pass over their tags; other columns are not read.
     """
     rows = pages.select(
         F.col(page).alias("page_id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"), host_of(F.col(url).cast("string")).alias("host")

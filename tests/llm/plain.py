@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import Counter, defaultdict
+from html.parser import HTMLParser
 
 import xxhash
 
@@ -161,3 +162,65 @@ def mixed(rows, weights=(1, 2, 3)):
             break
         taken[i] += 1
     return [(d, size[i], sizes[s], target[s], size[i] * taken[i]) for i, (d, _, s) in enumerate(rows)]
+
+
+class ArticleText(HTMLParser):
+    """Blocks of what lies in <article> or <main>, less elements that are no text, by the standard library's parser. Knows no templates, and
+    pages whose end tags are there (but those of paragraphs, list items and heads)."""
+
+    BLOCKS = set("address article blockquote body caption dd div dl dt figcaption figure h1 h2 h3 h4 h5 h6 hr html li main ol p pre section table tbody td th thead tr ul aside nav header footer form".split())
+    VOID = set("area base br col embed hr img input link meta source track wbr".split())
+    GONE = set("head nav header footer aside form script style noscript iframe textarea title select button svg".split())
+    NAMED = set("ad ads sidebar comments comment cookie-notice newsletter related share menu".split())
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.stack, self.blocks, self.now = [], [], ""
+
+    def end_block(self):
+        text = " ".join(self.now.split())
+        self.blocks += [text] if text else []
+        self.now = ""
+
+    def pop(self, at):
+        if any(t in self.BLOCKS for t, _ in self.stack[at:]):
+            self.end_block()
+        del self.stack[at:]
+
+    def handle_starttag(self, tag, attributes):
+        names = [t for t, _ in self.stack]
+        if names and names[-1] == "head" and tag not in ("title", "style", "script", "meta", "link", "base", "noscript"):
+            self.pop(len(names) - 1)
+        if tag in ("p", "li") and tag in names[-1:]:
+            self.pop(len(names) - 1)
+        elif tag in self.BLOCKS and names[-1:] == ["p"]:
+            self.pop(len(names) - 1)
+        if tag in self.BLOCKS:
+            self.end_block()
+        if tag == "br":
+            self.handle_data(" ")
+        if tag not in self.VOID:
+            known = {w for k, v in attributes if k in ("class", "id") for w in (v or "").lower().split()}
+            self.stack.append((tag, tag in self.GONE or bool(known & self.NAMED)))
+
+    def handle_startendtag(self, tag, attributes):
+        if tag not in ("svg", "math") and not any(t in ("svg", "math") for t, _ in self.stack):
+            self.handle_starttag(tag, attributes)
+
+    def handle_endtag(self, tag):
+        at = max((i for i, (t, _) in enumerate(self.stack) if t == tag), default=None)
+        if at is not None:
+            self.pop(at)
+
+    def handle_data(self, data):
+        tags = [t for t, _ in self.stack]
+        if ("article" in tags or "main" in tags) and not any(gone for _, gone in self.stack):
+            self.now += data
+
+
+def article_text(page):
+    parser = ArticleText()
+    parser.feed(page or "")
+    parser.close()
+    parser.end_block()
+    return " ".join(parser.blocks)

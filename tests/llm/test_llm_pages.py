@@ -2,11 +2,15 @@
 
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
+import plain
 import pytest
 
-from sediment.llm import html_text, toxicity
+from sediment.llm import html_text, queries, toxicity
+
+FOLDER = "/root/testdata/sf0.001"
 
 ARTICLE = "<article><h1>A  title</h1><p>One &amp; <b>two</b>three<br>four &lt;x&gt;<p>five<!-- no --><ul><li>six<li>seven</ul></article>"
 
@@ -180,3 +184,61 @@ def test_words_are_the_same_in_training_and_scoring():
     sizes = np.bincount(word, minlength=len(text))
     assert sizes.tolist() == corpus.sizes[corpus.words].tolist()
     assert grams[word == 0].tolist() == corpus.grams[: corpus.begin[1]].tolist()
+
+
+@pytest.mark.parametrize(("page", "want"), [
+    ("<html><head><title>t</title><body><article><p>Hello there</article>", "Hello there"),
+    ("<html><head><meta charset=u><link x>Words first<p>and then", "Words first and then"),
+    ("<head><style>a {}</style><div>no body tag</div>", "no body tag"),
+    ("<svg/><article><p>Some text</p></article>", "Some text"),
+    ('<article><p>a <svg viewBox="0"/> b</p><p>c</article>', "a b c"),
+    ("<article>x<svg><path d=1/><g/><text>gone</text></svg>y</article>", "xy"),
+    ("<article><div/>stays in</div> and out</article>", "stays in and out"),
+    ("<article><!-->one<!--->two<!-- a --!>three<!-- b -->four</article>", "onetwothreefour"),
+    ("<article><math><mi>x</mi></math> <label>l</label></article>", "x l"),
+])
+def test_markup_by_the_rules_of_the_standard(page, want):
+    assert html_text.main_text(page) == want
+
+
+def made_page(r):
+    """A page with what the plain version knows of, end tags left out where it may be."""
+    say = lambda n: " ".join(r.choice(["word", "é", "a&amp;b", "&lt;x&gt;", "<b>bold</b>", "<a href='#'>link</a>", "<br>", "\n", "&#8212;"]) for _ in range(n))
+    junk = lambda: r.choice(["<nav>menu</nav>", "<aside>side</aside>", "<script>if (a < b) x</script>", "<div class='ad'>buy</div>", "<form>f</form>", "<!-- c -->", "<svg><path/></svg>"])
+    blocks = []
+    for _ in range(r.randrange(1, 9)):
+        blocks.append(r.choice([lambda: f"<p>{say(9)}</p>", lambda: f"<p>{say(5)}", lambda: f"<h2>{say(2)}</h2>", lambda: f"<ul><li>{say(3)}<li>{say(2)}</ul>", lambda: f"<div class='x y'>{say(6)}</div>", lambda: f"<pre>{say(4)}</pre>", lambda: f"<table><tr><td>{say(2)}</td></tr></table>", junk])())
+    frame = r.choice(["<html><head><title>t</title>{}</html>", "<html><head><meta a='b'></head><body>{}</body></html>", "{}"])
+    body = f"<header>top</header>{junk()}<article>{''.join(blocks)}<p>The last words of it</p></article><footer>end</footer>"
+    return frame.format(f"<body>{body}</body>" if "<body>" not in frame else body)
+
+
+def test_made_pages_equal_the_plain_version():
+    r = random.Random(7)
+    for _ in range(500):
+        page = made_page(r)
+        assert html_text.main_text(page) == plain.article_text(page), page
+
+
+@pytest.mark.skipif(not Path(FOLDER).exists(), reason="no given tables")
+def test_the_query_equals_the_plain_version(spark):
+    pages = spark.read.parquet(f"{FOLDER}/pages.parquet").collect()
+    got = {r.page_id: (r.url, r.text, r.n_chars) for r in queries.op3_html_extraction(spark, FOLDER).collect()}
+    texts = {p.page_id: plain.article_text(p.html) for p in pages}
+    assert got == {p.page_id: (p.url, texts[p.page_id], len(texts[p.page_id])) for p in pages}
+
+
+def test_extra_columns_and_very_long_pages(spark, frame):
+    long = "<article>" + "".join(f"<p>paragraph {i} of it</p>" for i in range(30_000)) + "</article>"
+    df = frame("page_id long, url string, html string, text string, host string, template string", (1, "http://a/x", long, "t", "h", "p"), (2, None, None, None, None, None))
+    got = {r.page_id: (r.n_chars, r.text[:14]) for r in html_text.extract_text(df).collect()}
+    assert got == {1: (len(" ".join(f"paragraph {i} of it" for i in range(30_000))), "paragraph 0 of"), 2: (0, "")}
+
+
+def test_toxicity_of_a_very_long_text_and_extra_columns(spark, frame):
+    docs = [(i, ("you awful stinker " if i % 2 else "a quiet day at sea ") * 3, "s", 0.5, True) for i in range(40)]
+    docs += [(100, "a quiet day at sea " * 100_000 + "you awful stinker", "s", 0.1, False), (101, None, None, None, None)]
+    df = frame("doc_id long, text string, toxic string, score double, held_out boolean", *docs)
+    labels = frame("doc_id long, toxic int", *((i, i % 2) for i in range(40)))
+    got = {r.doc_id: r for r in toxicity.score_toxicity(df, labels).collect()}
+    assert len(got) == 42 and got[100].predicted == 1 and got[100].score > got[101].score
