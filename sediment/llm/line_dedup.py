@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
-from sediment.llm.words import SPACES, lower_ascii, split_words, text_key, whole
+from sediment.llm.words import SPACES, lower_ascii, split_words, text_key
 from sediment.operators.lookup import Sized
 from sediment.staging import Staging
 

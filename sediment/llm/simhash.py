@@ -10,12 +10,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sediment.llm.components import connected_components
 from sediment.llm.words import text_key
-from sediment.operators.lookup import Sized
+from sediment.operators.lookup import Sized, lookup
 from sediment.staging import Staging
 
 SHINGLE = 4
@@ -100,7 +100,7 @@ def links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 
 
 def _links(index: DataFrame, max_bits: int) -> DataFrame:
-    """The links of an index; if it has a `root`, only those of different roots.
+    """The links of an index.
 
     Both sides of the join are one shuffle of the index. The distance and the first-meeting rule are part of the
     join's condition, so only links leave it, and nothing needs to be made distinct after it.
@@ -108,28 +108,46 @@ def _links(index: DataFrame, max_bits: int) -> DataFrame:
     other = index.select(*(F.col(c).alias(f"{c}_q") for c in index.columns))
     x = F.col("fp").bitwiseXOR(F.col("fp_q"))
     near = (F.col("fp") < F.col("fp_q")) & (F.bit_count(x) <= max_bits) & first_slot(x, F.col("slot"), max_bits)
-    if "root" in index.columns:
-        near = near & (F.col("root") != F.col("root_q"))
     pairs = index.join(other, (F.col("slot") == F.col("slot_q")) & (F.col("rest") == F.col("rest_q")) & near)
     return pairs.select(F.col("fp").alias("a"), F.col("fp_q").alias("b"))
 
 
 def between_roots(prints: DataFrame, staging: Staging, max_bits: int = MAX_BITS) -> DataFrame:
-    """`a` < `b`: all links of `fp` with different `root`. Index entries under which all have one root are left out first."""
-    same = Window.partitionBy("slot", "rest")
-    index = variants(prints.select("fp", "root"), max_bits)
-    mixed = index.withColumns({"low": F.min("root").over(same), "high": F.max("root").over(same)}).where("low <> high")
-    return _links(staging.write("mixed", mixed.drop("low", "high")), max_bits)
-
+    """`a` < `b`: all links of `fp` with different `root`.
 
-def first_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    Only index entries with several roots count. There the prints of all roots but the most frequent one are joined with the
+    entry's others, so a large component that a few strangers share an entry with is not compared with itself.
+    """
+    c = F.col
+    index = variants(prints.select("fp", "root"), max_bits)
+    of_root = index.groupBy("slot", "rest", "root").agg(F.count(F.lit(1)).alias("n"))
+    entries = of_root.groupBy("slot", "rest").agg(F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
+    mixed = staging.write("mixed_entries", entries.where("roots > 1").select("slot", "rest", c("most.root").alias("major")))
+    rows = staging.write("mixed", index.join(_fitting(mixed), ["slot", "rest"]))
+    other = rows.select(*(c(x).alias(f"{x}_q") for x in ("slot", "rest", "fp", "root")))
+    x = c("fp").bitwiseXOR(c("fp_q"))
+    near = (c("root") != c("root_q")) & (F.bit_count(x) <= max_bits) & first_slot(x, c("slot"), max_bits)
+    # Of two prints that both are of lesser roots one order is enough.
+    once = (c("root_q") == c("major")) | (c("fp") < c("fp_q"))
+    pairs = rows.where("root <> major").join(other, (c("slot") == c("slot_q")) & (c("rest") == c("rest_q")) & near & once)
+    return pairs.select(F.least("fp", "fp_q").alias("a"), F.greatest("fp", "fp_q").alias("b"))
+
+
+def first_links(prints: DataFrame, staging: Staging, max_bits: int = MAX_BITS) -> DataFrame:
     """`a` < `b`: links of each `fp` to the smallest one it shares an index entry with, no more than index rows."""
-    same = Window.partitionBy("slot", "rest")
-    met = variants(prints.select("fp"), max_bits).withColumn("a", F.min("fp").over(same)).where("a <> fp")
+    index = variants(prints.select("fp"), max_bits)
+    entries = index.groupBy("slot", "rest").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    smallest = staging.write("smallest", entries.select("slot", "rest", "a"))
+    met = index.join(_fitting(smallest), ["slot", "rest"]).where("a <> fp")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("fp"))) <= max_bits
     return met.where(near).select("a", F.col("fp").alias("b")).distinct()
 
 
+def _fitting(df: DataFrame) -> DataFrame:
+    """A written table of fixed-width columns, broadcast if its counted rows allow."""
+    return F.broadcast(df) if Sized.of(df).fits() else df
+
+
 def linked(prints: DataFrame, staging: Staging, max_bits: int = MAX_BITS) -> DataFrame:
     """`fp`, `root` of distinct `fp`: the smallest print of the component of each.
 
@@ -143,7 +161,7 @@ def linked(prints: DataFrame, staging: Staging, max_bits: int = MAX_BITS) -> Dat
         return staging.write(f"{name}_roots", found.select("fp", F.coalesce("top", "root").alias("root")))
 
     own = prints.select("fp", F.col("fp").alias("root"))
-    near = rooted(own, first_links(prints, max_bits), "first")
+    near = rooted(own, first_links(prints, staging, max_bits), "first")
     rest = staging.write("rest_pairs", between_roots(near, staging, max_bits))
     for end in ("a", "b"):
         rest = rest.join(near.select(F.col("fp").alias(end), F.col("root").alias(f"root_{end}")), end)
@@ -165,7 +183,9 @@ def labelled(
     of_print = staging.write("of_print", of_print)
     lowest = staging.write("lowest", of_print.groupBy("root").agg(F.min("low").alias("component_id")))
     labels = staging.write("labels", of_print.join(lowest, "root").select("fp", "root", "component_id"))
-    return rows.join(labels, "fp").select("doc_id", "text_key", "fp", "root", "component_id")
+    # A print that a third of the rows share is split.
+    found = lookup(rows, Sized.of(labels), {"fp": "fp"}, {"root": "root", "component_id": "component_id"}, "inner", spread=("doc_id", "text_key"))
+    return found.select("doc_id", "text_key", "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, doc: str = "doc_id", text: str = "text", **options) -> DataFrame:
