@@ -10,7 +10,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sediment.llm.components import connected_components
@@ -113,17 +113,19 @@ def _links(index: DataFrame, max_bits: int) -> DataFrame:
 
 
 def between_roots(prints: DataFrame, staging: Staging, max_bits: int = MAX_BITS) -> DataFrame:
-    """`a` < `b`: all links of `fp` with different `root`.
+    """`a` < `b`: all links of `fp` with different `root`. Index entries under which all have one root are left out first.
 
-    Only index entries with several roots count. There the prints of all roots but the most frequent one are joined with the
-    entry's others, so a large component that a few strangers share an entry with is not compared with itself.
+    In the others the prints of all roots but the most frequent one are joined with the whole entry, so a large component that
+    a few strangers share an entry with is not compared with itself.
     """
     c = F.col
+    same, own = Window.partitionBy("slot", "rest"), Window.partitionBy("slot", "rest", "root")
     index = variants(prints.select("fp", "root"), max_bits)
-    of_root = index.groupBy("slot", "rest", "root").agg(F.count(F.lit(1)).alias("n"))
-    entries = of_root.groupBy("slot", "rest").agg(F.max(F.struct("n", "root")).alias("most"), F.count(F.lit(1)).alias("roots"))
-    mixed = staging.write("mixed_entries", entries.where("roots > 1").select("slot", "rest", c("most.root").alias("major")))
-    rows = staging.write("mixed", index.join(_fitting(mixed), ["slot", "rest"]))
+    mixed = index.withColumns({"low": F.min("root").over(same), "high": F.max("root").over(same)}).where("low <> high")
+    mixed = staging.write("mixed", mixed.drop("low", "high"))
+    most = F.max(F.struct("n", "root")).over(same)
+    rows = mixed.withColumn("n", F.count(F.lit(1)).over(own)).withColumn("major", most["root"]).drop("n")
+    rows = staging.write("mixed_rows", rows)
     other = rows.select(*(c(x).alias(f"{x}_q") for x in ("slot", "rest", "fp", "root")))
     x = c("fp").bitwiseXOR(c("fp_q"))
     near = (c("root") != c("root_q")) & (F.bit_count(x) <= max_bits) & first_slot(x, c("slot"), max_bits)
@@ -133,21 +135,14 @@ def between_roots(prints: DataFrame, staging: Staging, max_bits: int = MAX_BITS)
     return pairs.select(F.least("fp", "fp_q").alias("a"), F.greatest("fp", "fp_q").alias("b"))
 
 
-def first_links(prints: DataFrame, staging: Staging, max_bits: int = MAX_BITS) -> DataFrame:
+def first_links(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """`a` < `b`: links of each `fp` to the smallest one it shares an index entry with, no more than index rows."""
-    index = variants(prints.select("fp"), max_bits)
-    entries = index.groupBy("slot", "rest").agg(F.min("fp").alias("a"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    smallest = staging.write("smallest", entries.select("slot", "rest", "a"))
-    met = index.join(_fitting(smallest), ["slot", "rest"]).where("a <> fp")
+    same = Window.partitionBy("slot", "rest")
+    met = variants(prints.select("fp"), max_bits).withColumn("a", F.min("fp").over(same)).where("a <> fp")
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("fp"))) <= max_bits
     return met.where(near).select("a", F.col("fp").alias("b")).distinct()
 
 
-def _fitting(df: DataFrame) -> DataFrame:
-    """A written table of fixed-width columns, broadcast if its counted rows allow."""
-    return F.broadcast(df) if Sized.of(df).fits() else df
-
-
 def linked(prints: DataFrame, staging: Staging, max_bits: int = MAX_BITS) -> DataFrame:
     """`fp`, `root` of distinct `fp`: the smallest print of the component of each.
 
@@ -161,7 +156,7 @@ def linked(prints: DataFrame, staging: Staging, max_bits: int = MAX_BITS) -> Dat
         return staging.write(f"{name}_roots", found.select("fp", F.coalesce("top", "root").alias("root")))
 
     own = prints.select("fp", F.col("fp").alias("root"))
-    near = rooted(own, first_links(prints, staging, max_bits), "first")
+    near = rooted(own, first_links(prints, max_bits), "first")
     rest = staging.write("rest_pairs", between_roots(near, staging, max_bits))
     for end in ("a", "b"):
         rest = rest.join(near.select(F.col("fp").alias(end), F.col("root").alias(f"root_{end}")), end)
