@@ -9,6 +9,7 @@ tokens decides how few candidates there are, never which matches are found.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from hashlib import sha256
 
 import numpy as np
@@ -33,8 +34,8 @@ REMEMBERED = 1 << 19
 LONG, SEED = 256, 0x5ED1
 TOKEN_BITS = 40
 
-# 64-bit words of a line's parity bitmap.
-BITMAP = 1
+# 64-bit words of a line's parity bitmap. Tokens are dealt with all of them folded into one.
+BITMAP = 4
 BITS = tuple(f"p{i}" for i in range(BITMAP))
 
 
@@ -233,9 +234,14 @@ def may_match(a: str, b: str, similar: tuple[int, int]) -> Column:
     # Settled lines have their numbers below 0.
     n, m = F.abs(c(f"n{a}")), F.abs(c(f"n{b}"))
     enough = F.least(n - c(f"i{a}"), m - c(f"i{b}")) * (num + den) >= (n + m) * num
-    # Of both lines' tokens, so many are in one of them only.
-    apart = sum(F.bit_count(c(f"{p}{a}").bitwiseXOR(c(f"{p}{b}"))) for p in BITS)
-    return (F.least(n, m) * den >= F.greatest(n, m) * num) & enough & (apart * (num + den) <= (n + m) * (den - num))
+    return (F.least(n, m) * den >= F.greatest(n, m) * num) & enough & few_apart(a, b, ("fold",), similar)
+
+
+def few_apart(a: str, b: str, bits: tuple[str, ...], similar: tuple[int, int]) -> Column:
+    """Whether bitmaps let two lines be similar: of both lines' tokens, so many are in one of them only."""
+    num, den = similar
+    apart = sum(F.bit_count(F.col(f"{p}{a}").bitwiseXOR(F.col(f"{p}{b}"))) for p in bits)
+    return apart * (num + den) <= (F.abs(F.col(f"n{a}")) + F.abs(F.col(f"n{b}"))) * (den - num)
 
 
 def _ended(df: DataFrame, end: str) -> DataFrame:
@@ -247,10 +253,22 @@ def _unordered(pairs: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.select(F.least(a, b).alias("k1_a"), F.greatest(a, b).alias("k1_b")).distinct()
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("k1_a", "k1_b")).alias("k1")).distinct()
+
+
+def _likely(pairs: DataFrame, sent: DataFrame, staging: Staging, similar: tuple[int, int]) -> DataFrame:
+    """The pairs that their lines' whole bitmaps let be similar: one word of them says little of long lines."""
+    ends = staging.write("likely_ends", _ends(pairs))
+    marks = fitting(staging.write("marks", sent.select("k1", "n", *BITS).join(fitting(ends), "k1", "left_semi").distinct()))
+    for end in ("_a", "_b"):
+        pairs = pairs.join(_ended(marks, end), f"k1{end}")
+    return staging.write("likely", pairs.where(few_apart("_a", "_b", BITS, similar)).select("k1_a", "k1_b").distinct())
+
+
 def _texts(rows: DataFrame, firsts: DataFrame, pairs: DataFrame, staging: Staging, name: str) -> DataFrame:
     """`k1`, `k2`, `at` (place) and `line` of the lines in pairs, from the documents they are first in."""
-    ends = pairs.select(F.explode(F.array("k1_a", "k1_b")).alias("k1")).distinct()
-    keys = staging.write(f"{name}_ends", ends)
+    keys = staging.write(f"{name}_ends", _ends(pairs))
     wanted = firsts.join(fitting(keys), "k1", "left_semi").select("k1", "k2", "first", "first.doc_id", "first.text_key", "first.no")
     listed = wanted.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k")).agg(
         F.collect_list(F.struct("no", "k1", "k2", F.col("first").alias("at"))).alias("lines")
@@ -291,10 +309,12 @@ def matching_lines(rows: DataFrame, lines: DataFrame, firsts: DataFrame, staging
     two lines share one, both are looked at. Each pass deals the tokens once: both sides of its join read the same exchange.
     """
     c = F.col
-    tokens = lines.where(F.size("prefix") > 0).select("k1", "n", *BITS, F.posexplode("prefix").alias("i", "token"))
+    sent = lines.where(F.size("prefix") > 0)
+    fold = reduce(Column.bitwiseXOR, map(c, BITS)).alias("fold")
+    tokens = sent.select("k1", "n", fold, F.posexplode("prefix").alias("i", "token"))
     dealt = tokens.repartition("token")
-    hub = dealt.groupBy(c("token").alias("token_h")).agg(F.min(F.struct("k1", "n", "i", *BITS)).alias("h"))
-    hub = hub.select("token_h", *(c(f"h.{x}").alias(f"{x}_h") for x in ("k1", "n", "i", *BITS)))
+    hub = dealt.groupBy(c("token").alias("token_h")).agg(F.min(F.struct("k1", "n", "i", "fold")).alias("h"))
+    hub = hub.select("token_h", *(c(f"h.{x}").alias(f"{x}_h") for x in ("k1", "n", "i", "fold")))
     met = dealt.join(hub, (c("token") == c("token_h")) & (c("k1") != c("k1_h")) & may_match("", "_h", similar))
     hubs = staging.write("hubs", _unordered(met, "k1", "k1_h"))
     settled = staging.write("settled", _matched(hubs, _texts(rows, firsts, hubs, staging, "hub"), similar))
@@ -302,13 +322,14 @@ def matching_lines(rows: DataFrame, lines: DataFrame, firsts: DataFrame, staging
     shared = firsts.groupBy("k1").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("k1")
     done = staging.write("done", settled.select("k1").distinct().join(shared, "k1", "left_anti"))
     flagged = tokens.join(fitting(done).withColumn("done", F.lit(True)), "k1", "left")
-    flagged = flagged.select("token", "k1", F.when(c("done"), -c("n")).otherwise(c("n")).alias("n"), "i", *BITS).repartition("token")
+    flagged = flagged.select("token", "k1", F.when(c("done"), -c("n")).otherwise(c("n")).alias("n"), "i", "fold").repartition("token")
     # A filter that hangs on a random number is not moved ahead of the exchange, so that the two sides stay one.
     open_lines = flagged.where(F.when(F.rand(1) >= 0, c("n") > 0))
     # Of two open lines one order is enough.
     on = (c("token") == c("token_o")) & (c("k1") != c("k1_o")) & ((c("n_o") < 0) | (c("k1") < c("k1_o"))) & may_match("", "_o", similar)
     rest = _unordered(open_lines.join(_ended(flagged, "_o"), on), "k1", "k1_o")
     rest = staging.write("rest", rest.join(fitting(hubs), ["k1_a", "k1_b"], "left_anti"))
+    rest = _likely(rest, sent, staging, similar)
     more = _matched(rest, _texts(rows, firsts, rest, staging, "rest"), similar)
     return staging.write("matching", settled.unionByName(more).distinct())
 
