@@ -322,9 +322,11 @@ def matching_lines(rows: DataFrame, lines: DataFrame, firsts: DataFrame, staging
     shared = firsts.groupBy("k1").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("k1")
     done = staging.write("done", settled.select("k1").distinct().join(shared, "k1", "left_anti"))
     flagged = tokens.join(fitting(done).withColumn("done", F.lit(True)), "k1", "left")
-    flagged = flagged.select("token", "k1", F.when(c("done"), -c("n")).otherwise(c("n")).alias("n"), "i", "fold").repartition("token")
-    # A filter that hangs on a random number is not moved ahead of the exchange, so that the two sides stay one.
-    open_lines = flagged.where(F.when(F.rand(1) >= 0, c("n") > 0))
+    flagged = flagged.select("token", "k1", F.when(c("done"), -c("n")).otherwise(c("n")).alias("n"), "i", "fold")
+    # Said once here, Spark does not put it on one side only.
+    flagged = flagged.where(" and ".join(f"{x} is not null" for x in flagged.columns)).repartition("token")
+    # A filter that hangs on a row's number, which is never below 0, is not moved ahead of the exchange, so that the two sides stay one.
+    open_lines = flagged.where(F.when(F.monotonically_increasing_id() >= 0, c("n") > 0))
     # Of two open lines one order is enough.
     on = (c("token") == c("token_o")) & (c("k1") != c("k1_o")) & ((c("n_o") < 0) | (c("k1") < c("k1_o"))) & may_match("", "_o", similar)
     rest = _unordered(open_lines.join(_ended(flagged, "_o"), on), "k1", "k1_o")
