@@ -22,6 +22,8 @@ def main(argv: list[str] | None = None) -> None:
     convert.add_argument("out")
     convert.add_argument("legacy")
     convert.add_argument("--target", help="an archive with the tables, columns and constraints of the new schema")
+    for job in (merge, convert):
+        job.add_argument("--versioned", action="store_true", help="publish as a new version in OUT, with a pointer to it")
     args = parser.parse_args(argv)
 
     spark = SparkSession.builder.appName("sediment").getOrCreate()
@@ -33,11 +35,12 @@ def main(argv: list[str] | None = None) -> None:
             map_mode=args.map_mode,
             stale=args.stale,
             include_tables=args.include_tables,
+            versioned=args.versioned,
         )
         for r in result.ranked:
             print(f"{r.merge_rank}. {r.path}{' (base)' if r.is_base else ''}")
     else:
-        result = convert_archive(spark, args.legacy, args.out, args.target)
+        result = convert_archive(spark, args.legacy, args.out, args.target, versioned=args.versioned)
     for note in result.notes:
         print(note)
     print(f"written: {args.out}")

@@ -13,5 +13,9 @@ class UnsafeOutput(ValueError):
     """The output folder would overwrite an input."""
 
 
+class ChangedOutput(RuntimeError):
+    """Another run published to the same output while this one was at work."""
+
+
 class NullValue(ValueError):
     """An append would put a null where the table allows none."""

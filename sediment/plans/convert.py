@@ -131,6 +131,7 @@ def convert_archive(
     out: str | None = None,
     target: "str | Archive | Mapping[str, T.StructType] | None" = None,
     broadcast_bytes: int | None = None,
+    versioned: bool = False,
 ) -> ConvertResult:
     """Migrate `source`; with `out`, also write the archive there.
 
@@ -153,11 +154,11 @@ def convert_archive(
         return result
     if isinstance(source, str):
         check_output(spark, out, [source])
-    with Publisher(spark, out) as publisher:
+    with Publisher(spark, out, versioned) as publisher:
         result = _converted(spark, archive, publisher.write, goal, broadcast_bytes)
         publisher.declare({t: goal.declared(t) for t in result.tables})
         publisher.publish()
-    tables = {t: spark.read.schema(df.schema).parquet(f"{publisher.out}/{t}") for t, df in result.tables.items()}
+    tables = {t: spark.read.schema(df.schema).parquet(f"{publisher.home}/{t}") for t, df in result.tables.items()}
     return ConvertResult(tables, result.notes)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from copy import copy
 from dataclasses import dataclass, field
 from functools import partial, reduce
 from threading import Lock
@@ -29,6 +30,7 @@ from sediment.operators.keymap import rank_zip_map, strict_map
 from sediment.operators.lookup import BROADCAST_BYTES, Sized, lookup
 from sediment.operators.rank import RankedSnapshot, rank_column, rank_snapshots
 from sediment.operators.remap import PLACE, ROW, foreign_keys, placed, remap
+from sediment.operators.support import GROUP, KIND, WANT, WANT_KIND, unsupported
 from sediment.sources import sqlite
 from sediment.sources.archive import Archive, Constraints, SqliteArchive, open_archive, read_union
 from sediment.sources.sink import Publisher, check_output
@@ -102,6 +104,11 @@ class Merge:
         self.maps: dict[str, Sized] = {}
         self.survivors: dict[str, Survivors] = {}
         self.refused: dict[str, DataFrame] = {}
+        # Tables that need each other: NOT NULL columns that point at one another, rows that may enter, rows that are refused for them.
+        self.deferred: dict[str, tuple[str, ...]] = {}
+        self.entered: dict[str, DataFrame] = {}
+        self.unsupported: dict[str, DataFrame] = {}
+        self.sure: set[str] = set()
         # Parents' columns for looser keys, written once for all tables that ask.
         self.parents: dict[tuple[str, str], Sized] = {}
         self._reading_parents = Lock()
@@ -179,6 +186,9 @@ class Merge:
 
         Archives whose store sees to that are not read for it.
         """
+        if table in self.sure:
+            return
+        self.sure.add(table)
         doubtful = [(i, a) for i, a in self.sharing(table) if not a.constraints(table).sure_ids]
         ids = T.StructType([T.StructField(ID, T.LongType())])
         rows = read_union(self.spark, doubtful, table, [ID], lambda df, keep: align(df, ids, keep=keep))
@@ -243,24 +253,95 @@ class Merge:
     def build_keys(self) -> None:
         """Main tables whose keys do not point at each other run at the same time.
 
-        Whether a row enters is settled by its keys, unique keys and NOT NULL columns, so the maps they need come first. No
-        order serves tables that need each other's, or a table its own.
+        Whether a row enters is settled by its keys, unique keys and NOT NULL columns, so the maps they need come first. Tables
+        that need each other's, or a table its own, are built together if only NOT NULL columns make it so.
         """
         waiting = [t for t in self.main if self.sharing(t) and ID in self.base_schema(t).names]
         while waiting:
             ready = [t for t in waiting if not self._key_targets(t) & set(waiting)]
-            if not ready:
-                raise InvalidSnapshot(f"keys or NOT NULL columns that point at each other: {listing(waiting)}")
-            together(self._build_key, ready)
+            if ready:
+                together(self._build_key, ready)
+            else:
+                ready = self._circle(waiting)
+                self._build_circle(ready)
             waiting = [t for t in waiting if t not in ready]
 
-    def _key_targets(self, table: str) -> set[str]:
-        """Tables whose maps are needed before this table's key is known."""
+    def _key_targets(self, table: str, not_null: bool = True) -> set[str]:
+        """Tables whose maps are needed before this table's key is known, and with `not_null` before it is known which rows enter."""
         spec, names = self.spec(table), self.base_schema(table).names
         further = [c for k in spec.unique if set(k) <= set(names) for c in k]
-        parts = [*spec.natural_key, *spec.map_key, *(w.column for w in spec.weak_key), *spec.not_null, *further]
+        parts = [*spec.natural_key, *spec.map_key, *(w.column for w in spec.weak_key), *further]
         fks = foreign_keys(table, names)
-        return {fks[c].target for c in parts if c in fks}
+        return {fks[c].target for c in (*parts, *(spec.not_null if not_null else ())) if c in fks}
+
+    def _circle(self, waiting: Sequence[str]) -> list[str]:
+        """The fewest waiting tables that need each other and no other waiting one."""
+
+        def reached(table: str) -> set[str]:
+            found: set[str] = set()
+            more = {table}
+            while more:
+                found |= more
+                more = {x for t in more for x in self._key_targets(t) & set(waiting)} - found
+            return found
+
+        tables = min((reached(t) for t in waiting), key=len)
+        if self.map_mode == "rank_zip" or any(self._key_targets(t, not_null=False) & tables for t in tables):
+            raise InvalidSnapshot(f"keys or NOT NULL columns that point at each other: {listing(sorted(tables))}")
+        for t in tables:
+            # Which of several keys a row goes by hangs on the rows that enter, and these would hang on that.
+            if len(self._further_keys(t)) + bool(self.spec(t).natural_key) > 1:
+                raise InvalidSnapshot(f"several keys in {t}, whose NOT NULL columns point in a circle: {listing(sorted(tables))}")
+        return [t for t in waiting if t in tables]
+
+    def _further_keys(self, table: str) -> list[tuple[str, ...]]:
+        spec, present = self.spec(table), set(self.base_schema(table).names)
+        return [k for k in spec.unique if set(k) <= present and k != (spec.natural_key if set(spec.natural_key) <= present else ())]
+
+    def _build_circle(self, tables: Sequence[str]) -> None:
+        """Tables whose NOT NULL columns point at each other.
+
+        Built once as if those columns could be null, which tells the group of copies each reference leads to. A row goes if a
+        reference leads to none, or to one of which all rows go; the rest hold each other up. Then they are built without such rows.
+        """
+        trial = copy(self)
+        trial.maps, trial.survivors, trial.refused, trial.entered = dict(self.maps), {}, {}, {}
+        trial.staging = Staging(self.spark, self.staging.root)
+        fks = {t: foreign_keys(t, self.spec(t).not_null) for t in tables}
+        present = {t: self.base_schema(t).names for t in tables}
+        trial.deferred = {t: tuple(c for c, r in fks[t].items() if r.target in tables and c in present[t]) for t in tables}
+        together(trial._build_key, tables)
+
+        members, wants = [], []
+        for kind, t in enumerate(tables):
+            group = trial.maps[t].df.select(*ROW, F.col(NEW_ID).alias(GROUP))
+            rows = trial.entered[t].join(group, list(ROW), "left").select(F.lit(kind).alias(KIND), *ROW, GROUP)
+            rows = trial.staging.write(f"{t}_members", rows)
+            members.append(rows)
+            # Where an unknown reference is 0, nothing is refused for it.
+            binding = [c for c in trial.deferred[t] if t not in fks[t][c].zero_in]
+            found = remap(trial.union(t, binding).select(*ROW, *binding), t, trial.maps, binding, limit=self.limit, row=ROW)
+            needs = [F.struct(F.lit(tables.index(fks[t][c].target)).alias(WANT_KIND), F.col(c).alias(WANT)) for c in binding]
+            if needs:
+                both = rows.join(found, list(ROW)).select(KIND, *ROW, GROUP, F.explode(F.array(*needs)).alias("need"))
+                wants.append(both.select(KIND, *ROW, GROUP, "need.*"))
+        if wants:
+            every = reduce(DataFrame.unionByName, members), reduce(DataFrame.unionByName, wants)
+            gone = unsupported(*every, trial.staging, self.limit)
+            self.unsupported |= {t: gone.where(F.col(KIND) == kind).select(*ROW) for kind, t in enumerate(tables)}
+        self.deferred |= trial.deferred
+        together(self._build_key, tables)
+        for t in tables:
+            self._refuse_in_circle(t)
+
+    def _refuse_in_circle(self, table: str) -> None:
+        """All rows a table's NOT NULL columns kept out, with those columns, now that the maps are there."""
+        checked = [c for c in self.spec(table).not_null if c in self.base_schema(table).names]
+        ids = [self.refused[table].select(*ROW)] if table in self.refused else []
+        ids += [self.unsupported[table]] if table in self.unsupported else []
+        if ids:
+            rows = self.union(table, checked).select(*ROW, *checked).join(reduce(DataFrame.unionByName, ids), list(ROW), "left_semi")
+            self.refused[table] = remap(rows, table, self.maps, checked, limit=self.limit, row=ROW)
 
     def _build_key(self, table: str) -> None:
         spec, names = self.spec(table), self.base_schema(table).names
@@ -273,8 +354,8 @@ class Merge:
         zipped = self.map_mode == "rank_zip" and {w.column for w in spec.weak_key} <= present
         weak = {f"_w{i}": w for i, w in enumerate(spec.weak_key if zipped else ())}
 
-        checked = [c for c in spec.not_null if c in present]
-        further = [k for k in spec.unique if set(k) <= present and k != key]
+        checked = [c for c in spec.not_null if c in present and c not in self.deferred.get(table, ())]
+        further = self._further_keys(table)
         needed = dict.fromkeys([*key, *(c for k in further for c in k), *checked, *map_key, *(w.column for w in weak.values())])
         if timed:
             needed[TIME] = None
@@ -296,6 +377,10 @@ class Merge:
         entering = narrow.where(F.col(TIME).isNotNull()) if timed else narrow
         entering, refused = split_nulls(entering, checked)
         self._refuse(table, refused, checked)
+        if table in self.deferred:
+            self.entered[table] = entering.select(*ROW)
+        if table in self.unsupported:
+            entering = entering.join(self.unsupported[table], list(ROW), "left_anti")
         first = [RANK, TIME, OLD_ID] if timed else [RANK, OLD_ID]
         kept = self._distinct(table, spec, entering, [k for k in (key, *further) if k], first, ROW)
         id_order = [TIME, RANK, OLD_ID] if timed else [RANK, OLD_ID]
@@ -479,6 +564,7 @@ def merge_archives(
     stale: str = "null",
     include_tables: Sequence[str] = (),
     broadcast_bytes: int = BROADCAST_BYTES,
+    versioned: bool = False,
 ) -> MergeResult:
     """Merge snapshots; with `out`, also write the archive there. Snapshots are never written to.
 
@@ -487,6 +573,7 @@ def merge_archives(
     stale           pointers of chats with nothing to show: "null" clears them, "keep" leaves them.
     include_tables  tables to merge although their name marks them as search index or view.
     broadcast_bytes  largest table that may be broadcast.
+    versioned       publish by a pointer to a new version in `out`, which then needs an archive reader (`open_archive`).
 
     The result of a merge is itself a snapshot, so new snapshots can be merged onto it later.
     """
@@ -498,7 +585,7 @@ def merge_archives(
     staging = Staging(spark)
     try:
         return _merged(
-            spark, archives, out, staging, specs or default_specs(), map_mode, stale, include_tables, broadcast_bytes
+            spark, archives, out, versioned, staging, specs or default_specs(), map_mode, stale, include_tables, broadcast_bytes
         )
     except BaseException:
         staging.drop()
@@ -506,7 +593,7 @@ def merge_archives(
 
 
 def _merged(
-    spark: SparkSession, archives: Sequence[Archive], out: str | None, staging: Staging, specs: Mapping, *options
+    spark: SparkSession, archives: Sequence[Archive], out: str | None, versioned: bool, staging: Staging, specs: Mapping, *options
 ) -> MergeResult:
     merge = Merge(spark, archives, specs, staging, *options)
     merge.build_keys()
@@ -515,7 +602,7 @@ def _merged(
         maps = {t: m.df for t, m in merge.maps.items()}
         return MergeResult(tables, maps, merge.quarantine(), merge.ranked, merge.notes, staging)
 
-    with Publisher(spark, out) as publisher:
+    with Publisher(spark, out, versioned) as publisher:
         stored = merge.tables(publisher.write)
         rejected = merge.quarantine()
         side = {f"{REJECTED}/{t}": df for t, df in rejected.items()}
@@ -526,7 +613,7 @@ def _merged(
     staging.drop()
 
     def published(name: str, like: DataFrame) -> DataFrame:
-        return spark.read.schema(like.schema).parquet(f"{publisher.out}/{name}")
+        return spark.read.schema(like.schema).parquet(f"{publisher.home}/{name}")
 
     return MergeResult(
         {t: published(t, df) for t, df in stored.items()},

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from sediment.errors import InvalidSnapshot
 from sediment.functions.names import common
 from sediment.operators.lookup import BROADCAST_BYTES
-from sediment.sources import sqlite
+from sediment.sources import sqlite, versions
 from sediment.specs import SNAPSHOT
 from sediment.staging import filesystem
 
@@ -91,17 +91,21 @@ class FrameArchive:
 
 @dataclass
 class ParquetArchive:
-    """A folder with one Parquet folder per table."""
+    """A folder with one Parquet folder per table, or the newest version of one at the time it is first asked."""
 
     spark: SparkSession
     path: str
 
+    @cached_property
+    def root(self) -> str:
+        return versions.current(self.spark, self.path)
+
     def tables(self) -> list[str]:
         return self._tables
 
     @cached_property
     def _tables(self) -> list[str]:
-        fs, root = filesystem(self.spark, self.path)
+        fs, root = filesystem(self.spark, self.root)
         if not fs.exists(root):
             raise InvalidSnapshot(f"no such snapshot: {self.path}")
         names = (s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory())
@@ -113,21 +117,21 @@ class ParquetArchive:
 
     def schema(self, table: str) -> T.StructType:
         if table not in self._schemas:
-            self._schemas[table] = self.spark.read.parquet(f"{self.path}/{table}").schema
+            self._schemas[table] = self.spark.read.parquet(f"{self.root}/{table}").schema
         return self._schemas[table]
 
     def read(self, table: str, columns: Sequence[str] | None = None) -> DataFrame:
-        df = self.spark.read.schema(self.schema(table)).parquet(f"{self.path}/{table}")
+        df = self.spark.read.schema(self.schema(table)).parquet(f"{self.root}/{table}")
         return df if columns is None else df.select(*columns)
 
     @cached_property
     def _declared(self) -> dict[str, Constraints]:
         """What a merge or conversion wrote next to its tables; a folder from elsewhere declares nothing."""
-        fs, path = filesystem(self.spark, f"{self.path}/{CONSTRAINTS}")
+        fs, path = filesystem(self.spark, f"{self.root}/{CONSTRAINTS}")
         if not fs.exists(path):
             return {}
         # One row per table.
-        found = self.spark.read.schema(CONSTRAINT_ROWS).parquet(f"{self.path}/{CONSTRAINTS}").collect()
+        found = self.spark.read.schema(CONSTRAINT_ROWS).parquet(f"{self.root}/{CONSTRAINTS}").collect()
         return {r["table_name"]: Constraints.from_json(r["declared"]) for r in found}
 
     def constraints(self, table: str) -> Constraints:
@@ -135,7 +139,7 @@ class ParquetArchive:
 
     def folder_columns(self, table: str) -> tuple[str, ...]:
         """Columns whose values are folder names, from the first folder on each level."""
-        found, (fs, path) = [], filesystem(self.spark, f"{self.path}/{table}")
+        found, (fs, path) = [], filesystem(self.spark, f"{self.root}/{table}")
         while True:
             folders = [s.getPath() for s in fs.listStatus(path) if s.isDirectory() and "=" in s.getPath().getName()]
             if not folders:
@@ -235,14 +239,14 @@ def _one_scan(
     """
     folders = []
     for i, a in members:
-        fs, path = filesystem(spark, f"{a.path}/{table}")
+        fs, path = filesystem(spark, f"{a.root}/{table}")
         uri = fs.makeQualified(path).toUri().toString().rstrip("/")
         folders.append((i, re.sub(_SCHEME, r"\1:/", uri)))
     first = members[0][1]
     schema, held = first.schema(table), first.folder_columns(table)
     stored = T.StructType([f for f in schema.fields if f.name not in held])
     reader = spark.read.schema(stored).option("recursiveFileLookup", "true")
-    df = reader.parquet(*(f"{a.path}/{table}" for _, a in members))
+    df = reader.parquet(*(f"{a.root}/{table}" for _, a in members))
     file = F.col("_metadata.file_path")
     folder = F.regexp_replace(F.regexp_replace(file, "(/[^/=]+=[^/]*)*/[^/]*$", ""), _SCHEME, "$1:/")
     values = [_folder_value(file, schema[c]) if c in held else F.col(c) for c in columns]

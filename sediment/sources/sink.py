@@ -8,6 +8,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession
 
 from sediment.errors import UnsafeOutput
+from sediment.sources import versions
 from sediment.sources.archive import CONSTRAINT_ROWS, CONSTRAINTS, Constraints
 from sediment.staging import filesystem
 
@@ -27,12 +28,21 @@ def check_output(spark: SparkSession, out: str, inputs: Sequence[str]) -> None:
 
 
 class Publisher:
-    """Tables are written next to `out` and renamed into place once all are there."""
+    """Tables are written aside and published once all are there.
 
-    def __init__(self, spark: SparkSession, out: str):
+    A plain output is one folder, which replaces the earlier one by two renames. With `versioned`, or where `out` has versions
+    already, the tables stay where they were written and a pointer to them is added: readers see the earlier archive or this one.
+    """
+
+    def __init__(self, spark: SparkSession, out: str, versioned: bool = False):
         self.spark = spark
         self.out = out.rstrip("/")
-        self.pending = f"{self.out}.pending-{uuid4().hex}"
+        taken = versions.numbers(spark, self.out)
+        self.number = max(taken, default=0) + 1 if versioned or taken else None
+        name = uuid4().hex
+        self.pending = f"{self.out}.pending-{name}" if self.number is None else f"{self.out}/{versions.DATA}/{name}"
+        # Where the tables lie once published.
+        self.home = self.out if self.number is None else self.pending
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         """Writes a table and returns a scan of it, good until it is published."""
@@ -55,6 +65,13 @@ class Publisher:
             fs.delete(pending, True)
 
     def publish(self) -> None:
+        if self.number is None:
+            self._replace()
+        else:
+            versions.commit(self.spark, self.out, self.number, self.pending.rsplit("/", 1)[1])
+            versions.prune(self.spark, self.out)
+
+    def _replace(self) -> None:
         fs, target = filesystem(self.spark, self.out)
         _, pending = filesystem(self.spark, self.pending)
         if not fs.exists(target):

@@ -318,6 +318,57 @@ def converted_archive() -> str:
     return " union all ".join(row_text(t, source, columns) for t, (source, columns) in CONVERTED.items())
 
 
+def circle(tables: dict[str, tuple[str, str, str]], rounds: int) -> str:
+    """Rows of tables whose NOT NULL columns point at each other, by table: (wanted old id, its table, further column).
+
+    Round by round, rows go whose reference leads to no row of a group that is left, until no more can.
+    """
+    steps = []
+    for t in tables:
+        wanted, _, _ = tables[t]
+        key = KEYS[t]
+        group = (
+            f"case when {all_of('{} is null', key, ' or ')} then 'row ' || snapshot_id || ' ' || _id"
+            f" else {all_of('cast({} as varchar)', key, joiner=' || chr(31) || ')} end"
+        )
+        steps.append(f"g_{t} as materialized (select *, {group} as g, {wanted} as wanted from {source_of(t, tables)})")
+        steps.append(f"a_{t}_0 as materialized (select * from g_{t} where timestamp is not null)")
+    for k in range(rounds):
+        for t, (_, target, _) in tables.items():
+            steps.append(
+                f"a_{t}_{k + 1} as materialized (select a.* from a_{t}_{k} a join g_{target} t on t.snapshot_id = a.snapshot_id"
+                f" and t._id = a.wanted where t.g in (select g from a_{target}_{k}))"
+            )
+    for t in tables:
+        steps.append(
+            f"kept_{t} as materialized (select *, row_number() over (order by timestamp, merge_rank, _id) as new_id from (select *,"
+            f" row_number() over (partition by g order by merge_rank, timestamp, _id) as rn from a_{t}_{rounds}) as q where rn = 1)"
+        )
+    parts = [
+        f"select '{t}' as table_name, k.new_id as _id, k.key_id, k.from_me, k.timestamp, r.new_id as {shown} from kept_{t} k"
+        f" join g_{target} t on t.snapshot_id = k.snapshot_id and t._id = k.wanted join kept_{target} r on r.g = t.g"
+        for t, (_, target, shown) in tables.items()
+    ]
+    return f"(with {', '.join(steps)} {' union all '.join(parts)}) as q"
+
+
+def row_before(step: int) -> str:
+    return f"case when ((_id - 1) // 3) % {step} = 0 then _id else _id - 3 end"
+
+
+def source_of(table: str, circled) -> str:
+    """Rows with references rewritten but for those into the circle, of which the old ids are kept."""
+    references = {c: r for c, r in REFERENCES[table].items() if r[0] not in circled}
+    joins = " ".join(
+        f"left join m_{target} x{n} on x{n}.snapshot_id = d.snapshot_id and x{n}.old_id = d.{c}"
+        for n, (c, (target, _)) in enumerate(references.items())
+    )
+    new = ", ".join(
+        f"{f'coalesce(x{n}.new_id, 0)' if zero else f'x{n}.new_id'} as {c}" for n, (c, (_, zero)) in enumerate(references.items())
+    )
+    return f"(select d.* replace ({new}), k.merge_rank from d_{table} d join ranks k on k.snapshot_id = d.snapshot_id {joins}) as source"
+
+
 def with_child(parent: str, column: str, survivors: str) -> str:
     """Rows of a main table of which only `survivors` stay, and the references to it of another table."""
     key, referable = KEYS[parent], all_of("{} is not null", MAP_KEYS[parent])
@@ -441,6 +492,16 @@ def oracle_sql() -> dict[str, str]:
             " (partition by message_row_id order by merge_rank, _id) as rn from r_message_vcard) as q"
             " where rn = 1 or message_row_id is null",
         ),
+        "reject_not_null_self": "select * exclude (table_name) from "
+        + circle({"message": (row_before(6), "message", "quoted_message_row_id")}, 7),
+        "reject_not_null_circle": "select * from "
+        + circle(
+            {
+                "message": (row_before(4), "message_add_on", "reference"),
+                "message_add_on": ("parent_message_row_id", "message", "reference"),
+            },
+            10,
+        ),
         "reject_not_null_children": with_child(
             "message_add_on", "message_add_on_row_id",
             "select *, row_number() over (order by timestamp, merge_rank, _id) as new_id from (select *, row_number() over"

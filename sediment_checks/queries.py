@@ -209,6 +209,41 @@ def reject_not_null_main(spark: SparkSession, folder: str) -> DataFrame:
     return merge.main_table("message_add_on")
 
 
+def in_circle(spark: SparkSession, folder: str, further: dict[str, tuple[str, str]], **not_null: str) -> Merge:
+    """A merge whose tables have further columns (name and SQL text) and NOT NULL columns that point in a circle."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    archives = []
+    for path, of in zip(PATHS, snapshot_frames(Given(spark, folder), ["jid", "chat", "message", *not_null])):
+        changed = {t: of[t].withColumn(column, F.expr(text)) for t, (column, text) in further.items()}
+        archives.append(FrameArchive(path, {**of, **changed}))
+    specs = default_specs()
+    specs.update({t: replace(specs[t], not_null=(column,)) for t, column in not_null.items()})
+    merge = Merge(spark, archives, specs, Staging(spark))
+    merge.build_keys()
+    return merge
+
+
+def before(step: int) -> str:
+    """The id of the row before, but at every `step`-th row its own."""
+    return f"case when ((_id - 1) div 3) % {step} = 0 then _id else _id - 3 end"
+
+
+def reject_not_null_self(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages that must quote one, in chains of up to six; the first of a chain quotes itself."""
+    column = "quoted_message_row_id"
+    merge = in_circle(spark, folder, {"message": (column, before(6))}, message=column)
+    return merge.main_table("message").select(ID, "key_id", "from_me", TIME, column)
+
+
+def reject_not_null_circle(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages that must have an add-on, and add-ons that must have a message."""
+    columns = {"message": "first_message_add_on_row_id", "message_add_on": "parent_message_row_id"}
+    merge = in_circle(spark, folder, {"message": (columns["message"], before(4))}, **columns)
+    shown = (ID, "key_id", "from_me", TIME)
+    parts = (merge.main_table(t).select(F.lit(t).alias("table_name"), *shown, F.col(c).alias("reference")) for t, c in columns.items())
+    return reduce(DataFrame.unionByName, parts)
+
+
 def minor_table_own_ids(spark: SparkSession, folder: str) -> DataFrame:
     """A table whose ids are data, with its references looked up by broadcasts and by one shuffle."""
     parts = []
@@ -523,6 +558,8 @@ def queries() -> dict[str, Query]:
         "tables_emptied": tables_emptied,
         "reject_not_null_main": reject_not_null_main,
         "reject_not_null_children": reject_not_null_children,
+        "reject_not_null_self": reject_not_null_self,
+        "reject_not_null_circle": reject_not_null_circle,
         "unique_on_mapped_column": unique_on_mapped_column,
         "minor_table_own_ids": minor_table_own_ids,
         "minor_declared_key": minor_declared_key,

@@ -1,6 +1,8 @@
 """Keys, NOT NULL columns, defaults and ids: what a store declares holds in what is written."""
 
 import sqlite3
+from dataclasses import replace
+from random import Random
 
 import pytest
 from conftest import rows
@@ -64,6 +66,109 @@ def test_keys_in_a_circle_stop_the_merge(spark, frame):
         merge_archives(spark, [archive], specs=specs)
 
 
+CIRCLE_MESSAGE = "_id long, chat_row_id long, from_me int, key_id string, sender_jid_row_id long, timestamp long, quoted_message_row_id long, first_message_add_on_row_id long, message_type int, text_data string"
+
+
+def plain_circle(snapshots, not_null):
+    """(table, key) to the (rank, id) of the row that stands for it, rows refused one after another until none is."""
+    alive = {(t, rank, r[0]): r for rank, tables in enumerate(snapshots) for t, rows in tables.items() for r in rows}
+    keys = {row: (row[0], r[3]) for row, r in alive.items()}
+    places = {"message": {"quoted_message_row_id": ("message", 6), "first_message_add_on_row_id": ("message_add_on", 7)},
+              "message_add_on": {"parent_message_row_id": ("message", 6)}}
+    while True:
+        mapped = {keys[row] for row in alive}
+        bad = [
+            row for row, r in alive.items()
+            if any(keys.get((to, row[1], r[i])) not in mapped for to, i in (places[row[0]][c] for c in not_null[row[0]]))
+        ]
+        if not bad:
+            break
+        for row in bad:
+            del alive[row]
+    kept = {}
+    for row in sorted(alive, key=lambda row: (row[1], alive[row][5], row[2])):
+        kept.setdefault(keys[row], row[1:])
+    return kept
+
+
+@pytest.mark.parametrize("limit", [32 << 20, 0])
+@pytest.mark.parametrize(
+    "not_null",
+    [
+        {"message": ("quoted_message_row_id",), "message_add_on": ()},
+        {"message": ("first_message_add_on_row_id",), "message_add_on": ("parent_message_row_id",)},
+        {"message": ("quoted_message_row_id", "first_message_add_on_row_id"), "message_add_on": ("parent_message_row_id",)},
+    ],
+)
+def test_not_null_columns_in_a_circle(spark, frame, not_null, limit):
+    random = Random(7)
+    snapshots, archives = [], []
+    for rank in range(3):
+        ids = list(range(1 + 1000 * rank, 61 + 1000 * rank))
+        random.shuffle(ids)
+        # Few keys are new to a snapshot, so most groups have several rows, and a chain of references runs through them.
+        own = dict(enumerate(ids))
+        near = lambda i: own.get(max(i - random.choice((0, 1, 1, 1)), 0)) if random.random() < 0.6 else 9999  # noqa: E731, B023
+        messages = [(own[i], 1, 0, f"k{i}", 1, 500 - rank, near(i), near(i), 0, "t") for i in range(60) if random.random() < 0.95]
+        add_ons = [(own[i], 1, 0, f"a{i}", 1, 400, near(i)) for i in range(60) if random.random() < 0.95]
+        snapshots.append({"message": messages, "message_add_on": add_ons})
+        archives.append(
+            FrameArchive(
+                f"s{rank}",
+                {
+                    "jid": frame("_id long, raw_string string", (1, "j")),
+                    "chat": frame("_id long, jid_row_id long", (1, 1)),
+                    "message": frame(CIRCLE_MESSAGE, *messages),
+                    "message_add_on": frame(ADD_ON, *add_ons),
+                },
+                {t: Constraints(not_null=c) for t, c in not_null.items()},
+            )
+        )
+    want = plain_circle(snapshots, not_null)
+    result = merge_archives(spark, archives, broadcast_bytes=limit)
+    for t in ("message", "message_add_on"):
+        kept = {r["key_id"]: r for r in result.tables[t].collect()}
+        assert set(kept) == {k for of, k in want if of == t} and kept
+        assert not any(kept[k][c] is None for k in kept for c in not_null[t])
+        # Each key's row is the newest snapshot's of those that stay, and every copy leads to it.
+        maps = {(r["snapshot_id"], r["old_id"]): r["new_id"] for r in result.maps[t].collect()}
+        assert all(maps[want[t, k]] == r["_id"] for k, r in kept.items())
+        stay = {k for of, k in want if of == t}
+        assert maps == {
+            (rank, r[0]): kept[r[3]]["_id"] for rank, tables in enumerate(snapshots) for r in tables[t] if r[3] in stay
+        }
+        if t in result.quarantine:
+            refused = result.quarantine[t].collect()
+            assert len({(r["snapshot_id"], r["old_id"]) for r in refused}) == len(refused)
+            assert not {(r["snapshot_id"], r["old_id"]) for r in refused} & {want[t, k] for k in stay}
+            assert refused and all(any(r[c] is None for c in not_null[t]) for r in refused)
+    assert len(want) < len({(t, r[3]) for tables in snapshots for t, rows in tables.items() for r in rows})
+    result.discard()
+
+
+def test_a_long_chain_of_refused_rows(spark, frame):
+    """Rows that only hold each other up stay; a chain that ends nowhere goes whole."""
+    chain = [(i, 1, 0, f"k{i}", 1, 5, i + 1, None, 0, "t") for i in range(1, 13)] + [(50, 1, 0, "x", 1, 5, 51, None, 0, "t"), (51, 1, 0, "y", 1, 5, 50, None, 0, "t")]
+    archive = FrameArchive(
+        "one",
+        {
+            "jid": frame("_id long, raw_string string", (1, "j")),
+            "chat": frame("_id long, jid_row_id long", (1, 1)),
+            "message": frame(CIRCLE_MESSAGE, *chain),
+        },
+        {"message": Constraints(not_null=("quoted_message_row_id",))},
+    )
+    result = merge_archives(spark, [archive])
+    assert rows(result.tables["message"], "key_id", "_id", "quoted_message_row_id") == [("x", 1, 2), ("y", 2, 1)]
+    assert rows(result.quarantine["message"], "old_id") == [(i,) for i in range(1, 13)]
+    result.discard()
+    with pytest.raises(InvalidSnapshot, match="message"):
+        merge_archives(spark, [archive], map_mode="rank_zip")
+    two_keys = {**default_specs(), "message": replace(default_specs()["message"], unique=(("key_id",),))}
+    with pytest.raises(InvalidSnapshot, match="several keys in message"):
+        merge_archives(spark, [archive], specs=two_keys)
+
+
 def test_a_written_archive_keeps_its_keys(spark, tmp_path):
     paths = []
     for name, time in (("a", 100), ("b", 200)):

@@ -6,9 +6,9 @@ from conftest import rows
 
 from sediment import merge_archives
 from sediment.__main__ import main
-from sediment.errors import InvalidSnapshot, UnsafeOutput
+from sediment.errors import ChangedOutput, InvalidSnapshot, UnsafeOutput
 from sediment.operators.align import align
-from sediment.sources import sqlite
+from sediment.sources import sqlite, versions
 from sediment.sources.archive import ParquetArchive, SqliteArchive, open_archive, read_union
 from sediment.sources.sink import Publisher, check_output
 from sediment.staging import Staging, checkpoint_root, discarding
@@ -189,6 +189,87 @@ def test_publishing_replaces_the_whole_folder(spark, tmp_path, frame):
     assert [p.name for p in tmp_path.iterdir()] == ["out"]
 
 
+def publish(spark, frame, out, n, tables=("a", "b")):
+    with Publisher(spark, out, versioned=True) as publisher:
+        for t in tables:
+            publisher.write(t, frame("x int", (n,)))
+        publisher.publish()
+    return publisher
+
+
+def test_a_reader_always_sees_one_whole_version(spark, tmp_path, frame):
+    from threading import Event, Thread
+
+    out, done, seen, errors = str(tmp_path / "out"), Event(), [], []
+    publish(spark, frame, out, 0)
+
+    def read():
+        while not done.is_set():
+            try:
+                archive = ParquetArchive(spark, out)
+                seen.append([archive.tables(), *(archive.read(t).first()[0] for t in ("a", "b"))])
+            except Exception as error:
+                errors.append(error)
+
+    reader = Thread(target=read)
+    reader.start()
+    for n in range(1, 6):
+        publish(spark, frame, out, n)
+    done.set()
+    reader.join()
+    # A reader that takes longer than two runs finds its files gone, which it is told.
+    assert not errors and len(seen) > 1
+    assert all(tables == ["a", "b"] and a == b for tables, a, b in seen)
+    assert [a for _, a, _ in seen] == sorted(a for _, a, _ in seen)
+    # The newest version and the one before it stay.
+    assert versions.numbers(spark, out) == [5, 6] and len(list((tmp_path / "out" / "_data").iterdir())) == 2
+
+
+def test_what_happens_to_a_version_that_is_not_finished(spark, tmp_path, frame):
+    out = str(tmp_path / "out")
+    first = publish(spark, frame, out, 1)
+    # A run that fails leaves the earlier one, and a pointer whose name is not whole counts for none.
+    with pytest.raises(ZeroDivisionError), Publisher(spark, out) as publisher:
+        publisher.write("a", frame("x int", (2,)))
+        1 / 0
+    assert not Path(publisher.pending).exists()
+    for text in ("", first.pending.rsplit("/", 1)[1]):
+        (tmp_path / "out" / "_versions" / f"{7:012d}").write_text(text)
+        assert rows(ParquetArchive(spark, out).read("a")) == [(1,)]
+    # The next number is taken; of two runs that began alike the second one stops.
+    one, two = Publisher(spark, out), Publisher(spark, out)
+    one.write("a", frame("x int", (3,)))
+    two.write("a", frame("x int", (4,)))
+    one.publish()
+    assert one.number == two.number == 8
+    with pytest.raises(ChangedOutput):
+        two.publish()
+    assert ParquetArchive(spark, out).tables() == ["a"] and rows(ParquetArchive(spark, out).read("a")) == [(3,)]
+
+
+def test_a_plain_folder_becomes_a_versioned_one(spark, tmp_path, frame):
+    out = str(tmp_path / "out")
+    publisher = Publisher(spark, out)
+    publisher.write("old", frame("x int", (1,)))
+    publisher.publish()
+    assert ParquetArchive(spark, out).tables() == ["old"]
+    publish(spark, frame, out, 2)
+    assert ParquetArchive(spark, out).tables() == ["a", "b"]
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == ["_data", "_versions"]
+
+
+def test_merging_onto_a_versioned_archive(spark, tmp_path):
+    new, newer = make_file(tmp_path / "new.db", 100, 900), make_file(tmp_path / "newer.db", 300, 950)
+    out, again = str(tmp_path / "out"), str(tmp_path / "again")
+    main(["merge", out, new, "--versioned"])
+    assert open_archive(spark, out).constraints("jid").sure_ids
+    result = merge_archives(spark, [out, newer], again, versioned=True)
+    plain = merge_archives(spark, [out, newer])
+    for t in plain.tables:
+        assert rows(result.tables[t]) == rows(plain.tables[t]) == rows(open_archive(spark, again).read(t)), t
+    plain.discard()
+
+
 def test_folders_made_in_a_block_are_dropped_after_it(spark, tmp_path, frame):
     outer = Staging(spark, str(tmp_path))
     with discarding():
