@@ -304,16 +304,17 @@ def _matched(pairs: DataFrame, held: DataFrame, similar: tuple[int, int]) -> Dat
 def matching_lines(rows: DataFrame, lines: DataFrame, firsts: DataFrame, staging: Staging, similar: tuple[int, int]) -> DataFrame:
     """`k1`, `k2` of the lines with a similar earlier one.
 
-    First each line meets one line of each of its tokens, the same for all, as many pairs as rows. That settles nearly all of a
-    group of near copies; only lines it leaves open are joined with all that share a token. Candidates go by `k1`; where
+    First each line meets one line of each of its tokens, the same for all, as many pairs as rows: that of the lowest id, as only the
+    later of two lines goes. That settles nearly all of a group of near copies; only lines it leaves open are joined with all that share a token. Candidates go by `k1`; where
     two lines share one, both are looked at. Each pass deals the tokens once: both sides of its join read the same exchange.
     """
     c = F.col
     sent = lines.where(F.size("prefix") > 0)
     fold = reduce(Column.bitwiseXOR, map(c, BITS)).alias("fold")
-    tokens = sent.select("k1", "n", fold, F.posexplode("prefix").alias("i", "token"))
+    tokens = sent.select("k1", "n", fold, "doc_id", F.posexplode("prefix").alias("i", "token"))
     dealt = tokens.repartition("token")
-    hub = dealt.groupBy(c("token").alias("token_h")).agg(F.min(F.struct("k1", "n", "i", "fold")).alias("h"))
+    earliest = F.struct(c("doc_id").isNull(), "doc_id", "k1", "n", "i", "fold")
+    hub = dealt.groupBy(c("token").alias("token_h")).agg(F.min(earliest).alias("h"))
     hub = hub.select("token_h", *(c(f"h.{x}").alias(f"{x}_h") for x in ("k1", "n", "i", "fold")))
     met = dealt.join(hub, (c("token") == c("token_h")) & (c("k1") != c("k1_h")) & may_match("", "_h", similar))
     hubs = staging.write("hubs", _unordered(met, "k1", "k1_h"))
