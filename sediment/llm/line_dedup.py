@@ -34,9 +34,10 @@ REMEMBERED = 1 << 19
 LONG, SEED = 256, 0x5ED1
 TOKEN_BITS = 40
 
-# 64-bit words of a line's parity bitmap. Tokens are dealt with all of them folded into one.
+# 64-bit words of a line's parity bitmap. Tokens are dealt with all of them folded into one, and where lines have more words than WIDE, into two.
 BITMAP = 4
 BITS = tuple(f"p{i}" for i in range(BITMAP))
+WIDE = 80
 
 
 # Fixed odd base of the words' hashes; white space but line ends as spaces; bytes that are neither.
@@ -239,11 +240,23 @@ def may_match(a: str, b: str, similar: tuple[int, int]) -> Column:
 
 def few_apart(a: str, b: str, bits: tuple[str, ...], similar: tuple[int, int]) -> Column:
     """Whether bitmaps let two lines be similar: of both lines' tokens, so many are in one of them only."""
+    return _few(sum(F.bit_count(F.col(f"{p}{a}").bitwiseXOR(F.col(f"{p}{b}"))) for p in bits), a, b, similar)
+
+
+def _few(apart: Column, a: str, b: str, similar: tuple[int, int]) -> Column:
     num, den = similar
-    apart = sum(F.bit_count(F.col(f"{p}{a}").bitwiseXOR(F.col(f"{p}{b}"))) for p in bits)
     return apart * (num + den) <= (F.abs(F.col(f"n{a}")) + F.abs(F.col(f"n{b}"))) * (den - num)
 
 
+def halves_few_apart(a: str, b: str, similar: tuple[int, int]) -> Column:
+    """`few_apart` by both halves of the bitmaps, each folded into a word. Nearly all long lines pass with one word, so their pairs would grow with
+    the square of their number; a line of few words has no half of its own and passes."""
+    short = F.least(F.abs(F.col(f"n{a}")), F.abs(F.col(f"n{b}"))) <= WIDE
+    one = F.col(f"half{a}").bitwiseXOR(F.col(f"half{b}"))
+    other = F.col(f"fold{a}").bitwiseXOR(F.col(f"fold{b}")).bitwiseXOR(one)
+    return short | _few(F.bit_count(one) + F.bit_count(other), a, b, similar)
+
+
 def _ended(df: DataFrame, end: str) -> DataFrame:
     return df.select(*(F.col(c).alias(f"{c}{end}") for c in df.columns))
 
@@ -311,8 +324,9 @@ def matching_lines(rows: DataFrame, lines: DataFrame, firsts: DataFrame, staging
     c = F.col
     sent = lines.where(F.size("prefix") > 0)
     fold = reduce(Column.bitwiseXOR, map(c, BITS)).alias("fold")
-    tokens = sent.select("k1", "n", fold, "doc_id", F.posexplode("prefix").alias("i", "token"))
-    dealt = tokens.repartition("token")
+    half = F.when(c("n") > WIDE, reduce(Column.bitwiseXOR, map(c, BITS[: BITMAP // 2]))).otherwise(0).alias("half")
+    tokens = sent.select("k1", "n", fold, half, "doc_id", F.posexplode("prefix").alias("i", "token"))
+    dealt = tokens.drop("half").repartition("token")
     earliest = F.struct(c("doc_id").isNull(), "doc_id", "k1", "n", "i", "fold")
     hub = dealt.groupBy(c("token").alias("token_h")).agg(F.min(earliest).alias("h"))
     hub = hub.select("token_h", *(c(f"h.{x}").alias(f"{x}_h") for x in ("k1", "n", "i", "fold")))
@@ -323,13 +337,14 @@ def matching_lines(rows: DataFrame, lines: DataFrame, firsts: DataFrame, staging
     shared = firsts.groupBy("k1").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("k1")
     done = staging.write("done", settled.select("k1").distinct().join(shared, "k1", "left_anti"))
     flagged = tokens.join(fitting(done).withColumn("done", F.lit(True)), "k1", "left")
-    flagged = flagged.select("token", "k1", F.when(c("done"), -c("n")).otherwise(c("n")).alias("n"), "i", "fold")
+    flagged = flagged.select("token", "k1", F.when(c("done"), -c("n")).otherwise(c("n")).alias("n"), "i", "fold", "half")
     # Said once here, Spark does not put it on one side only.
     flagged = flagged.where(" and ".join(f"{x} is not null" for x in flagged.columns)).repartition("token")
     # A filter that hangs on a row's number, which is never below 0, is not moved ahead of the exchange, so that the two sides stay one.
     open_lines = flagged.where(F.when(F.monotonically_increasing_id() >= 0, c("n") > 0))
     # Of two open lines one order is enough.
-    on = (c("token") == c("token_o")) & (c("k1") != c("k1_o")) & ((c("n_o") < 0) | (c("k1") < c("k1_o"))) & may_match("", "_o", similar)
+    on = (c("token") == c("token_o")) & (c("k1") != c("k1_o")) & ((c("n_o") < 0) | (c("k1") < c("k1_o")))
+    on = on & may_match("", "_o", similar) & halves_few_apart("", "_o", similar)
     rest = _unordered(open_lines.join(_ended(flagged, "_o"), on), "k1", "k1_o")
     rest = staging.write("rest", rest.join(fitting(hubs), ["k1_a", "k1_b"], "left_anti"))
     rest = _likely(rest, sent, staging, similar)

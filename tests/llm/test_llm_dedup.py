@@ -203,3 +203,28 @@ def test_mixing_of_nothing(spark, frame):
     df = frame("doc_id long, text string, source string", (1, "", "a"), (2, None, None))
     assert sorted(tuple(r) for r in mixing.mix(df).collect()) == [(1, 0, 0, 0.0, 0), (2, 0, 0, 0.0, 0)]
     assert mixing.mix(df.limit(0)).count() == 0
+
+
+def test_long_lines_that_are_similar_pass_both_halves_of_their_bitmaps(spark):
+    """Lines around WIDE words and far beyond, with as many words changed as the threshold allows and more: none that is similar is lost."""
+    r = random.Random(8)
+    lines = []
+    for n in (60, 79, 80, 81, 90, 100, 101, 150, 400, 1500):
+        base = [f"w{r.randrange(10**9)}" for _ in range(n)]
+        lines.append(base)
+        for changed in (n // 9 - 1, n // 9, n // 9 + 1, n // 4):
+            copy = list(base)
+            for i in r.sample(range(n), changed):
+                copy[i] = f"x{r.randrange(10**9)}"
+            lines.append(copy)
+        lines.append(base[: -(n // 5)])
+        lines.append([*base[: n // 2], *(f"y{r.randrange(10**9)}" for _ in range(n // 2))])
+    order = list(range(len(lines)))
+    r.shuffle(order)
+    lines = [lines[i] for i in order]
+    df = spark.createDataFrame([(i, " ".join(line)) for i, line in enumerate(lines)], "doc_id long, text string")
+    sets = [set(line) for line in lines]
+    want = {i for i, s in enumerate(sets) if any(5 * len(s & t) >= 4 * len(s | t) for t in sets[:i])}
+    assert 15 < len(want) < len(lines) - 15
+    got = line_dedup.dedup_lines(df).where("n_removed > 0").select("row.doc_id").collect()
+    assert {x.doc_id for x in got} == want
