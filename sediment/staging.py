@@ -8,11 +8,14 @@ import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from threading import Lock
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Makes Spark drop what a query shuffled when the query ends, instead of when the driver happens to collect garbage.
+DROP_SHUFFLED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -59,6 +62,33 @@ def discarding() -> Iterator[None]:
             staging.drop()
 
 
+# Writes under way, and what the session had for DROP_SHUFFLED before the first of them, by session.
+_WRITES: dict[str, tuple[int, str | None]] = {}
+_LOCK = Lock()
+
+
+@contextmanager
+def dropping_shuffled(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of queries within go when these end. A table that is written is read from its files, so only a query that is still running needs them;
+    the session's own setting comes back when no thread is within."""
+    session = spark._jsparkSession.sessionUUID()
+    with _LOCK:
+        n, before = _WRITES.get(session) or (0, spark.conf.get(DROP_SHUFFLED, None))
+        spark.conf.set(DROP_SHUFFLED, "true")
+        _WRITES[session] = n + 1, before
+    try:
+        yield
+    finally:
+        with _LOCK:
+            n, before = _WRITES.pop(session)
+            if n > 1:
+                _WRITES[session] = n - 1, before
+            elif before is None:
+                spark.conf.unset(DROP_SHUFFLED)
+            else:
+                spark.conf.set(DROP_SHUFFLED, before)
+
+
 class Staging:
     """One run's folder. Each table is written once and read back as a plain scan."""
 
@@ -70,7 +100,8 @@ class Staging:
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         path = f"{self.root}/{name}"
-        df.write.mode("error").parquet(path)
+        with dropping_shuffled(self.spark):
+            df.write.mode("error").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self) -> None:

@@ -3,6 +3,7 @@ from pathlib import Path
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from sediment import merge_archives
 from sediment.__main__ import main
@@ -11,7 +12,7 @@ from sediment.operators.align import align
 from sediment.sources import sqlite, versions
 from sediment.sources.archive import ParquetArchive, SqliteArchive, open_archive, read_union
 from sediment.sources.sink import Publisher, check_output
-from sediment.staging import Staging, checkpoint_root, discarding
+from sediment.staging import DROP_SHUFFLED, Staging, checkpoint_root, discarding, dropping_shuffled
 
 SCRIPT = """
 create table jid (_id integer primary key, raw_string text not null);
@@ -355,3 +356,20 @@ def test_ranges_of_sparse_ids_have_like_sizes(tmp_path):
     sizes = [sum(p.low <= i <= p.high for i in ids) for p in parts]
     assert sum(sizes) == n and min(sizes) > 0 and len(parts) >= 8 and max(sizes) <= 1000
     assert all(a.high < b.low for a, b in zip(parts, parts[1:]))
+
+
+def test_what_a_written_table_shuffled_is_dropped_and_the_setting_comes_back(spark, tmp_path):
+    before = spark.conf.get(DROP_SHUFFLED)
+    with dropping_shuffled(spark):
+        with dropping_shuffled(spark):
+            assert spark.conf.get(DROP_SHUFFLED) == "true"
+        # Another thread's write still runs.
+        assert spark.conf.get(DROP_SHUFFLED) == "true"
+    assert spark.conf.get(DROP_SHUFFLED) == before
+    with pytest.raises(ZeroDivisionError), dropping_shuffled(spark):
+        1 / 0
+    assert spark.conf.get(DROP_SHUFFLED) == before
+    # A frame that was written can still be read again, though its shuffle files are gone.
+    counted = spark.range(1000).repartition(5).groupBy((F.col("id") % 7).alias("k")).count()
+    made = Staging(spark, str(tmp_path))
+    assert sorted(made.write("a", counted).collect()) == sorted(made.write("b", counted).collect()) == sorted(counted.collect())
