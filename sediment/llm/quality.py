@@ -14,7 +14,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sediment.llm.words import SPACES, split_words, whole
+from sediment.llm.words import SPACES, split_words, text_key, whole
 from sediment.operators.lookup import Sized, lookup
 from sediment.staging import Staging
 
@@ -155,3 +155,20 @@ def judge(
         by_rule.alias("rule_failed"),
         (~base & F.col("host_failed").isNull() & ~by_rule).alias("kept"),
     )
+
+
+def kept_rows(docs: DataFrame, doc: str = "doc_id", text: str = "text", host: str = "source", params: QualityParams = QualityParams()) -> DataFrame:
+    """The given rows that `judge` keeps.
+
+    Only verdicts are written, not texts: rejected rows go by id, key of the text and host, on which a verdict hangs, so
+    repeated rows go or stay together. Nulls in any of these are values like others, an empty table gives none, and other columns may have any name.
+    Texts are shuffled only if the rejected rows are too many to broadcast.
+    """
+    t, h = F.col(f"`{text}`").cast("string"), F.col(f"`{host}`").cast("string")
+    named = docs.select(F.col(f"`{doc}`").alias("_d"), text_key(t).alias("_k"), h.alias("_h"), t.alias("_t"))
+    rejected = judge(named, "_t", "_h", params, drop_text=True).where("not kept").select("doc._d", "doc._k", "doc._h").distinct()
+    sized = Sized.of(Staging(docs.sparkSession).write("rejected", rejected))
+    given = docs.select(F.struct("*").alias("row"))
+    of = {k: F.col(f"row.`{c}`") for k, c in (("d", doc), ("t", text), ("h", host))}
+    same = of["d"].eqNullSafe(F.col("_d")) & (text_key(of["t"].cast("string")) == F.col("_k")) & of["h"].cast("string").eqNullSafe(F.col("_h"))
+    return given.join(F.broadcast(sized.df) if sized.fits() else sized.df, same, "left_anti").select("row.*")

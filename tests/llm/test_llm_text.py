@@ -231,3 +231,20 @@ def test_a_very_long_text_and_word(spark, frame):
     vocabulary = token_counts.Vocabulary((("▁", -1.0), ("▁aé", -1.0), ("bb", -1.0), ("b", -1.0)))
     assert {r.doc_id: r.n_tokens for r in token_counts.count_tokens(df, vocabulary).collect()} == {1: 200_001, 2: 150_001}
 
+
+
+@pytest.mark.parametrize("limit", [0, 32 << 20])
+def test_rows_that_pass_the_quality_rules_are_those_judged_so(spark, frame, monkeypatch, limit):
+    """Null ids, texts and hosts, repeated rows, one id with a good and a bad text, one text under several hosts, clashing columns."""
+    monkeypatch.setattr("sediment.operators.lookup.BROADCAST_BYTES", limit)
+    good, bad = " ".join(f"word{i}" for i in range(80)), "too short"
+    texts = [good, bad, None, "", good + " more", "### " * 90 + good]
+    rows = [(i, t, h) for i in (None, 1, 2) for t in texts for h in (None, "a", "b")]
+    rows += rows[:7]
+    df = frame("doc_id long, text string, source string, _d int, _k string, row int, kept boolean", *((*x, n, "k", n, False) for n, x in enumerate(rows)))
+    want = {r.doc._d for r in quality.judge(df).where("kept").collect()}
+    got = quality.kept_rows(df)
+    assert got.columns == df.columns
+    found = [r._d for r in got.collect()]
+    assert sorted(found) == sorted(want) and 10 < len(want) < len(rows) - 10
+    assert quality.kept_rows(df.limit(0)).count() == 0
