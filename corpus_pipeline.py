@@ -18,7 +18,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass by themselves and by their host; the others go."""
-    return quality.judge(docs).where("kept").select("doc.*")
+    return quality.kept_rows(docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
