@@ -8,6 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from compare import normalized
 from sediment_checks import queries as registered
+from sediment_checks.derived import Given, snapshot_frames
 
 FOLDER = "/root/testdata/sf0.001"
 # The rest of the registered queries is compared by compare.py; these cover all operators between them.
@@ -41,6 +42,14 @@ def test_query_equals_sql(spark, duck, name):
     assert got.equals(want)
 
 
+def test_lines_are_numbered_once_for_all_snapshots(spark):
+    given = Given(spark, FOLDER)
+    for of in snapshot_frames(given, ["message_vcard", "message_link"]):
+        for df in of.values():
+            assert "Window" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert given["numbered_lines"].count() == given["lineitem"].count()
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["chat_id", "raw_string", "last_id", "latest", "n_messages"]
