@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
+from sediment.llm.batches import small_batches
 from sediment.llm.words import SPACES, lower_ascii, split_words, text_key
 from sediment.operators.lookup import Sized
 from sediment.staging import Staging
@@ -356,8 +357,9 @@ def removed_lines(docs: DataFrame, staging: Staging, doc: str = "doc_id", text:
     """`doc_id`, `text_key`, `gone` (line numbers from 0): what `dedup_lines` takes out."""
     t = F.col(text).cast("string")
     rows = docs.select(F.col(doc).alias("doc_id"), text_key(t).alias("text_key"), t.alias("text"))
-    counters = sketch(rows.select("text"))
-    lines = staging.write("lines", line_rows(rows, counters, similar))
+    with small_batches(docs.sparkSession):
+        counters = sketch(rows.select("text"))
+        lines = staging.write("lines", line_rows(rows, counters, similar))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "no")
     firsts = staging.write("firsts", lines.groupBy("k1", "k2").agg(F.min(place).alias("first")))
     bad = matching_lines(rows, lines, firsts, staging, similar)

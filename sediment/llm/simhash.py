@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sediment.llm.batches import small_batches
 from sediment.llm.components import connected_components
 from sediment.llm.words import text_key
 from sediment.operators.lookup import Sized, lookup
@@ -171,7 +172,8 @@ def labelled(
     staging = Staging(docs.sparkSession)
     t = F.col(text).cast("string")
     rows = docs.select(F.col(doc).alias("doc_id"), text_key(t).alias("text_key"), t.alias("text"))
-    rows = staging.write("prints", with_fingerprints(rows, shingle))
+    with small_batches(docs.sparkSession):
+        rows = staging.write("prints", with_fingerprints(rows, shingle))
     prints = staging.write("distinct", rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     of_print = prints.join(linked(prints, staging, max_bits), "fp")
     # Written, so that the joins with it can split a large component.

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sediment.llm import components, line_dedup, mixing, simhash
+from sediment.llm.batches import BATCH_SIZE
 from sediment.staging import Staging
 
 
@@ -228,3 +229,26 @@ def test_long_lines_that_are_similar_pass_both_halves_of_their_bitmaps(spark):
     assert 15 < len(want) < len(lines) - 15
     got = line_dedup.dedup_lines(df).where("n_removed > 0").select("row.doc_id").collect()
     assert {x.doc_id for x in got} == want
+
+
+@pytest.mark.parametrize("given, within", [("10000", 500), ("0", 500), ("7", 7)])
+def test_whole_texts_go_to_workers_in_small_batches(spark, staging, monkeypatch, given, within):
+    before, seen, sketch = spark.conf.get(BATCH_SIZE), [], line_dedup.sketch
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.from_arrays([[batch.num_rows]], names=["n"])
+
+    def spied(texts):
+        seen.append(max(r.n for r in texts.mapInArrow(sizes, "n long").collect()))
+        return sketch(texts)
+
+    monkeypatch.setattr(line_dedup, "sketch", spied)
+    docs = spark.range(0, 1200, 1, 1).select(F.col("id").alias("doc_id"), F.concat(F.lit("line "), F.col("id") % 900).alias("text"))
+    spark.conf.set(BATCH_SIZE, given)
+    try:
+        gone = line_dedup.removed_lines(docs, staging)
+        assert gone.count() == 300 and seen == [within]
+        assert spark.conf.get(BATCH_SIZE) == given
+    finally:
+        spark.conf.set(BATCH_SIZE, before)
