@@ -128,6 +128,17 @@ def test_dedupe_limits_each_key_before_the_shuffle(spark):
     assert text.index("Final") < text.index("Exchange") < text.index("Partial")
 
 
+def test_a_key_travels_twice_only_if_it_is_compared_as_another_type(frame):
+    df = frame(f"{UNION}, k string, j int", (0, 0, 1, "a", 1), (1, 1, 1, "a", 1), (1, 1, 2, None, 1), (0, 0, 2, "A", 1))
+    for row_id in (None, ("snapshot_id", "old_id")):
+        order = [F.col("merge_rank"), F.col("old_id")]
+        plain = keyed_distinct(df, ["k", "j"], order, row_id)
+        cast = keyed_distinct(df, ["k", "j"], order, row_id, {"k": "binary", "other": "binary"})
+        assert "_p" not in plan(plain) and "_p0" in plan(cast) and "_p1" not in plan(cast)
+        assert rows(plain) == rows(cast) == [(0, 0, 1, "a", 1), (0, 0, 2, "A", 1), (1, 1, 2, None, 1)]
+        assert plain.columns == cast.columns == df.columns
+
+
 def test_null_group_is_one_group_for_top1(frame):
     df = frame("_id long, j string, n long", (1, None, 5), (2, None, 9), (3, "a", None), (4, "a", 1), (5, "b", 2), (6, "b", 2))
     top = first_per_key(df, ["j"], [F.desc_nulls_last("n"), F.col("_id")])
