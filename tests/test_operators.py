@@ -195,6 +195,36 @@ def test_numbers_within_groups(spark, staging):
     assert all(v == list(range(1, len(v) + 1)) for v in groups.values())
 
 
+@pytest.mark.parametrize("batch", ["3", "10000"])
+def test_numbers_within_groups_that_ranges_and_batches_cut(spark, staging, batch):
+    before = {c: spark.conf.get(c) for c in ("spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    # One group over several ranges, groups of one row, a key of two columns, numbers that are none, and nulls.
+    df = spark.range(900).selectExpr(
+        "case when id < 500 then 'hot' when id % 50 = 0 then null else concat('k', id % 90) end as g",
+        "case when id % 3 = 0 then double('nan') when id % 3 = 1 then 0.0D else -0.0D end as h",
+        "id",
+    )
+    for c, v in zip(before, (batch, "9", "false")):
+        spark.conf.set(c, v)
+    try:
+        numbered = number_within(df, ["g", "h"], ["id"], staging, "t")
+        got = numbered.collect()
+        cut = spark.read.parquet(f"{staging.root}/t").where("g = 'hot'").select("_part").distinct().count()
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+    groups = {}
+    for r in sorted(got, key=lambda r: r["id"]):
+        groups.setdefault((r["g"], r["h"] != r["h"]), []).append(r["_rn"])
+    assert numbered.columns == ["g", "h", "id", "_rn"] and cut > 2
+    assert len(got) == df.where("g is not null").count()
+    assert all(v == list(range(1, len(v) + 1)) for v in groups.values())
+
+
+def test_numbers_within_no_groups(spark, staging):
+    assert number_within(spark.range(0).selectExpr("id as g", "id"), ["g"], ["id"], staging, "t").collect() == []
+
+
 # -- align and rank -------------------------------------------------------------------------------
 
 
