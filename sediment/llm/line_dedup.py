@@ -14,7 +14,7 @@ from hashlib import sha256
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
@@ -40,6 +40,10 @@ BITMAP = 4
 BITS = tuple(f"p{i}" for i in range(BITMAP))
 WIDE = 80
 
+# Bands of line lengths at most. Parts in which the tokens are dealt, one after another, so that what one shuffles is gone before the next.
+BANDS = 32
+PARTS = 2
+
 
 # Fixed odd base of the words' hashes; white space but line ends as spaces; bytes that are neither.
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -169,16 +173,28 @@ def parity(tokens: np.ndarray, begin: np.ndarray) -> list[np.ndarray]:
     return [np.bitwise_xor.reduceat(np.where(slot == i, bit, np.uint64(0)), begin) for i in range(BITMAP)]
 
 
+def not_before(a: object, b: object) -> bool:
+    """Whether id `a` is `b` or known to come after it, nulls last. Ids that Python cannot order are told to be the same only."""
+    if a is None or b is None:
+        return a is None
+    try:
+        return bool(a >= b)
+    except TypeError:
+        return a == b
+
+
 def line_rows(rows: DataFrame, counters: np.ndarray, similar: tuple[int, int]) -> DataFrame:
     """A row for each line with a word: `doc_id`, `text_key`, `no`, `k1`, `k2` (a digest of its words), `n` tokens, and
-    `prefix`, the rarest tokens in order, empty if the same task has sent the line before, and BITS, a parity bitmap of all tokens."""
+    `prefix`, the rarest tokens in order, and BITS, a parity bitmap of all tokens. The prefix is empty if the same task has sent the line before
+    with that id or an earlier one, so a line's first document always sends it."""
     bits = len(counters).bit_length() - 1
     shared = rows.sparkSession.sparkContext.broadcast(levels(counters))
     names = ["doc_id", "text_key", "no", "k1", "k2", "n", "prefix", *BITS]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, seen, rarity = Lines(), set(), shared.value
+        reader, seen, rarity = Lines(), {}, shared.value
         for batch in batches:
+            docs = batch.column("doc_id").to_pylist()
             for first, data, starts in _chunks(batch.column("text")):
                 begins, ends, found, where = reader.words(data)
                 if not len(found):
@@ -194,14 +210,14 @@ def line_rows(rows: DataFrame, counters: np.ndarray, similar: tuple[int, int]) -
                 keep = prefix_length(n, similar)
                 if len(seen) > REMEMBERED:
                     seen.clear()
-                for i, key in enumerate(digests):
-                    if key in seen:
+                row = np.searchsorted(starts, ids, side="right") - 1
+                for i, (key, r) in enumerate(zip(digests, (row + first).tolist())):
+                    if key in seen and not_before(docs[r], seen[key]):
                         keep[i] = 0
                     else:
-                        seen.add(key)
+                        seen[key] = docs[r]
                 offsets = np.concatenate(([0], np.cumsum(keep)))
                 at = np.repeat(begin - offsets[:-1], keep) + np.arange(offsets[-1])
-                row = np.searchsorted(starts, ids, side="right") - 1
                 of_row = pa.array(row + first)
                 tokens = (found[at] >> np.uint64(64 - TOKEN_BITS)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
@@ -229,14 +245,18 @@ def fitting(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if Sized.of(df).fits() else df
 
 
-def may_match(a: str, b: str, similar: tuple[int, int]) -> Column:
-    """Length, positional and bitmap filter of lines whose columns end in `a` and `b` and whose first shared token is at their `i`."""
+def _long_enough(a: str, b: str, similar: tuple[int, int]) -> Column:
+    """Length and positional filter of lines whose columns end in `a` and `b` and whose first shared token is at their `i`."""
     num, den = similar
     c = F.col
-    # Settled lines have their numbers below 0.
-    n, m = F.abs(c(f"n{a}")), F.abs(c(f"n{b}"))
+    n, m = c(f"n{a}"), c(f"n{b}")
     enough = F.least(n - c(f"i{a}"), m - c(f"i{b}")) * (num + den) >= (n + m) * num
-    return (F.least(n, m) * den >= F.greatest(n, m) * num) & enough & few_apart(a, b, ("fold",), similar)
+    return (F.least(n, m) * den >= F.greatest(n, m) * num) & enough
+
+
+def may_match(a: str, b: str, similar: tuple[int, int]) -> Column:
+    """Length, positional and bitmap filter."""
+    return _long_enough(a, b, similar) & few_apart(a, b, ("fold",), similar)
 
 
 def few_apart(a: str, b: str, bits: tuple[str, ...], similar: tuple[int, int]) -> Column:
@@ -246,13 +266,13 @@ def few_apart(a: str, b: str, bits: tuple[str, ...], similar: tuple[int, int]) -
 
 def _few(apart: Column, a: str, b: str, similar: tuple[int, int]) -> Column:
     num, den = similar
-    return apart * (num + den) <= (F.abs(F.col(f"n{a}")) + F.abs(F.col(f"n{b}"))) * (den - num)
+    return apart * (num + den) <= (F.col(f"n{a}") + F.col(f"n{b}")) * (den - num)
 
 
 def halves_few_apart(a: str, b: str, similar: tuple[int, int]) -> Column:
     """`few_apart` by both halves of the bitmaps, each folded into a word. Nearly all long lines pass with one word, so their pairs would grow with
     the square of their number; a line of few words has no half of its own and passes."""
-    short = F.least(F.abs(F.col(f"n{a}")), F.abs(F.col(f"n{b}"))) <= WIDE
+    short = F.least(F.col(f"n{a}"), F.col(f"n{b}")) <= WIDE
     one = F.col(f"half{a}").bitwiseXOR(F.col(f"half{b}"))
     other = F.col(f"fold{a}").bitwiseXOR(F.col(f"fold{b}")).bitwiseXOR(one)
     return short | _few(F.bit_count(one) + F.bit_count(other), a, b, similar)
@@ -283,10 +303,9 @@ def _likely(pairs: DataFrame, sent: DataFrame, staging: Staging, similar: tuple[
 def _texts(rows: DataFrame, firsts: DataFrame, pairs: DataFrame, staging: Staging, name: str) -> DataFrame:
     """`k1`, `k2`, `at` (place) and `line` of the lines in pairs, from the documents they are first in."""
     keys = staging.write(f"{name}_ends", _ends(pairs))
-    wanted = firsts.join(fitting(keys), "k1", "left_semi").select("k1", "k2", "first", "first.doc_id", "first.text_key", "first.no")
-    listed = wanted.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k")).agg(
-        F.collect_list(F.struct("no", "k1", "k2", F.col("first").alias("at"))).alias("lines")
-    )
+    wanted = firsts.join(fitting(keys), "k1", "left_semi")
+    at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "no").alias("at")
+    listed = wanted.groupBy(F.col("doc_id").alias("d"), F.col("text_key").alias("k")).agg(F.collect_list(F.struct("no", "k1", "k2", at)).alias("lines"))
     of_doc = staging.write(f"{name}_of_doc", listed)
     sized = Sized.of(of_doc.select("d", "k", F.to_json("lines").alias("lines")))
     other = F.broadcast(of_doc) if sized.fits() else of_doc
@@ -315,40 +334,91 @@ def _matched(pairs: DataFrame, held: DataFrame, similar: tuple[int, int]) -> Dat
     return sets.where(verdict).select("k1", "k2").distinct()
 
 
+def _tokens(sent: DataFrame, similar: tuple[int, int], *columns: str | Column) -> DataFrame:
+    """A row for each token of the prefixes: `k1`, `doc_id`, `place` (line number and `n`), `i`, `key`, and `columns`.
+
+    The key holds the token and a band of line lengths, so that lines of one token meet only those about as long. The shorter line
+    of a pair has its first shared token further ahead than the prefix goes; where its partners may be in the next band, those of its tokens go there too.
+    """
+    num, den = similar
+    c = F.col
+    # Twice as long at least, so that partners are at most one band further.
+    own, reach = (F.floor(F.log(max(2.0, 1.5 * den / num), n)) for n in (c("n"), F.floor(c("n") * den / num)))
+    ahead = (c("n") - F.ceil(c("n") * 2 * num / (num + den)) + 1).cast("int")
+    up = F.when(reach > own, F.slice("prefix", 1, ahead)).otherwise(F.array().cast("array<bigint>"))
+    place = F.shiftleft(c("no").cast("long"), 32).bitwiseOR(c("n")).alias("place")
+    given = ["k1", "doc_id", place, *columns]
+    lines = sent.select(*given, own.alias("own"), F.size("prefix").alias("keep"), F.concat("prefix", up).alias("all"))
+    named = lines.columns[: len(given)]
+    rows = lines.select(*named, "own", "keep", F.posexplode("all").alias("at", "token"))
+    later = (c("at") >= c("keep")).cast("int")
+    key = c("token") * BANDS + c("own") + later
+    # Said once here, Spark does not put it on one side of a join only.
+    return rows.select(*named, (c("at") - c("keep") * later).alias("i"), key.alias("key"), later.alias("up")).where("k1 is not null and key is not null")
+
+
+def _earlier_id(a: str, b: str) -> Column:
+    """Whether the id ending in `b` is not after that in `a`, nulls last."""
+    return F.col(f"doc_id{a}").isNull() | (F.col(f"doc_id{b}") <= F.col(f"doc_id{a}"))
+
+
+def _met(tokens: DataFrame, similar: tuple[int, int]) -> DataFrame:
+    """`k1` and `k1_o` of lines that may match, the other not of a later document, `by_first`, and `wide`, whether both have more words than two words of bitmap tell apart.
+
+    A line that may match the earliest line of a key meets only that one of the key, and `by_first` is the key; else it is null and the line meets all
+    of the key. So groups of near copies make about as many pairs as they have lines.
+    """
+    c = F.col
+    # Both sides of the join read one exchange, so each uses all columns.
+    dealt = tokens.repartition("key")
+    n = c("place").bitwiseAND(F.lit((1 << 32) - 1)).alias("n")
+    side = ["key", "k1", "doc_id", n, "i", "up", "fold", "half"]
+    first = F.min(F.struct(c("doc_id").isNull(), "doc_id", "place", "k1", "i", "up", "fold", "half")).over(Window.partitionBy("key"))
+    mine = dealt.withColumn("first", first).select(*side, *(c(f"first.{x}").alias(f"{x}_h") for x in ("k1", "place", "i", "fold", "half")))
+    mine = mine.withColumn("n_h", c("place_h").bitwiseAND(F.lit((1 << 32) - 1)))
+    by_first = (c("k1") != c("k1_h")) & may_match("", "_h", similar) & halves_few_apart("", "_h", similar)
+    mine = mine.select(*(x if isinstance(x, str) else "n" for x in side), "k1_h", by_first.alias("by_first"))
+    # Two lines that both are here for longer ones meet in their own band.
+    other = _long_enough("", "_o", similar) & _earlier_id("", "_o") & (c("up") + c("up_o") < 2)
+    other = other & few_apart("", "_o", ("fold",), similar) & halves_few_apart("", "_o", similar)
+    on = (c("key") == c("key_o")) & (c("k1") != c("k1_o")) & F.when(c("by_first"), c("k1_o") == c("k1_h")).otherwise(other)
+    wide = (F.least("n", "n_o") > 2 * WIDE).alias("wide")
+    found = mine.join(_ended(dealt.select(*side), "_o"), on)
+    return found.select("k1", "k1_o", F.when(c("by_first"), c("key")).alias("by_first"), wide).distinct()
+
+
 def matching_lines(rows: DataFrame, lines: DataFrame, firsts: DataFrame, staging: Staging, similar: tuple[int, int]) -> DataFrame:
     """`k1`, `k2` of the lines with a similar earlier one.
 
-    First each line meets one line of each of its tokens, the same for all, as many pairs as rows: that of the lowest id, as only the
-    later of two lines goes. That settles nearly all of a group of near copies; only lines it leaves open are joined with all that share a token. Candidates go by `k1`; where
-    two lines share one, both are looked at. Each pass deals the tokens once: both sides of its join read the same exchange.
+    Tokens are dealt once, in PARTS, and lines meet as `_met` says; a line that met the earliest of a key is compared with such lines only. If it is
+    similar to none of them it is open, and is compared with the others it met, and with all not after it of the keys of which it met the earliest only.
+    As only the later of two lines goes, no other line need be met. Candidates go by `k1`; where two lines share one, both are looked at.
     """
     c = F.col
     sent = lines.where(F.size("prefix") > 0)
     fold = reduce(Column.bitwiseXOR, map(c, BITS)).alias("fold")
     half = F.when(c("n") > WIDE, reduce(Column.bitwiseXOR, map(c, BITS[: BITMAP // 2]))).otherwise(0).alias("half")
-    tokens = sent.select("k1", "n", fold, half, "doc_id", F.posexplode("prefix").alias("i", "token"))
-    dealt = tokens.drop("half").repartition("token")
-    earliest = F.struct(c("doc_id").isNull(), "doc_id", "k1", "n", "i", "fold")
-    hub = dealt.groupBy(c("token").alias("token_h")).agg(F.min(earliest).alias("h"))
-    hub = hub.select("token_h", *(c(f"h.{x}").alias(f"{x}_h") for x in ("k1", "n", "i", "fold")))
-    met = dealt.join(hub, (c("token") == c("token_h")) & (c("k1") != c("k1_h")) & may_match("", "_h", similar))
-    hubs = staging.write("hubs", _unordered(met, "k1", "k1_h"))
-    settled = staging.write("settled", _matched(hubs, _texts(rows, firsts, hubs, staging, "hub"), similar))
+    tokens = _tokens(sent, similar, fold, half)
+    # Bits of the token that tell nothing of its partition.
+    part = F.pmod(F.floor(c("key") / BANDS), F.lit(PARTS))
+    met = reduce(DataFrame.unionByName, (staging.write(f"met_{i}", _met(tokens.where(part == i), similar)) for i in range(PARTS)))
+    best = met.withColumn("any", F.max("by_first").over(Window.partitionBy("k1"))).where("by_first is not null or any is null")
+    pairs = staging.write("met", best.groupBy(F.least("k1", "k1_o").alias("k1_a"), F.greatest("k1", "k1_o").alias("k1_b")).agg(F.first("wide").alias("wide")))
+    likely = _likely(pairs.where("wide").drop("wide"), sent, staging, similar)
+    pairs = likely.unionByName(pairs.where("not wide").drop("wide"))
+    settled = staging.write("settled", _matched(pairs, _texts(rows, firsts, pairs, staging, "met"), similar))
 
     shared = firsts.groupBy("k1").agg(F.count(F.lit(1)).alias("lines")).where("lines > 1").select("k1")
-    done = staging.write("done", settled.select("k1").distinct().join(shared, "k1", "left_anti"))
-    flagged = tokens.join(fitting(done).withColumn("done", F.lit(True)), "k1", "left")
-    flagged = flagged.select("token", "k1", F.when(c("done"), -c("n")).otherwise(c("n")).alias("n"), "i", "fold", "half")
-    # Said once here, Spark does not put it on one side only.
-    flagged = flagged.where(" and ".join(f"{x} is not null" for x in flagged.columns)).repartition("token")
-    # A filter that hangs on a row's number, which is never below 0, is not moved ahead of the exchange, so that the two sides stay one.
-    open_lines = flagged.where(F.when(F.monotonically_increasing_id() >= 0, c("n") > 0))
-    # Of two open lines one order is enough.
-    on = (c("token") == c("token_o")) & (c("k1") != c("k1_o")) & ((c("n_o") < 0) | (c("k1") < c("k1_o")))
-    on = on & may_match("", "_o", similar) & halves_few_apart("", "_o", similar)
-    rest = _unordered(open_lines.join(_ended(flagged, "_o"), on), "k1", "k1_o")
-    rest = staging.write("rest", rest.join(fitting(hubs), ["k1_a", "k1_b"], "left_anti"))
-    rest = _likely(rest, sent, staging, similar)
+    done = settled.select("k1").distinct().join(shared, "k1", "left_anti")
+    firsts_only = met.where("by_first is not null").select("k1", c("by_first").alias("key")).distinct()
+    open_keys = staging.write("open", firsts_only.join(done, "k1", "left_anti"))
+    open_lines = fitting(staging.write("open_lines", open_keys.select("k1").distinct()))
+    mine = _tokens(sent.join(open_lines, "k1", "left_semi"), similar, "n", *BITS).join(fitting(open_keys), ["k1", "key"], "left_semi")
+    theirs = _ended(_tokens(sent, similar, "n", *BITS).join(fitting(staging.write("open_keys", open_keys.select("key").distinct())), "key", "left_semi"), "_o")
+    on = (c("key") == c("key_o")) & (c("k1") != c("k1_o")) & _earlier_id("", "_o") & (c("up") + c("up_o") < 2)
+    rest = mine.join(theirs, on & _long_enough("", "_o", similar) & few_apart("", "_o", BITS, similar)).select("k1", "k1_o")
+    rest = rest.unionByName(met.where("by_first is null").join(open_lines, "k1", "left_semi").select("k1", "k1_o"))
+    rest = staging.write("rest", _unordered(rest, "k1", "k1_o").join(pairs, ["k1_a", "k1_b"], "left_anti"))
     more = _matched(rest, _texts(rows, firsts, rest, staging, "rest"), similar)
     return staging.write("matching", settled.unionByName(more).distinct())
 
@@ -361,11 +431,15 @@ def removed_lines(docs: DataFrame, staging: Staging, doc: str = "doc_id", text:
         counters = sketch(rows.select("text"))
         lines = staging.write("lines", line_rows(rows, counters, similar))
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "no")
-    firsts = staging.write("firsts", lines.groupBy("k1", "k2").agg(F.min(place).alias("first")))
+    found = lines.groupBy("k1", "k2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("copies"))
+    firsts = staging.write("firsts", found.select("k1", "k2", "first.doc_id", "first.text_key", "first.no", "copies"))
     bad = matching_lines(rows, lines, firsts, staging, similar)
-    verdicts = firsts.join(fitting(bad).withColumn("bad", F.lit(True)), ["k1", "k2"], "left")
-    copies = lines.select("doc_id", "text_key", "no", "k1", "k2").join(verdicts, ["k1", "k2"])
-    gone = copies.where(F.col("bad").isNotNull() | ~place.eqNullSafe(F.col("first")))
+    # Lines that are there once and match none lose nothing.
+    verdicts = firsts.join(fitting(bad).withColumn("bad", F.lit(True)), ["k1", "k2"], "left").where("bad or copies > 1").drop("copies")
+    verdicts = fitting(staging.write("verdicts", _ended(verdicts, "_f")))
+    same = F.col("doc_id").eqNullSafe(F.col("doc_id_f")) & (F.col("text_key") == F.col("text_key_f")) & (F.col("no") == F.col("no_f"))
+    copies = lines.select("doc_id", "text_key", "no", "k1", "k2").join(verdicts, (F.col("k1") == F.col("k1_f")) & (F.col("k2") == F.col("k2_f")))
+    gone = copies.where(F.col("bad_f").isNotNull() | ~same)
     return staging.write("gone", gone.groupBy("doc_id", "text_key").agg(F.collect_set("no").alias("gone")))
 
 

@@ -252,3 +252,51 @@ def test_whole_texts_go_to_workers_in_small_batches(spark, staging, monkeypatch,
         assert spark.conf.get(BATCH_SIZE) == given
     finally:
         spark.conf.set(BATCH_SIZE, before)
+
+
+def copies_of_few(seed, n, changed, size=60):
+    """Lines that are copies of three base lines with so many words changed; no base line comes first."""
+    r = random.Random(seed)
+    bases = [[f"b{j}x{i}" for i in range(size)] for j in range(3)]
+    out = []
+    for i in range(n):
+        line = list(bases[i % 3])
+        for at in r.sample(range(size), r.randrange(changed + 1) if i > 9 else changed):
+            line[at] = f"n{r.randrange(10**9)}"
+        out.append(" ".join(line))
+    return out
+
+
+def test_few_pairs_of_near_copies_are_compared(spark, staging, monkeypatch):
+    """Two copies are similar or not by chance, so the earliest of each group settles only some of the others."""
+    compared, matched = [], line_dedup._matched
+    monkeypatch.setattr(line_dedup, "_matched", lambda pairs, *rest: compared.append(pairs.count()) or matched(pairs, *rest))
+    n = 900
+    docs = list(enumerate(copies_of_few(11, n, 4)))
+    gone = line_dedup.removed_lines(spark.createDataFrame(docs, "doc_id long, text string").repartition(3), staging)
+    want = [i for i, t in enumerate(plain.without_repeated_lines(docs)) if not t]
+    assert sorted(r.doc_id for r in gone.collect()) == want and len(want) > n // 2
+    assert sum(compared) < 20 * n
+
+
+@pytest.mark.parametrize("parts", [1, 2])
+def test_the_earlier_line_is_found_whatever_the_rows_order(spark, frame, monkeypatch, parts):
+    """Rows come last id first, ids repeat with other texts or are null, so lines are first read where they are not earliest."""
+    monkeypatch.setattr(line_dedup, "PARTS", parts)
+    r = random.Random(12)
+    pool = copies_of_few(13, 60, 8) + copies_of_few(14, 30, 2, 9) + ["one", "one two", "two one"]
+    docs = [(r.choice([None, i // 4, i // 4 + 1, 7]), "\n".join(r.choices(pool, k=r.randrange(1, 4)))) for i in range(90, 0, -1)]
+    df = frame("doc_id long, text string", *docs).coalesce(1)
+    keys = {x.text: x.k for x in df.select("text", line_dedup.text_key(F.col("text")).alias("k")).collect()}
+    lines = sorted({(d is None, d or 0, keys[t], no, line) for d, t in docs for no, line in enumerate(t.split("\n"))})
+    sets = [plain.line_words(x[4]) for x in lines]
+    want = {x[:4] for i, x in enumerate(lines) if any(5 * len(sets[i] & s) >= 4 * len(sets[i] | s) for s in sets[:i])}
+    gone = line_dedup.removed_lines(df, Staging(spark)).collect()
+    assert {(x.doc_id is None, x.doc_id or 0, x.text_key, no) for x in gone for no in x.gone} == want
+    assert 20 < len(want) < len(lines)
+
+
+def test_ids_that_python_cannot_order_are_told_to_be_the_same_only():
+    found = [line_dedup.not_before(a, b) for a, b in ((1, 1), (2, 1), (1, 2), (None, 1), (1, None), (None, None), ({"a": 1}, {"a": 1}), ({"a": 2}, {"a": 1}))]
+    assert found == [True, True, False, True, False, True, True, False]
+    assert not line_dedup.not_before(float("nan"), 1.0)
