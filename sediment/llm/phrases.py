@@ -1,9 +1,10 @@
 """Phrase collocations: contiguous words that come together much more often than their parts would.
 
 A phrase's fingerprint is a polynomial of its words' hashes, read off prefix sums in numpy. Blocks of text send each distinct
-fingerprint with its number; sums over the corpus say which can be frequent, and a bitmap of fixed size tells the next scans.
-Phrases of three words and more are counted only where both shorter ones inside them may be frequent. Then each block keeps a pointer to the
-first occurrence of a fingerprint that may be frequent, holds all others against it word by word, and cuts the text out there; sums
+fingerprint with its number, packed into a row for all that begin with the same bits, so that rows are few; sums over the corpus say which can be
+frequent, and a bitmap tells the next scans.
+Phrases of three words and more are counted only where both shorter ones inside them may be frequent. Then each block keeps a pointer to
+an occurrence of a fingerprint that may be frequent, holds all others against it word by word, and cuts the text out there; sums
 by text decide. So fingerprints that collide cost some work and never change a count, and only frequent phrases are ever texts.
 """
 
@@ -14,6 +15,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from hashlib import md5
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +37,7 @@ class PhraseParams:
     covered_percent: int = 50
     # Phrases of each language that are given.
     best: int = 2000
-    # Bits of the bitmap of fingerprints that may be frequent. A full one lets through more, never less.
+    # Bits of the bitmap of fingerprints that may be frequent, at least. A full one lets through more, never less.
     bitmap_log2: int = 26
 
 
@@ -43,8 +45,14 @@ UNKNOWN_LANGUAGE = "und"
 # Bytes of text hashed at a time, and words a task gathers before it sends their phrases.
 CHUNK = 1 << 18
 BLOCK_WORDS = 1 << 20
-# Rows of an Arrow batch that is sent.
+# Entries whose texts a task gathers at a time.
 ROWS = 1 << 18
+# Phrases with their texts that a task gathers from its blocks before it sums them up, and sends them if half as many are left.
+GATHERED = 1 << 20
+# Fingerprints are dealt by so many of their first bits, those that travel with their texts by fewer, as languages and lengths are apart already.
+PARTS_LOG2, TEXT_PARTS_LOG2 = 12, 8
+# A bitmap of this size or more grows until it has so many bits for a fingerprint, or is the widest one.
+NARROWEST_GROWN_LOG2, THIN, WIDEST_LOG2 = 20, 16, 28
 
 _P, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xA0761D6478BD642F)
 # What ends a piece, and what is between words.
@@ -186,86 +194,235 @@ def promising(block: Block, n: int, bitmap: np.ndarray) -> tuple[np.ndarray, np.
     return at[both], found[both]
 
 
-def fingerprint_counts(rows: DataFrame, sizes: tuple[int, ...], bitmap: bytes | None) -> DataFrame:
-    """`fp`, `n`: phrases of these numbers of words, each once for a block. With a bitmap of those one word shorter, only promising ones."""
+def held(column: pa.Array, begin: int, end: int) -> bytes:
+    """The bytes of neighbouring rows of a binary column, which lie side by side."""
+    _, places, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    at = np.frombuffer(places, kind)[[column.offset + begin, column.offset + end]] if data is not None and end > begin else (0, 0)
+    return data[at[0] : at[1]].to_pybytes() if at[1] > at[0] else b""
+
+
+def runs(batches: Iterator[pa.RecordBatch], key: list[str]) -> Iterator[tuple[tuple, list[bytes]]]:
+    """Keys of rows sorted by them, each with the bytes of all its rows, a value for each other column."""
+    last, parts = None, []
+    for batch in batches:
+        others = [batch.column(c) for c in batch.schema.names if c not in key]
+        at = 0
+        for k, same in groupby(zip(*(batch.column(c).to_pylist() for c in key))):
+            end = at + sum(1 for _ in same)
+            if k != last and parts:
+                yield last, [b"".join(x) for x in zip(*parts)]
+                parts = []
+            last = k
+            parts.append([held(c, at, end) for c in others])
+            at = end
+    if parts:
+        yield last, [b"".join(x) for x in zip(*parts)]
+
+
+def binaries(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """The bytes of `values` as binaries that begin and end at these numbers of values."""
+    places = (bounds * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(bounds) - 1, [None, pa.py_buffer(places), pa.py_buffer(np.ascontiguousarray(values))])
+
+
+def bounds_of(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin, and where the last one ends."""
+    if not len(keys):
+        return np.zeros(1, np.int64)
+    return np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]))
+
+
+def fingerprint_counts(rows: DataFrame, sizes: tuple[int, ...], bitmap: bytes | None, least: int) -> DataFrame:
+    """`part`, `prints`, `counts`: phrases of these numbers of words, each once for a block, its number up to `least`. With a bitmap of those one
+    word shorter, only promising ones. A row has all of a block that begin with the same bits, which are the part."""
     shared = rows.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = Prefixes(_B)
         known = None if shared.value is None else np.frombuffer(shared.value, np.uint8)
         for block in blocks(batches, hasher, False):
-            for size in sizes:
-                _, found = block.fingerprints(size) if known is None else promising(block, size, known)
-                found = np.sort(found)
-                first = np.flatnonzero(np.concatenate((found[:1] == found[:1], found[1:] != found[:-1])))
-                n = np.diff(np.append(first, len(found)))
-                for i in range(0, len(first), ROWS):
-                    columns = [pa.array(found[first[i : i + ROWS]].view(np.int64)), pa.array(n[i : i + ROWS], pa.int64())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["fp", "n"])
+            found = np.concatenate([(block.fingerprints(n) if known is None else promising(block, n, known))[1] for n in sizes])
+            found.sort()
+            first = bounds_of(found)
+            prints, n = found[first[:-1]], np.minimum(np.diff(first), least).astype(count_kind(least))
+            parts = (prints >> np.uint64(64 - PARTS_LOG2)).astype(np.int32)
+            bounds = bounds_of(parts)
+            columns = [pa.array(parts[bounds[:-1]]), binaries(prints, bounds), binaries(n, bounds)]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "prints", "counts"])
+
+    return rows.mapInArrow(run, "part int, prints binary, counts binary")
+
+
+def count_kind(least: int) -> type:
+    return np.uint8 if least < 256 else np.uint32
 
-    return rows.mapInArrow(run, "fp long, n long")
+
+def frequent_prints(counted: DataFrame, least: int) -> DataFrame:
+    """`fp`: fingerprints that come to `least` over all blocks. A task holds one part at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, (prints, counts) in runs(batches, ["part"]):
+            found, n = np.frombuffer(prints, np.uint64), np.frombuffer(counts, count_kind(least))
+            order = np.argsort(found)
+            found = found[order]
+            first = bounds_of(found)[:-1]
+            often = np.add.reduceat(n[order], first, dtype=np.int64) >= least
+            yield pa.RecordBatch.from_arrays([pa.array(found[first[often]].view(np.int64))], names=["fp"])
+
+    return counted.repartition("part").sortWithinPartitions("part").mapInArrow(run, "fp long")
 
 
 def distinct_phrases(block: Block, at: np.ndarray, found: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The place of the first occurrence of each phrase, and its number of occurrences.
+    """The place of an occurrence of each phrase, and its number of occurrences.
 
     Occurrences of a fingerprint are held against each other word by word; where two phrases share one, words decide alone.
     """
-    order = np.argsort(found, kind="stable")
+    order = np.argsort(found)
     at, found = at[order], found[order]
     same = found[1:] == found[:-1]
     told = [block.codes, *(block.numbers[k:] for k in range(size))]
     for x in told:
-        if not (x[at][1:] == x[at][:-1])[same].all():
+        there = x[at]
+        if not (there[1:] == there[:-1])[same].all():
             _, first, n = np.unique(np.stack([y[at] for y in told], axis=1), axis=0, return_index=True, return_counts=True)
             return at[first], n
     first = np.flatnonzero(np.concatenate((found[:1] == found[:1], ~same)))
     return at[first], np.diff(np.append(first, len(found)))
 
 
-def phrase_counts(rows: DataFrame, longest: int, bitmap: bytes) -> DataFrame:
-    """`lang`, `words`, `phrase`, `n`: phrases whose fingerprints may be frequent, once for each block, by their texts; and all words of a
-    language under `words` 0 and an empty phrase."""
-    shared = rows.sparkSession.sparkContext.broadcast(bitmap)
-    names = ["lang", "words", "phrase", "n"]
+def gathered(text: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The bytes of many places in a text, one after another."""
+    some = (slice(i, i + ROWS) for i in range(0, len(begin), ROWS))
+    return np.concatenate([np.zeros(0, np.uint8), *(text[ranges(begin[x], end[x])] for x in some)])
+
+
+class Gathered:
+    """Phrases of a language and number of words, from several blocks: fingerprints, numbers, lengths and texts."""
+
+    def __init__(self) -> None:
+        self.parts: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, *columns: np.ndarray) -> int:
+        self.parts.append(columns)
+        return len(columns[0])
+
+    def sum(self) -> int:
+        """Makes one entry of each phrase, in the order of fingerprints. Gives the number of entries."""
+        prints, counts, lengths, texts = (np.concatenate(x) for x in zip(*self.parts))
+        entry, n = summed_texts(prints, counts, lengths, texts)
+        order = np.argsort(prints[entry])
+        entry, n, places = entry[order], n[order].astype(np.uint32), offsets(lengths)
+        self.parts = [(prints[entry], n, lengths[entry], gathered(texts, places[entry], places[entry + 1]))]
+        return len(entry)
+
+
+def phrase_counts(rows: DataFrame, longest: int, bitmaps: dict[int, bytes]) -> DataFrame:
+    """`lang`, `words`, `part`, `prints`, `counts`, `lengths`, `texts`: phrases whose fingerprints may be frequent by their number of words' bitmap,
+    once for some blocks, with their texts; and all words of a language under `words` 0 as a count only. A row has all of a language that some
+    blocks have and whose fingerprints begin with the same bits, the part."""
+    shared = rows.sparkSession.sparkContext.broadcast(bitmaps)
+    names = ["lang", "words", "part", "prints", "counts", "lengths", "texts"]
+
+    def sent(found: dict[tuple[str, int], Gathered]) -> Iterator[pa.RecordBatch]:
+        for (lang, size), phrases in found.items():
+            ((prints, n, lengths, texts),) = phrases.parts
+            parts = (prints >> np.uint64(64 - TEXT_PARTS_LOG2)).astype(np.int32)
+            bounds = bounds_of(parts)
+            m = len(bounds) - 1
+            heads = [pa.array([lang] * m, pa.string()), pa.array([size] * m, pa.int32()), pa.array(parts[bounds[:-1]])]
+            columns = [*(binaries(x, bounds) for x in (prints, n, lengths)), binaries(texts, offsets(lengths)[bounds])]
+            yield pa.RecordBatch.from_arrays([*heads, *columns], names=names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher, known = Prefixes(_B), np.frombuffer(shared.value, np.uint8)
+        hasher, known = Prefixes(_B), {n: np.frombuffer(x, np.uint8) for n, x in shared.value.items()}
+        found, entries = defaultdict(Gathered), 0
         for block in blocks(batches, hasher, True):
-            total = np.bincount(block.codes, minlength=len(block.names))
-            columns = [pa.array(block.names, pa.string()), pa.array([0] * len(total), pa.int32()), pa.array([""] * len(total), pa.string()), pa.array(total, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
-            languages = np.array(block.names, object)
+            total = np.bincount(block.codes, minlength=len(block.names)).astype(np.uint32)
+            none, each = pa.array([b""] * len(total), pa.binary()), binaries(total, np.arange(len(total) + 1))
+            zero = pa.array([0] * len(total), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(block.names, pa.string()), zero, zero, none, each, none, none], names=names)
+            text = np.frombuffer(block.text, np.uint8)
             for size in range(1, longest + 1):
-                at, found = block.fingerprints(size)
-                may = may_be_frequent(known, found)
-                first, n = distinct_phrases(block, at[may], found[may], size)
-                for i in range(0, len(first), ROWS):
-                    some = first[i : i + ROWS]
-                    columns = [
-                        pa.array(languages[block.codes[some]], pa.string()),
-                        pa.array(np.full(len(some), size), pa.int32()),
-                        pa.array(block.cut(some, size), pa.string()),
-                        pa.array(n[i : i + ROWS], pa.int64()),
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
-
-    return rows.mapInArrow(run, "lang string, words int, phrase string, n long")
+                at, prints = block.fingerprints(size)
+                print_at = np.zeros(block.words, np.uint64)
+                print_at[at] = prints
+                may = may_be_frequent(known[size], prints)
+                first, n = distinct_phrases(block, at[may], prints[may], size)
+                codes = block.codes[first]
+                # Numbers of 16 bits are sorted by counting.
+                order = np.argsort(codes.astype(np.uint16) if len(block.names) <= 1 << 16 else codes, kind="stable")
+                first, n, codes = first[order], n[order].astype(np.uint32), codes[order]
+                bounds = bounds_of(codes)
+                for i, j in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+                    begin, end = block.begin[first[i:j]], block.begin[first[i:j] + size] - 1
+                    of = found[block.names[codes[i]], size]
+                    entries += of.add(print_at[first[i:j]], n[i:j], (end - begin).astype(np.uint32), gathered(text, begin, end))
+            if entries > GATHERED:
+                entries = sum(x.sum() for x in found.values())
+                if 2 * entries > GATHERED:
+                    yield from sent(found)
+                    found, entries = defaultdict(Gathered), 0
+        for x in found.values():
+            x.sum()
+        yield from sent(found)
+
+    return rows.mapInArrow(run, "lang string, words int, part int, prints binary, counts binary, lengths binary, texts binary")
+
+
+def summed_texts(prints: np.ndarray, counts: np.ndarray, lengths: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An entry of each text, and the sum of its counts. Entries of a fingerprint are held against each other byte by byte; where two texts share
+    one, texts decide alone."""
+    order = np.argsort(prints)
+    begin, lengths = offsets(lengths), lengths.astype(np.int64)
+    bounds = bounds_of(prints[order])
+    same = np.ones(len(order), bool)
+    same[bounds[:-1]] = False
+    one, other = order[np.flatnonzero(same) - 1], order[same]
+    alike = (lengths[one] == lengths[other]).all() and all(
+        (texts[ranges(begin[x], begin[x] + lengths[x])] == texts[ranges(begin[y], begin[y] + lengths[y])]).all()
+        for x, y in ((one[i : i + ROWS], other[i : i + ROWS]) for i in range(0, len(one), ROWS))
+    )
+    if alike:
+        return order[bounds[:-1]], np.add.reduceat(counts[order], bounds[:-1], dtype=np.int64)
+    whole, known = texts.tobytes(), {}
+    for i, (x, length, n) in enumerate(zip(begin.tolist(), lengths.tolist(), counts.tolist())):
+        entry = known.setdefault(whole[x : x + length], [i, 0])
+        entry[1] += n
+    return np.array([x for x, _ in known.values()], np.int64), np.array([n for _, n in known.values()], np.int64)
+
+
+def frequent_texts(counted: DataFrame, least: int) -> DataFrame:
+    """`lang`, `words`, `phrase`, `n` of the phrases that come to `least` over all blocks, and of the words of each language."""
+    key = ["lang", "words", "part"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (lang, words, _), (prints, counts, lengths, texts) in runs(batches, key):
+            counts, lengths, text = (np.frombuffer(x, k) for x, k in ((counts, np.uint32), (lengths, np.uint32), (texts, np.uint8)))
+            if words == 0:
+                columns = [pa.array([""], pa.string()), pa.array([int(counts.sum(dtype=np.int64))], pa.int64())]
+            else:
+                entry, n = summed_texts(np.frombuffer(prints, np.uint64), counts, lengths, text)
+                entry, n = entry[n >= least], n[n >= least]
+                places = offsets(lengths)
+                found = gathered(text, places[entry], places[entry + 1])
+                columns = [binaries(found, offsets(lengths[entry])).view(pa.string()), pa.array(n, pa.int64())]
+            m = len(columns[0])
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * m, pa.string()), pa.array([words] * m, pa.int32()), *columns], names=["lang", "words", "phrase", "n"])
+
+    return counted.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, "lang string, words int, phrase string, n long")
 
 
 def bitmap_of(prints: DataFrame, bits: int) -> bytes:
-    """A bitmap of the fingerprints' top bits: 2^bits bits, however many there are."""
+    """A bitmap of the fingerprints' top bits: 2^bits bits, or more if it would be full, up to WIDEST_LOG2."""
+    bits = max(bits, min((THIN * prints.count()).bit_length(), WIDEST_LOG2)) if bits >= NARROWEST_GROWN_LOG2 else bits
     slots = prints.select(F.shiftrightunsigned("fp", 64 - bits).alias("slot"))
-    octets = slots.selectExpr("shiftright(slot, 3) as octet", "shiftleft(1, cast(slot & 7 as int)) as bit").groupBy("octet")
-    # At most 2^(bits - 3) rows.
-    table = octets.agg(F.bit_or("bit").alias("bits")).toArrow()
-    out = np.zeros(1 << (bits - 3), np.uint8)
-    out[table["octet"].to_numpy()] = table["bits"].to_numpy()
-    return out.tobytes()
-
-
-def _either(one: bytes, two: bytes) -> bytes:
-    return (np.frombuffer(one, np.uint8) | np.frombuffer(two, np.uint8)).tobytes()
+    words = slots.selectExpr("shiftright(slot, 6) as word", "shiftleft(1L, cast(slot & 63 as int)) as bit").groupBy("word")
+    # At most 2^(bits - 6) rows.
+    table = words.agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(max(1 << bits >> 6, 1), np.int64)
+    out[table["word"].to_numpy()] = table["bits"].to_numpy()
+    return out.tobytes()[: 1 << bits >> 3]
 
 
 def frequent_phrases(docs: DataFrame, staging: Staging, lang: str = "lang", text: str = "text", params: PhraseParams = PhraseParams()) -> DataFrame:
@@ -279,17 +436,16 @@ def frequent_phrases(docs: DataFrame, staging: Staging, lang: str = "lang", text
     rows = docs.select(F.make_valid_utf8(language).alias("lang"), F.make_valid_utf8(whole).alias("text"))
 
     def frequent(sizes: tuple[int, ...], bitmap: bytes | None) -> bytes:
-        # Blocks have summed up already, and a fingerprint has a row a block at most.
-        counted = fingerprint_counts(rows, sizes, bitmap).repartition("fp").groupBy("fp").agg(F.sum("n").alias("n"))
+        # Blocks have summed up already, and a fingerprint is in a block's row once at most.
+        counted = fingerprint_counts(rows, sizes, bitmap, params.least)
         name = "prints_" + "_".join(map(str, sizes))
-        return bitmap_of(staging.write(name, counted.where(F.col("n") >= params.least).select("fp")), params.bitmap_log2)
+        return bitmap_of(staging.write(name, frequent_prints(counted, params.least)), params.bitmap_log2)
 
-    last = bitmap = frequent(tuple(range(1, min(params.longest, 2) + 1)), None)
+    short = tuple(range(1, min(params.longest, 2) + 1))
+    bitmaps = dict.fromkeys(short, frequent(short, None))
     for size in range(3, params.longest + 1):
-        last = frequent((size,), last)
-        bitmap = _either(bitmap, last)
-    summed = phrase_counts(rows, params.longest, bitmap).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
-    return staging.write("phrases", summed.where((F.col("words") == 0) | (F.col("n") >= params.least)))
+        bitmaps[size] = frequent((size,), bitmaps[size - 1])
+    return staging.write("phrases", frequent_texts(phrase_counts(rows, params.longest, bitmaps), params.least))
 
 
 def _slice(words: Column, first, length) -> Column:

@@ -287,3 +287,32 @@ def test_long_texts_are_cut_at_ends_of_pieces(monkeypatch):
     parts = list(phrases.segments(text))
     assert b"".join(parts) == text and len(parts) > 2 and all(p[-1:] in b".,;" for p in parts[:-1])
     assert list(phrases.segments(b"")) == [b""]
+
+
+def test_phrases_travel_in_few_rows_and_are_summed_over_blocks(spark, monkeypatch):
+    docs = phrase_documents(5)
+    df = spark.createDataFrame([(t, g) for g, t in docs], "text string, lang string").repartition(2)
+    params = phrases.PhraseParams(least=4)
+    whole = df.where("text is not null").fillna("und", ["lang"])
+    found = phrases.fingerprint_counts(whole, (1, 2), None, params.least).collect()
+    # A row has many fingerprints where a block has more than parts, and each is in one row of a block.
+    assert all(len(r["prints"]) == 8 * len(r["counts"]) for r in found)
+    monkeypatch.setattr(phrases, "PARTS_LOG2", 1)
+    few = phrases.fingerprint_counts(whole, (1, 2), None, params.least).collect()
+    assert len(few) <= 4 and sum(len(r["counts"]) for r in few) == sum(len(r["counts"]) for r in found) > 3 * len(few)
+    # Blocks and what is gathered of them are cut anywhere.
+    for chunk, block, gathered in ((1, 1, 0), (40, 20, 30), (200, 100, 1 << 20)):
+        monkeypatch.setattr(phrases, "CHUNK", chunk)
+        monkeypatch.setattr(phrases, "BLOCK_WORDS", block)
+        monkeypatch.setattr(phrases, "GATHERED", gathered)
+        assert {tuple(r) for r in phrases.collocations(df, params=params).collect()} == plain_collocations(docs, params)
+
+
+def test_texts_that_share_a_fingerprint_are_told_apart():
+    words = [b"ab", b"ac", b"ab", b"abc", b"z"]
+    prints, counts = np.array([7, 7, 7, 7, 9], np.uint64), np.array([1, 2, 4, 8, 16], np.uint32)
+    texts, lengths = np.frombuffer(b"".join(words), np.uint8), np.array([len(w) for w in words], np.uint32)
+    entry, n = phrases.summed_texts(prints, counts, lengths, texts)
+    assert sorted(zip((words[i] for i in entry), n.tolist())) == [(b"ab", 5), (b"abc", 8), (b"ac", 2), (b"z", 16)]
+    entry, n = phrases.summed_texts(prints[[0, 2, 4]], counts[[0, 2, 4]], lengths[[0, 2, 4]], np.frombuffer(b"ababz", np.uint8))
+    assert sorted(n.tolist()) == [5, 16]
