@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 from sediment.errors import DuplicateKey, InvalidSnapshot
 from sediment.operators.align import align, cast_losses, common_columns, lossy_columns
 from sediment.operators.checks import assert_unique, duplicates, split_nulls
-from sediment.operators.dedupe import distinct_on_all, first_per_key, keyed_distinct
+from sediment.operators.dedupe import deciding, distinct_on_all, first_per_key, keyed_distinct
 from sediment.operators.ids import assign_ordered_ids, number_within
 from sediment.operators.lookup import BROADCAST_BYTES, Sized, hot_keys, lookup
 from sediment.operators.rank import rank_snapshots
@@ -65,6 +66,24 @@ def test_any_number_of_equally_hot_keys_is_split(spark):
     assert sorted(hot_keys(left, ["fk"], 25).values()) == [4] * 300
 
 
+def test_keys_are_only_tracked_where_a_slot_is_crowded(spark, monkeypatch):
+    left = spark.range(0, 30_000).select("id", F.when(F.col("id") % 50 == 0, -1).otherwise(F.col("id")).alias("fk"))
+    hot = left.where("fk = -1").select(F.xxhash64("fk")).first()[0]
+    assert hot_keys(left, ["fk"], 100) == {hot: 6}
+    # The sketches got the hashes of crowded slots alone: so few are told exactly by the smallest ones.
+    monkeypatch.setattr("sediment.operators.lookup.TRACKED_KEYS", 2)
+    assert hot_keys(left, ["fk"], 100) == {hot: 6}
+    # No sketch at all, which could not be made.
+    monkeypatch.setattr("sediment.operators.lookup.TRACKED_KEYS", 0)
+    assert hot_keys(left, ["fk"], 700) == {}
+
+
+def test_every_slot_may_be_crowded(spark, monkeypatch):
+    monkeypatch.setattr("sediment.operators.lookup.SLOTS", 64)
+    left = spark.range(0, 30_000).select("id", (F.col("id") % 300).alias("fk"))
+    assert sorted(hot_keys(left, ["fk"], 25).values()) == [4] * 300
+
+
 def test_without_hot_keys_nothing_is_copied(spark):
     left = spark.range(0, 3_000).select("id", (F.col("id") % 300).alias("fk"))
     right = Sized.of(spark.range(0, 300).select(F.col("id").alias("old_id"), F.col("id").alias("new_id")))
@@ -164,6 +183,21 @@ def test_several_unique_keys_as_if_rows_were_added_one_by_one(spark, staging):
     assert [r[0] for r in rows(got, "old_id")] == sorted(want)
 
 
+def test_a_key_within_another_decides_alone(spark, staging):
+    assert deciding([["a", "b"], ["b"], ["c", "a"], ["a", "c"], ["b"]]) == [["b"], ["c", "a"]]
+    data = [(i, i % 7 or None, i % 3 or None, -i) for i in range(60)]
+    df = spark.createDataFrame(data, "old_id long, a int, b int, rank int")
+    seen, want = set(), []
+    for old, a, _, rank in sorted(data, key=lambda r: r[3]):
+        if a is None or a not in seen:
+            want.append(old)
+            seen.add(a)
+    got = distinct_on_all(df, [["a", "b"], ["a"]], ["rank"], ["old_id"], staging, "t")
+    # One shuffle and no rounds.
+    assert sorted(r[0] for r in rows(got, "old_id")) == sorted(want) and got.columns == df.columns
+    assert not Path(staging.root.removeprefix("file:")).exists()
+
+
 # -- ids ------------------------------------------------------------------------------------------
 
 
