@@ -171,6 +171,16 @@ def test_rows_of_a_scan_are_told_apart_without_patterns(spark, tmp_path, frame):
         assert "regexp" not in found._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_few_snapshots_by_a_scan_each(spark, tmp_path, frame):
+    for i in range(3):
+        frame("_id long, x string", (i, f"v{i}"), (i + 10, None)).write.parquet(f"{tmp_path}/{i}/t")
+    archives = [(i, ParquetArchive(spark, f"{tmp_path}/{i}")) for i in range(3)]
+    found = read_union(spark, archives, "t", ["_id", "x"], lambda df, keep: df.select(*keep, "_id", "x"))
+    assert rows(found) == [row for i in range(3) for row in ((i, i, f"v{i}"), (i, i + 10, None))]
+    # No row's path is looked at.
+    assert "file_path" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_many_files_by_one_scan(spark, tmp_path, frame):
     files = [(i, SqliteArchive(spark, make_file(tmp_path / f"{i}.db", i * 1000, 500))) for i in range(5)]
     base = files[0][1].schema("message")
