@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sediment.operators.lookup import Sized, lookup
+from sediment.operators.lookup import Sized, hot_keys, lookup
 from sediment.operators.remap import ROW
 from sediment.staging import Staging
 
@@ -29,15 +29,19 @@ def unsupported(members: DataFrame, wants: DataFrame, staging: Staging, limit: i
     last = staging.write("fallen/0", wants.where(F.col(WANT).isNull()).select(*row, GROUP).distinct())
     # One scan over the rounds so far, however many there are.
     rounds = staging.spark.read.schema(last.schema).option("recursiveFileLookup", "true")
-    n = 0
+    hot, n = None, 0
     while not last.isEmpty():
         n += 1
         fallen = rounds.parquet(f"{staging.root}/fallen")
         touched = last.select(KIND, GROUP).distinct()
-        counted = fallen.join(touched, [KIND, GROUP], "left_semi").groupBy(KIND, GROUP).agg(F.count(F.lit(1)).alias("n"))
-        emptied = counted.join(sizes, [KIND, GROUP, "n"], "left_semi")
+        counted = fallen.join(touched, [GROUP, KIND], "left_semi").groupBy(KIND, GROUP).agg(F.count(F.lit(1)).alias("n"))
+        emptied = counted.join(sizes, [GROUP, KIND, "n"], "left_semi")
         emptied = Sized.of(staging.write(f"emptied/{n}", emptied.select(KIND, GROUP, F.lit(n).alias("round"))))
-        hit = lookup(wants, emptied, {WANT_KIND: KIND, WANT: GROUP}, {"round": "_round"}, "inner", row, limit)
-        more = hit.select(*row, GROUP).distinct().join(fallen.select(*row), row, "left_anti")
+        on = {WANT: GROUP, WANT_KIND: KIND}
+        if hot is None and not emptied.fits(limit):
+            # Every round joins the same rows.
+            hot = hot_keys(wants, list(on))
+        hit = lookup(wants, emptied, on, {"round": "_round"}, "inner", row, limit, hot=hot)
+        more = hit.select(*row, GROUP).distinct().join(fallen.select(*row), row[::-1], "left_anti").select(*row, GROUP)
         last = staging.write(f"fallen/{n}", more)
     return rounds.parquet(f"{staging.root}/fallen").select(*row)

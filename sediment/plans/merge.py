@@ -108,6 +108,8 @@ class Merge:
         self.deferred: dict[str, tuple[str, ...]] = {}
         self.entered: dict[str, DataFrame] = {}
         self.unsupported: dict[str, DataFrame] = {}
+        # Written key columns of such tables, which do not change between the two times they are built.
+        self.narrow: dict[str, DataFrame] = {}
         self.sure: set[str] = set()
         # Parents' columns for looser keys, written once for all tables that ask.
         self.parents: dict[tuple[str, str], Sized] = {}
@@ -305,7 +307,7 @@ class Merge:
         reference leads to none, or to one of which all rows go; the rest hold each other up. Then they are built without such rows.
         """
         trial = copy(self)
-        trial.maps, trial.survivors, trial.refused, trial.entered = dict(self.maps), {}, {}, {}
+        trial.maps, trial.survivors, trial.refused, trial.entered, trial.narrow = dict(self.maps), {}, {}, {}, {}
         trial.staging = Staging(self.spark, self.staging.root)
         fks = {t: foreign_keys(t, self.spec(t).not_null) for t in tables}
         present = {t: self.base_schema(t).names for t in tables}
@@ -315,7 +317,7 @@ class Merge:
         members, wants = [], []
         for kind, t in enumerate(tables):
             group = trial.maps[t].df.select(*ROW, F.col(NEW_ID).alias(GROUP))
-            rows = trial.entered[t].join(group, list(ROW), "left").select(F.lit(kind).alias(KIND), *ROW, GROUP)
+            rows = trial.entered[t].join(group, list(ROW)[::-1], "left").select(F.lit(kind).alias(KIND), *ROW, GROUP)
             rows = trial.staging.write(f"{t}_members", rows)
             members.append(rows)
             # Where an unknown reference is 0, nothing is refused for it.
@@ -323,13 +325,14 @@ class Merge:
             found = remap(trial.union(t, binding).select(*ROW, *binding), t, trial.maps, binding, limit=self.limit, row=ROW)
             needs = [F.struct(F.lit(tables.index(fks[t][c].target)).alias(WANT_KIND), F.col(c).alias(WANT)) for c in binding]
             if needs:
-                both = rows.join(found, list(ROW)).select(KIND, *ROW, GROUP, F.explode(F.array(*needs)).alias("need"))
+                both = rows.join(found, list(ROW)[::-1]).select(KIND, *ROW, GROUP, F.explode(F.array(*needs)).alias("need"))
                 wants.append(both.select(KIND, *ROW, GROUP, "need.*"))
         if wants:
             every = reduce(DataFrame.unionByName, members), reduce(DataFrame.unionByName, wants)
             gone = unsupported(*every, trial.staging, self.limit)
             self.unsupported |= {t: gone.where(F.col(KIND) == kind).select(*ROW) for kind, t in enumerate(tables)}
         self.deferred |= trial.deferred
+        self.narrow |= trial.narrow
         together(self._build_key, tables)
         for t in tables:
             self._refuse_in_circle(t)
@@ -340,7 +343,7 @@ class Merge:
         ids = [self.refused[table].select(*ROW)] if table in self.refused else []
         ids += [self.unsupported[table]] if table in self.unsupported else []
         if ids:
-            rows = self.union(table, checked).select(*ROW, *checked).join(reduce(DataFrame.unionByName, ids), list(ROW), "left_semi")
+            rows = self.union(table, checked).select(*ROW, *checked).join(reduce(DataFrame.unionByName, ids), list(ROW)[::-1], "left_semi")
             self.refused[table] = remap(rows, table, self.maps, checked, limit=self.limit, row=ROW)
 
     def _build_key(self, table: str) -> None:
@@ -361,18 +364,24 @@ class Merge:
             needed[TIME] = None
         if not renumber:
             needed[ID] = None
-        self._check_ids(table)
-        rows = self.union(table, needed)
-        for name, part in weak.items():
-            if part.parent:
-                rows = self._with_parent_part(rows, part, name)
-        narrow = remap(rows, table, self.maps, needed, limit=self.limit)
-        narrow = narrow.withColumns({n: F.col(w.column) for n, w in weak.items() if not w.parent})
-        # Rows that are refused are a second output of the same written rows.
-        if checked or not all(self.maps[r.target].fits(self.limit) for r in self._targets(table, needed)):
-            narrow, stage = self.staging.write(f"{table}_rows", narrow), None
+        stage = None
+        if table in self.narrow:
+            narrow = self.narrow[table]
         else:
-            stage = partial(self.staging.write, f"{table}_keyed")
+            self._check_ids(table)
+            rows = self.union(table, needed)
+            for name, part in weak.items():
+                if part.parent:
+                    rows = self._with_parent_part(rows, part, name)
+            narrow = remap(rows, table, self.maps, needed, limit=self.limit)
+            narrow = narrow.withColumns({n: F.col(w.column) for n, w in weak.items() if not w.parent})
+            # Rows that are refused are a second output of the same written rows.
+            if checked or table in self.deferred or not all(self.maps[r.target].fits(self.limit) for r in self._targets(table, needed)):
+                narrow = self.staging.write(f"{table}_rows", narrow)
+            else:
+                stage = partial(self.staging.write, f"{table}_keyed")
+            if table in self.deferred:
+                self.narrow[table] = narrow
 
         entering = narrow.where(F.col(TIME).isNotNull()) if timed else narrow
         entering, refused = split_nulls(entering, checked)
@@ -380,7 +389,7 @@ class Merge:
         if table in self.deferred:
             self.entered[table] = entering.select(*ROW)
         if table in self.unsupported:
-            entering = entering.join(self.unsupported[table], list(ROW), "left_anti")
+            entering = entering.join(self.unsupported[table], list(ROW)[::-1], "left_anti")
         first = [RANK, TIME, OLD_ID] if timed else [RANK, OLD_ID]
         kept = self._distinct(table, spec, entering, [k for k in (key, *further) if k], first, ROW)
         id_order = [TIME, RANK, OLD_ID] if timed else [RANK, OLD_ID]
