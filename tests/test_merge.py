@@ -1,4 +1,5 @@
 import random
+from pathlib import Path
 
 import brute
 import pytest
@@ -6,9 +7,11 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from sediment.errors import InvalidSnapshot
+from sediment.operators.lookup import BROADCAST_BYTES
 from sediment.plans.merge import Merge, merge_archives
 from sediment.sources.archive import Constraints, FrameArchive
 from sediment.specs import TableSpec, default_specs
+from sediment.staging import Staging
 
 SCHEMAS = {
     "jid": "_id long, raw_string string",
@@ -269,3 +272,18 @@ def test_stops_on_bad_input(spark, frame):
         merge_archives(spark, [FrameArchive("real", {"message": real})])
     with pytest.raises(ValueError, match="map_mode"):
         merge_archives(spark, [small(spark)], map_mode="other")
+
+
+@pytest.mark.parametrize("limit", [BROADCAST_BYTES, 0])
+def test_what_written_tables_were_made_from_goes(spark, staging, limit):
+    archives = [archive(spark, f"s{i}", **random_tables(7 + i, 40)) for i in range(2)]
+    read = Merge(spark, archives, default_specs(), Staging(spark), broadcast_bytes=limit)
+    read.build_keys()
+    want = {t: rows(df) for t, df in read.tables(lambda _, df: df).items()}
+    merge = Merge(spark, archives, default_specs(), staging, broadcast_bytes=limit)
+    merge.build_keys()
+    done = merge.tables(staging.write)
+    assert {t: rows(df) for t, df in done.items()} == want and sum(map(len, want.values())) > 50
+    root = Path(staging.root.removeprefix("file:"))
+    left = {p.name for p in root.iterdir()} - {*done, *(f"{t}_map" for t in merge.maps)}
+    assert left <= {f"{t}_remapped" for t in merge.refused}, left
