@@ -2,6 +2,7 @@
 
 import sqlite3
 from dataclasses import replace
+from pathlib import Path
 from random import Random
 
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from sediment import convert_archive, merge_archives
 from sediment.operators.checks import repeated_ids
 from sediment.errors import DuplicateKey, InvalidSnapshot, NullValue
+from sediment.plans.merge import Merge
 from sediment.sources.archive import Constraints, FrameArchive, ParquetArchive, SqliteArchive
 from sediment.specs import TableSpec, default_specs
 
@@ -332,3 +334,24 @@ def test_repeated_ids_without_counting_each(spark, frame):
     df = frame("snapshot_id int, old_id long", *ids)
     assert rows(repeated_ids(df, "snapshot_id", "old_id")) == [(2, 5, 2), (3, None, 1)]
     assert rows(repeated_ids(df.where("snapshot_id < 2"), "snapshot_id", "old_id")) == []
+
+
+def test_tables_built_twice_read_and_map_their_keys_once(spark, frame, staging, monkeypatch):
+    searched = []
+    monkeypatch.setattr("sediment.operators.support.hot_keys", lambda df, keys: searched.append(keys) or {})
+    n = 12
+    # Each quotes the one before it; the first one's reference leads nowhere, so all fall one by one.
+    message = frame(
+        "_id long, chat_row_id long, from_me int, key_id string, sender_jid_row_id long, timestamp long, quoted_message_row_id long",
+        *((i, 1, 0, f"k{i}", 1, 100 + i, i - 1 if i else 99) for i in range(n)),
+        (50, 1, 0, "own", 1, 500, 50),
+    )
+    tables = {"jid": frame("_id long, raw_string string", (1, "a")), "chat": frame("_id long, jid_row_id long", (1, 1)), "message": message}
+    specs = default_specs()
+    specs["message"] = replace(specs["message"], not_null=("quoted_message_row_id",))
+    merge = Merge(spark, [FrameArchive("a", tables)], specs, staging, broadcast_bytes=0)
+    merge.build_keys()
+    assert rows(merge.main_table("message"), "key_id") == [("own",)]
+    root = Path(staging.root.removeprefix("file:"))
+    assert len(list(root.rglob("message_rows"))) == 1
+    assert len(searched) == 1 and not list(root.rglob("message_members"))

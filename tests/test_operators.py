@@ -1,4 +1,5 @@
 import random
+import re
 from pathlib import Path
 
 import pytest
@@ -78,6 +79,22 @@ def test_keys_are_only_tracked_where_a_slot_is_crowded(spark, monkeypatch):
     assert hot_keys(left, ["fk"], 700) == {}
 
 
+def test_shuffled_maps_are_sorted_by_ids_before_snapshots(spark, monkeypatch):
+    monkeypatch.setattr("sediment.operators.lookup.hot_keys", lambda df, keys: {})
+    maps = {t: Sized.of(spark.range(9).selectExpr("1 as snapshot_id", "id as old_id", "id + 1 as new_id")) for t in ("chat", "message")}
+    df = spark.range(9).selectExpr("1 as snapshot_id", "id as old_id", "id as chat_row_id", "id as message_row_id")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for columns in (["chat_row_id"], ["chat_row_id", "message_row_id"]):
+            done = remap(df.select("snapshot_id", "old_id", *columns), "t", maps, limit=0, row=ROW)
+            assert rows(done, *columns) == [tuple([i + 1] * len(columns)) for i in range(9)]
+            sorts = re.findall(r"Sort \[(\w+)#", plan(done))
+            # A snapshot's number is the same in so many rows that it says nothing ahead of the id.
+            assert sorts and "snapshot_id" not in sorts, sorts
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_every_slot_may_be_crowded(spark, monkeypatch):
     monkeypatch.setattr("sediment.operators.lookup.SLOTS", 64)
     left = spark.range(0, 30_000).select("id", (F.col("id") % 300).alias("fk"))
